@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.ordered import row_place
+
 #: Histogram bounds (fixed values).
 BUCKETS = {
     "sentiment_analysis_duration_seconds": [0.1, 0.5, 1.0, 2.5, 5.0, 10.0, 30.0, 60.0],
@@ -110,7 +112,7 @@ def histogram_totals(df: DataFrame, value: str, by: list[str]) -> DataFrame:
 
 def gauge_latest(df: DataFrame, keys: list[str], value: str, t: str, tie: str) -> DataFrame:
     """Last write per gauge."""
-    return df.groupBy(*keys).agg(F.max_by(value, F.struct(t, tie)).alias(value),
+    return df.groupBy(*keys).agg(F.max_by(value, row_place(df, t, [tie])).alias(value),
                                  F.max(t).alias(t))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions.incidents import alert_fingerprint
-from tidemark.operators.ordered import CHUNK_S, ordered_scan
+from tidemark.operators.ordered import EVENT_CHUNK_S, ordered_scan, row_place
 from tidemark.operators.rules import (
     AUTO_ESCALATE_S,
     AUTO_RESOLVE_S,
@@ -20,8 +20,8 @@ from tidemark.operators.rules import (
     route_column,
 )
 
-#: Chunk width for alert events, which are far sparser than samples.
-EVENT_CHUNK_S = 86400
+#: Chunk width for rows already reduced to one per alert and second or grid time.
+POINT_CHUNK_S = 86400
 
 
 def evaluate_rules(series: DataFrame, rules: DataFrame) -> DataFrame:
@@ -37,7 +37,7 @@ def evaluate_rules(series: DataFrame, rules: DataFrame) -> DataFrame:
 
 def hold_for(points: DataFrame, keys: list[str], t: str = "t", breach: str = "breach",
              for_s: Column | None = None, step_s: int = 3600,
-             chunk_s: int = EVENT_CHUNK_S) -> DataFrame:
+             chunk_s: int = POINT_CHUNK_S) -> DataFrame:
     """Adds ``since`` (start of the unbroken breach) and ``state``.
 
     ``state`` is ok, pending, or firing once the breach has held for ``for_s``.
@@ -133,7 +133,7 @@ def group_alerts(alerts: DataFrame, by: list[str], t: str, interval_s: int) -> D
 
 
 def throttle(alerts: DataFrame, keys: list[str], interval_s: Column, t: str = "t",
-             chunk_s: int = EVENT_CHUNK_S) -> DataFrame:
+             chunk_s: int = POINT_CHUNK_S) -> DataFrame:
     """Times at which a notification goes out: at least the interval after the last one sent.
 
     Alerts of one second are one candidate. A candidate whose predecessor is a
@@ -222,23 +222,27 @@ def incident_actions(events: DataFrame, t: str = "t", tie: str = "event_id",
     now = F.lower("status")
     state = F.when(now == "firing", True).when(now == "resolved", False)
     named = events.withColumn("__open", state)
-    seen = ordered_scan(named, ["alert_id"], t, [tie], fill={"__upto": F.col("__open")},
+    seen = ordered_scan(named, ["alert_id"], t, [tie], prior={"__was": F.col("__open")},
                         chunk_s=chunk_s)
-    before = ordered_scan(seen, ["alert_id"], t, [tie], prev={"__was": F.col("__upto")},
-                          chunk_s=chunk_s)
     was = F.coalesce(F.col("__was"), F.lit(False))
     action = (F.when(F.col("__open").isNull(), "none")
               .when(F.col("__open"), F.when(was, "update").otherwise("create"))
               .otherwise(F.when(was, "close").otherwise("none")))
-    return before.withColumn("action", action).drop("__open", "__upto", "__was")
+    return seen.withColumn("action", action).drop("__open", "__was")
+
+
+def _last_status(events: DataFrame, keys: list[str], t: str, tie: str) -> DataFrame:
+    """Per key the time of the last firing or resolved status and whether it was firing."""
+    now = F.lower("status")
+    return events.filter(now.isin("firing", "resolved")).groupBy(*keys).agg(
+        F.max_by(now == "firing", row_place(events, t, [tie])).alias("__firing"),
+        F.max(t).alias("last_t"))
 
 
 def incident_state(events: DataFrame, t: str = "t", tie: str = "event_id") -> DataFrame:
     """Current state per alert: the last firing or resolved status seen."""
-    known = F.lower("status").isin("firing", "resolved")
-    return events.filter(known).groupBy("alert_id").agg(
-        F.when(F.max_by(F.lower("status"), F.struct(t, tie)) == "firing", "open")
-        .otherwise("closed").alias("state"), F.max(t).alias("last_t"))
+    state = F.when(F.col("__firing"), "open").otherwise("closed").alias("state")
+    return _last_status(events, ["alert_id"], t, tie).select("alert_id", state, "last_t")
 
 
 def incident_episodes(events: DataFrame, keys: list[str], carry: list[str] | None = None,
@@ -252,7 +256,7 @@ def incident_episodes(events: DataFrame, keys: list[str], carry: list[str] | Non
 
 
 def failure_streak(checks: DataFrame, keys: list[str], t: str = "t", tie: str = "event_id",
-                   restart: int = 3, alert: int = 5, chunk_s: int = CHUNK_S) -> DataFrame:
+                   restart: int = 3, alert: int = 5, chunk_s: int = EVENT_CHUNK_S) -> DataFrame:
     """Consecutive failures up to each check, and whether to restart or alert."""
     bad = ~F.col("healthy")
     counted = ordered_scan(checks, keys, t, [tie],
@@ -282,8 +286,4 @@ def resource_issues(readings: DataFrame, max_memory_mb: float = 2048.0,
 def active_alerts(events: DataFrame, keys: list[str], t: str = "t",
                   tie: str = "event_id") -> DataFrame:
     """Alerts whose last known status is firing."""
-    known = F.lower("status").isin("firing", "resolved")
-    last = F.max_by(F.lower("status"), F.struct(t, tie))
-    return (events.filter(known).groupBy(*keys)
-            .agg(last.alias("__s"), F.max(t).alias("last_t"))
-            .filter(F.col("__s") == "firing").drop("__s"))
+    return _last_status(events, keys, t, tie).filter("__firing").drop("__firing")

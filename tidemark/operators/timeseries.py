@@ -182,19 +182,19 @@ def asof_grid(samples: DataFrame, keys: list[str], start: int, end: int, step_s:
         samples.filter((F.col(t) > start - lookback_s) & (F.col(t) <= end))
         .withColumn("__cell", grid_cell(F.col(t) - start, step_s) + start)
         .groupBy(*keys, "__cell")
-        .agg(F.max_by(F.struct(F.col(t).alias("t"), F.col(value).alias("v")), t).alias("__s"))
+        .agg(F.max(t).alias("sample_t"), F.max_by(value, t).alias(value))
     )
     paired = ordered_scan(cells, keys, "__cell", following={"__next": F.col("__cell")},
                           chunk_s=chunk_s)
     # Look-back is left-open: a sample exactly that old is no longer seen.
-    oldest = F.floor((F.col("__s.t") + F.lit(lookback_s - 1 - start)) / F.lit(step_s)) * step_s + start
+    oldest = F.floor((F.col("sample_t") + F.lit(lookback_s - 1 - start)) / F.lit(step_s)) * step_s + start
     last = F.least(F.coalesce(F.col("__next") - step_s, oldest), oldest, F.lit(_last(start, end, step_s)))
     first = F.greatest(F.col("__cell"), F.lit(start))
     return (
         paired.withColumn("__first", first.cast("bigint")).withColumn("__last", last.cast("bigint"))
         .filter(F.col("__first") <= F.col("__last"))
         .select(*keys, F.explode(F.sequence("__first", "__last", F.lit(step_s).cast("bigint")))
-                .alias(t), F.col("__s.t").alias("sample_t"), F.col("__s.v").alias(value))
+                .alias(t), "sample_t", value)
     )
 
 

@@ -34,15 +34,19 @@ _SERIES = ["rule", "series"]
 
 #: Rules on the events of an hour.
 _RULES = [
-    ("Busy", "events_per_hour", "value", 0, ">", 2.0, 7200, "warning"),
-    ("Flood", "events_per_hour", "value", 0, ">=", 5.0, 0, "critical"),
-    ("Silent", "events_per_hour", "value", 0, "==", 0.0, 3600, "warning"),
+    ("ErrorsBusy", "error_per_hour", "value", 0, ">", 2.0, 7200, "warning"),
+    ("ErrorsFlood", "error_per_hour", "value", 0, ">=", 5.0, 0, "critical"),
+    ("ViewsBusy", "view_per_hour", "value", 0, ">", 2.0, 7200, "warning"),
+    ("ClicksFew", "click_per_hour", "value", 0, "<=", 1.0, 7200, "warning"),
+    ("SignupsSome", "signup_per_hour", "value", 0, "!=", 0.0, 3600, "info"),
+    ("PurchasesSilent", "purchase_per_hour", "value", 0, "==", 0.0, 3600, "warning"),
+    ("PurchasesLow", "purchase_per_hour", "value", 0, "<", 3.0, 10800, "warning"),
 ]
 
 
 def _points(spark, sf):
     series = fx.hourly_grid(spark, sf).select(
-        F.lit("events_per_hour").alias("metric"), F.lit("value").alias("func"),
+        F.concat("series", F.lit("_per_hour")).alias("metric"), F.lit("value").alias("func"),
         F.lit(0).cast("bigint").alias("window_s"), "series", "t",
         F.col("n").cast("double").alias("value"))
     return al.evaluate_rules(series, values_frame(spark, RULE_SCHEMA, _RULES))
@@ -408,10 +412,10 @@ def log_tail_health(spark, sf):
 
 @query("log_last_hour_errors", """
 SELECT seq, line FROM log_lines WHERE line LIKE 'ERROR%'
-  AND t >= 1705320000 - 3600 AND t < 1705320000""")
+  AND t >= 1704952800 AND t < 1704952800 + 3600""")
 def log_last_hour_errors(spark, sf):
     errors = fx.log_lines(spark, sf).filter(F.col("line").startswith("ERROR"))
-    return logs.hour_errors(errors, "t", 1705320000 + 1234).select("seq", "line")
+    return logs.hour_errors(errors, "t", 1704952800 + 3600 + 1234).select("seq", "line")
 
 
 @query("log_pattern_alerts", """

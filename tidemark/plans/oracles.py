@@ -155,16 +155,21 @@ LEFT JOIN (SELECT event_type AS series, t - t % 3600 AS t, count(*) AS n FROM ev
   ON c.series = s.series AND c.t = h.t"""
 
 VIEWS["rules"] = """
-SELECT * FROM (VALUES ('Busy', 'events_per_hour', 'value', 0, '>', 2.0::DOUBLE, 7200, 'warning'),
-  ('Flood', 'events_per_hour', 'value', 0, '>=', 5.0, 0, 'critical'),
-  ('Silent', 'events_per_hour', 'value', 0, '==', 0.0, 3600, 'warning'))
-  AS t(rule, metric, func, window_s, comparator, threshold, for_s, severity)"""
+SELECT * FROM (VALUES ('ErrorsBusy', 'error_per_hour', '>', 2.0::DOUBLE, 7200, 'warning'),
+  ('ErrorsFlood', 'error_per_hour', '>=', 5.0, 0, 'critical'),
+  ('ViewsBusy', 'view_per_hour', '>', 2.0, 7200, 'warning'),
+  ('ClicksFew', 'click_per_hour', '<=', 1.0, 7200, 'warning'),
+  ('SignupsSome', 'signup_per_hour', '!=', 0.0, 3600, 'info'),
+  ('PurchasesSilent', 'purchase_per_hour', '==', 0.0, 3600, 'warning'),
+  ('PurchasesLow', 'purchase_per_hour', '<', 3.0, 10800, 'warning'))
+  AS t(rule, metric, comparator, threshold, for_s, severity)"""
 
 VIEWS["breaches"] = """
 SELECT r.rule, g.series, g.t, CAST(g.n AS DOUBLE) AS value, r.for_s, r.severity,
        CASE r.comparator WHEN '>' THEN g.n > r.threshold WHEN '>=' THEN g.n >= r.threshold
-            ELSE g.n = r.threshold END AS breach
-FROM hourly_grid g CROSS JOIN rules r"""
+            WHEN '<' THEN g.n < r.threshold WHEN '<=' THEN g.n <= r.threshold
+            WHEN '!=' THEN g.n <> r.threshold ELSE g.n = r.threshold END AS breach
+FROM hourly_grid g JOIN rules r ON r.metric = concat(g.series, '_per_hour')"""
 
 VIEWS["held"] = """
 SELECT *, CASE WHEN breach THEN min(CASE WHEN breach THEN t END) OVER (

@@ -97,7 +97,11 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType = SCORED_POST) -> DataFrame:
-    """The CSV read back; bodies may hold newlines and quotes."""
+    """The CSV read back; bodies may hold newlines and quotes.
+
+    Nothing between two commas is null and a pair of quotes is ''; the reader
+    tells them apart only if its null text is something else than ''.
+    """
     return (spark.read.schema(schema).option("header", True).option("multiLine", True)
-            .option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+            .option("escape", '"').option("nullValue", "\x00").option("ignoreLeadingWhiteSpace", False)
             .option("ignoreTrailingWhiteSpace", False).csv(path))
