@@ -60,7 +60,8 @@ def main() -> int:
 
     sf_dir, names = sys.argv[1], sys.argv[2:]
     spark = build_session("check", "local[8]", spark__sql__shuffle__partitions="8",
-                          spark__ui__enabled="false", spark__driver__memory="12g")
+                          spark__ui__enabled="false", spark__driver__memory="12g",
+                          spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     con, oracles, bad = connect(sf_dir), e.oracle_sql(), 0
     for name, fn in e.queries().items():

@@ -86,17 +86,14 @@ class LexiconScorer:
         if len(head) > self.inline_rows:
             return self._joined(df, text, out)
         pos = [r.token for r in head if r.polarity > 0]
-        neg = [r.token for r in head if r.polarity < 0]
-
-        def hits(words: list[str]) -> Column:
-            if not words:
-                return F.lit(0)
-            return F.size(F.filter(F.col("__tokens"), lambda t: t.isin(words)))
-
-        counted = df.withColumn("__tokens", tokens(F.col(text))) \
-            .select(*df.columns, hits(pos).alias("__pos"), hits(neg).alias("__neg"))
-        return counted.select(
-            *df.columns, self._result(text, F.col("__pos"), F.col("__neg")).alias(out))
+        known = [r.token for r in head if r.polarity != 0]
+
+        # One pass finds the few tokens that count; only those are looked at again.
+        found = F.filter(tokens(F.col(text)), lambda t: t.isin(known))
+        counted = df.withColumn("__found", found).withColumn(
+            "__pos", F.size(F.filter("__found", lambda t: t.isin(pos))))
+        return counted.select(*df.columns, self._result(
+            text, F.col("__pos"), F.size("__found") - F.col("__pos")).alias(out))
 
     def _joined(self, df: DataFrame, text: str, out: str) -> DataFrame:
         """Tokens of each distinct text are joined to the lexicon.

@@ -7,7 +7,6 @@ left-open, ``(t - w, t]``, without extrapolation at their ends.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -85,14 +84,14 @@ def increase_on_grid(samples: DataFrame, keys: list[str], window_s: int, start:
         raise ValueError("the window must be a multiple of the step")
     cells = (
         counter_deltas(samples, keys, t, value)
-        .withColumn(t, grid_cell(F.col(t), step_s))
+        .withColumn(t, grid_cell(F.col(t) - start, step_s) + start)
         .filter((F.col(t) > start - window_s) & (F.col(t) <= end))
-        .groupBy(*keys, t).agg(F.sum("delta").alias("delta"))
+        .select(*keys, t, "delta")
     )
     grid = full_grid(samples, keys, start, end, step_s, t).withColumn("delta", F.lit(0.0))
     dense = cells.unionByName(grid).groupBy(*keys, t).agg(F.sum("delta").alias("delta"))
     return (range_sum(dense, keys, t, "delta", window_s, name).drop("delta")
-            .filter((F.col(t) >= start) & (F.pmod(F.col(t) - start, F.lit(step_s)) == 0)))
+            .filter((F.col(t) >= start) & (F.col(t) <= end)))
 
 
 def rate_on_grid(samples: DataFrame, keys: list[str], window_s: int, start: int, end: int,
@@ -216,69 +215,90 @@ def no_activity(increases: DataFrame, name: str = "increase") -> DataFrame:
 
 @dataclass(frozen=True)
 class Recording:
-    """A derived series: its name and how it is made from ``(metric, keys, t, value)`` samples."""
+    """A derived series.
 
-    record: str
-    build: Callable[[DataFrame], DataFrame]
-
-
-def recording_rules(samples: DataFrame, rules: list[Recording], keys: list[str],
-                    metric: str = "metric", t: str = "t") -> DataFrame:
-    """All derived series in one frame ``(record, keys..., t, value)``.
-
-    A rule that drops a key leaves it ''. Written with ``partitionBy('record')``
-    this is the materialised form of the rules.
+    ``kind`` is rate (of ``metric``), ratio (of the rates of ``metric`` and
+    ``other``), busy (from the rates of an idle counter, across all series) or
+    used (percent, from the gauges ``metric`` for the total and ``other`` for
+    what is free).
     """
-    out = None
-    for rule in rules:
-        made = rule.build(samples)
-        rows = made.select(
-            F.lit(rule.record).alias("record"),
-            *[(F.col(k) if k in made.columns else F.lit("")).alias(k) for k in keys],
-            F.col(t), F.col("value").cast("double").alias("value"))
-        out = rows if out is None else out.unionByName(rows)
-    return out
 
-
-def standard_recordings(keys: list[str], start: int, end: int, step_s: int = STEP_S,
-                        window_s: int = 300, on: list[str] | None = None) -> list[Recording]:
-    """The seven derived series of the monitoring configuration (names are fixed values).
-
-    ``on`` are the keys that survive in the cross-series ones.
+    record: str
+    kind: str
+    metric: str
+    other: str | None = None
+
+
+#: The derived series of the monitoring configuration (fixed values).
+RECORDINGS = [
+    Recording("reddit:posts_processed_rate", "rate", "posts_processed_total"),
+    Recording("reddit:sentiment_analysis_rate", "rate", "sentiment_analyses_total"),
+    Recording("reddit:api_error_rate", "rate", "reddit_api_errors_total"),
+    Recording("reddit:duplication_rate", "ratio", "duplicates_found_total", "posts_fetched_total"),
+    Recording("system:cpu_usage", "busy", "node_cpu_seconds_total"),
+    Recording("system:memory_usage", "used", "node_memory_MemTotal_bytes",
+              "node_memory_MemAvailable_bytes"),
+    Recording("system:disk_usage", "used", "node_filesystem_size_bytes",
+              "node_filesystem_free_bytes"),
+]
+
+
+def recording_rules(samples: DataFrame, rules: list[Recording], keys: list[str], start: int,
+                    end: int, step_s: int = STEP_S, window_s: int = 300,
+                    lookback_s: int = LOOKBACK_S) -> DataFrame:
+    """All derived series as ``(record, keys..., t, value)`` on the grid.
+
+    ``samples`` are ``(metric, keys..., t, value)``; ``node_cpu_seconds_total``
+    holds idle time. All rates come from one pass over the counters and all
+    gauges from one over theirs. Written with ``partitionBy('record')`` this is
+    the materialised form of the rules.
     """
-    on = on or []
-    m = F.col("metric")
-
-    def rate_of(name: str) -> Callable[[DataFrame], DataFrame]:
-        return lambda s: rate_on_grid(s.filter(m == name), ["metric", *keys], window_s, start, end,
-                                      step_s, name="value")
-
-    def duplication(s: DataFrame) -> DataFrame:
-        both = rate_on_grid(s.filter(m.isin("duplicates_found_total", "posts_fetched_total")),
-                            ["metric", *keys], window_s, start, end, step_s)
-        return ratio_of(both, m == "duplicates_found_total", m == "posts_fetched_total",
-                        [*on, "t"], "rate", "value")
-
-    def cpu(s: DataFrame) -> DataFrame:
-        idle = s.filter((m == "node_cpu_seconds_total") & (F.col("mode") == "idle")) \
-            if "mode" in s.columns else s.filter(m == "node_cpu_seconds_total")
-        return busy_percent(rate_on_grid(idle, ["metric", *keys], window_s, start, end, step_s),
-                            ["t"], name="value")
-
-    def used(total: str, free: str) -> Callable[[DataFrame], DataFrame]:
-        def build(s: DataFrame) -> DataFrame:
-            seen = asof_grid(s.filter(m.isin(total, free)), ["metric", *keys], start, end, step_s)
-            return used_percent(seen, [*keys, "t"], "metric", total, free, "value", "value")
-        return build
-
-    return [
-        Recording("reddit:posts_processed_rate", rate_of("posts_processed_total")),
-        Recording("reddit:sentiment_analysis_rate", rate_of("sentiment_analyses_total")),
-        Recording("reddit:api_error_rate", rate_of("reddit_api_errors_total")),
-        Recording("reddit:duplication_rate", duplication),
-        Recording("system:cpu_usage", cpu),
-        Recording("system:memory_usage",
-                  used("node_memory_MemTotal_bytes", "node_memory_MemAvailable_bytes")),
-        Recording("system:disk_usage",
-                  used("node_filesystem_size_bytes", "node_filesystem_free_bytes")),
-    ]
+    def named(kinds: list[str]) -> list[Recording]:
+        return [r for r in rules if r.kind in kinds]
+
+    def inputs(some: list[Recording]) -> list[str]:
+        return sorted({m for r in some for m in (r.metric, r.other) if m})
+
+    def reduce(points: DataFrame, some: list[Recording], value: str) -> DataFrame:
+        """Each point to the records it is part of; both parts of a record in one group."""
+        roles = [F.when(F.col("metric") == m, F.struct(
+            F.lit(r.record).alias("record"), F.lit(first).alias("__first"),
+            *[(F.lit("") if r.kind == "busy" else F.col(k).cast("string")).alias(f"__{k}")
+              for k in keys]))
+            for r in some for m, first in ((r.metric, True), (r.other, False)) if m]
+        rows = points.select("t", F.col(value).cast("decimal(30,9)").alias("__v"),
+                             F.inline(F.array_compact(F.array(*roles))))
+        one = F.col("__first")
+        out = rows.groupBy("record", *[F.col(f"__{k}").alias(k) for k in keys], "t").agg(
+            F.sum(F.when(one, F.col("__v"))).cast("double").alias("__a"),
+            F.sum(F.when(~one, F.col("__v"))).cast("double").alias("__b"),
+            F.count_if(one).alias("__n"))
+        a, b = F.col("__a"), F.col("__b")
+        made = {
+            "rate": a,
+            "ratio": F.round(F.try_divide(a, b), 6),
+            "busy": F.round(100.0 - F.try_divide(a, F.col("__n").cast("double")) * 100.0, 6),
+            "used": F.round(F.try_divide(a - b, a) * 100.0, 6),
+        }
+        result = F.lit(None).cast("double")
+        both = F.lit(False)
+        for r in some:
+            mine = F.col("record") == r.record
+            result = F.when(mine, made[r.kind]).otherwise(result)
+            both = both | mine if r.other is None else both | (mine & a.isNotNull() & b.isNotNull())
+        return out.filter(both).select("record", *keys, "t", result.alias("value"))
+
+    frames = []
+    of_rates, of_gauges = named(["rate", "ratio", "busy"]), named(["used"])
+    if of_rates:
+        counters = samples.filter(F.col("metric").isin(inputs(of_rates)))
+        frames.append(reduce(rate_on_grid(counters, ["metric", *keys], window_s, start, end,
+                                          step_s), of_rates, "rate"))
+    if of_gauges:
+        gauges = samples.filter(F.col("metric").isin(inputs(of_gauges)))
+        frames.append(reduce(asof_grid(gauges, ["metric", *keys], start, end, step_s, lookback_s),
+                             of_gauges, "value"))
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame)
+    return out

@@ -36,7 +36,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def as_posts(documents: DataFrame) -> DataFrame:
     """Documents as posts: the first line is the title, the rest the body."""
-    title = F.split_part("text", F.lit("\n"), F.lit(1))
+    title = F.substring_index("text", "\n", 1)
     return documents.select(
         F.col("doc_id").alias("arrival_seq"),
         F.concat(F.lit("p"), F.col("doc_id").cast("string")).alias("post_id"),

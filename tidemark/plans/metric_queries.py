@@ -277,8 +277,8 @@ SELECT record, instance, t, value FROM (
   WHERE (metric = 'node_memory_MemTotal_bytes' AND free = 'node_memory_MemAvailable_bytes')
      OR (metric = 'node_filesystem_size_bytes' AND free = 'node_filesystem_free_bytes')) r""")
 def recording_rules(spark, sf):
-    rules = ts.standard_recordings(["instance"], fx.START, fx.END, _HOUR, _WINDOW, ["instance"])
-    return ts.recording_rules(fx.metric_samples(spark, sf), rules, ["instance"])
+    return ts.recording_rules(fx.metric_samples(spark, sf), ts.RECORDINGS, ["instance"], fx.START,
+                              fx.END, _HOUR, _WINDOW)
 
 
 @query("staleness", """
