@@ -8,6 +8,7 @@ store without its own rows, comes to the same result, and adds nothing twice.
 from __future__ import annotations
 
 import logging
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ from tidemark.schemas import SEEN
 
 log = logging.getLogger(__name__)
 
+_RUN_ID = re.compile(r"[A-Za-z0-9_.:-]+")
+
 _STORED = StructType([*SEEN.fields, StructField("run_id", StringType())])
 
 
@@ -54,13 +57,19 @@ class SeenStore:
 
     def commit(self, rows: DataFrame, run_id: str) -> None:
         """Replace the rows of ``run_id``. Call it after the run's own output is written."""
-        stamped = rows.select(*SEEN.names, F.lit(run_id).alias("run_id"))
+        if not _RUN_ID.fullmatch(run_id):
+            raise ValueError(f"not usable as a partition name: {run_id!r}")
         if self.path:
-            (stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            (rows.select(*SEEN.names, F.lit(run_id).alias("run_id"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("run_id").parquet(self.path))
-        elif self.spark.catalog.tableExists(self.table):
-            (stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .insertInto(self.table))
-        else:
-            (stamped.write.partitionBy("run_id").bucketBy(self.buckets, "content_hash")
-             .sortBy("content_hash").format("parquet").saveAsTable(self.table))
+            return
+        if not self.spark.catalog.tableExists(self.table):
+            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in _STORED)
+            self.spark.sql(
+                f"CREATE TABLE {self.table} ({columns}) USING parquet PARTITIONED BY (run_id) "
+                f"CLUSTERED BY (content_hash) SORTED BY (content_hash) INTO {self.buckets} BUCKETS")
+        # One task per bucket writes one file; the named partition alone is replaced.
+        batch = rows.select(*SEEN.names).repartition(self.buckets, "content_hash")
+        self.spark.sql(f"INSERT OVERWRITE TABLE {self.table} PARTITION (run_id = '{run_id}') "
+                       "SELECT * FROM {batch}", batch=batch)
