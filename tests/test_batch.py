@@ -78,3 +78,38 @@ def test_bad_sink_fails_the_run(spark, scratch):
     with pytest.raises(Exception):
         run(spark, config)
     assert SeenStore(spark, f"{scratch}/store").read().count() == 0
+
+
+def test_metrics_of_runs_add_up(spark, scratch):
+    from tidemark.plans.batch import RunResult
+    from tidemark.plans.run_metrics import counter_totals, fetched_samples, run_samples
+    from tidemark.sources.telemetry import exposition_lines
+
+    posts = spark.createDataFrame([("A",)] * 50 + [("B",)] * 30, "subreddit string")
+    runs = [RunResult("1", None, 50, 40, 10, 40, {"positive": 15, "neutral": 25}, 12.0),
+            RunResult("2", None, 30, 25, 5, 25, {"positive": 10, "negative": 10, "neutral": 5}, 45.0),
+            RunResult("3", "no_unique_posts")]
+    samples = fetched_samples(posts)
+    for r in runs:
+        samples = samples.unionByName(run_samples(spark, r, 1.0))
+    counters = counter_totals(samples.filter("metric <> 'pipeline_status'"))
+    lines = {r[0] for r in exposition_lines(counters).collect()}
+    assert {'reddit_posts_fetched_total{subreddit="A"} 50.0',
+            'reddit_posts_fetched_total{subreddit="B"} 30.0',
+            'reddit_posts_deduplicated_total 15.0', 'reddit_posts_processed_total 65.0',
+            'sentiment_distribution_total{label="positive"} 25.0',
+            'sentiment_distribution_total{label="negative"} 10.0',
+            'sentiment_distribution_total{label="neutral"} 30.0',
+            'pipeline_errors_total{component="pipeline",error_type="no_unique_posts"} 1.0',
+            'pipeline_total_duration_seconds_bucket{le="30.0"} 1.0',
+            'pipeline_total_duration_seconds_bucket{le="60.0"} 2.0',
+            'pipeline_total_duration_seconds_count 2.0'} <= lines
+
+
+def test_statuses_of_runs(spark):
+    from tidemark.plans.batch import RunResult
+    from tidemark.plans.run_metrics import run_samples
+
+    for reason, want in ((None, 1.0), ("no_posts_fetched", 0.0)):
+        got = run_samples(spark, RunResult("1", reason)).filter("metric = 'pipeline_status'")
+        assert got.first().value == want

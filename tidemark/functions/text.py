@@ -27,8 +27,13 @@ def strip(col: Column) -> Column:
 
 
 def content_hash(title: Column, content: Column) -> Column:
-    """Lower-case SHA-256 of title, newline, body; a missing part counts as ''."""
-    return F.sha2(F.concat(text_or_empty(title), F.lit("\n"), text_or_empty(content)), 256)
+    """Lower-case SHA-256 of title, newline, body; a missing part counts as ''.
+
+    The result is never null. Saying so keeps Spark from computing the hash a
+    second time to filter null join keys.
+    """
+    digest = F.sha2(F.concat(text_or_empty(title), F.lit("\n"), text_or_empty(content)), 256)
+    return text_or_empty(digest)
 
 
 def compose_text(title: Column, content: Column) -> Column:

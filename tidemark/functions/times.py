@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 #: Seconds per duration unit (fixed values).
 UNIT_SECONDS = {"s": 1, "m": 60, "h": 3600, "d": 86400, "w": 604800}
 
-_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-
 
 def epoch_of_ntz(column: str) -> Column:
     """Whole seconds since 1970 of a zone-less timestamp, whatever the session zone."""
-    return F.expr(f"timestampdiff(SECOND, {_EPOCH}, date_trunc('SECOND', {column}))")
+    ts = F.col(column)
+    return (F.unix_date(ts.cast("date")) * F.lit(86400).cast("bigint")
+            + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts))
 
 
 def parse_duration(col: Column) -> Column:

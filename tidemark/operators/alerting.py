@@ -1,4 +1,9 @@
-"""Alert evaluation, notification flow and incident state."""
+"""Alert evaluation, notification flow and incident state.
+
+Operators on raw events scan each alert in chunks of ``chunk_s`` seconds, or,
+with ``block``, of single seconds cut by ranges of the event number; see
+``ordered_scan``. The others first reduce to one row per alert and second.
+"""
 
 from __future__ import annotations
 
@@ -77,11 +82,13 @@ def no_data(grid: DataFrame, samples: DataFrame, keys: list[str], t: str = "t",
 
 
 def firing_changes(events: DataFrame, keys: list[str], t: str = "t", tie: str = "event_id",
-                   status: str = "status", chunk_s: int = EVENT_CHUNK_S) -> DataFrame:
+                   status: str = "status", chunk_s: int = EVENT_CHUNK_S,
+                   block: int | None = None) -> DataFrame:
     """Events that open or close an alert, with ``delta`` +1 / -1; the others are dropped."""
     known = events.filter(F.lower(status).isin("firing", "resolved")) \
         .withColumn("__now", F.lower(status) == "firing")
-    seen = ordered_scan(known, keys, t, [tie], prev={"__was": F.col("__now")}, chunk_s=chunk_s)
+    seen = ordered_scan(known, keys, t, [tie], prev={"__was": F.col("__now")}, chunk_s=chunk_s,
+                        block=block)
     was = F.coalesce(F.col("__was"), F.lit(False))
     return (seen.filter(F.col("__now") != was)
             .withColumn("delta", F.when(F.col("__now"), 1).otherwise(-1))
@@ -89,26 +96,31 @@ def firing_changes(events: DataFrame, keys: list[str], t: str = "t", tie: str =
 
 
 def inhibit(events: DataFrame, equal: list[str], alert_keys: list[str], t: str = "t",
-            tie: str = "event_id", chunk_s: int = EVENT_CHUNK_S) -> DataFrame:
+            tie: str = "event_id", chunk_s: int = EVENT_CHUNK_S,
+            block: int | None = None) -> DataFrame:
     """Firing events left after critical alerts silence the warnings they match.
 
     A warning is silenced at a time when some critical alert with the same
-    ``equal`` labels is open. Openings and closings of critical alerts and the
-    warnings are one time-ordered sequence per label set; a running count of
-    open criticals decides, so no warning is paired with any critical.
+    ``equal`` labels is open; a missing label equals ''. Openings and closings
+    of critical alerts and the times of warnings are summed to one row per
+    label set and second, and a running count of open criticals decides: no
+    warning is ever paired with a critical.
     """
+    same = {f"__eq{i}": F.coalesce(F.col(k), F.lit("")) for i, k in enumerate(equal)}
     firing = events.filter(F.lower("status") == "firing")
     critical = firing_changes(events.filter(F.col("severity") == "critical"), alert_keys, t, tie,
-                              chunk_s=chunk_s)
-    marks = critical.select(*equal, t, tie, F.col("delta").cast("bigint").alias("__delta"),
-                            F.lit(0).alias("__kind"))
-    warnings = firing.filter(F.col("severity") == "warning")
-    asks = warnings.select(*equal, t, tie, F.lit(0).cast("bigint").alias("__delta"),
-                           F.lit(1).alias("__kind"))
-    line = ordered_scan(marks.unionByName(asks), equal, t, ["__kind", tie],
-                        running={"__open": F.col("__delta")}, chunk_s=chunk_s)
-    silenced = line.filter((F.col("__kind") == 1) & (F.col("__open") > 0)).select(tie)
-    return firing.join(silenced, tie, "left_anti")
+                              chunk_s=chunk_s, block=block)
+    marks = critical.withColumns(same).select(
+        *same, t, F.col("delta").cast("bigint").alias("__delta"), F.lit(False).alias("__asks"))
+    asks = firing.filter(F.col("severity") == "warning").withColumns(same).select(
+        *same, t, F.lit(0).cast("bigint").alias("__delta"), F.lit(True).alias("__asks"))
+    moments = marks.unionByName(asks).groupBy(*same, t).agg(
+        F.sum("__delta").alias("__delta"), F.bool_or("__asks").alias("__asks"))
+    line = ordered_scan(moments, list(same), t, running={"__open": F.col("__delta")})
+    silenced = line.filter(F.col("__asks") & (F.col("__open") > 0)).select(
+        *same, t, F.lit("warning").alias("severity"))
+    return firing.withColumns(same).join(silenced, [*same, t, "severity"], "left_anti") \
+        .select(*events.columns)
 
 
 def route(alerts: DataFrame, routes: list[Route], default: str, out: str = "receiver") -> DataFrame:
@@ -213,7 +225,7 @@ def with_alert_id(events: DataFrame) -> DataFrame:
 
 
 def incident_actions(events: DataFrame, t: str = "t", tie: str = "event_id",
-                     chunk_s: int = EVENT_CHUNK_S) -> DataFrame:
+                     chunk_s: int = EVENT_CHUNK_S, block: int | None = None) -> DataFrame:
     """What each alert event does to its incident.
 
     Firing creates unless open, else updates; resolved closes if open, else
@@ -223,7 +235,7 @@ def incident_actions(events: DataFrame, t: str = "t", tie: str = "event_id",
     state = F.when(now == "firing", True).when(now == "resolved", False)
     named = events.withColumn("__open", state)
     seen = ordered_scan(named, ["alert_id"], t, [tie], prior={"__was": F.col("__open")},
-                        chunk_s=chunk_s)
+                        chunk_s=chunk_s, block=block)
     was = F.coalesce(F.col("__was"), F.lit(False))
     action = (F.when(F.col("__open").isNull(), "none")
               .when(F.col("__open"), F.when(was, "update").otherwise("create"))
@@ -247,22 +259,26 @@ def incident_state(events: DataFrame, t: str = "t", tie: str = "event_id") -> Da
 
 def incident_episodes(events: DataFrame, keys: list[str], carry: list[str] | None = None,
                       t: str = "t", tie: str = "event_id",
-                      chunk_s: int = EVENT_CHUNK_S) -> DataFrame:
+                      chunk_s: int = EVENT_CHUNK_S, block: int | None = None) -> DataFrame:
     """Open and close time of every incident; ``end_t`` is null while open."""
-    changes = firing_changes(events, keys, t, tie, chunk_s=chunk_s)
-    paired = ordered_scan(changes, keys, t, [tie], following={"end_t": F.col(t)}, chunk_s=chunk_s)
+    changes = firing_changes(events, keys, t, tie, chunk_s=chunk_s, block=block)
+    paired = ordered_scan(changes, keys, t, [tie], following={"end_t": F.col(t)}, chunk_s=chunk_s,
+                          block=block)
     return paired.filter(F.col("delta") == 1).select(
         *keys, *(carry or []), F.col(tie).alias("incident_no"), F.col(t).alias("start_t"), "end_t")
 
 
 def failure_streak(checks: DataFrame, keys: list[str], t: str = "t", tie: str = "event_id",
-                   restart: int = 3, alert: int = 5, chunk_s: int = EVENT_CHUNK_S) -> DataFrame:
+                   restart: int = 3, alert: int = 5, chunk_s: int = EVENT_CHUNK_S,
+                   block: int | None = None) -> DataFrame:
     """Consecutive failures up to each check, and whether to restart or alert."""
     bad = ~F.col("healthy")
     counted = ordered_scan(checks, keys, t, [tie],
-                           running={"__bad": bad.cast("bigint")}, chunk_s=chunk_s)
+                           running={"__bad": bad.cast("bigint")}, chunk_s=chunk_s,
+                           block=block)
     reset = ordered_scan(counted, keys, t, [tie],
-                         fill={"__base": F.when(~bad, F.col("__bad"))}, chunk_s=chunk_s)
+                         fill={"__base": F.when(~bad, F.col("__bad"))}, chunk_s=chunk_s,
+                         block=block)
     streak = F.col("__bad") - F.coalesce(F.col("__base"), F.lit(0))
     return (reset.withColumn("streak", streak).drop("__bad", "__base")
             .withColumn("needs_restart", F.col("streak") >= restart)

@@ -67,9 +67,21 @@ def grid_cell(t: Column, step_s: int) -> Column:
 
 def full_grid(series: DataFrame, keys: list[str], start: int, end: int, step_s: int,
               t: str = "t") -> DataFrame:
-    """Every grid time for every series, silent ones included."""
-    return series.select(*keys).distinct().withColumn(
-        t, F.explode(F.sequence(*[F.lit(x).cast("bigint") for x in (start, end, step_s)])))
+    """Every grid time for every series, silent ones included.
+
+    Each series is cut into stretches that are spread before they are filled
+    in, so that a few series over a long time still make many tasks.
+    """
+    stretch = step_s * max(1, 86400 // step_s)
+
+    def steps(first: Column, last: Column, by: int) -> Column:
+        return F.explode(F.sequence(first, last, F.lit(by).cast("bigint")))
+
+    begin, stop = F.lit(start).cast("bigint"), F.lit(end).cast("bigint")
+    spread = series.select(*keys).distinct() \
+        .withColumn("__from", steps(begin, stop, stretch)).repartition(*keys, "__from")
+    until = F.least(F.col("__from") + (stretch - step_s), stop)
+    return spread.withColumn(t, steps(F.col("__from"), until, step_s)).drop("__from")
 
 
 def increase_on_grid(samples: DataFrame, keys: list[str], window_s: int, start: int, end: int,

@@ -15,12 +15,15 @@ from tidemark.operators.scoring import (
     score,
 )
 from tidemark.plans import fixtures as fx
+from tidemark.plans.batch import RunConfig, run
 from tidemark.plans.batch import scored_posts as as_scored
 from tidemark.plans.registry import query
+from tidemark.plans.run_metrics import DURATION, LAST_RUN, fetched_samples, run_samples
 from tidemark.schemas import POST, SCORED_COLUMNS, SEEN
 from tidemark.session import scratch_path
 from tidemark.sources import posts as src
 from tidemark.sources.store import SeenStore
+from tidemark.sources.telemetry import exposition_lines
 
 _POST = ", ".join(POST.names)
 
@@ -311,6 +314,32 @@ def batch_scored_posts(spark, sf):
     return _written(spark, sf)
 
 
+@query("run_metrics", """
+SELECT concat('reddit_posts_fetched_total{subreddit="', subreddit, '"} ',
+              CAST(count(*)::DOUBLE AS VARCHAR)) AS line FROM posts GROUP BY subreddit
+UNION ALL
+SELECT concat('reddit_posts_deduplicated_total ', CAST(count(*)::DOUBLE AS VARCHAR)) FROM tagged
+WHERE is_duplicate
+UNION ALL
+SELECT concat('reddit_posts_processed_total ', CAST(count(*)::DOUBLE AS VARCHAR)) FROM written
+UNION ALL
+SELECT concat('sentiment_distribution_total{label="', sentiment_label, '"} ',
+              CAST(count(*)::DOUBLE AS VARCHAR)) FROM written GROUP BY sentiment_label
+UNION ALL
+SELECT 'pipeline_status 1.0'""")
+def run_metrics(spark, sf):
+    """A whole run into a fresh sink and store, and what it reports."""
+    base = scratch_path(spark, "run")
+    store = SeenStore(spark, f"{base}/store")
+    store.commit(fx.seen_store(spark, sf), "earlier")
+    posts = fx.posts(spark, sf)
+    result = run(spark, RunConfig(sink=f"{base}/out", store=store, posts=posts, run_id="run-1",
+                                  scorer=_scorer(spark)))
+    timeless = ~F.col("metric").startswith(DURATION) & (F.col("metric") != LAST_RUN)
+    samples = fetched_samples(posts).unionByName(run_samples(spark, result))
+    return exposition_lines(samples.filter(timeless))
+
+
 # Reports --------------------------------------------------------------------------------------
 
 @query("label_distribution", "SELECT sentiment_label, count(*) AS posts FROM written GROUP BY 1 "

@@ -90,9 +90,10 @@ def read_sources(spark: SparkSession, sources: dict[str, str],
 def write_csv(df: DataFrame, path: str) -> None:
     """Flat CSV with a header, replacing the run before; a failure ends the job.
 
-    A folder of part files: one file would need one task to write everything.
+    A folder of part files: one file would need one task to write everything,
+    and one to read it, as quoted newlines keep a file from being split.
     """
-    (df.write.mode("overwrite").option("header", True).option("escape", '"')
+    (df.write.mode("overwrite").option("maxRecordsPerFile", 500_000).option("header", True).option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
