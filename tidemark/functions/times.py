@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 UNIT_SECONDS = {"s": 1, "m": 60, "h": 3600, "d": 86400, "w": 604800}
 
 
-def epoch_of_ntz(column: str) -> Column:
+def epoch_of_ntz(ts: Column | str) -> Column:
     """Whole seconds since 1970 of a zone-less timestamp, whatever the session zone."""
-    ts = F.col(column)
+    ts = F.col(ts) if isinstance(ts, str) else ts
     return (F.unix_date(ts.cast("date")) * F.lit(86400).cast("bigint")
             + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.times import epoch_of_ntz
 from tidemark.operators.scoring import LexiconScorer
 from tidemark.plans import fixtures as fx
 from tidemark.plans.registry import query
@@ -47,7 +48,8 @@ def stream_window_counts(spark, sf):
     base = scratch_path(spark, "windows")
     counts = jobs.window_counts(_stream(spark, sf, "events"), "ts", ["event_type"],
                                 "15 minutes", "5 minutes")
-    rows = counts.select(F.unix_timestamp("window.start").alias("start_t"), "event_type", "n")
+    start = epoch_of_ntz(F.col("window.start").cast("timestamp_ntz"))
+    rows = counts.select(start.alias("start_t"), "event_type", "n")
     jobs.run_available(rows, f"{base}/out", f"{base}/checkpoint")
     return spark.read.schema(rows.schema).parquet(f"{base}/out")
 
