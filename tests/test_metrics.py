@@ -150,3 +150,14 @@ def test_recordings_name_all_seven(spark):
     by = {r.record: r.value for r in got if r.t == 2700}
     assert by["reddit:posts_processed_rate"] == 1.0 and by["reddit:duplication_rate"] == 1.0
     assert by["system:cpu_usage"] == 0.0 and by["system:disk_usage"] == 0.0
+
+
+def test_rule_series_ages_and_values(spark):
+    rows = [("backup_last_success_timestamp", "i", t, 100.0) for t in range(15, 3000, 15)]
+    df = spark.createDataFrame(rows, "metric string, i string, t bigint, value double")
+    rules = [("a", "backup_last_success_timestamp", "age", 0, ">", 500.0, 0, "x"),
+             ("b", "backup_last_success_timestamp", "value", 0, ">", 500.0, 0, "x")]
+    got = ts.rule_series(df, rules, ["i"], 600, 1200, 300).collect()
+    assert {(r.func, r.t): r.value for r in got} == {
+        ("age", 600): 500.0, ("age", 900): 800.0, ("age", 1200): 1100.0,
+        ("value", 600): 100.0, ("value", 900): 100.0, ("value", 1200): 100.0}

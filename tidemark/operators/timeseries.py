@@ -225,6 +225,35 @@ def no_activity(increases: DataFrame, name: str = "increase") -> DataFrame:
     return increases.filter(F.col(name) == 0)
 
 
+def rule_series(samples: DataFrame, rules: list[tuple], keys: list[str], start: int, end: int,
+                step_s: int = STEP_S, lookback_s: int = LOOKBACK_S) -> DataFrame:
+    """What the rules compare, on the grid: ``(metric, func, window_s, keys..., t, value)``.
+
+    ``rules`` are rows of ``RULE_SCHEMA``; ``func`` is value, age (time since
+    the value, a timestamp), increase or rate. Rules that share a function and
+    window share one pass over their metrics.
+    """
+    passes: dict[tuple[str, int], list[str]] = {}
+    for rule in rules:
+        passes.setdefault((rule[2], rule[3]), []).append(rule[1])
+    series = ["metric", *keys]
+    out = None
+    for (func, window_s), metrics in sorted(passes.items()):
+        mine = samples.filter(F.col("metric").isin(sorted(set(metrics))))
+        if func == "increase":
+            made = increase_on_grid(mine, series, window_s, start, end, step_s, name="value")
+        elif func == "rate":
+            made = rate_on_grid(mine, series, window_s, start, end, step_s, name="value")
+        else:
+            made = asof_grid(mine, series, start, end, step_s, lookback_s)
+            if func == "age":
+                made = made.withColumn("value", F.col("t") - F.col("value"))
+        rows = made.select("metric", F.lit(func).alias("func"),
+                           F.lit(window_s).cast("bigint").alias("window_s"), *keys, "t", "value")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @dataclass(frozen=True)
 class Recording:
     """A derived series.

@@ -9,7 +9,9 @@ from tidemark.functions.status import log_classes
 from tidemark.operators import aggregates as agg
 from tidemark.operators import alerting as al
 from tidemark.operators import logs
+from tidemark.operators import timeseries as ts
 from tidemark.operators.rules import (
+    APPLICATION_RULES,
     CHANNEL_CAPS,
     DEFAULT_CHANNEL,
     DEFAULT_RECEIVER,
@@ -17,6 +19,7 @@ from tidemark.operators.rules import (
     ESCALATION_SCHEMA,
     INHIBIT_BY_ALERT,
     INHIBIT_BY_SERVICE,
+    METRIC_RULES,
     REPEAT_DEFAULT_S,
     REPEAT_S,
     RULE_SCHEMA,
@@ -67,6 +70,44 @@ def rule_breaches(spark, sf):
     return _points(spark, sf).select(*_SERIES, "t", "value", "breach")
 
 
+def _configured():
+    """Configured rules whose metrics the fixture has, and one on a plain value."""
+    have = {"posts_processed_total", "reddit_api_errors_total"}
+    chosen = [r for r in [*METRIC_RULES, *APPLICATION_RULES] if r[1] in have]
+    return [*chosen, ("FewFetched", "posts_fetched_total", "value", 0, "<", 150.0, 0, "info")]
+
+
+@query("configured_rules", """
+WITH grid AS (SELECT 1704067200 + range * 900 AS t FROM range(2785)),
+grown AS (
+  SELECT *, CASE WHEN prev IS NULL THEN 0.0 WHEN value < prev THEN value
+                 ELSE value - prev END::DOUBLE AS delta
+  FROM (SELECT *, lag(value) OVER (PARTITION BY metric, instance ORDER BY t) AS prev
+        FROM named) a),
+windows AS (
+  SELECT * FROM (VALUES ('RedditAPIErrors', 'reddit_api_errors_total', 900),
+    ('NoDataProcessed', 'posts_processed_total', 14400),
+    ('reddit_api_failures', 'reddit_api_errors_total', 900),
+    ('no_data_processed', 'posts_processed_total', 14400)) AS w(rule, metric, width)),
+sums AS (
+  SELECT w.rule, s.instance, g.t, coalesce(sum(d.delta), 0.0)::DOUBLE AS grew
+  FROM windows w JOIN (SELECT DISTINCT metric, instance FROM named) s ON s.metric = w.metric
+  CROSS JOIN grid g LEFT JOIN grown d ON d.metric = w.metric AND d.instance = s.instance
+    AND d.t > g.t - w.width AND d.t <= g.t GROUP BY 1, 2, 3)
+SELECT rule, instance, t, CASE rule WHEN 'reddit_api_failures' THEN round(grew / 900.0::DOUBLE, 9)
+       ELSE grew END AS value, CASE rule WHEN 'RedditAPIErrors' THEN grew > 10
+       WHEN 'reddit_api_failures' THEN grew / 900.0 > 10 ELSE grew = 0 END AS breach FROM sums
+UNION ALL
+SELECT 'FewFetched', d.instance, g.t, arg_max(d.value, d.t), arg_max(d.value, d.t) < 150
+FROM grid g JOIN named d ON d.metric = 'posts_fetched_total' AND d.t > g.t - 300 AND d.t <= g.t
+GROUP BY 2, 3""")
+def configured_rules(spark, sf):
+    rules = _configured()
+    series = ts.rule_series(fx.metric_samples(spark, sf), rules, ["instance"], fx.START, fx.END, 900)
+    return al.evaluate_rules(series, values_frame(spark, RULE_SCHEMA, rules)).select(
+        "rule", "instance", "t", "value", "breach")
+
+
 @query("alert_for_duration", "SELECT rule, series, t, since, state FROM states")
 def alert_for_duration(spark, sf):
     return _states(spark, sf).select(*_SERIES, "t", "since", "state")

@@ -259,7 +259,7 @@ def sql(body: str) -> str:
         return body.strip()
     views = ",\n".join(f"{n} AS MATERIALIZED ({VIEWS[n].strip()})" for n in order)
     body = body.strip()
-    recursive = body.upper().startswith("WITH RECURSIVE")
-    if recursive:
-        return f"WITH RECURSIVE {views},\n{body[len('WITH RECURSIVE'):].strip()}"
+    for start in ("WITH RECURSIVE", "WITH"):
+        if body.startswith(start):
+            return f"{start} {views},\n{body[len(start):].strip()}"
     return f"WITH {views}\n{body}"
