@@ -41,7 +41,7 @@ def as_posts(documents: DataFrame) -> DataFrame:
         F.col("doc_id").alias("arrival_seq"),
         F.concat(F.lit("p"), F.col("doc_id").cast("string")).alias("post_id"),
         title.alias("title"),
-        F.substring("text", F.length(title) + 2, F.length("text")).alias("content"),
+        F.substr("text", F.length(title) + 2).alias("content"),
         F.col("n_chars").alias("score"),
         (F.lit(START) + F.col("doc_id") * 60).alias("created_utc"),
         F.col("source").alias("subreddit"), "lang",

@@ -222,6 +222,12 @@ def store_by_community(spark, sf):
 _SCORES = "arrival_seq, label, positive, negative, neutral"
 
 
+def _composed(spark, sf):
+    """Texts as the run hands them to a scorer, which preprocesses them itself."""
+    return fx.posts(spark, sf).select(
+        "arrival_seq", compose_text(F.col("title"), F.col("content")).alias("text"))
+
+
 def _score_columns(df):
     s = F.col("sentiment")
     return df.select("arrival_seq", s["label"].alias("label"), s["positive"].alias("positive"),
@@ -230,14 +236,14 @@ def _score_columns(df):
 
 @query("score_lexicon", f"SELECT {_SCORES} FROM scored")
 def score_lexicon(spark, sf):
-    return _score_columns(score(fx.texts(spark, sf), "text", _scorer(spark)))
+    return _score_columns(score(_composed(spark, sf), "text", _scorer(spark)))
 
 
 @query("score_lexicon_joined", f"SELECT {_SCORES} FROM scored")
 def score_lexicon_joined(spark, sf):
     """The form a lexicon too large for literals takes."""
     scorer = LexiconScorer(fx.lexicon(spark), inline_rows=0)
-    return _score_columns(score(fx.texts(spark, sf), "text", scorer))
+    return _score_columns(score(_composed(spark, sf), "text", scorer))
 
 
 def _counting_model():
@@ -261,7 +267,7 @@ def _counting_model():
 
 @query("score_udf", f"SELECT {_SCORES}, false AS failed FROM scored")
 def score_udf(spark, sf):
-    done = score(fx.texts(spark, sf), "text", BatchModelScorer(_counting_model, batch_size=64))
+    done = score(_composed(spark, sf), "text", BatchModelScorer(_counting_model, batch_size=64))
     s = F.col("sentiment")
     return done.select("arrival_seq", s["label"].alias("label"), s["positive"].alias("positive"),
                        s["negative"].alias("negative"), s["neutral"].alias("neutral"),
@@ -459,6 +465,6 @@ def confusion_matrix(spark, sf):
         F.col("doc_id").alias("arrival_seq"),
         F.when(F.col("toxic") == 1, "negative").when(F.col("quality") == 1, "positive")
         .otherwise("neutral").alias("label"))
-    predicted = _score_columns(score(fx.texts(spark, sf), "text", _scorer(spark))) \
+    predicted = _score_columns(score(_composed(spark, sf), "text", _scorer(spark))) \
         .withColumnRenamed("label", "prediction")
     return agg.confusion_matrix(predicted, truth, "arrival_seq", "label", "prediction")
