@@ -47,7 +47,7 @@ _RULES = [
 ]
 
 
-def _points(spark, sf):
+def rule_points(spark, sf):
     series = fx.hourly_grid(spark, sf).select(
         F.concat("series", F.lit("_per_hour")).alias("metric"), F.lit("value").alias("func"),
         F.lit(0).cast("bigint").alias("window_s"), "series", "t",
@@ -56,7 +56,7 @@ def _points(spark, sf):
 
 
 def _states(spark, sf):
-    return al.hold_for(_points(spark, sf), _SERIES)
+    return al.hold_for(rule_points(spark, sf), _SERIES)
 
 
 def _episodes(spark, sf):
@@ -67,7 +67,7 @@ def _episodes(spark, sf):
 
 @query("rule_breaches", "SELECT rule, series, t, value, breach FROM breaches")
 def rule_breaches(spark, sf):
-    return _points(spark, sf).select(*_SERIES, "t", "value", "breach")
+    return rule_points(spark, sf).select(*_SERIES, "t", "value", "breach")
 
 
 def _configured():

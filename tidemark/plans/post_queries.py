@@ -36,7 +36,7 @@ def _scorer(spark):
     return LexiconScorer(fx.lexicon(spark))
 
 
-def _written(spark, sf):
+def written(spark, sf):
     """The table a run writes: unique posts, scored."""
     unique = dedup.dedup_against(dedup.dedup_first_wins(fx.posts_hashed(spark, sf)),
                                  fx.seen_store(spark, sf))
@@ -105,7 +105,7 @@ def bad_record_quarantine(spark, sf):
 @query("csv_roundtrip", f"SELECT {', '.join(SCORED_COLUMNS)} FROM written")
 def csv_roundtrip(spark, sf):
     path = scratch_path(spark, "csv")
-    src.write_csv(_written(spark, sf), path)
+    src.write_csv(written(spark, sf), path)
     return src.read_csv(spark, path)
 
 
@@ -317,7 +317,7 @@ def neutral_fallback(spark, sf):
 
 @query("batch_scored_posts", f"SELECT {', '.join(SCORED_COLUMNS)} FROM written")
 def batch_scored_posts(spark, sf):
-    return _written(spark, sf)
+    return written(spark, sf)
 
 
 @query("run_metrics", """
@@ -351,7 +351,7 @@ def run_metrics(spark, sf):
 @query("label_distribution", "SELECT sentiment_label, count(*) AS posts FROM written GROUP BY 1 "
                              "ORDER BY 2 DESC, 1")
 def label_distribution(spark, sf):
-    return agg.label_distribution(_written(spark, sf))
+    return agg.label_distribution(written(spark, sf))
 
 
 @query("label_ratios", """

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from tidemark.functions.times import epoch_of_ntz
 from tidemark.operators.scoring import LexiconScorer
 from tidemark.plans import fixtures as fx
+from tidemark.plans.alert_queries import rule_points
 from tidemark.plans.registry import query
 from tidemark.schemas import SCORED_COLUMNS
-from tidemark.session import scratch_path
+from tidemark.session import DEFAULTS, scratch_path
 from tidemark.sources.store import SeenStore
 from tidemark.streaming import jobs
+from tidemark.streaming.alerts import alert_stream
 
 
 def _stream(spark, sf, name):
@@ -54,6 +56,33 @@ def stream_window_counts(spark, sf):
     return spark.read.schema(rows.schema).parquet(f"{base}/out")
 
 
+@query("stream_alert_states", """
+SELECT rule AS alert, t, state, since FROM states
+WHERE rule IN ('ErrorsBusy', 'ViewsBusy', 'ClicksFew')""")
+def stream_alert_states(spark, sf):
+    """Evaluated points as a stream in three files; all three rules must hold for two hours."""
+    base = scratch_path(spark, "alerts")
+    points = rule_points(spark, sf).filter(F.col("for_s") == 7200).select(
+        F.col("rule").alias("alert"), "t", "breach")
+    third = (fx.END - fx.START) // 3
+    for i in range(3):
+        low = F.lit(fx.START + i * third)
+        part = points.filter(F.col("t") >= low)
+        part = part.filter(F.col("t") < low + third) if i < 2 else part
+        part.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, DEFAULTS[provider])
+    try:
+        stream = jobs.read_files(spark, f"{base}/in", points.schema, files_per_batch=1)
+        states = alert_stream(stream, 7200, 3600, 7200).drop("notify").select(
+            "alert", "t", "state", "since")
+        jobs.run_available(states, f"{base}/out", f"{base}/checkpoint")
+    finally:
+        spark.conf.set(provider, before)
+    return spark.read.schema(states.schema).parquet(f"{base}/out")
+
+
 _SCORED = [c for c in SCORED_COLUMNS if c != "run_id"]
 
 
