@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import tokens
+from tidemark.llm import substrings, tokens
 from tidemark.llm.common import table
 from tidemark.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from tidemark.session import scratch_path
@@ -20,3 +20,9 @@ def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     tokens.write_tokens(table(spark, sf_dir, "documents"), path, TOKENIZER, END_ID)
     return tokens.read_digests(spark, path)
+
+
+@query("op5_substrings")
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words covered by 20-word windows that start earlier are removed; a digest of what is left."""
+    return substrings.digests(substrings.remove_repeats(table(spark, sf_dir, "documents"), 20))
