@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import substrings, tokens
+from tidemark.llm import contamination, substrings, tokens
 from tidemark.llm.common import table
 from tidemark.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from tidemark.session import scratch_path
@@ -26,3 +26,10 @@ def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words covered by 20-word windows that start earlier are removed; a digest of what is left."""
     return substrings.digests(substrings.remove_repeats(table(spark, sf_dir, "documents"), 20))
+
+
+@query("op8_contamination")
+def op8_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten-word windows of every benchmark item, searched in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return contamination.digests(contamination.find_passages(docs, table(spark, sf_dir, "benchmark"), 10))
