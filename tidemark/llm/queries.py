@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import contamination, substrings, tokens
+from tidemark.llm import contamination, repetition, substrings, tokens
 from tidemark.llm.common import table
 from tidemark.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from tidemark.session import scratch_path
@@ -33,3 +33,10 @@ def op8_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten-word windows of every benchmark item, searched in every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return contamination.digests(contamination.find_passages(docs, table(spark, sf_dir, "benchmark"), 10))
+
+
+@query("op6_repetition")
+def op6_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base figures of every document and the verdict on its repeats."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repetition.measure(docs).select("row.doc_id", *repetition.FIGURES, "base_failed", "kept")
