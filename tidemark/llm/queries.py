@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, contamination, languages, repetition, substrings, tokens
+from tidemark.llm import chat, contamination, context_tree, languages, repetition, substrings, tokens
 from tidemark.llm.common import table
 from tidemark.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from tidemark.session import scratch_path
@@ -63,3 +63,10 @@ def op10_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = languages.identify(docs.select("doc_id", "text"), model)
     return found.select("row.doc_id", F.lit(True).alias("held_out"), "lang_pred", "score", "shares") \
         .withColumn("held_out", held_out)
+
+
+@query("op7_context_tree")
+def op7_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learn from six sevenths of the documents, score all of them."""
+    return context_tree.score(table(spark, sf_dir, "documents"),
+                              "crc32(cast(cast(doc_id as string) as binary)) % 7 <> 2")

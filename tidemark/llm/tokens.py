@@ -26,6 +26,7 @@ import hashlib
 import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +34,13 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import CACHE_WORDS, as_bytes, chunks
+from tidemark.llm.common import as_bytes, chunks
 
 #: Documents that the dictionary is trained on, and the bytes of ids each gives at most.
 SAMPLE_DOCS, SAMPLE_BYTES = 1_000, 1 << 15
 DICTIONARY_BYTES = 64 << 10
+#: Words a worker remembers the ids of; results do not depend on it.
+KNOWN_WORDS = 1_000_000
 #: Text bytes per shard and frame bytes per block (a longer document is its own block).
 SHARD_BYTES, BLOCK_BYTES = 32 << 20, 1 << 20
 
@@ -45,12 +48,18 @@ BLOCKS = ("shard int, block int, dict_hash string, doc_ids array<bigint>, n_toke
           "starts array<bigint>, ends array<bigint>, frames binary")
 
 
+#: Punctuation that is a token of its own at the end of a word, whatever stands before it.
+_TAIL = b".,;:!?*#$%&()[]"
+
+
 class Encoder:
     """Texts to id arrays, one tokenizer call per new word.
 
     The tokenizer drops white space and no token spans it, so the ids of a text
-    are those of its ASCII-space-separated words in a row. ``width`` is 2 where
-    the vocabulary fits 16 bits, else 4.
+    are those of its ASCII-space-separated words in a row. It lower-cases, so
+    words are lower-cased first, unless an accent might then join its letter or
+    a control string might arise; and punctuation behind an ASCII letter or
+    digit is encoded apart. ``width`` is 2 where the vocabulary fits 16 bits, else 4.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -63,21 +72,36 @@ class Encoder:
         self.end = np.array([end_id], self.kind).tobytes()
         self.known: dict[bytes, bytes] = {}
 
+    @staticmethod
+    def _split(text: bytes) -> list[bytes]:
+        special = b"<|" in text or b"\xcc" in text or b"\xcd" in text
+        return (text if special else text.lower()).split()
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [text.split() for text in texts]
-        if len(self.known) > CACHE_WORDS:
+        split = [self._split(text) for text in texts]
+        if len(self.known) > KNOWN_WORDS:
             self.known.clear()
-        new = list(set().union(*split).difference(self.known))
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        self.known.update(zip(new, (np.array(x.ids, self.kind).tobytes() for x in found)))
-        get = self.known.__getitem__
+        known = self.known
+        new = [(w, w.rstrip(_TAIL)) for w in set().union(*split).difference(known)]
+        new = [(w, c) if c != w and c[-1:].isalnum() else (w, w) for w, c in new]
+        parts = list({p for w, c in new for p in (c, w[len(c):])}.difference(known, [b""]))
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in parts], add_special_tokens=False)
+        known.update(zip(parts, (np.array(x.ids, self.kind).tobytes() for x in found)))
+        known.update([(w, known[c] + known[w[len(c):]]) for w, c in new if c is not w])
+        get = known.__getitem__
         return [b"".join(map(get, words)) + self.end for words in split]
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str, end_id: int) -> Encoder:
+    """A Python worker keeps its encoder, and the words it knows, from task to task."""
+    return Encoder(path, end_id)
+
+
 def _sample(docs: DataFrame, path: str, end_id: int) -> list[bytes]:
     """Id arrays of the ``SAMPLE_DOCS`` documents whose hashed ids are smallest."""
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, end_id)
+        encoder = _encoder(path, end_id)
         for batch in batches:
             texts = as_bytes(batch["text"])
             for low, high in chunks(texts):
@@ -126,7 +150,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, level:
         .write.parquet(f"{path}/dictionary")
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer, end_id)
+        encoder = _encoder(tokenizer, end_id)
         packer = zstandard.ZstdCompressor(level=level, dict_data=_dictionary(raw))
         for batch in batches:
             texts, ids = as_bytes(batch["text"]), batch["doc_id"]
