@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, contamination, context_tree, languages, repetition, substrings, tokens
+from tidemark.llm import chat, contamination, context_tree, languages, near_duplicates, repetition, substrings, tokens
 from tidemark.llm.common import table
 from tidemark.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from tidemark.session import scratch_path
@@ -70,3 +70,9 @@ def op7_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learn from six sevenths of the documents, score all of them."""
     return context_tree.score(table(spark, sf_dir, "documents"),
                               "crc32(cast(cast(doc_id as string) as binary)) % 7 <> 2")
+
+
+@query("op2_near_duplicates")
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the smallest id of its class."""
+    return near_duplicates.classes(table(spark, sf_dir, "documents"))
