@@ -7,9 +7,10 @@ they stand; there are ``SKETCHES`` of them, each under a hash of its own. Two
 texts that share a sketch share k-mers in the same order, which is what edit
 similarity asks for and a set similarity does not.
 
-Texts with one sketch in common form a bucket. In it, sorted by length, every
-text is compared with the one before it and with the bucket's first, so that a
-bucket of any size gives two candidates per member. Buckets are cut across tasks. A
+Texts with one sketch in common form a bucket. In it every text is compared with
+the one before it by length, and with the bucket's head, the text that shares
+most buckets; so a bucket of any size gives two candidates per member, and large
+ones are cut across tasks. A
 pair is a link where an alignment of their k-mers matches at least ``SIMILARITY``
 of all: matched / (n + m - matched). No alignment that good leaves a diagonal
 band whose width follows from the two lengths, so the alignment keeps to it and
@@ -155,16 +156,16 @@ def _sketched(texts: DataFrame, k: int, count: int) -> DataFrame:
     return texts.mapInArrow(sketch, "band int, sketch bigint, id bigint, n bigint")
 
 
-def _candidates(sketched: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b: each text of a bucket with the one before it by length, and with the first.
+def _neighbours(shared: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each text of a bucket with the one before it by length.
 
     The rows are dealt by ranges of (band, sketch, n, id), which cuts a large
     bucket into many tasks. A task pairs what it holds and names the first and
-    last text of a bucket that may go on in another task; those few are paired
-    in a second step.
+    last text of the buckets at its ends, which may go on in other tasks; those
+    few are paired in a second step.
     """
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def row(key, a, b, edge) -> dict:
+        def row(a, b, edge) -> dict:
             return dict(zip(names, (*key, *a, *b, edge)))
 
         names = ("band", "sketch", "an", "a", "bn", "b", "edge")
@@ -176,28 +177,42 @@ def _candidates(sketched: DataFrame) -> DataFrame:
             for band, sketch, n, i in zip(*(c.to_pylist() for c in batch.columns)):
                 if (band, sketch) != key:
                     if opening and key is not None:
-                        out.append(row(key, head, last, True))
+                        out.append(row(head, last, True))
                         opening = False
                     key, head = (band, sketch), (n, i)
                 else:
-                    out.append(row(key, last, (n, i), False))
-                    if last != head:
-                        out.append(row(key, head, (n, i), False))
+                    out.append(row(last, (n, i), False))
                 last = (n, i)
             yield pa.RecordBatch.from_pylist(out, schema=schema)
         if key is not None:
-            yield pa.RecordBatch.from_pylist([row(key, head, last, True)], schema=schema)
+            yield pa.RecordBatch.from_pylist([row(head, last, True)], schema=schema)
 
-    dealt = (sketched.select("band", "sketch", "n", "id").repartitionByRange("band", "sketch", "n", "id")
-                     .sortWithinPartitions("band", "sketch", "n", "id"))
+    dealt = (shared.select("band", "sketch", "n", "id").repartitionByRange("band", "sketch", "n", "id")
+                   .sortWithinPartitions("band", "sketch", "n", "id"))
     paired = written(dealt.mapInArrow(
         pair, "band int, sketch bigint, an bigint, a bigint, bn bigint, b bigint, edge boolean"), "pairs")
     bucket = Window.partitionBy("band", "sketch").orderBy("bn", "b")
-    met = (paired.filter("edge").withColumns({"before": F.lag("b").over(bucket), "first": F.first("a").over(bucket)})
-                 .filter("before is not null"))
-    across = met.select("a", F.col("before").alias("b")).union(met.select("b", "first"))
-    pairs = paired.filter(~F.col("edge")).select("a", "b").union(across)
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
+    met = paired.filter("edge").withColumn("before", F.lag("b").over(bucket)).filter("before is not null")
+    return paired.filter(~F.col("edge")).select("a", "b").union(met.select("a", F.col("before").alias("b")))
+
+
+def _candidates(sketched: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b: each text of a bucket with the one before it by length, and with the bucket's head.
+
+    The head is the text that shares most buckets, weighed by their sizes: among
+    copies of one text that were edited apart, that is the text they come from.
+    Tables of buckets are written before they are joined, so that both sides of
+    the join are plain shuffles, which Spark splits at a large bucket.
+    """
+    bucket = ["band", "sketch"]
+    sizes = written(sketched.groupBy(*bucket).agg(F.count("*").alias("size")).filter("size > 1"), "buckets")
+    shared = written(sketched.join(sizes, bucket), "shared")
+    weight = shared.groupBy("id").agg(F.sum("size").alias("weight"))
+    weighed = written(shared.select(*bucket, "id").join(weight, "id"), "weighed")
+    heads = written(weighed.groupBy(*bucket).agg(F.max(F.struct("weight", (-F.col("id")).alias("i"))).alias("head")), "heads")
+    headed = weighed.join(heads, bucket).select(F.col("id").alias("a"), (-F.col("head.i")).alias("b"))
+    return (_neighbours(shared).union(headed)
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct())
 
 
 def _links(pairs: DataFrame, texts: DataFrame, k: int, threshold: float) -> DataFrame:
