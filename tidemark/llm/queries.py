@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, contamination, context_tree, languages, near_duplicates, repetition, substrings, tokens
+from tidemark.llm import chat, contamination, context_tree, languages, mixing, near_duplicates, repetition, substrings, tokens
 from tidemark.llm.common import table
 from tidemark.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from tidemark.session import scratch_path
@@ -76,3 +76,9 @@ def op7_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the smallest id of its class."""
     return near_duplicates.classes(table(spark, sf_dir, "documents"))
+
+
+@query("op3_mixing")
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight, probability and draw, at half of all tokens."""
+    return mixing.sample_weights(table(spark, sf_dir, "documents"))

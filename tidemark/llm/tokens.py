@@ -48,18 +48,18 @@ BLOCKS = ("shard int, block int, dict_hash string, doc_ids array<bigint>, n_toke
           "starts array<bigint>, ends array<bigint>, frames binary")
 
 
-#: Punctuation that is a token of its own at the end of a word, whatever stands before it.
-_TAIL = b".,;:!?*#$%&()[]"
+#: New words are encoded so many to a text, with a special token of the vocabulary between them.
+_RUN, _BETWEEN = 256, "<|startoftext|>"
 
 
 class Encoder:
-    """Texts to id arrays, one tokenizer call per new word.
+    """Texts to id arrays, in which every new word is encoded once.
 
     The tokenizer drops white space and no token spans it, so the ids of a text
     are those of its ASCII-space-separated words in a row. It lower-cases, so
     words are lower-cased first, unless an accent might then join its letter or
-    a control string might arise; and punctuation behind an ASCII letter or
-    digit is encoded apart. ``width`` is 2 where the vocabulary fits 16 bits, else 4.
+    a control string might arise. ``width`` is 2 where the vocabulary fits 16
+    bits, else 4.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -70,6 +70,7 @@ class Encoder:
         self.width = 2 if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
         self.end = np.array([end_id], self.kind).tobytes()
+        self.between = self.tokenizer.token_to_id(_BETWEEN)
         self.known: dict[bytes, bytes] = {}
 
     @staticmethod
@@ -77,18 +78,26 @@ class Encoder:
         special = b"<|" in text or b"\xcc" in text or b"\xcd" in text
         return (text if special else text.lower()).split()
 
+    def _learn(self, words: list[bytes]) -> None:
+        apart = [w for w in words if self.between is None or b"<|" in w]
+        rest = words if not apart else [w for w in words if b"<|" not in w] if self.between is not None else []
+        for w, x in zip(apart, self.tokenizer.encode_batch_fast([w.decode() for w in apart], add_special_tokens=False)):
+            self.known[w] = np.array(x.ids, self.kind).tobytes()
+        runs = [rest[i:i + _RUN] for i in range(0, len(rest), _RUN)]
+        joined = [_BETWEEN.join([w.decode() for w in run]) for run in runs]
+        for run, x in zip(runs, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+            ids = np.array(x.ids, self.kind)
+            ends = np.flatnonzero(ids == self.between) * self.width
+            raw = ids.tobytes()
+            begins = [0, *(ends + self.width).tolist()]
+            self.known.update(zip(run, map(raw.__getitem__, map(slice, begins, [*ends.tolist(), len(raw)]))))
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [self._split(text) for text in texts]
         if len(self.known) > KNOWN_WORDS:
             self.known.clear()
-        known = self.known
-        new = [(w, w.rstrip(_TAIL)) for w in set().union(*split).difference(known)]
-        new = [(w, c) if c != w and c[-1:].isalnum() else (w, w) for w, c in new]
-        parts = list({p for w, c in new for p in (c, w[len(c):])}.difference(known, [b""]))
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in parts], add_special_tokens=False)
-        known.update(zip(parts, (np.array(x.ids, self.kind).tobytes() for x in found)))
-        known.update([(w, known[c] + known[w[len(c):]]) for w, c in new if c is not w])
-        get = known.__getitem__
+        self._learn(list(set().union(*split).difference(self.known)))
+        get = self.known.__getitem__
         return [b"".join(map(get, words)) + self.end for words in split]
 
 
