@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, contamination, context_tree, languages, mixing, near_duplicates, repetition, substrings, tokens
+from tidemark.llm import chat, contamination, context_tree, languages, mixing, near_duplicates, pages, repetition, substrings, tokens
 from tidemark.llm.common import table
 from tidemark.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from tidemark.session import scratch_path
@@ -82,3 +82,10 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's weight, probability and draw, at half of all tokens."""
     return mixing.sample_weights(table(spark, sf_dir, "documents"))
+
+
+@query("op1_pages")
+def op1_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found = pages.extract(table(spark, sf_dir, "pages"))
+    return found.select("row.page_id", "row.url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
