@@ -256,3 +256,17 @@ def classes(docs: DataFrame, k: int = WORDS, threshold: float = SIMILARITY, coun
     return (docs.select("doc_id", wordless.alias("wordless")).join(of_doc, "doc_id", "left")
                 .select("doc_id", F.when(F.col("wordless"), F.col("doc_id"))
                         .otherwise(F.coalesce("class_id", "doc_id")).alias("class_id")))
+
+
+def keep_first(docs: DataFrame, k: int = WORDS, threshold: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` that stand for their class, with their own columns.
+
+    Rows that repeat an id and text count once; rows with a null id all stay.
+    """
+    chosen = classes(docs, k, threshold).filter("doc_id = class_id").select(F.col("doc_id").alias("id")).distinct()
+    carried = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("id"), F.sha2("text", 256).alias("same"))
+    alone = carried.filter("id IS NULL").select("row")
+    kept = carried.join(chosen, "id", "left_semi")
+    # Of rows with one id the first by text stands for the document.
+    kept = kept.groupBy("id").agg(F.min_by("row", F.coalesce("same", F.lit("~"))).alias("row")).select("row")
+    return kept.unionByName(alone).select("row.*")
