@@ -86,6 +86,7 @@ class FMIndex:
     """
 
     def __init__(self, s: np.ndarray, top: int, step: int = 8):
+        s = np.append(s, 0)
         n = len(s)
         apart = np.where(s > 0, s, top + 1 + np.arange(n))
         self.sa_len = n
