@@ -207,3 +207,18 @@ def test_manifest_diff_and_verify(spark):
     seen = mf.manifest_verify(old, new)
     assert {r.path: r.passed for r in seen.collect()} == {"a": True, "b": True, "c": False}
     assert mf.verification_summary(seen).first().status == "failed"
+
+
+def test_rules_read_only_the_series_they_select(spark):
+    from tidemark.operators import rules as r
+    from tidemark.session import values_frame
+
+    chosen = r.for_service([x for x in [*r.METRIC_RULES, *r.DASHBOARD_RULES] if x[1] == "up"], "svc")
+    chosen += [("Any", "up", "value", 0, "==", 0.0, 0, "info", None, None, None),
+               ("Like", "up", "value", 0, "==", 0.0, 0, "info", "job", None, "sv.")]
+    series = spark.sql("""SELECT 'up' AS metric, 'value' AS func, 0L AS window_s, 5L AS t, 0D AS value, labels
+        FROM VALUES (map('job', 'svc')), (map('job', 'svcx')), (map()) AS v(labels)""")
+    out = al.evaluate_rules(series, values_frame(spark, r.RULE_SCHEMA, chosen)).collect()
+    got = sorted((x.rule, x.labels.get("job", "")) for x in out if x.breach)
+    assert got == [("Any", ""), ("Any", "svc"), ("Any", "svcx"), ("Like", "svc"), ("PipelineDown", "svc"),
+                   ("Service Down Alert", "svc")]

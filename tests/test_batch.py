@@ -113,3 +113,12 @@ def test_statuses_of_runs(spark):
     for reason, want in ((None, 1.0), ("no_posts_fetched", 0.0)):
         got = run_samples(spark, RunResult("1", reason)).filter("metric = 'pipeline_status'")
         assert got.first().value == want
+
+
+def test_store_keeps_the_version_that_arrived_first(spark, scratch):
+    """An edited post whose newer version has the earlier rank."""
+    rows = [("7", "old", "text", 1, 100, "B", "u", 1), ("7", "new", "text", 9, 100, "B", "u", 1)]
+    config = _config(spark, scratch, rows, run_id="r1", communities=["B"], limit=5)
+    run(spark, config)
+    stored = SeenStore(spark, f"{scratch}/store").read().collect()
+    assert [(r.post_id, r.title) for r in stored] == [("7", "new")]

@@ -45,6 +45,24 @@ def test_lexicon(spark, words, inline):
     assert got[5][0] == "positive"  # the first class wins a tie
 
 
+@pytest.mark.parametrize("inline", [100, 0])
+def test_lexicon_counts_a_token_once(spark, inline):
+    """Listed twice, with opposite polarities, or without one."""
+    words = values_frame(spark, "token string, polarity int", [
+        ("good", 1), ("good", 2), ("bad", -3), ("odd", 1), ("odd", -1), ("void", None)])
+    df = _texts(spark, "good bad odd void", "odd void", "x " * 3000 + "good")
+    got = _scores(score(df, "t", LexiconScorer(words, inline_rows=inline)))
+    assert got == [("positive", 0.333333, 0.333333, 0.333333, 0.333333), ("neutral", 1.0, 0.0, 0.0, 1.0),
+                   ("positive", 0.5, 0.5, 0.0, 0.5)]
+
+
+def test_trained_scorer_without_a_class(spark):
+    labelled = spark.createDataFrame([("good fine", "positive"), ("bad sad", "negative")] * 4, "text string, label string")
+    scorer = fit_trained_scorer(labelled, features=64)
+    got = _scores(score(_texts(spark, "good fine", ""), "t", scorer))
+    assert got[0][0] == "positive" and got[0][4] == 0.0 and got[1] == NEUTRAL_ROW
+
+
 def test_no_scorer_is_neutral(spark):
     assert set(_scores(score(_texts(spark, "a", "", None), "t", None))) == {NEUTRAL_ROW}
 
@@ -62,10 +80,10 @@ def _length_model():
     return model
 
 
-def test_model_sees_cut_and_nonblank_texts_only(spark):
+def test_model_sees_whole_and_nonblank_texts_only(spark):
     df = _texts(spark, "", "x" * 5000, None, "  ")
     got = _scores(score(df, "t", BatchModelScorer(_length_model)))
-    assert got[1] == ("neutral", 0.4, 0.1, 0.2, 0.4)
+    assert got[1] == ("neutral", 5.0, 0.1, 0.2, 5.0)
     assert got[0] == got[2] == got[3] == NEUTRAL_ROW
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import alerting as al
 from tidemark.operators.scoring import LexiconScorer
 from tidemark.plans import fixtures as fx
+from tidemark.schemas import POST
 from tidemark.sources.store import SeenStore
 from tidemark.streaming import jobs
 from tidemark.streaming.alerts import alert_stream
@@ -78,6 +79,20 @@ def test_scored_batches_are_idempotent(spark, scratch):
     assert before == (distinct, distinct)
 
 
+def test_a_stream_of_plain_posts(spark, scratch):
+    store = SeenStore(spark, f"{scratch}/store")
+    write = jobs.score_and_store(store, f"{scratch}/out", None)
+    texts = ["a", "b", "a", "c", "b", "d"]
+    for i, t in enumerate(texts):
+        spark.createDataFrame([(str(i), t, "", 1, 100 + i, "B", "u", 0)], POST).coalesce(1) \
+            .write.mode("append").parquet(f"{scratch}/in")
+    stream = jobs.read_files(spark, f"{scratch}/in", POST, files_per_batch=1)
+    jobs.each_available(stream, write, f"{scratch}/ck")
+    out = spark.read.parquet(f"{scratch}/out")
+    assert sorted(r.title for r in out.collect()) == ["a", "b", "c", "d"]
+    assert out.select("run_id").distinct().count() == 4 and store.read().count() == 4
+
+
 def test_alert_machine_equals_batch(spark, scratch):
     rnd = random.Random(5)
     points = [(k, t, rnd.random() < 0.85) for k in ("a", "b") for t in range(0, 6000, 60)]

@@ -42,7 +42,7 @@ def test_preprocess_strips_like_python_and_cuts(spark):
     texts = [None, "", "  hi  ", blanks + "x" + blanks, "a" * 500, " " + "b " * 300,
              "🚀" * 401, "\x1c\x1fx\x85"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
-    got = [r.p for r in df.select("i", preprocess_text(F.col("t")).alias("p")).sort("i").collect()]
+    got = [r.p for r in df.select("i", preprocess_text(F.col("t"), 400).alias("p")).sort("i").collect()]
     assert got == [(t or "").strip()[:400] for t in texts]
 
 

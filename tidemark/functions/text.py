@@ -13,7 +13,7 @@ STRIP_CODE_POINTS = [
 ]
 STRIP_CHARS = "".join(chr(c) for c in STRIP_CODE_POINTS)
 
-#: Characters kept for the scorer (fixed value).
+#: Characters kept for a model with a token limit (fixed value); other scorers read whole texts.
 MAX_CHARS = 400
 
 
@@ -43,9 +43,10 @@ def compose_text(title: Column, content: Column) -> Column:
     return F.when(body != "", strip(F.concat(head, F.lit(". "), body))).otherwise(head)
 
 
-def preprocess_text(col: Column, max_chars: int = MAX_CHARS) -> Column:
-    """Null to '', stripped, cut to ``max_chars`` code points (not stripped again)."""
-    return F.substring(strip(text_or_empty(col)), 1, max_chars)
+def preprocess_text(col: Column, max_chars: int | None = None) -> Column:
+    """Null to '', stripped, and with ``max_chars`` cut to so many code points (not stripped again)."""
+    whole = strip(text_or_empty(col))
+    return whole if max_chars is None else F.substring(whole, 1, max_chars)
 
 
 def is_blank_text(col: Column) -> Column:

@@ -33,9 +33,16 @@ def evaluate_rules(series: DataFrame, rules: DataFrame) -> DataFrame:
     """Each rule on each point of its metric: adds the rule columns and ``breach``.
 
     ``series`` holds one row per metric, function, window, labels and time; a
-    rule meets the rows of its own metric, function and window only.
+    rule meets the rows of its own metric, function and window only. Where the
+    series have a ``labels`` map and the rules a selector, a rule reads the
+    series that it selects; a label that is not there reads as ''.
     """
     joined = series.join(rules, ["metric", "func", "window_s"])
+    if "labels" in series.columns and "label" in rules.columns:
+        own = F.coalesce(F.try_element_at("labels", F.col("label")), F.lit(""))
+        joined = joined.filter(
+            F.col("label").isNull() | (own == F.col("label_is"))
+            | F.rlike(own, F.concat(F.lit("^(?:"), F.col("label_like"), F.lit(")$"))))
     return joined.withColumn("breach", compare(F.col("value"), F.col("comparator"),
                                                F.col("threshold")))
 

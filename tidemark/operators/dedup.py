@@ -22,9 +22,19 @@ def dedup_first_wins(df: DataFrame, key: str = "content_hash",
     return first_per_key(df, [key], [F.col(order)])
 
 
+def _split(df: DataFrame, key: str) -> DataFrame:
+    """``df`` with a second join key that no earlier shuffle has.
+
+    A join on both keys then shuffles both sides itself, and a plain shuffle is
+    what adaptive execution can split at a hot key; a side that an aggregation
+    has left partitioned by the key alone would rule that out.
+    """
+    return df.withColumn("__split", F.xxhash64(key))
+
+
 def dedup_against(df: DataFrame, store: DataFrame, key: str = "content_hash") -> DataFrame:
     """Rows whose key the store does not hold."""
-    return df.join(store.select(key), key, "left_anti")
+    return _split(df, key).join(_split(store.select(key), key), [key, "__split"], "left_anti").drop("__split")
 
 
 def duplicate_flag(df: DataFrame, store: DataFrame, key: str = "content_hash",
@@ -38,10 +48,10 @@ def duplicate_flag(df: DataFrame, store: DataFrame, key: str = "content_hash",
     known = store.select(key).distinct().withColumn("__known", F.lit(True))
     verdict = firsts.join(known, key, "left")
     return (
-        df.join(verdict, key, "left")
+        _split(df, key).join(_split(verdict, key), [key, "__split"], "left")
         .withColumn("is_duplicate",
                     F.coalesce(F.col("__known"), F.lit(False)) | (F.col(order) > F.col("__first")))
-        .drop("__first", "__known")
+        .drop("__first", "__known", "__split")
     )
 
 
@@ -70,8 +80,8 @@ def insert_if_absent(batch: DataFrame, store: DataFrame, order: str = "arrival_s
 
 
 def dedup_strict(df: DataFrame, store: DataFrame | None = None, *, id_col: str = "post_id",
-                 key: str = "content_hash", order: str = "arrival_seq",
-                 max_rounds: int = 200) -> tuple[DataFrame, DataFrame]:
+                 key: str = "content_hash",
+                 order: str = "arrival_seq") -> tuple[DataFrame, DataFrame]:
     """Sequential two-key semantics: ``(emitted, stored)``.
 
     A row is emitted while its hash is not stored, and stored only if its id is
@@ -80,7 +90,8 @@ def dedup_strict(df: DataFrame, store: DataFrame | None = None, *, id_col: str =
     earliest left of both its id and its hash, and drops the pairs that touch a
     stored id or hash. Copies of one pair are collapsed first, and every round
     works on pairs and per-key minima only, so a hot id or hash is combined
-    before it is shuffled. Runs one small action per round.
+    before it is shuffled. Runs one small action per round; every round settles
+    at least the earliest pair left, and a chain of pairs takes a round per two.
     """
     base = df.withColumn(id_col, text_or_empty(F.col(id_col)))
     pairs = base.groupBy(id_col, key).agg(F.min(order).alias("seq"))
@@ -89,17 +100,13 @@ def dedup_strict(df: DataFrame, store: DataFrame | None = None, *, id_col: str =
                      .join(store.select(id_col), id_col, "left_anti")
     live = cut_lineage(pairs)
     found: list[DataFrame] = []
-    for _ in range(max_rounds):
-        if live.isEmpty():
-            break
+    while not live.isEmpty():
         by_id = live.groupBy(id_col).agg(F.min("seq").alias("seq"))
         by_key = live.groupBy(key).agg(F.min("seq").alias("seq"))
         hit = cut_lineage(by_id.join(by_key, "seq").select(id_col, key, "seq"))
         found.append(hit)
         live = cut_lineage(live.join(hit.select(id_col), id_col, "left_anti")
                            .join(hit.select(key), key, "left_anti"))
-    else:
-        raise RuntimeError(f"not settled after {max_rounds} rounds")
     stored = reduce(DataFrame.unionByName, found) if found else pairs.limit(0)
     open_rows = base if store is None else base.join(store.select(key), key, "left_anti")
     emitted = (

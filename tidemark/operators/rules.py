@@ -9,23 +9,36 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.times import seconds
 
+#: A rule reads the series whose ``label`` is ``label_is``, or matches ``label_like`` as a whole;
+#: without a label it reads all series of its metric.
 RULE_SCHEMA = ("rule STRING, metric STRING, func STRING, window_s BIGINT, comparator STRING, "
-               "threshold DOUBLE, for_s BIGINT, severity STRING")
+               "threshold DOUBLE, for_s BIGINT, severity STRING, "
+               "label STRING, label_is STRING, label_like STRING")
 
+#: Stands for the deployment's service in a selector; see :func:`for_service`.
+SERVICE = "{service}"
 
-def _rule(rule, metric, func, window, comparator, threshold, hold, severity):
+
+def _rule(rule, metric, func, window, comparator, threshold, hold, severity, label=None):
     return (rule, metric, func, seconds(window) if window else 0, comparator, float(threshold),
-            seconds(hold), severity)
+            seconds(hold), severity, label, SERVICE if label else None, None)
+
+
+def for_service(rules: list[tuple], service: str) -> list[tuple]:
+    """Rules whose selectors name ``service``. A deployment also puts its own prefix to rule names."""
+    return [tuple(service if v == SERVICE else v for v in r) for r in rules]
 
 
 #: Metric rules of the alerting configuration.
 METRIC_RULES = [
-    _rule("PipelineDown", "up", "value", None, "==", 0, "5m", "critical"),
+    _rule("PipelineDown", "up", "value", None, "==", 0, "5m", "critical", "job"),
     _rule("PipelineRestartLoop", "prometheus_engine_config_last_reload_success_timestamp_seconds",
-          "increase", "15m", ">", 3, "5m", "warning"),
-    _rule("HighCPUUsage", "cpu_usage_percent", "value", None, ">", 80, "10m", "warning"),
-    _rule("HighMemoryUsage", "memory_usage_percent", "value", None, ">", 85, "5m", "warning"),
-    _rule("DiskSpaceRunningLow", "disk_usage_percent", "value", None, ">", 90, "5m", "critical"),
+          "increase", "15m", ">", 3, "5m", "warning", "job"),
+    _rule("HighCPUUsage", "cpu_usage_percent", "value", None, ">", 80, "10m", "warning", "service"),
+    _rule("HighMemoryUsage", "memory_usage_percent", "value", None, ">", 85, "5m", "warning",
+          "service"),
+    _rule("DiskSpaceRunningLow", "disk_usage_percent", "value", None, ">", 90, "5m", "critical",
+          "service"),
     _rule("RedditAPIErrors", "reddit_api_errors_total", "increase", "15m", ">", 10, "5m",
           "warning"),
     _rule("SentimentAnalysisFailures", "sentiment_analysis_errors_total", "increase", "15m", ">", 5,
@@ -57,9 +70,28 @@ APPLICATION_RULES = [
           "warning"),
 ]
 
+#: Rules of the dashboard.
+DASHBOARD_RULES = [
+    _rule("Service Down Alert", "up", "value", None, "==", 0, "5m", "critical", "job"),
+    _rule("High Error Rate Alert", "reddit_api_errors_total", "rate", "15m", ">", 0.1, "5m",
+          "warning"),
+    _rule("Resource Usage Alert", "cpu_usage_percent", "value", None, ">", 80, "10m", "warning",
+          "service"),
+    _rule("Memory Usage Alert", "memory_usage_percent", "value", None, ">", 85, "5m", "critical",
+          "service"),
+    _rule("No Data Processed Alert", "posts_processed_total", "increase", "4h", "==", 0, "10m",
+          "warning"),
+    _rule("Database Connection Alert", "database_connection_errors_total", "value", None, ">", 0,
+          "1m", "critical"),
+    _rule("Backup Failure Alert", "backup_last_success_timestamp", "age", None, ">", 86400, "5m",
+          "warning"),
+    _rule("Sentiment Analysis Failures", "sentiment_analysis_errors_total", "increase", "15m", ">",
+          5, "5m", "warning"),
+]
+
 #: Job rules of the cluster deployment.
 JOB_RULES = [
-    _rule("JobFailed", "kube_job_status_failed", "value", None, ">", 0, "0m", "critical"),
+    _rule("JobFailed", "kube_job_status_failed", "value", None, ">", 0, "0m", "warning"),
     _rule("JobTooLong", "kube_job_status_start_time", "age", None, ">", 3600, "5m", "warning"),
     _rule("JobMissing", "kube_cronjob_next_schedule_time", "age", None, ">", 3900, "10m",
           "warning"),

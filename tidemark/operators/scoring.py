@@ -61,13 +61,18 @@ class Scorer(Protocol):
 class LexiconScorer:
     """Word counting against a (token, polarity) table.
 
-    A table of at most ``inline_rows`` rows becomes literals in the expression,
-    so scoring needs no shuffle at all. The size is checked by reading one row
-    more than the bound; a larger table is joined instead.
+    A token counts by the sign of its polarities' sum, so a token that is listed
+    twice counts once, and one whose polarities cancel, or are null, not at all.
+    A table of at most ``inline_rows`` such tokens becomes literals in the
+    expression, so scoring needs no shuffle at all. The size is checked by
+    reading one row more than the bound; a larger table is joined instead, with
+    the same answers.
     """
 
     def __init__(self, lexicon: DataFrame, inline_rows: int = 20_000, decimals: int = 6):
-        self.lexicon = lexicon.select("token", F.col("polarity").cast("int").alias("polarity"))
+        self.lexicon = (lexicon.groupBy("token").agg(
+            F.signum(F.sum(F.signum(F.col("polarity")))).cast("int").alias("polarity"))
+            .filter("polarity <> 0 AND token IS NOT NULL"))
         self.inline_rows = inline_rows
         self.decimals = decimals
 
@@ -96,29 +101,33 @@ class LexiconScorer:
             text, F.col("__pos"), F.size("__found") - F.col("__pos")).alias(out))
 
     def _joined(self, df: DataFrame, text: str, out: str) -> DataFrame:
-        """Tokens of each distinct text are joined to the lexicon.
+        """Tokens of each distinct text, named by its hash, are joined to the lexicon.
 
-        A text is at most 400 characters here, so the explode is bounded per
-        row; equal (text, token) pairs are counted before the join, and the
-        token side is salted since a common word can hold most of the rows.
+        Equal (text, token) pairs are counted before the join, and the token
+        side is salted since a common word can hold most of the rows. The rows
+        meet their counts by the hash and a salt of their own, as one text can
+        be in most of them.
         """
         salts = 32
+        named = df.withColumns({"__hash": F.sha2(text, 256),
+                                "__row": F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")})
         per_text = (
-            df.select(F.col(text).alias("__text")).distinct()
-            .select("__text", F.explode(tokens(F.col("__text"))).alias("token"))
-            .groupBy("__text", "token").agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("__salt", F.pmod(F.xxhash64("__text"), F.lit(salts)).cast("int"))
+            named.groupBy("__hash").agg(F.first(text).alias("__text"))
+            .select("__hash", F.explode(tokens(F.col("__text"))).alias("token"))
+            .groupBy("__hash", "token").agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("__salt", F.pmod(F.xxhash64("__hash"), F.lit(salts)).cast("int"))
         )
         words = self.lexicon.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         counts = (
             per_text.join(words, ["token", "__salt"])
-            .groupBy("__text")
+            .groupBy("__hash")
             .agg(F.sum(F.when(F.col("polarity") > 0, F.col("n"))).alias("__pos"),
                  F.sum(F.when(F.col("polarity") < 0, F.col("n"))).alias("__neg"))
         )
-        joined = df.join(counts, F.col(text) == F.col("__text"), "left")
+        counts = counts.withColumn("__row", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        joined = named.join(counts, ["__hash", "__row"], "left")
         zero = F.lit(0)
-        return joined.select(*[joined[c] for c in df.columns], self._result(
+        return joined.select(*df.columns, self._result(
             text, F.coalesce(F.col("__pos"), zero), F.coalesce(F.col("__neg"), zero)).alias(out))
 
 
@@ -135,7 +144,8 @@ class TrainedScorer:
         fed = df.withColumn(self.text_col, F.col(text)) if text != self.text_col else df
         scored = self.model.transform(fed)
         probability = vector_to_array(F.col("probability"))
-        scores = {name: probability[i] for i, name in enumerate(self.classes)}
+        # A class that no training row had has no probability, and counts 0.0.
+        scores = {name: F.get(probability, F.lit(i)) for i, name in enumerate(self.classes)}
         return scored.select(*df.columns, F.when(F.col(text) == "", neutral_struct())
                              .otherwise(sentiment_struct(scores)).alias(out))
 

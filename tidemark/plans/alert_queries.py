@@ -74,11 +74,13 @@ def _configured():
     """Configured rules whose metrics the fixture has, and one on a plain value."""
     have = {"posts_processed_total", "reddit_api_errors_total"}
     chosen = [r for r in [*METRIC_RULES, *APPLICATION_RULES] if r[1] in have]
-    return [*chosen, ("FewFetched", "posts_fetched_total", "value", 0, "<", 150.0, 0, "info")]
+    return [*chosen, ("FewFetched", "posts_fetched_total", "value", 0, "<", 150.0, 0, "info", None,
+                      None, None)]
 
 
 @query("configured_rules", """
-WITH grid AS (SELECT 1704067200 + range * 900 AS t FROM range(2785)),
+WITH grid AS (
+  SELECT unnest(range(low // 900 * 900, (high + 899) // 900 * 900 + 1, 900)) AS t FROM span),
 grown AS (
   SELECT *, CASE WHEN prev IS NULL THEN 0.0 WHEN value < prev THEN value
                  ELSE value - prev END::DOUBLE AS delta
@@ -103,7 +105,8 @@ FROM grid g JOIN named d ON d.metric = 'posts_fetched_total' AND d.t > g.t - 300
 GROUP BY 2, 3""")
 def configured_rules(spark, sf):
     rules = _configured()
-    series = ts.rule_series(fx.metric_samples(spark, sf), rules, ["instance"], fx.START, fx.END, 900)
+    series = ts.rule_series(fx.metric_samples(spark, sf), rules, ["instance"],
+                            *fx.span(spark, sf, 900), 900)
     return al.evaluate_rules(series, values_frame(spark, RULE_SCHEMA, rules)).select(
         "rule", "instance", "t", "value", "breach")
 

@@ -134,7 +134,7 @@ def run(spark: SparkSession, config: RunConfig) -> RunResult:
         rows = store_rows(taken.withColumn("post_id", F.coalesce("post_id", F.lit("")))
                           .join(pairs, ["post_id", "content_hash", "arrival_seq"], "left_semi"))
     else:
-        rows = _first_rows(written, store)
+        rows = insert_if_absent(unique, store)
     config.store.commit(rows, config.run_id)
     result.duration_s = time.monotonic() - began
     return result
@@ -143,8 +143,3 @@ def run(spark: SparkSession, config: RunConfig) -> RunResult:
 def _written(spark: SparkSession, config: RunConfig) -> DataFrame:
     return spark.read.schema(SCORED_POST).parquet(config.sink) \
         .filter(F.col("run_id") == config.run_id)
-
-
-def _first_rows(written: DataFrame, store: DataFrame) -> DataFrame:
-    order = F.struct("created_utc", "post_id", "content_hash")
-    return insert_if_absent(with_hash(written).withColumn("__order", order), store, "__order")

@@ -9,18 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import compose_text, content_hash, preprocess_text
+from tidemark.functions.text import MAX_CHARS, compose_text, content_hash, preprocess_text
 from tidemark.functions.times import epoch_of_ntz
 from tidemark.operators.dedup import dedup_first_wins
 from tidemark.operators.ordered import ordered_scan
 from tidemark.operators.timeseries import full_grid
 from tidemark.session import values_frame
 
-#: First second of the events, and the fixed "now" of clock-dependent operators.
+#: Creation time of the first post, and the fixed "now" of clock-dependent operators.
 START = 1704067200
 AS_OF = 1706745600
-#: Last grid time; 29 whole days.
-END = START + 29 * 86400
 
 #: Test lexicon: frequent words of the corpus with a fixed polarity.
 LEXICON = [("of", 1), ("to", 1), ("is", 1), ("et", 1), ("les", 1), ("und", 1), ("von", 1),
@@ -77,7 +75,7 @@ def seen_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posts(spark, sf_dir).select(
         "arrival_seq", "subreddit", "lang",
-        preprocess_text(compose_text(F.col("title"), F.col("content"))).alias("text"))
+        preprocess_text(compose_text(F.col("title"), F.col("content")), MAX_CHARS).alias("text"))
 
 
 def lexicon(spark: SparkSession) -> DataFrame:
@@ -91,6 +89,15 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("i"), (F.col("user_id") % 3).cast("string")).alias("instance"))
 
 
+def span(spark: SparkSession, sf_dir: str, step_s: int) -> tuple[int, int]:
+    """First and last grid time such that every sample lies in the grid."""
+    low, high = events(spark, sf_dir).agg(F.min("t"), F.max("t")).first()
+    if low is None:
+        return 0, 0
+    last = high // 60 * 60 + 60
+    return low // step_s * step_s, -(-last // step_s) * step_s
+
+
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A scraped counter per event type and instance, restarting after 300 events.
 
@@ -147,7 +154,8 @@ def hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hourly_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events per type and hour, silent hours included."""
     counts = hourly_counts(spark, sf_dir)
-    grid = full_grid(counts, ["series"], START, START + 719 * 3600, 3600)
+    start, end = counts.agg(F.min("t"), F.max("t")).first()
+    grid = full_grid(counts, ["series"], start or 0, end or 0, 3600)
     return grid.join(counts, ["series", "t"], "left").withColumn(
         "n", F.coalesce("n", F.lit(0)).cast("bigint"))
 

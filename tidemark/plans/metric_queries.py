@@ -194,7 +194,7 @@ def posts_per_hour(spark, sf):
 
 
 def _grid_increase(spark, sf):
-    return ts.increase_on_grid(fx.samples(spark, sf), _KEYS, _WINDOW, fx.START, fx.END, _HOUR)
+    return ts.increase_on_grid(fx.samples(spark, sf), _KEYS, _WINDOW, *fx.span(spark, sf, _HOUR), _HOUR)
 
 
 @query("grid_increase", "SELECT series, instance, t, increase FROM grid_increase")
@@ -241,16 +241,16 @@ def usage_percent(spark, sf):
 SELECT t, round(100.0::DOUBLE - avg(CAST(round(increase / 14400.0::DOUBLE, 9) AS DECIMAL(28, 9)))
        ::DOUBLE * 100.0::DOUBLE, 6) AS busy_percent FROM grid_increase GROUP BY 1""")
 def cpu_usage(spark, sf):
-    rates = ts.rate_on_grid(fx.samples(spark, sf), _KEYS, _WINDOW, fx.START, fx.END, _HOUR)
+    rates = ts.rate_on_grid(fx.samples(spark, sf), _KEYS, _WINDOW, *fx.span(spark, sf, _HOUR), _HOUR)
     return ts.busy_percent(rates, ["t"])
 
 
 @query("asof_grid", """
 SELECT series, instance, g.t, max(s.t) AS sample_t, arg_max(s.value, s.t) AS value
-FROM (SELECT 1704067200 + range * 60 AS t FROM range(41761)) g
+FROM (SELECT unnest(range(low // 60 * 60, high + 1, 60)) AS t FROM span) g
 JOIN samples s ON s.t <= g.t AND s.t > g.t - 300 GROUP BY 1, 2, 3""")
 def asof_grid(spark, sf):
-    return ts.asof_grid(fx.samples(spark, sf), _KEYS, fx.START, fx.END, step_s=60)
+    return ts.asof_grid(fx.samples(spark, sf), _KEYS, *fx.span(spark, sf, 60), step_s=60)
 
 
 @query("recording_rules", """
@@ -277,8 +277,8 @@ SELECT record, instance, t, value FROM (
   WHERE (metric = 'node_memory_MemTotal_bytes' AND free = 'node_memory_MemAvailable_bytes')
      OR (metric = 'node_filesystem_size_bytes' AND free = 'node_filesystem_free_bytes')) r""")
 def recording_rules(spark, sf):
-    return ts.recording_rules(fx.metric_samples(spark, sf), ts.RECORDINGS, ["instance"], fx.START,
-                              fx.END, _HOUR, _WINDOW)
+    return ts.recording_rules(fx.metric_samples(spark, sf), ts.RECORDINGS, ["instance"],
+                              *fx.span(spark, sf, _HOUR), _HOUR, _WINDOW)
 
 
 @query("staleness", """

@@ -44,6 +44,12 @@ SELECT arrival_seq, subreddit, lang,
          '^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$', '', 'g'), 1, 400) AS text
 FROM posts"""
 
+VIEWS["whole_texts"] = r"""
+SELECT arrival_seq, subreddit, lang,
+       regexp_replace(CASE WHEN content <> '' THEN concat(title, '. ', content) ELSE title END,
+         '^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$', '', 'g') AS text
+FROM posts"""
+
 VIEWS["lexicon"] = """
 SELECT * FROM (VALUES ('of', 1), ('to', 1), ('is', 1), ('et', 1), ('les', 1), ('und', 1),
   ('von', 1), ('que', 1), ('and', -1), ('in', -1), ('that', -1), ('le', -1), ('un', -1),
@@ -60,7 +66,8 @@ FROM (SELECT t.arrival_seq, t.subreddit, t.lang,
              sum(CASE WHEN l.polarity = 1 THEN 1 ELSE 0 END) AS pos,
              sum(CASE WHEN l.polarity = -1 THEN 1 ELSE 0 END) AS neg
       FROM (SELECT arrival_seq, subreddit, lang,
-                   unnest(regexp_split_to_array(lower(text), '[^\p{L}]+')) AS token FROM texts) t
+                   unnest(regexp_split_to_array(lower(text), '[^\p{L}]+')) AS token
+            FROM whole_texts) t
       LEFT JOIN lexicon l ON t.token = l.token
       GROUP BY t.arrival_seq, t.subreddit, t.lang) c"""
 
@@ -95,7 +102,10 @@ SELECT *, CASE WHEN prev IS NULL THEN 0.0 WHEN value < prev THEN value
 FROM (SELECT *, lag(value) OVER (PARTITION BY series, instance ORDER BY t) AS prev
       FROM samples) a"""
 
-VIEWS["hours"] = "SELECT 1704067200 + range * 3600 AS t FROM range(697)"
+VIEWS["span"] = "SELECT min(t) AS low, max(t) // 60 * 60 + 60 AS high FROM evs"
+
+VIEWS["hours"] = """
+SELECT unnest(range(low // 3600 * 3600, (high + 3599) // 3600 * 3600 + 1, 3600)) AS t FROM span"""
 
 VIEWS["grid_increase"] = """
 SELECT g.series, g.instance, g.t, coalesce(sum(d.delta), 0.0)::DOUBLE AS increase
@@ -150,7 +160,8 @@ GROUP BY series, day, b.le"""
 VIEWS["hourly_grid"] = """
 SELECT s.series, h.t, CAST(coalesce(n, 0) AS BIGINT) AS n
 FROM (SELECT DISTINCT event_type AS series FROM evs) s
-CROSS JOIN (SELECT 1704067200 + range * 3600 AS t FROM range(720)) h
+CROSS JOIN (SELECT unnest(range(min(t) // 3600 * 3600, max(t) // 3600 * 3600 + 1, 3600)) AS t
+            FROM evs) h
 LEFT JOIN (SELECT event_type AS series, t - t % 3600 AS t, count(*) AS n FROM evs GROUP BY 1, 2) c
   ON c.series = s.series AND c.t = h.t"""
 

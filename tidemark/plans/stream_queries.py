@@ -22,11 +22,11 @@ def _stream(spark, sf, name):
 
 
 @query("stream_incremental", """
-SELECT post_id, subreddit, created_utc FROM posts WHERE num_comments < 25""")
+SELECT post_id, subreddit, created_utc FROM posts""")
 def stream_incremental(spark, sf):
     base = scratch_path(spark, "incremental")
     posts = fx.as_posts(_stream(spark, sf, "documents"))
-    rows = posts.filter(F.col("num_comments") < 25).select("post_id", "subreddit", "created_utc")
+    rows = posts.select("post_id", "subreddit", "created_utc")
     for _ in range(2):
         jobs.run_available(rows, f"{base}/out", f"{base}/checkpoint")
     return spark.read.schema(rows.schema).parquet(f"{base}/out")
@@ -64,9 +64,10 @@ def stream_alert_states(spark, sf):
     base = scratch_path(spark, "alerts")
     points = rule_points(spark, sf).filter(F.col("for_s") == 7200).select(
         F.col("rule").alias("alert"), "t", "breach")
-    third = (fx.END - fx.START) // 3
+    start, end = fx.span(spark, sf, 3600)
+    third = (end - start) // 3
     for i in range(3):
-        low = F.lit(fx.START + i * third)
+        low = F.lit(start + i * third)
         part = points.filter(F.col("t") >= low)
         part = part.filter(F.col("t") < low + third) if i < 2 else part
         part.coalesce(1).write.mode("append").parquet(f"{base}/in")

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from tidemark.operators.dedup import dedup_against, dedup_first_wins, insert_if_absent, with_hash
 from tidemark.operators.scoring import Scorer
-from tidemark.plans.batch import scored_posts
+from tidemark.plans.batch import arrivals, scored_posts
 from tidemark.sources.store import SeenStore
 
 #: How long late rows are waited for.
@@ -85,12 +85,9 @@ def score_and_store(store: SeenStore, sink: str, scorer: Scorer | None,
         spark = batch.sparkSession
         run_id = f"{prefix}-{batch_id:010d}"
         seen = store.read(excluding=run_id)
-        unique = dedup_against(dedup_first_wins(with_hash(batch)), seen)
+        unique = dedup_against(dedup_first_wins(with_hash(arrivals(batch, None, None))), seen)
         rows = scored_posts(unique, scorer, run_id)
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("run_id").parquet(sink))
-        written = spark.read.schema(rows.schema).parquet(sink).filter(F.col("run_id") == run_id)
-        order = F.struct("created_utc", "post_id", "content_hash")
-        store.commit(insert_if_absent(with_hash(written).withColumn("__order", order), seen,
-                                      "__order"), run_id)
+        store.commit(insert_if_absent(unique, seen), run_id)
     return write
