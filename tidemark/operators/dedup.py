@@ -32,8 +32,15 @@ def _split(df: DataFrame, key: str) -> DataFrame:
     return df.withColumn("__split", F.xxhash64(key))
 
 
-def dedup_against(df: DataFrame, store: DataFrame, key: str = "content_hash") -> DataFrame:
-    """Rows whose key the store does not hold."""
+def dedup_against(df: DataFrame, store: DataFrame, key: str = "content_hash",
+                  repeated: bool = False) -> DataFrame:
+    """Rows whose key the store does not hold.
+
+    Keys that are ``repeated`` in ``df`` are joined so that a hot one can be
+    split; where every key stands once, a bucketed store is not shuffled.
+    """
+    if not repeated:
+        return df.join(store.select(key), key, "left_anti")
     return _split(df, key).join(_split(store.select(key), key), [key, "__split"], "left_anti").drop("__split")
 
 

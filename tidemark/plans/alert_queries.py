@@ -13,6 +13,7 @@ from tidemark.operators import timeseries as ts
 from tidemark.operators.rules import (
     APPLICATION_RULES,
     CHANNEL_CAPS,
+    ESCALATION_CAPS,
     DEFAULT_CHANNEL,
     DEFAULT_RECEIVER,
     ESCALATION,
@@ -206,11 +207,11 @@ def notify_throttle(spark, sf):
 SELECT event_id, severity, t FROM (
   SELECT *, row_number() OVER (PARTITION BY severity, t - t % 86400 ORDER BY t, event_id) AS rd
   FROM (SELECT *, row_number() OVER (PARTITION BY severity, t - t % 3600 ORDER BY t, event_id)
-               AS rh FROM alert_events WHERE status = 'firing') a WHERE rh <= 3) b
-WHERE rd <= 20""")
+               AS rh FROM alert_events WHERE status = 'firing') a WHERE rh <= 10) b
+WHERE rd <= 50""")
 def notify_caps(spark, sf):
     firing = fx.alert_events(spark, sf).filter(F.col("status") == "firing")
-    return al.cap(firing, ["severity"], [(3600, 3), (86400, 20)]).select("event_id", "severity", "t")
+    return al.cap(firing, ["severity"], ESCALATION_CAPS).select("event_id", "severity", "t")
 
 
 @query("channel_caps", """
@@ -258,10 +259,15 @@ SELECT alertname, service, instance, severity, start_t,
        CASE WHEN end_t IS NOT NULL THEN 'none'
             WHEN severity = 'critical' AND 1706745600 - start_t >= 600 THEN 'escalate'
             WHEN severity = 'warning' AND 1706745600 - start_t >= 3600 THEN 'escalate'
-            WHEN severity = 'info' AND 1706745600 - start_t >= 86400 THEN 'resolve'
-            ELSE 'none' END AS auto_action FROM episodes""")
+            WHEN severity = 'info' AND 1706745600 - last_t >= 86400 THEN 'resolve'
+            ELSE 'none' END AS auto_action
+FROM episodes JOIN (SELECT alertname, service, instance, severity, max(t) AS last_t
+                    FROM alert_events GROUP BY ALL) l USING (alertname, service, instance, severity)""")
 def auto_escalate(spark, sf):
-    open_ = _episodes(spark, sf).withColumn("last_t", F.col("start_t"))
+    """Idle since the last event of the alert, whatever its status."""
+    keys = [*_ALERT, "severity"]
+    last = fx.alert_events(spark, sf).groupBy(*keys).agg(F.max("t").alias("last_t"))
+    open_ = _episodes(spark, sf).join(last, keys)
     return al.auto_escalate(open_, fx.AS_OF).select(
         *_ALERT, "severity", "start_t", "auto_action")
 

@@ -176,7 +176,7 @@ SELECT post_id, content_hash FROM posts_hashed
 WHERE content_hash NOT IN (SELECT content_hash FROM seen_store)""")
 def dedup_vs_store(spark, sf):
     return dedup.dedup_against(fx.posts_hashed(spark, sf).select("post_id", "content_hash"),
-                               fx.seen_store(spark, sf))
+                               fx.seen_store(spark, sf), repeated=True)
 
 
 @query("dup_flag", "SELECT post_id, is_duplicate FROM tagged")

@@ -46,7 +46,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     own = tempfile.mkdtemp(prefix="tidemark-")
     spark.sparkContext.setCheckpointDir(own)

@@ -70,23 +70,40 @@ def read_sources(spark: SparkSession, sources: dict[str, str],
                  fmt: str = "parquet") -> tuple[DataFrame, DataFrame]:
     """Each configured source on its own: rows of those that open, and errors per source.
 
-    A source that cannot be opened is counted and skipped; the others go on.
-    Files that turn out unreadable inside a source are skipped by the reader.
+    A source that cannot be opened is counted and skipped; the others go on. A
+    file inside a source that cannot be read is skipped too, and counted by the
+    rows it failed to give: the errors have the number of a source's files
+    without any row (an empty file is one of them).
     """
     reader = spark.read.schema(POST).option("ignoreCorruptFiles", "true")
-    good, failed = None, []
+    good, failed, counts = None, [], []
     for name, path in sources.items():
         try:
-            rows = normalize_posts(reader.format(fmt).load(path), F.lit(name))
+            raw = reader.format(fmt).load(path)
+            rows = normalize_posts(raw, F.lit(name))
+            counts.append(_unread_files(spark, path, raw).select(
+                F.lit(name).alias("source"), F.lit("file_failed").alias("error_type"), "errors"))
         except AnalysisException:
             failed.append((name, "fetch_failed", 1))
             continue
         good = rows if good is None else good.unionByName(rows)
     schema = "source STRING, error_type STRING, errors BIGINT"
     errors = values_frame(spark, schema, failed) if failed else spark.createDataFrame([], schema)
+    for unread in counts:
+        errors = errors.unionByName(unread.filter("errors > 0"))
     return good if good is not None else spark.createDataFrame([], POST), errors
 
 
+def _unread_files(spark: SparkSession, path: str, raw: DataFrame) -> DataFrame:
+    """How many of the files below ``path`` gave no row; reads no content for it."""
+    def uri(column):
+        return F.regexp_replace(column, "^([A-Za-z0-9+.-]+):/+", "$1:/").alias("file")
+
+    there = spark.read.format("binaryFile").load(path).filter("length > 0").select(uri("path"))
+    read = raw.select(uri("_metadata.file_path")).distinct()
+    return there.join(read, "file", "left_anti").agg(F.count(F.lit(1)).alias("errors"))
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Flat CSV with a header, replacing the run before; a failure ends the job.
 

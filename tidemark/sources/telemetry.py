@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,9 +16,6 @@ SAMPLE_PATTERN = (r'^([a-zA-Z_:][a-zA-Z0-9_:]*)(?:\{((?:[^"}]|"(?:[^"\\]|\\.)*")
                   r"\s+(\S+)(?:\s+(-?\d+))?\s*$")
 LABEL_PATTERN = r'([a-zA-Z_][a-zA-Z0-9_]*)="((?:[^"\\]|\\.)*)"'
 
-#: Files up to this size are hashed by Spark; larger ones are streamed.
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
-
 
 # Metrics text ---------------------------------------------------------------------------------
 
@@ -134,37 +128,13 @@ def file_manifest(spark: SparkSession, path: str, glob: str | None = None,
                   recursive: bool = True) -> DataFrame:
     """Path, size, time and MD5 of every file.
 
-    Sizes decide how a file is read: small ones by the binary file source, any
-    larger one is read in pieces by its task. Nothing has to fit in memory.
+    Files are read whole by Spark's binary file source, one by one, so a file
+    must be smaller than 2 GiB; a larger one ends the job.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(path)
-    small = files.filter(F.col("length") <= WHOLE_FILE_BYTES).select(
-        "path", "length", "modificationTime", F.md5("content").alias("checksum"))
-    large = files.filter(F.col("length") > WHOLE_FILE_BYTES).select(
-        "path", "length", "modificationTime")
-    streamed = large.repartition("path").mapInPandas(
-        _streamed_md5, "path string, length bigint, modificationTime timestamp, checksum string")
-    return small.unionByName(streamed)
-
-
-def _streamed_md5(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import hashlib
-
-    from pyarrow import fs
-
-    for pdf in frames:
-        sums = []
-        for uri in pdf["path"]:
-            where, name = fs.FileSystem.from_uri(uri)
-            digest = hashlib.md5()
-            with where.open_input_stream(name) as stream:
-                while piece := stream.read(8 * 1024 * 1024):
-                    digest.update(piece)
-            sums.append(digest.hexdigest())
-        yield pdf.assign(checksum=sums)
+    return reader.load(path).select("path", "length", "modificationTime", F.md5("content").alias("checksum"))
 
 
 def write_status(status: DataFrame, path: str) -> None:
