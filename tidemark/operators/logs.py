@@ -33,15 +33,18 @@ def log_tail_health(lines: DataFrame, t: str, order: str, as_of: int, tail: int
                       .alias("healthy"))
 
 
-def pattern_alerts(lines: DataFrame, thresholds: DataFrame, t: str = "t", kind: str = "file",
-                   line: str = "line", width_s: int = 900) -> DataFrame:
+def pattern_alerts(lines: DataFrame, thresholds: list[tuple[str, str, int]], t: str = "t",
+                   kind: str = "file", line: str = "line", width_s: int = 900) -> DataFrame:
     """Pattern hits per file and 15 minutes beside the file's threshold.
 
-    ``thresholds`` is ``(kind, pattern, threshold)``; its pattern is a column,
-    so one pass serves all kinds.
+    ``thresholds`` are (kind, pattern, most hits); other kinds are left out. Each
+    pattern is a literal, compiled once, and one pass serves all kinds.
     """
     slot = (F.col(t) - F.pmod(F.col(t), F.lit(width_s))).alias("slot")
-    return (lines.join(thresholds, kind)
-            .groupBy(slot, kind, "threshold")
-            .agg(F.count_if(F.expr(f"{line} rlike pattern")).alias("hits"))
-            .withColumn("alerting", F.col("hits") > F.col("threshold")))
+    hit, most = F.lit(False), F.lit(None).cast("int")
+    for name, pattern, threshold in thresholds:
+        hit = F.when(F.col(kind) == name, F.col(line).rlike(pattern)).otherwise(hit)
+        most = F.when(F.col(kind) == name, threshold).otherwise(most)
+    return (lines.filter(F.col(kind).isin([name for name, _, _ in thresholds]))
+            .groupBy(slot, kind).agg(F.count_if(hit).alias("hits"))
+            .withColumn("threshold", most).withColumn("alerting", F.col("hits") > F.col("threshold")))

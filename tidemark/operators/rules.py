@@ -137,12 +137,15 @@ INHIBIT_BY_ALERT = ["alertname", "service", "instance"]
 #: Labels that make one notification group.
 GROUP_BY = ["alertname", "cluster", "service"]
 
-#: Log patterns and the most hits allowed per 15 minutes, by file kind.
-LOG_THRESHOLDS = [
-    ("application", r"ERROR|CRITICAL", 10),
-    ("errors", r".*", 5),
-    ("system", r"ERROR", 5),
-]
+
+
+def log_thresholds(service: str) -> list[tuple[str, str, int]]:
+    """Log patterns and the most hits allowed per 15 minutes, by file kind (fixed values)."""
+    return [
+        ("application", r"ERROR|CRITICAL", 10),
+        ("errors", r".*", 5),
+        ("system", rf"{service}.*ERROR", 5),
+    ]
 
 
 @dataclass(frozen=True)

@@ -13,10 +13,10 @@ from tidemark.operators import timeseries as ts
 from tidemark.operators.rules import (
     APPLICATION_RULES,
     CHANNEL_CAPS,
-    ESCALATION_CAPS,
     DEFAULT_CHANNEL,
     DEFAULT_RECEIVER,
     ESCALATION,
+    ESCALATION_CAPS,
     ESCALATION_SCHEMA,
     INHIBIT_BY_ALERT,
     INHIBIT_BY_SERVICE,
@@ -26,6 +26,7 @@ from tidemark.operators.rules import (
     RULE_SCHEMA,
     by_severity,
     channel_routes,
+    log_thresholds,
     receiver_routes,
 )
 from tidemark.plans import fixtures as fx
@@ -469,12 +470,16 @@ def log_last_hour_errors(spark, sf):
 
 
 @query("log_pattern_alerts", """
-SELECT l.t - l.t % 900 AS slot, l.file, p.threshold, count(*) FILTER (
-         WHERE regexp_matches(l.line, p.pattern)) AS hits,
-       count(*) FILTER (WHERE regexp_matches(l.line, p.pattern)) > p.threshold AS alerting
-FROM log_lines l JOIN (VALUES ('file0', 'ERROR|CRITICAL', 1), ('file1', '.*', 2),
-  ('file2', 'user=1.*', 0)) AS p(file, pattern, threshold) ON l.file = p.file GROUP BY 1, 2, 3""")
+SELECT l.t - l.t % 900 AS slot, k.file, k.threshold, count(*) FILTER (
+         WHERE regexp_matches(l.line, k.pattern)) AS hits,
+       count(*) FILTER (WHERE regexp_matches(l.line, k.pattern)) > k.threshold AS alerting
+FROM (SELECT * REPLACE (concat('user=1 ', line) AS line) FROM log_lines) l
+JOIN (VALUES ('file0', 'application', 'ERROR|CRITICAL', 10), ('file1', 'errors', '.*', 5),
+  ('file2', 'system', 'user=1.*ERROR', 5)) AS k(name, file, pattern, threshold)
+  ON l.file = k.name GROUP BY 1, 2, 3""")
 def log_pattern_alerts(spark, sf):
-    thresholds = values_frame(spark, "file STRING, pattern STRING, threshold INT", [
-        ("file0", "ERROR|CRITICAL", 1), ("file1", ".*", 2), ("file2", "user=1.*", 0)])
-    return logs.pattern_alerts(fx.log_lines(spark, sf), thresholds)
+    """The three files by kind; a user stands in for the service in the system log."""
+    kinds = F.create_map(*map(F.lit, ("file0", "application", "file1", "errors", "file2", "system")))
+    lines = fx.log_lines(spark, sf).withColumns(
+        {"file": kinds[F.col("file")], "line": F.concat(F.lit("user=1 "), "line")})
+    return logs.pattern_alerts(lines, log_thresholds("user=1"))
