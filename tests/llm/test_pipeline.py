@@ -1,13 +1,11 @@
-"""The stages one by one on a small corpus, and the registered queries."""
+"""The stages one by one on a small corpus; ``tests/test_queries.py`` runs the registered queries."""
 
-import pytest
-from conftest import SMALL
 from helpers import changed, clashing, frame, words
 from test_near_duplicates import brute as classes_by_brute_force
 from test_repetition import brute as figures_by_brute_force
 
 import corpus_pipeline
-from tidemark.llm import queries, repetition
+from tidemark.llm import repetition
 from tidemark.session import scratch_path
 
 NAMES = ["quality_rules", "near_dedup", "decontaminate", "mix", "write_tokens"]
@@ -52,13 +50,3 @@ def test_stages(spark):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, folder).count() == 0
-
-
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
-def test_queries_on_the_smallest_tables(spark, name):
-    assert queries.QUERIES[name](spark, SMALL).count() > 0
-
-
-def test_the_whole_pipeline(spark):
-    out = corpus_pipeline.run(spark, SMALL)
-    assert out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and out.count() > 0
