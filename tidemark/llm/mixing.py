@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
@@ -39,7 +39,7 @@ from tidemark.llm.common import CACHE_WORDS, as_bytes, chunks, written
 TOPICS = 8
 #: Powers of the natural shares.
 TARGETS = {"source": 0.5, "lang": 0.7, "topic": 0.5}
-TOLERANCE = 1e-6
+TOLERANCE = 1e-3
 #: Contradictory targets never meet; after so many sweeps the nearest weights stand.
 MAX_SWEEPS = 50
 CELL = ["source", "lang", "topic"]
@@ -94,30 +94,30 @@ def _topic(shares: list[float]) -> Column:
 
 def rake(cells: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
     """``cells`` (source, lang, topic, tokens) with ``weight``: raked until all shares are met."""
-    total = cells.agg(F.sum("tokens")).first()[0] or 0
-    cells = written(cells.withColumn("weight", F.lit(1.0)), "cells")
-    wanted = {}
+    cells = cells.withColumn("weight", F.lit(1.0))
+    # The tokens that each value should have stand in its cells.
     for dim, power in targets.items():
-        natural = cells.groupBy(dim).agg(F.sum("tokens").alias("t")).filter("t > 0")
-        natural = written(natural.select(dim, F.pow(F.col("t") / F.lit(float(total or 1)), F.lit(power)).alias("p")), "target")
-        norm = natural.agg(F.sum("p")).first()[0] or 1.0
-        wanted[dim] = natural.select(dim, (F.col("p") / norm).alias("want"))
+        natural = cells.groupBy(dim).agg(F.sum("tokens").alias("t"))
+        powers = written(natural.select(dim, "t", F.when(F.col("t") > 0, F.pow(F.col("t").cast("double"), F.lit(power)))
+                                        .otherwise(0.0).alias("p")), "target")
+        all_tokens, norm = powers.agg(F.sum("t"), F.sum("p")).first()
+        share = F.col("p") / F.lit(norm or 1.0) * F.lit(float(all_tokens or 0))
+        cells = cells.join(powers.select(dim, share.alias(f"want_{dim}")), dim)
+    cells = written(cells, "cells")
     for _ in range(MAX_SWEEPS):
-        off = 0.0
-        raked = cells
+        raked, off = cells, F.lit(0.0)
         for dim in targets:
             have = raked.groupBy(dim).agg(F.sum(F.col("tokens") * F.col("weight")).alias("have"))
-            factor = have.join(wanted[dim], dim).select(
-                dim, F.when(F.col("have") > 0, F.col("want") * total / F.col("have")).otherwise(1.0).alias("f"))
-            raked = (raked.join(factor, dim, "left")
-                          .withColumns({"weight": F.col("weight") * F.coalesce("f", F.lit(1.0)),
-                                        f"off_{dim}": F.abs(F.coalesce("f", F.lit(1.0)) - 1)}).drop("f"))
-        raked = written(raked, "cells")
-        off = raked.filter("tokens > 0").agg(F.max(F.greatest(*[f"off_{d}" for d in targets]))).first()[0] or 0.0
-        cells = raked.select(*CELL, "tokens", "weight")
-        if off <= TOLERANCE:
+            factor = F.when(F.col("have") > 0, F.col(f"want_{dim}") / F.col("have")).otherwise(1.0)
+            raked = raked.join(have, dim).withColumns(
+                {"weight": F.col("weight") * factor, f"off_{dim}": F.abs(factor - 1)}).drop("have")
+        seen = Observation()
+        off = F.max(F.greatest(*[F.col(f"off_{d}") for d in targets]))
+        raked = raked.observe(seen, off.alias("off")).select(*cells.columns)
+        cells = written(raked, "cells")
+        if (seen.get["off"] or 0.0) <= TOLERANCE:
             break
-    return cells
+    return cells.select(*CELL, "tokens", "weight")
 
 
 def _scale(cells: DataFrame, fraction: float) -> float:
