@@ -64,13 +64,17 @@ class Encoder:
 
     def __init__(self, path: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
         self.end = np.array([end_id], self.kind).tobytes()
         self.between = self.tokenizer.token_to_id(_BETWEEN)
+        # Small ASCII letters are one piece that no normaliser changes.
+        self.bare = Tokenizer.from_file(path)
+        self.bare.normalizer = normalizers.Sequence([])
+        self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.known: dict[bytes, bytes] = {}
 
     @staticmethod
@@ -79,25 +83,29 @@ class Encoder:
         return (text if special else text.lower()).split()
 
     def _learn(self, words: list[bytes]) -> None:
-        apart = [w for w in words if self.between is None or b"<|" in w]
-        rest = words if not apart else [w for w in words if b"<|" not in w] if self.between is not None else []
+        letters, others, apart = [], [], []
+        for w in words:
+            (apart if self.between is None or b"<|" in w else letters if w.isalpha() and w.islower() else others).append(w)
         for w, x in zip(apart, self.tokenizer.encode_batch_fast([w.decode() for w in apart], add_special_tokens=False)):
             self.known[w] = np.array(x.ids, self.kind).tobytes()
-        runs = [rest[i:i + _RUN] for i in range(0, len(rest), _RUN)]
-        joined = [_BETWEEN.join([w.decode() for w in run]) for run in runs]
-        for run, x in zip(runs, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
-            ids = np.array(x.ids, self.kind)
-            ends = np.flatnonzero(ids == self.between) * self.width
-            raw = ids.tobytes()
-            begins = [0, *(ends + self.width).tolist()]
-            self.known.update(zip(run, map(raw.__getitem__, map(slice, begins, [*ends.tolist(), len(raw)]))))
+        for tokenizer, rest in ((self.tokenizer, others), (self.bare, letters)):
+            runs = [rest[i:i + _RUN] for i in range(0, len(rest), _RUN)]
+            joined = [_BETWEEN.join([w.decode() for w in run]) for run in runs]
+            for run, x in zip(runs, tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+                ids = np.array(x.ids, self.kind)
+                ends = np.flatnonzero(ids == self.between) * self.width
+                raw = ids.tobytes()
+                begins = [0, *(ends + self.width).tolist()]
+                self.known.update(zip(run, map(raw.__getitem__, map(slice, begins, [*ends.tolist(), len(raw)]))))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [self._split(text) for text in texts]
         if len(self.known) > KNOWN_WORDS:
             self.known.clear()
-        self._learn(list(set().union(*split).difference(self.known)))
-        get = self.known.__getitem__
+        own = set().union(*split)
+        self._learn(list(own.difference(self.known)))
+        # The words of these texts are a table small enough for the processor's cache.
+        get = {w: self.known[w] for w in own}.__getitem__
         return [b"".join(map(get, words)) + self.end for words in split]
 
 
@@ -135,7 +143,7 @@ def _dictionary(raw: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(raw) if raw else None
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, level: int = 3,
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, level: int = 1,
                  shard_bytes: int = SHARD_BYTES, block_bytes: int = BLOCK_BYTES) -> None:
     """Encode ``docs`` (doc_id, text) and write the token folder ``path``, ids ascending.
 
