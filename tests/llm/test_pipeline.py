@@ -13,7 +13,7 @@ NAMES = ["quality_rules", "near_dedup", "decontaminate", "mix", "write_tokens"]
 
 def corpus():
     rows = [(i, words(60 + i, i), "en", "ab"[i % 2], 1) for i in range(30)]
-    rows += [(50, rows[0][1], "en", "a", 1), (51, changed(rows[29][1], 60), "en", "a", 1), (52, "x y z " * 40, "en", "a", 1),
+    rows += [(50, rows[0][1], "en", "a", 1), (51, changed(rows[29][1], 90), "en", "a", 1), (52, "x y z " * 40, "en", "a", 1),
              (53, words(60, 70) + " " + words(30, 71) + " " + words(60, 72), "en", "b", 1), (54, None, None, None, None),
              (55, "short", "en", "b", 1)]
     return rows
