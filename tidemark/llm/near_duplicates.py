@@ -136,11 +136,11 @@ def similar(a: np.ndarray, b: np.ndarray, threshold: float = SIMILARITY) -> bool
 
 
 def _sketched(texts: DataFrame, k: int, count: int) -> DataFrame:
-    """(band, sketch, id, n): one row per sketch of each text (id, text) with words."""
+    """(band, sketch, id, th, n): one row per sketch of each text (id, th, text) with words."""
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            values, ids = as_bytes(batch["text"]), batch["id"].to_numpy()
+            values, ids, th = as_bytes(batch["text"]), batch["id"].to_numpy(), batch["th"].to_numpy()
             for low, high in chunks(values):
                 kmers = _kmers(values[low:high], hashes, k)
                 some = [i for i, x in enumerate(kmers) if len(x)]
@@ -151,9 +151,10 @@ def _sketched(texts: DataFrame, k: int, count: int) -> DataFrame:
                     "band": pa.array(np.tile(np.arange(count, dtype=np.int32), len(some))),
                     "sketch": pa.array(own.ravel().view(np.int64)),
                     "id": pa.array(np.repeat(ids[low:high][some], count)),
+                    "th": pa.array(np.repeat(th[low:high][some], count)),
                     "n": pa.array(np.repeat([len(kmers[i]) for i in some], count))})
 
-    return texts.mapInArrow(sketch, "band int, sketch bigint, id bigint, n bigint")
+    return texts.mapInArrow(sketch, "band int, sketch bigint, id bigint, th bigint, n bigint")
 
 
 def _neighbours(shared: DataFrame) -> DataFrame:
@@ -239,15 +240,16 @@ def _links(pairs: DataFrame, texts: DataFrame, k: int, threshold: float) -> Data
 
 def classes(docs: DataFrame, k: int = WORDS, threshold: float = SIMILARITY, count: int = SKETCHES) -> DataFrame:
     """(doc_id, class_id) for every row of ``docs`` (doc_id, text): the smallest id of its class."""
-    docs = docs.select(F.col("doc_id").cast("bigint"), "text", F.sha2("text", 256).alias("same"))
+    docs = docs.select(F.col("doc_id").cast("bigint"), "text", F.sha2("text", 256).alias("same"), F.xxhash64("text").alias("th"))
     known = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    own = known.groupBy("doc_id").agg(F.min("same").alias("same"))
-    firsts = own.groupBy("same").agg(F.min("doc_id").alias("id"))
-    texts = (known.join(firsts.select(F.col("id").alias("doc_id"), "same"), ["doc_id", "same"], "left_semi")
-                  .select(F.col("doc_id").alias("id"), "text"))
-    pairs = written(_candidates(written(_sketched(texts, k, count), "sketches")), "candidates")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    chosen = written(texts.join(wanted, "id", "left_semi").dropDuplicates(["id"]), "texts")
+    own = known.groupBy("doc_id").agg(F.min(F.struct("same", "th")).alias("first")).select("doc_id", "first.*")
+    firsts = written(own.groupBy("same").agg(F.min("doc_id").alias("id"), F.first("th").alias("th")), "firsts")
+    # Texts are sketched where they are read; of equal texts all but one are left out after that, without their texts.
+    texts = known.select(F.col("doc_id").alias("id"), "th", "text")
+    sketched = _sketched(texts, k, count).join(firsts.select("id", "th"), ["id", "th"], "left_semi")
+    pairs = written(_candidates(written(sketched, "sketches")), "candidates")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(firsts.select("id", "th"), "id")
+    chosen = written(texts.join(wanted, ["id", "th"], "left_semi").select("id", "text"), "texts")
     roots = components(_links(pairs, chosen, k, threshold))
     of_text = (firsts.join(roots, "id", "left")
                      .select("same", F.coalesce("root", "id").alias("class_id")))
