@@ -6,6 +6,7 @@ from helpers import changed, clashing, frame, odd_rows, words
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tidemark.llm import near_duplicates
 from tidemark.llm.common import WordHashes
 from tidemark.llm.components import components
 from tidemark.llm.near_duplicates import _kmers, classes, keep_first, matched, similar, words_of
@@ -79,6 +80,27 @@ def test_classes_equal_all_pairs(spark):
     assert sorted(map(tuple, got), key=str) == brute(rows)
 
 
+def revisions(count, step, seed=70):
+    """Equally long texts, each near to the next one alone, with shuffled ids."""
+    text, rng = words(200, seed).split(), random.Random(seed)
+    ids = rng.sample(range(1000, 1000 + count), count)
+    places = rng.sample(range(200), 200)
+    rows = []
+    for i, doc_id in enumerate(ids):
+        rows.append((doc_id, " ".join(text), "en", "a", 1))
+        for j in range(step):
+            text[places[(i * step + j) % 200]] = f"r{i}x{j}"
+    return rows
+
+
+@pytest.mark.parametrize("cell", [256, 4])
+def test_a_chain_of_revisions_is_one_class(spark, monkeypatch, cell):
+    monkeypatch.setattr(near_duplicates, "CELL_TEXTS", cell, raising=False)
+    rows = revisions(40, 4) + corpus()
+    got = classes(frame(spark, rows)).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)
+
+
 def test_keep_first(spark):
     rows = corpus()
     docs = clashing(frame(spark, rows))

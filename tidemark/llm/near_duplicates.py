@@ -9,16 +9,17 @@ similarity asks for and a set similarity does not.
 
 Texts with one sketch in common form a bucket. In it every text is compared with
 the one before it by length, and with the bucket's head, the text that shares
-most buckets; so a bucket of any size gives two candidates per member, and large
-ones are cut across tasks. A
-pair is a link where an alignment of their k-mers matches at least ``SIMILARITY``
+most buckets. That joins most of a bucket at two candidates per member. Large
+buckets that are still of several classes get further heads as long as these
+halve what is left. In the end every pair of a bucket whose texts are of different
+classes and whose lengths allow a link is compared, in cells of some
+``CELL_TEXTS`` texts a side that go to different tasks. A pair is a link where an alignment of their k-mers matches at least ``SIMILARITY``
 of all: matched / (n + m - matched). No alignment that good leaves a diagonal
 band whose width follows from the two lengths, so the alignment keeps to it and
 loses nothing. Classes are the connected components of the links.
 
 A pair at the threshold shares one given sketch with a chance of some 0.64, and
-no sketch at all with less than 1e-5. A link that no bucket proposes is still
-found as a class if other members join it.
+no sketch at all with less than 1e-5.
 
 Equal texts are one text from the start. Texts of under five words have one
 k-mer, all their words; texts without a word (null, empty, only punctuation) and
@@ -40,6 +41,12 @@ from tidemark.llm.components import components
 
 WORDS, SIMILARITY = 5, 0.8
 SKETCHES = 16
+#: Texts on a side of a cell of pairs. Larger buckets get more heads before all their pairs are compared.
+CELL_TEXTS = 256
+#: Numbers of 64 bits in which the k-mers of a text are marked.
+MARKS = 16
+#: Further heads of a bucket in one round.
+HEADS = 4
 
 _LETTERS = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 
@@ -197,8 +204,9 @@ def _neighbours(shared: DataFrame) -> DataFrame:
     return paired.filter(~F.col("edge")).select("a", "b").union(met.select("a", F.col("before").alias("b")))
 
 
-def _candidates(sketched: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b: each text of a bucket with the one before it by length, and with the bucket's head.
+def _candidates(sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b), a < b: each text of a bucket with the one before it by length, and with the bucket's head;
+    and the rows of the buckets.
 
     The head is the text that shares most buckets, weighed by their sizes: among
     copies of one text that were edited apart, that is the text they come from.
@@ -213,7 +221,80 @@ def _candidates(sketched: DataFrame) -> DataFrame:
     heads = written(weighed.groupBy(*bucket).agg(F.max(F.struct("weight", (-F.col("id")).alias("i"))).alias("head")), "heads")
     headed = weighed.join(heads, bucket).select(F.col("id").alias("a"), (-F.col("head.i")).alias("b"))
     return (_neighbours(shared).union(headed)
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct())
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()), shared
+
+
+def _unjoined(shared: DataFrame, roots: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """(band, sketch, id, n, root, size, marks): the buckets whose texts are not all of one class."""
+    bucket = ["band", "sketch"]
+    rooted = (shared.select(*bucket, "id", "n").join(roots, "id", "left")
+                    .withColumn("root", F.coalesce("root", "id")))
+    rooted = written(rooted, "rooted")
+    open_ = written(rooted.groupBy(*bucket).agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"))
+                          .filter("low <> high").drop("low", "high"), "open")
+    unjoined = written(rooted.join(open_, bucket), "unjoined")
+    marks = _marked(texts.join(unjoined.select("id").distinct(), "id", "left_semi"), k)
+    return written(unjoined.join(marks, "id"), "marked")
+
+
+def _marked(texts: DataFrame, k: int) -> DataFrame:
+    """(id, m0, m1, ...): per text (id, text) the bits to which its k-mers are dealt by hash."""
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            values = as_bytes(batch["text"])
+            for low, high in chunks(values):
+                bits = np.zeros((high - low, 64 * MARKS), bool)
+                for row, own in zip(bits, _kmers(values[low:high], hashes, k)):
+                    row[own % np.uint64(64 * MARKS)] = True
+                numbers = np.packbits(bits, axis=1).view(np.int64)
+                yield pa.record_batch({"id": batch["id"].slice(low, high - low),
+                                       **{f"m{i}": pa.array(numbers[:, i]) for i in range(MARKS)}})
+
+    return texts.mapInArrow(marked, "id bigint, " + ", ".join(f"m{i} bigint" for i in range(MARKS)))
+
+
+def _allowed(threshold: float):
+    """Whether sides x and y are of different classes and can be a link.
+
+    A bit that x has and y has not is at least one k-mer of x that no alignment matches.
+    """
+    least = F.ceil((F.col("x.n") + F.col("y.n")) * (threshold / (1 + threshold)) - 1e-6)
+    fits = F.least("x.n", "y.n") >= least
+    for a, b in (("x", "y"), ("y", "x")):
+        alone = sum((F.bit_count(F.col(f"{a}.m{i}").bitwiseAND(F.bitwise_not(f"{b}.m{i}"))) for i in range(MARKS)), F.lit(0))
+        fits = fits & (alone <= F.col(f"{a}.n") - least)
+    return (F.col("x.root") != F.col("y.root")) & fits
+
+
+def _pairs_of(joined: DataFrame, tried: DataFrame) -> DataFrame:
+    pairs = joined.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    return pairs.join(tried, ["a", "b"], "left_anti")
+
+
+def _headed(unjoined: DataFrame, tried: DataFrame, number: int, threshold: float) -> DataFrame:
+    """Untried pairs of the texts of large unjoined buckets with ``HEADS`` of them, others for each ``number``."""
+    bucket = ["band", "sketch"]
+    large = unjoined.filter(F.col("size") > CELL_TEXTS)
+    drawn = F.struct(F.xxhash64(F.lit(number), "id").alias("h"), "id", "n", "root", *[f"m{i}" for i in range(MARKS)])
+    # Slices first, so that no task ranks a whole bucket.
+    heads = large.withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(HEADS))).groupBy(*bucket, "slice").agg(F.min(drawn).alias("head"))
+    heads = heads.select(*bucket, "head.*")
+    joined = large.alias("x").join(heads.alias("y"), (F.col("x.band") == F.col("y.band")) & (
+        F.col("x.sketch") == F.col("y.sketch")) & _allowed(threshold))
+    return _pairs_of(joined, tried)
+
+
+def _remaining(unjoined: DataFrame, tried: DataFrame, threshold: float) -> DataFrame:
+    """All untried pairs of unjoined buckets, by cells (i, j) of a bucket: its texts i against its texts j."""
+    parts = F.ceil(F.col("size") / CELL_TEXTS).cast("int")
+    dealt = unjoined.withColumns({"parts": parts, "own": F.pmod(F.xxhash64("id"), parts).cast("int")})
+    left = dealt.withColumns({"i": F.col("own"), "j": F.explode(F.sequence("own", F.col("parts") - 1))})
+    right = dealt.withColumns({"j": F.col("own"), "i": F.explode(F.sequence(F.lit(0), "own"))})
+    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("band", "sketch", "i", "j")]
+    once = (F.col("x.i") < F.col("x.j")) | (F.col("x.id") < F.col("y.id"))
+    joined = left.alias("x").join(right.alias("y"), same[0] & same[1] & same[2] & same[3] & once & _allowed(threshold))
+    return _pairs_of(joined, tried)
 
 
 def _links(pairs: DataFrame, texts: DataFrame, k: int, threshold: float) -> DataFrame:
@@ -247,10 +328,32 @@ def classes(docs: DataFrame, k: int = WORDS, threshold: float = SIMILARITY, coun
     # Texts are sketched where they are read; of equal texts all but one are left out after that, without their texts.
     texts = known.select(F.col("doc_id").alias("id"), "th", "text")
     sketched = _sketched(texts, k, count).join(firsts.select("id", "th"), ["id", "th"], "left_semi")
-    pairs = written(_candidates(written(sketched, "sketches")), "candidates")
+    pairs, shared = _candidates(written(sketched, "sketches"))
+    pairs = written(pairs, "candidates")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(firsts.select("id", "th"), "id")
     chosen = written(texts.join(wanted, ["id", "th"], "left_semi").select("id", "text"), "texts")
     roots = components(_links(pairs, chosen, k, threshold))
+
+    def linked(candidates: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
+        """All pairs tried, the classes with these candidates' links, and whether there was a link."""
+        candidates = written(candidates, "candidates")
+        found = written(_links(candidates, chosen, k, threshold), "found")
+        if found.isEmpty():
+            return pairs.union(candidates), roots, False
+        return pairs.union(candidates), components(found.union(roots.toDF("a", "b"))), True
+
+    unjoined, number, before = _unjoined(shared, roots, chosen, k), 0, None
+    while now := unjoined.filter(F.col("size") > CELL_TEXTS).select("id").distinct().count():
+        # More heads only while they halve what is left; the pairs of all others are compared below.
+        if before is not None and now * 2 > before:
+            break
+        before, number = now, number + 1
+        pairs, roots, joins = linked(_headed(unjoined, pairs, number, threshold))
+        if not joins:
+            break
+        unjoined = _unjoined(shared, roots, chosen, k)
+    if not unjoined.isEmpty():
+        pairs, roots, _ = linked(_remaining(unjoined, pairs, threshold))
     of_text = (firsts.join(roots, "id", "left")
                      .select("same", F.coalesce("root", "id").alias("class_id")))
     wordless = F.col("text").isNull() | ~F.col("text").rlike(r"[\p{L}\p{N}]")
