@@ -122,3 +122,17 @@ def test_trained(spark):
     got = _scores(score(_texts(spark, "great good", "poor bad", ""), "t", scorer))
     assert [g[0] for g in got] == ["positive", "negative", "neutral"]
     assert got[2] == NEUTRAL_ROW and abs(sum(got[0][2:]) - 1) < 1e-9
+
+
+def test_trained_query_reads_whole_texts(spark, scratch):
+    """The label depends on words after character 400 alone."""
+    from tidemark.plans.post_queries import score_trained
+
+    said = ["good great", "bad poor", "of a"]
+    opening = "Title\n" + "same opening words " * 40
+    spark.createDataFrame([(i, opening + said[i % 3] + " tail", "en", "a", 800) for i in range(30)],
+                          "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{scratch}/documents.parquet")
+    spark.createDataFrame([(i, int(i % 3 == 0), int(i % 3 == 1)) for i in range(30)],
+                          "doc_id bigint, quality int, toxic int").write.parquet(f"{scratch}/labels.parquet")
+    got = {r.arrival_seq: r.label for r in score_trained(spark, scratch).collect()}
+    assert got == {i: ("positive", "negative", "neutral")[i % 3] for i in range(30)}

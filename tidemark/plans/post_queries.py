@@ -277,7 +277,7 @@ def score_udf(spark, sf):
 @query("score_trained")
 def score_trained(spark, sf):
     """Fitted on the labelled documents; no SQL form."""
-    text = fx.texts(spark, sf).withColumnRenamed("arrival_seq", "doc_id")
+    text = _composed(spark, sf).select(F.col("arrival_seq").alias("doc_id"), preprocess_text(F.col("text")).alias("text"))
     labelled = fx.table(spark, sf, "labels").withColumn(
         "label", F.when(F.col("toxic") == 1, "negative").when(F.col("quality") == 1, "positive")
         .otherwise("neutral")).join(text, "doc_id")
