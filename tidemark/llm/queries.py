@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, contamination, context_tree, languages, mixing, near_duplicates, pages, repetition, substrings, tokens
+from tidemark.llm import (
+    chat, contamination, context_tree, exact, languages, mixing, near_duplicates, pages, repetition, substrings, tokens,
+)
 from tidemark.llm.common import table
 from tidemark.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from tidemark.session import scratch_path
@@ -89,3 +91,15 @@ def op1_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     found = pages.extract(table(spark, sf_dir, "pages"))
     return found.select("row.page_id", "row.url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+@query("op12_exact_copies", oracle="""
+    SELECT doc_id, max(doc_id) OVER copies AS keep_id, count(*) OVER copies AS group_size,
+           row_number() OVER (copies ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+           sha256(coalesce(text, '')) AS text_sha256
+    FROM documents
+    WINDOW copies AS (PARTITION BY coalesce(text, ''))
+""")
+def op12_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the copy of its text that stays, the one with the largest id."""
+    return exact.mark_copies(table(spark, sf_dir, "documents"))
