@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    chat, contamination, context_tree, exact, languages, mixing, near_duplicates, pages, repetition, substrings, tokens,
+    chat, contamination, context_tree, exact, languages, mixing, near_duplicates, pages, ranked, repetition, substrings, tokens,
 )
 from tidemark.llm.common import table
 from tidemark.llm.registry import ORACLES, QUERIES, query  # noqa: F401
@@ -103,3 +103,34 @@ def op1_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the copy of its text that stays, the one with the largest id."""
     return exact.mark_copies(table(spark, sf_dir, "documents"))
+
+
+@query("op11_ranked_search", oracle=r"""
+    WITH terms AS (
+        SELECT doc_id, address, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM (SELECT *, row_number() OVER () AS address FROM documents)),
+    postings AS (SELECT address, any_value(doc_id) AS doc_id, term, count(*) AS tf FROM terms GROUP BY address, term),
+    lengths AS (SELECT address, count(*) AS n FROM terms GROUP BY address),
+    totals AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM lengths),
+    weights AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+                FROM postings, totals GROUP BY term, n_docs),
+    wanted AS (
+        SELECT item_id, term, count(*) AS times FROM (
+            SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark) GROUP BY item_id, term),
+    scores AS (
+        SELECT item_id, any_value(doc_id) AS doc_id,
+               sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+        FROM wanted JOIN postings USING (term) JOIN weights USING (term) JOIN lengths USING (address), totals
+        GROUP BY item_id, address),
+    ranked AS (
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST)::INTEGER AS rank,
+               doc_id, score FROM scores WHERE score > 0)
+    SELECT * FROM ranked WHERE rank <= 10
+""")
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item, from an index of all documents."""
+    index = ranked.build_index(table(spark, sf_dir, "documents"))
+    return ranked.search(index, table(spark, sf_dir, "benchmark"), 10)
