@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    chat, contamination, context_tree, exact, languages, mixing, near_duplicates, pages, ranked, repetition, substrings, tokens,
+    chat, contamination, context_tree, exact, languages, mixing, near_duplicates, pages, prefix_trie, ranked,
+    repetition, substrings, tokens,
 )
 from tidemark.llm.common import table
 from tidemark.llm.registry import ORACLES, QUERIES, query  # noqa: F401
@@ -134,3 +135,43 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of every benchmark item, from an index of all documents."""
     index = ranked.build_index(table(spark, sf_dir, "documents"))
     return ranked.search(index, table(spark, sf_dir, "benchmark"), 10)
+
+
+@query("op13_prefix_trie", oracle=r"""
+    WITH turns AS (
+        SELECT conv_id, id, words, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, id) - 1 AS pos
+        FROM (SELECT conv_id, turn, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id,
+                     len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+              FROM conversations WHERE conv_id IS NOT NULL)),
+    convs AS (
+        SELECT conv_id AS c, xor(4294967295, list_reduce(
+                   [4294967295::BIGINT] || flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+                       lambda x: [ord(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+                   lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END)) % 4 AS h
+        FROM (SELECT DISTINCT conv_id FROM turns)),
+    rebuilt AS (
+        SELECT c, pos, id, words FROM convs JOIN turns ON conv_id = c - c % 20 AND pos < h
+        UNION ALL SELECT c, pos, id, words FROM convs JOIN turns ON conv_id = c AND pos >= h),
+    prefixes AS (
+        SELECT c, row_number() OVER so_far AS d, list(id) OVER so_far AS p, words FROM rebuilt
+        WINDOW so_far AS (PARTITION BY c ORDER BY pos ROWS UNBOUNDED PRECEDING)
+        UNION ALL SELECT c, 0, []::VARCHAR[], 0 FROM convs),
+    ended AS (SELECT *, d = max(d) OVER (PARTITION BY c) AS ends FROM prefixes),
+    nodes AS (
+        SELECT p, any_value(d) AS depth, min(c) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+               coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '') AS ids
+        FROM ended GROUP BY p),
+    children AS (SELECT p[:depth - 1] AS p, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+    sums AS (
+        SELECT p[:k] AS p, sum((n IS NULL)::BIGINT) AS n_leaves, sum((n_convs - 1) * words) AS saved
+        FROM (SELECT nodes.*, n, unnest(range(0, depth + 1)) AS k FROM nodes LEFT JOIN children USING (p)) GROUP BY 1)
+    SELECT v.conv_id, v.depth, u.conv_id AS parent_conv_id, v.n_convs, coalesce(n, 0) AS n_children,
+           n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(v.ids) AS ends_sha256
+    FROM nodes v JOIN sums USING (p) LEFT JOIN children USING (p)
+    LEFT JOIN nodes u ON v.depth > 0 AND u.p = v.p[:v.depth - 1]
+""")
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, each of which starts with some turns of one in twenty."""
+    seqs = prefix_trie.sequences(table(spark, sf_dir, "conversations"))
+    head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    return prefix_trie.trie(prefix_trie.share_prefixes(seqs, 20, head.cast("int")))
