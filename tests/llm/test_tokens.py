@@ -39,6 +39,33 @@ def test_word_by_word_is_the_tokenizer_itself(tokenizer, encoder, texts):
     assert got == [plain(tokenizer, t) for t in texts]
 
 
+def test_marks_behind_letters(tokenizer, encoder):
+    marks = [chr(i) for i in range(33, 127) if not chr(i).isalnum()]
+    texts = [f"{w}{a}{b}" for w in ("ab", "É", "xß", "×a", "é÷", "K") for a in marks for b in ("", ".", "'", "s", "1")]
+    got = [np.frombuffer(x, encoder.kind).tolist() for x in encoder.encode([t.encode() for t in texts])]
+    assert encoder.by_word and got == [plain(tokenizer, t) for t in texts]
+
+
+def test_known_words_are_bounded(tokenizer, monkeypatch):
+    monkeypatch.setattr(tokens, "KNOWN_BYTES", 5000)
+    own = tokens.Encoder(TOKENIZER, END_ID)
+    for i in range(30):
+        text = " ".join(f"w{i}x{j}." for j in range(20))
+        assert np.frombuffer(own.encode([text.encode()])[0], own.kind).tolist() == plain(tokenizer, text)
+        assert len(own.known) < 100
+
+
+def test_another_tokenizer_encodes_whole_texts():
+    """One that keeps case and white space, so that words alone would give other ids."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own, texts = tokens.Encoder(path, END_ID), ["Ab  cD ", "", "x\ny"]
+    assert not own.by_word
+    assert [np.frombuffer(x, own.kind).tolist() for x in own.encode([t.encode() for t in texts])] == [
+        plain(Tokenizer.from_file(path), t) for t in texts]
+
+
 def test_round_trip_order_and_short_document_access(spark, tokenizer):
     rows = [(i, t, *r) for i, t, *r in odd_rows()]
     path = scratch_path(spark, "tokens")

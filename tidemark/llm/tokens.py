@@ -14,10 +14,14 @@ id. Every block carries the dictionary's hash; a reader refuses another one.
 
 Spark commits the files, so that a lost executor leaves no half-written shard.
 
+Shards are ranges of ids: Spark deals the texts to them by sampled bounds, and
+each is sorted, encoded and compressed by one task in a single pass over its rows.
+
 Rows: a null text counts as empty and holds the end id alone; null ids sort
-first; equal ids are ordered by token count and checksum, so that the files do
-not depend on the input's order. Other columns are ignored. An empty table
-gives an empty folder of blocks.
+first; equal ids are ordered by a hash of their texts, so that the files do
+not depend on the input's order, and may share a shard or not. A very long text
+is encoded and compressed by itself and is a block of its own. Other columns are
+ignored. An empty table gives an empty folder of blocks.
 """
 
 from __future__ import annotations
@@ -30,17 +34,21 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import as_bytes, chunks
+from tidemark.llm.common import as_bytes, chunks, released
 
 #: Documents that the dictionary is trained on, and the bytes of ids each gives at most.
 SAMPLE_DOCS, SAMPLE_BYTES = 1_000, 1 << 15
 DICTIONARY_BYTES = 64 << 10
-#: Words a worker remembers the ids of; results do not depend on it.
-KNOWN_WORDS = 1_000_000
+#: Bytes of words and ids that a worker remembers; results do not depend on it.
+KNOWN_BYTES = 64 << 20
+#: Text bytes whose words are told apart together.
+ENCODED_BYTES = 8 << 20
 #: Text bytes per shard and frame bytes per block (a longer document is its own block).
 SHARD_BYTES, BLOCK_BYTES = 32 << 20, 1 << 20
 
@@ -50,16 +58,30 @@ BLOCKS = ("shard int, block int, dict_hash string, doc_ids array<bigint>, n_toke
 
 #: New words are encoded so many to a text, with a special token of the vocabulary between them.
 _RUN, _BETWEEN = 256, "<|startoftext|>"
+#: Marks that are pieces of their own behind letters: ASCII but for letters, digits, ``'`` and ``<``.
+_MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "'<")
+#: Bytes of ASCII and Latin-1 letters (their first byte is C3), and of the small ones alone.
+_SMALL = bytes([*range(97, 123), 0xC3, *range(0x9F, 0xB7), *range(0xB8, 0xC0)])
+_LETTERS = _SMALL + bytes([*range(65, 91), *range(0x80, 0x97), *range(0x98, 0x9F)])
+#: Texts with a control string, or an accent that might join its letter, are not lower-cased before.
+_AS_IT_IS = r"<\||[\x{300}-\x{37f}]"
+#: What a dictionary entry costs beside its bytes.
+_ENTRY = 200
+#: Texts on which the encoder is held against the tokenizer before it is used.
+_PROBES = ["Ab  cD\nef, gh.\tIJ", " été...; \u00c9TÉ$$$ x!y", "a'll b's'c. d\u0301e, 12ab3.4%", "", "\u00bd ß\u1e9e (\u0130i)",
+           "one <|x two|> <a>b</a> ***"]
 
 
 class Encoder:
     """Texts to id arrays, in which every new word is encoded once.
 
     The tokenizer drops white space and no token spans it, so the ids of a text
-    are those of its ASCII-space-separated words in a row. It lower-cases, so
-    words are lower-cased first, unless an accent might then join its letter or
-    a control string might arise. ``width`` is 2 where the vocabulary fits 16
-    bits, else 4.
+    are those of its ASCII-space-separated words in a row, and marks behind
+    letters are encoded apart from them. It lower-cases, so words are
+    lower-cased first, unless an accent might then join its letter or a control
+    string might arise. A tokenizer for which this does not hold on some texts
+    made for the purpose encodes whole texts instead. ``width`` is 2 where the
+    vocabulary fits 16 bits, else 4.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -71,42 +93,90 @@ class Encoder:
         self.kind = f"<u{self.width}"
         self.end = np.array([end_id], self.kind).tobytes()
         self.between = self.tokenizer.token_to_id(_BETWEEN)
-        # Small ASCII letters are one piece that no normaliser changes.
+        # Small letters are one piece that no normaliser changes, and a piece's last token says that it is.
         self.bare = Tokenizer.from_file(path)
         self.bare.normalizer = normalizers.Sequence([])
-        self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
         self.known: dict[bytes, bytes] = {}
-
-    @staticmethod
-    def _split(text: bytes) -> list[bytes]:
-        special = b"<|" in text or b"\xcc" in text or b"\xcd" in text
-        return (text if special else text.lower()).split()
+        self.held = 0
+        self.by_word = True
+        probes = [x.encode() for x in _PROBES]
+        try:
+            self.by_word = self.encode(probes) == self._whole(probes)
+        except ValueError:
+            self.by_word = False
+        self.known.clear()
+
+    def _whole(self, texts: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+        return [np.array(x.ids, self.kind).tobytes() + self.end for x in found]
+
+    def _enter(self, run: list[bytes], ids: np.ndarray, begins: list[int], ends: list[int]) -> None:
+        if len(begins) != len(run) or len(ends) != len(run):
+            raise ValueError("the tokenizer does not keep words apart")
+        raw, width = ids.tobytes(), self.width
+        self.known.update(zip(run, [raw[a * width:b * width] for a, b in zip(begins, ends)]))
 
     def _learn(self, words: list[bytes]) -> None:
-        letters, others, apart = [], [], []
+        """Enter ``words``, none of them known, with their ids."""
+        known, marked = self.known, []
+        new = set()
         for w in words:
-            (apart if self.between is None or b"<|" in w else letters if w.isalpha() and w.islower() else others).append(w)
+            letters = w.rstrip(_MARKS)
+            if 0 < len(letters) < len(w) and not letters.translate(None, _LETTERS):
+                marked.append((w, letters, w[len(letters):]))
+                new.update(marked[-1][1:])
+            else:
+                new.add(w)
+        new.difference_update(known)
+        letters, others, apart = [], [], []
+        for w in new:
+            (apart if self.between is None or b"<|" in w else letters if not w.translate(None, _SMALL) else others).append(w)
         for w, x in zip(apart, self.tokenizer.encode_batch_fast([w.decode() for w in apart], add_special_tokens=False)):
-            self.known[w] = np.array(x.ids, self.kind).tobytes()
-        for tokenizer, rest in ((self.tokenizer, others), (self.bare, letters)):
-            runs = [rest[i:i + _RUN] for i in range(0, len(rest), _RUN)]
-            joined = [_BETWEEN.join([w.decode() for w in run]) for run in runs]
-            for run, x in zip(runs, tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
-                ids = np.array(x.ids, self.kind)
-                ends = np.flatnonzero(ids == self.between) * self.width
-                raw = ids.tobytes()
-                begins = [0, *(ends + self.width).tolist()]
-                self.known.update(zip(run, map(raw.__getitem__, map(slice, begins, [*ends.tolist(), len(raw)]))))
+            known[w] = np.array(x.ids, self.kind).tobytes()
+        runs = [others[i:i + _RUN] for i in range(0, len(others), _RUN)]
+        joined = [_BETWEEN.join([w.decode() for w in run]) for run in runs]
+        for run, x in zip(runs, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+            ids = np.array(x.ids, self.kind)
+            between = np.flatnonzero(ids == self.between)
+            self._enter(run, ids, [0, *(between + 1).tolist()], [*between.tolist(), len(ids)])
+        runs = [letters[i:i + _RUN] for i in range(0, len(letters), _RUN)]
+        for run, x in zip(runs, self.bare.encode_batch_fast([b" ".join(run).decode() for run in runs], add_special_tokens=False)):
+            ids = np.array(x.ids, self.kind)
+            ends = (np.flatnonzero(self.last[ids]) + 1).tolist()
+            self._enter(run, ids, [0, *ends[:-1]], ends)
+        known.update((w, known[a] + known[b]) for w, a, b in marked)
+        self.held += sum(map(len, new)) * 2 + _ENTRY * (len(new) + len(marked))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [self._split(text) for text in texts]
-        if len(self.known) > KNOWN_WORDS:
+        """The ids of each text, as bytes, with the end id behind them.
+
+        Words are told apart and numbered by Arrow, so that Python sees every
+        distinct word of ``texts`` once.
+        """
+        if not self.by_word:
+            return self._whole(texts)
+        if self.held > KNOWN_BYTES:
             self.known.clear()
-        own = set().union(*split)
-        self._learn(list(own.difference(self.known)))
-        # The words of these texts are a table small enough for the processor's cache.
-        get = {w: self.known[w] for w in own}.__getitem__
-        return [b"".join(map(get, words)) + self.end for words in split]
+            self.held = 0
+        strings = pa.array(texts, pa.binary()).cast(pa.string())
+        lowered = pc.if_else(pc.match_substring_regex(strings, _AS_IT_IS), strings, pc.ascii_lower(strings))
+        words = pc.ascii_split_whitespace(lowered)
+        coded = words.flatten().dictionary_encode()
+        own = coded.dictionary.cast(pa.binary()).to_pylist()
+        self.known[b""] = b""  # before the first and behind the last white space
+        self._learn([w for w in own if w not in self.known])
+        ids = pa.array(map(self.known.__getitem__, own), pa.binary(), size=len(own)).take(coded.indices)
+        ends = np.frombuffer(ids.buffers()[1], np.int32, len(ids) + 1, ids.offset * 4) if len(ids) else np.zeros(1, np.int32)
+        data = ids.buffers()[2] if len(ids) else None
+        places = ends[words.offsets.to_numpy() - words.offsets[0].as_py()].tolist()
+        raw = data.to_pybytes() if data is not None else b""
+        return [raw[a:b] + self.end for a, b in zip(places, places[1:])]
 
 
 @lru_cache(maxsize=1)
@@ -116,7 +186,7 @@ def _encoder(path: str, end_id: int) -> Encoder:
 
 
 def _sample(docs: DataFrame, path: str, end_id: int) -> list[bytes]:
-    """Id arrays of the ``SAMPLE_DOCS`` documents whose hashed ids are smallest."""
+    """Id arrays of ``SAMPLE_DOCS`` documents, those whose hashed ids are smallest."""
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path, end_id)
         for batch in batches:
@@ -125,8 +195,13 @@ def _sample(docs: DataFrame, path: str, end_id: int) -> list[bytes]:
                 ids = [x[:SAMPLE_BYTES] for x in encoder.encode(texts[low:high])]
                 yield pa.record_batch({"ids": pa.array(ids, pa.binary())})
 
-    first = docs.orderBy(F.xxhash64("doc_id"), "doc_id", F.length("text")).limit(SAMPLE_DOCS)
-    return [bytes(r.ids) for r in first.mapInArrow(encoded, "ids binary").collect()]
+    # The ids are chosen first, so that only texts of the sample are moved.
+    by = F.xxhash64("doc_id")
+    last = docs.select(by.alias("h")).orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
+    if last is None:
+        return []
+    first = docs.filter(by <= last).limit(SAMPLE_DOCS)
+    return [bytes(r.ids) for r in first.mapInArrow(released(encoded), "ids binary").collect()]
 
 
 def train_dictionary(samples: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
@@ -143,21 +218,17 @@ def _dictionary(raw: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(raw) if raw else None
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, level: int = 1,
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, level: int = 3,
                  shard_bytes: int = SHARD_BYTES, block_bytes: int = BLOCK_BYTES) -> None:
     """Encode ``docs`` (doc_id, text) and write the token folder ``path``, ids ascending.
 
-    One pass measures the texts and the quantiles of the ids, which bound the
-    shards; the next encodes and compresses where the texts are read, and only
-    frames are shuffled, each shard to a task that streams it into blocks.
+    One pass measures the texts; Spark samples the ids and deals the texts to
+    shards, each of which a task encodes and streams into blocks.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("bigint"), "text")
+    docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     size = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)))).first()[0] or 0
     shards = max(1, -(-size // shard_bytes))
-    cuts = docs.agg(F.percentile_approx("doc_id", [i / shards for i in range(1, shards)] or [0.5],
-                                        10 * shards + 1000)).first()[0] or []
-    bounds = np.array(sorted(set(cuts)) if shards > 1 else [], np.int64)
 
     raw = train_dictionary(_sample(docs, tokenizer, end_id))
     dict_hash = hashlib.sha256(raw).hexdigest()
@@ -166,22 +237,14 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, level:
                           "dict_hash string, dictionary binary, width int, end_id bigint") \
         .write.parquet(f"{path}/dictionary")
 
-    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer, end_id)
-        packer = zstandard.ZstdCompressor(level=level, dict_data=_dictionary(raw))
-        for batch in batches:
-            texts, ids = as_bytes(batch["text"]), batch["doc_id"]
-            shard = np.searchsorted(bounds, ids.fill_null(-2**63).to_numpy(zero_copy_only=False))
-            for low, high in chunks(texts):
-                arrays = encoder.encode(texts[low:high])
-                yield pa.record_batch({
-                    "shard": pa.array(shard[low:high], pa.int32()), "doc_id": ids[low:high],
-                    "n_tokens": pa.array([len(a) // encoder.width for a in arrays], pa.int64()),
-                    "crc": pa.array([zlib.crc32(a) for a in arrays], pa.int64()),
-                    "frame": pa.array([packer.compress(a) for a in arrays], pa.binary())})
+    arrow = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("dict_hash", pa.string()),
+                       *((n, pa.list_(pa.int64())) for n in ("doc_ids", "n_tokens", "starts", "ends")),
+                       ("frames", pa.binary())])
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, block, start, held, size = None, 0, 0, [], 0
+        encoder, shard = _encoder(tokenizer, end_id), TaskContext.get().partitionId()
+        packer = zstandard.ZstdCompressor(level=level, dict_data=_dictionary(raw))
+        block, start, held, size = 0, 0, [], 0
 
         def row() -> pa.RecordBatch:
             counts = np.array([n for _, n, _ in held], np.int64)
@@ -192,26 +255,23 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, level:
                 "ends": np.cumsum([len(f) for _, _, f in held]).tolist(),
                 "frames": b"".join(f for _, _, f in held)}], schema=arrow)
 
-        arrow = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("dict_hash", pa.string()),
-                           *((n, pa.list_(pa.int64())) for n in ("doc_ids", "n_tokens", "starts", "ends")),
-                           ("frames", pa.binary())])
         for batch in batches:
-            for s, d, n, f in zip(*(batch[c].to_pylist() for c in ("shard", "doc_id", "n_tokens", "frame"))):
-                if held and (s != shard or size + len(f) > block_bytes):
-                    yield row()
-                    start += sum(n for _, n, _ in held)
-                    block, held, size = block + 1, [], 0
-                if s != shard:
-                    shard, block, start = s, 0, 0
-                held.append((d, n, f))
-                size += len(f)
+            texts, ids = as_bytes(batch["text"]), batch["doc_id"].to_pylist()
+            for low, high in chunks(texts, ENCODED_BYTES):
+                for d, a in zip(ids[low:high], encoder.encode(texts[low:high])):
+                    f = packer.compress(a)
+                    if held and size + len(f) > block_bytes:
+                        yield row()
+                        start += sum(n for _, n, _ in held)
+                        block, held, size = block + 1, [], 0
+                    held.append((d, len(a) // encoder.width, f))
+                    size += len(f)
         if held:
             yield row()
 
-    (docs.mapInArrow(encoded, "shard int, doc_id bigint, n_tokens bigint, crc bigint, frame binary")
-         .repartitionById(len(bounds) + 1, F.col("shard"))
-         .sortWithinPartitions("shard", "doc_id", "n_tokens", "crc")
-         .mapInArrow(blocks, BLOCKS)
+    order = [F.asc_nulls_first("doc_id"), "tie"]
+    (docs.withColumn("tie", F.xxhash64("text")).repartitionByRange(shards, *order).sortWithinPartitions(*order)
+         .select("doc_id", "text").mapInArrow(released(blocks), BLOCKS)
          .write.option("compression", "none").parquet(f"{path}/blocks"))
 
 
@@ -237,7 +297,7 @@ def _decoded(blocks: DataFrame, raw: bytes, dict_hash: str, width: int, schema:
                                       f"<u{width}").astype("<u4")) for i in wanted]
                 yield shape(out)
 
-    return blocks.mapInArrow(decode, schema)
+    return blocks.mapInArrow(released(decode), schema)
 
 
 def _placed(rows: DataFrame, blocks: DataFrame) -> DataFrame:
