@@ -2,12 +2,14 @@ r"""Operator 9: conversations as training text, checked by a grammar round trip.
 
 A turn is ``<|im_start|>role\ntext<|im_end|>\n``; a conversation is its turns in
 order. The parser is deterministic: a role ends at the first line feed, a text at
-the first ``<|im_end|>\n``, and then one backslash is taken out of every ``<``,
-backslashes, ``|``. A turn is rendered plainly, parsed, and compared with its
-source; whatever does not come back the same is escaped (one more backslash in
-those places; in a role also line feeds and backslashes) and tried again, until
-it is identical. The grammar needs no context, so this runs on every turn where
-it is read, before anything is shuffled.
+the first ``<|``, which has to begin ``<|im_end|>\n``, and then one backslash is
+taken out of every ``<``, backslashes, ``|``. ``<|`` within a role or a text is no
+sentence of the grammar, so that rendered text holds no control string but the
+template's own marks. A turn is rendered plainly, parsed, and compared with its
+source; whatever is refused or does not come back the same is escaped (one more
+backslash in those places; in a role also line feeds and backslashes) and tried
+again, until it is identical. The grammar needs no context, so this runs on every
+turn where it is read, before anything is shuffled.
 
 Turns then meet by conversation and are streamed in order into pieces of at most
 ``PIECE_CHARS`` (one longer turn is a piece of its own); no conversation is held
@@ -57,7 +59,9 @@ def parse(rendered: str) -> list[tuple[str, str, int, int]]:
         if not rendered.startswith(START, at):
             raise ValueError(f"no turn starts at {at}")
         line = rendered.index("\n", at)
-        stop = rendered.index(END, line + 1)
+        stop = rendered.find("<|", line + 1)
+        if not rendered.startswith(END, stop) or rendered.find("<|", at + len(START), line) >= 0:
+            raise ValueError(f"a control string stands in the turn at {at}")
         turns.append((_unescape_role(rendered[at + len(START):line]), unescape(rendered[line + 1:stop]), line + 1, stop))
         at = stop + len(END)
     return turns
@@ -65,20 +69,15 @@ def parse(rendered: str) -> list[tuple[str, str, int, int]]:
 
 def render(role: str, text: str) -> tuple[str, int, int]:
     """A turn that parses back to ``role`` and ``text``, and the place of the text in it."""
-    shown_role, shown = role, text
-    while True:
+    for shown_role, shown in ((role, text), (role, escape(text)), (_escape_role(role), text), (_escape_role(role), escape(text))):
         rendered = f"{START}{shown_role}\n{shown}{END}"
         try:
             turns = parse(rendered)
         except ValueError:
-            turns = []
+            continue
         if len(turns) == 1 and turns[0][:2] == (role, text):
             return rendered, *turns[0][2:]
-        if unescape(shown) != text or "<|" in shown:
-            shown = escape(text)
-        else:
-            shown_role = _escape_role(role)
-            shown = escape(text) if shown_role == role else shown
+    raise AssertionError("an escaped turn always parses back")
 
 
 def format_turns(conversations: DataFrame) -> DataFrame:
