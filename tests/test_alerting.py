@@ -77,6 +77,59 @@ def test_throttle_is_greedy(spark, seed):
     assert got == want
 
 
+def greedy(rows, every):
+    want = set()
+    for k in {k for k, _ in rows}:
+        last = None
+        for t in sorted({t for kk, t in rows if kk == k}):
+            if last is None or t - last >= every[k]:
+                want.add((k, t))
+                last = t
+    return want
+
+
+def test_throttle_of_long_stretches(spark):
+    """Dense, sparse and clustered lines, null keys, and an interval for each key."""
+    rnd = random.Random(8)
+    every = {"dense": 7, "hot": 60, "sparse": 50, None: 30, "free": 0, "pairs": 10}
+    rows = [("dense", t) for t in range(2000)] + [("hot", rnd.randrange(40_000)) for _ in range(9000)]
+    rows += [("sparse", 100 * t) for t in range(50)] + [(None, rnd.randrange(900)) for _ in range(400)]
+    rows += [("free", t) for t in range(0, 300, 2)] + [("pairs", 10 * t + d) for t in range(0, 300, 3) for d in (0, 9)]
+    df = spark.createDataFrame(rows, "k string, t bigint")
+    col = F.lit(30)
+    for k, e in every.items():
+        col = F.when(F.col("k") == k, e).otherwise(col) if k else col
+    got = [(r.k, r.t) for r in al.throttle(df, ["k"], col, chunk_s=500).collect()]
+    assert len(got) == len(set(got)) and set(got) == greedy(rows, every)
+
+
+def test_a_busy_key_fills_many_tasks(spark):
+    """One key with an alert every second: no table of the rounds has a task with much more than its part."""
+    df = spark.range(200_000).select(F.lit("hot").alias("k"), F.col("id").alias("t"))
+    sent = al.throttle(df, ["k"], F.lit(600), chunk_s=2000)
+    assert sorted(r.t for r in sent.collect()) == list(range(0, 200_000, 600))
+    plan = sent._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+    # Joins are by key and time, never by key alone.
+    assert not any("hashpartitioning(k" in line and ", t" not in line and "__then" not in line and "__at" not in line
+                   for line in plan.splitlines())
+
+
+def test_rules_with_and_without_data(spark):
+    rules = [("Down", "up", "value", 0, "==", 0.0, 120, "critical", "job", "mine", None),
+             ("Any", "up", "value", 0, "==", 0.0, 0, "critical", None, None, None),
+             ("Gone", "nowhere", "value", 0, ">", 0.0, 0, "info", None, None, None)]
+    up = [("a", "mine", 0, 0.0), ("a", "mine", 60, 0.0), ("a", "mine", 120, 0.0), ("a", "mine", 240, 0.0), ("b", "other", 180, 1.0)]
+    series = spark.createDataFrame([("up", "value", 0, k, job, t, v) for k, job, t, v in up],
+                                   "metric string, func string, window_s bigint, k string, job string, t bigint, value double")
+    series = series.withColumn("labels", F.create_map(F.lit("job"), "job"))
+    got = al.rule_states(series, values_frame(spark, ru.RULE_SCHEMA, rules), ["k"], 0, 240, 60)
+    by = {(r.rule, r.k, r.t): r.state for r in got.collect()}
+    assert [by.get(("Down", "a", t)) for t in range(0, 241, 60)] == ["pending", "pending", "firing", None, "pending"]
+    assert by["Down", None, 180] == "NoData" and ("Any", None, 180) not in by and by["Any", "b", 180] == "ok"
+    assert [by["Gone", None, t] for t in range(0, 241, 60)] == ["NoData"] * 5
+
+
 def test_caps_keep_the_earliest(spark):
     df = spark.range(100).select(F.lit("k").alias("k"), F.col("id").alias("event_id"),
                                  (F.col("id") * 60).alias("t"))

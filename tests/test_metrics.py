@@ -161,3 +161,116 @@ def test_rule_series_ages_and_values(spark):
     assert {(r.func, r.t): r.value for r in got} == {
         ("age", 600): 500.0, ("age", 900): 800.0, ("age", 1200): 1100.0,
         ("value", 600): 100.0, ("value", 900): 100.0, ("value", 1200): 100.0}
+
+
+# Bucket rates ---------------------------------------------------------------------------------
+
+BOUNDS = [1.0, 5.0, 10.0, float("inf")]
+
+
+def bucket_rows(seed, keys=("a", "b")):
+    """Cumulative bucket counters that restart now and then; some scrapes lack a bound."""
+    rnd = random.Random(seed)
+    rows = []
+    for k in keys:
+        counts = [0.0] * len(BOUNDS)
+        for t in sorted(rnd.sample(range(0, 6000, 10), 150)):
+            if rnd.random() < 0.05:
+                counts = [0.0] * len(BOUNDS)
+            for _ in range(rnd.randrange(4)):
+                v = rnd.uniform(0, 14)
+                counts = [c + (v <= b) for c, b in zip(counts, BOUNDS)]
+            rows += [(k, b, t, c) for b, c in zip(BOUNDS, counts) if b != 5.0 or rnd.random() > 0.2]
+    return rows
+
+
+def quantile_by_hand(rows, q, window, t, keys):
+    growth = []
+    for b in BOUNDS:
+        grew = 0.0
+        for k in keys:
+            mine = sorted((x[2], x[3]) for x in rows if x[0] == k and x[1] == b)
+            for (_, before), (at, now) in zip(mine, mine[1:]):
+                if t - window < at <= t:
+                    grew += now if now < before else now - before
+        growth.append(max([grew, *growth]))
+    if growth[-1] == 0:
+        return None
+    rank = q * growth[-1]
+    i = next(i for i, c in enumerate(growth) if c >= rank)
+    if BOUNDS[i] == float("inf"):
+        return BOUNDS[i - 1]
+    low, below = (BOUNDS[i - 1], growth[i - 1]) if i else (0.0, 0.0)
+    return round(low + (BOUNDS[i] - low) * (rank - below) / (growth[i] - below), 6)
+
+
+@pytest.mark.parametrize("q", [0.0001, 0.5, 0.95])
+@pytest.mark.parametrize("by", [["k"], []])
+def test_quantile_of_rates_by_hand(spark, q, by):
+    rows = bucket_rows(int(q * 100) + len(by))
+    df = spark.createDataFrame(rows, "k string, le double, t bigint, value double")
+    df = df.withColumn("all", F.lit(1))
+    got = {(r.k if by else None, r.t): r["quantile"] for r in ts.quantile_of_rates(
+        df, q, ["k", "all"], BOUNDS, 600, 0, 6600, 300, by=by or ["all"]).collect()}
+    want = {}
+    for k in (["a", "b"] if by else [None]):
+        for t in range(0, 6601, 300):
+            if (v := quantile_by_hand(rows, q, 600, t, [k] if k else ["a", "b"])) is not None:
+                want[k, t] = v
+    assert got == pytest.approx(want, abs=2e-6) and len(want) > 10
+
+
+def test_bucket_series_are_counters_of_their_own(spark):
+    """A restart between two scrapes of one bound, and counts that fall from bound to bound."""
+    rows = [("a", 1.0, 0, 9.0), ("a", 5.0, 0, 9.0), ("a", float("inf"), 0, 9.0),
+            ("a", 1.0, 60, 2.0), ("a", float("inf"), 60, 3.0),  # 5.0 is missing
+            ("a", 1.0, 120, 4.0), ("a", 5.0, 120, 1.0), ("a", float("inf"), 120, 5.0)]
+    df = spark.createDataFrame(rows, "k string, le double, t bigint, value double")
+    grown = ts.bucket_growth(ts.bucket_vectors(df, ["k"], [1.0, 5.0, float("inf")]), ["k"], 3)
+    assert [(r.t, r.b0, r.b1, r.b2) for r in grown.sort("t").collect()] == [
+        (0, 0.0, 0.0, 0.0), (60, 2.0, 0.0, 3.0), (120, 2.0, 1.0, 2.0)]
+    half = ts.quantile_of_rates(df, 0.5, ["k"], [1.0, 5.0, float("inf")], 300, 0, 300, 300).collect()
+    # Growth 4, 1, 5 is raised to 4, 4, 5; the rank 2.5 lies in the first bucket.
+    assert [(r.t, r["quantile"]) for r in half] == [(300, 0.625)]
+    with pytest.raises(ValueError):
+        ts.quantile_of_rates(df, 0.5, ["k"], [1.0, 5.0], 300, 0, 300, 300)
+
+
+# The series table -----------------------------------------------------------------------------
+
+@pytest.mark.parametrize("start,step", [(0, 60), (700, 90)])
+def test_series_table_by_brute_force(spark, start, step):
+    """Windows that are no multiples of the step, silent stretches, restarts, stale values."""
+    rnd = random.Random(start + step)
+    rows = []
+    for k in ("a", "b"):
+        value = 0
+        for t in sorted(rnd.sample([t for t in range(-1000, 4000) if not 1500 < t < 2600], 160)):
+            value = rnd.randrange(5) if rnd.random() < 0.1 else value + rnd.randrange(4)
+            rows.append((k, t, float(value)))
+    df = spark.createDataFrame(rows, "k string, t bigint, value double")
+    end, windows, look = start + 3000, [30, 240, 900], 100
+    got = {(r.k, r.t): (r.value, r.sample_t, *[r[f"grown_{w}"] for w in windows])
+           for r in ts.series_table(df, ["k"], windows, start, end, step, look).collect()}
+    want = {}
+    for k in ("a", "b"):
+        mine = [(t, v) for kk, t, v in rows if kk == k]
+        deltas = [(t, v if v < p else v - p) for (_, p), (t, v) in zip(mine, mine[1:])]
+        for t in range(start, end + 1, step):
+            seen = [(x, v) for x, v in mine if t - look < x <= t]
+            last = seen[-1] if seen else (None, None)
+            want[k, t] = (last[1], last[0], *[sum(d for x, d in deltas if t - w < x <= t) for w in windows])
+    assert got == want
+
+
+def test_one_scan_serves_all_rules(spark):
+    rows = [("up", "a", 100, 1.0), ("c", "a", 100, 5.0), ("c", "a", 200, 25.0), ("used", "a", 100, 200.0), ("free", "a", 100, 50.0)]
+    df = spark.createDataFrame(rows, "metric string, k string, t bigint, value double")
+    rules = [("r1", "up", "value", 0, "==", 0.0, 0, "x"), ("r2", "c", "rate", 300, ">", 1.0, 0, "x"),
+             ("r3", "c", "increase", 600, ">", 1.0, 0, "x"), ("r4", "percent_used", "value", 0, ">", 1.0, 0, "x")]
+    series = ts.rule_series(df, rules, ["k"], 0, 900, 300, recordings=[ts.Recording("percent_used", "used", "used", "free")])
+    got = {(r.metric, r.func, r.t): r.value for r in series.collect()}
+    assert got["up", "value", 300] == 1.0 and ("up", "value", 600) not in got
+    assert got["c", "rate", 300] == round(20 / 300, 9) and got["c", "rate", 600] == 0.0
+    assert [got["c", "increase", t] for t in (0, 300, 600, 900)] == [0.0, 20.0, 20.0, 0.0]
+    assert got["percent_used", "value", 300] == 75.0 and ("used", "value", 300) not in got

@@ -41,7 +41,7 @@ def test_scoring_with_a_small_lexicon_does_not_shuffle(spark):
 
 @pytest.mark.parametrize("name", ["counter_increase", "rate_ratio", "recording_rules",
                                   "failure_streak", "incident_actions", "alert_inhibit",
-                                  "alert_intervals", "notify_throttle"])
+                                  "alert_intervals", "histogram_quantile_rate"])
 def test_windows_over_series_are_chunked(spark, name):
     """Windows by series alone may read one row per chunk, never the rows themselves."""
     plan = _plan(spark, name)
@@ -62,7 +62,7 @@ def test_aggregations_hash(spark, name):
 
 def test_python_only_where_said(spark):
     # Streams and fitting run while the query is built.
-    slow = {"score_udf", "notify_throttle", "file_manifest"}
+    slow = {"score_udf", "file_manifest"}
     for name in entry.queries():
         if name.startswith("stream_") or name in ("score_trained", "csv_roundtrip",
                                                   "seen_store_restart", "dedup_strict", "run_metrics"):

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import alerting as al
@@ -109,3 +110,51 @@ def test_alert_machine_equals_batch(spark, scratch):
     sent = {(r.alert, r.t) for r in al.throttle(firing, ["alert"], F.lit(600)).collect()}
     want = {(r.alert, r.t): (r.state, r.since, (r.alert, r.t) in sent) for r in states.collect()}
     assert got == want
+
+
+def machine_by_hand(points, step, repeat, no_data, end):
+    """Rows of the alert machine, point by point."""
+    out = {}
+    for alert in {p[0] for p in points}:
+        mine = sorted(p[1:] for p in points if p[0] == alert)
+        since = sent = last = None
+        for (t, breach, for_s, resolve), following in zip(mine, [*[p[0] for p in mine[1:]], None]):
+            if breach and (since is None or t - last > step):
+                since = t
+            if not breach:
+                since = None
+            state = "ok" if since is None else "firing" if t - since >= for_s else "pending"
+            notify = state == "firing" and (sent is None or t - sent >= repeat)
+            sent = t if notify else sent
+            out[alert, t, state] = (since, notify)
+            limit = end if following is None else following
+            if t + no_data < limit:
+                out[alert, t + no_data, "NoData"] = (None, False)
+            if resolve is not None and t + resolve < limit:
+                out[alert, t + resolve, "resolved"] = (None, False)
+                since = sent = None
+            last = t
+    return out
+
+
+@pytest.mark.parametrize("cuts", [(0, 3000, 6000, 9000, 12000), (0, 7000), (0,)])
+def test_alert_machine_by_event_time(spark, scratch, cuts):
+    """Hold times by row, silence and resolution by timer, the same however the points are cut into runs."""
+    rnd = random.Random(11)
+    points = []
+    for alert, for_s, resolve in (("a", 120, None), ("b", 0, 900), ("c", 600, 2000), ("d", 60, 700)):
+        for t in range(60, 15000, 60):  # what is not after the epoch is late from the start
+            quiet = 4000 < t < 5500 or (alert == "b" and t > 9000) or rnd.random() < 0.1
+            if not quiet:
+                points.append((alert, t, rnd.random() < 0.85, for_s, resolve))
+    src, out, ck = (f"{scratch}/{x}" for x in ("in", "out", "ck"))
+    rows = spark.createDataFrame(points, "alert string, t bigint, breach boolean, for_s bigint, resolve_s bigint")
+    for low, high in zip(cuts, [*cuts[1:], 1 << 40]):
+        rows.filter(f"t >= {low} and t < {high}").write.mode("append").parquet(src)
+        machine = alert_stream(jobs.read_files(spark, src, rows.schema), None, 60, 600, 300, "10 minutes")
+        jobs.run_available(machine, out, ck)
+    rows = spark.read.parquet(out).collect()
+    got = {(r.alert, r.t, r.state): (r.since, r.notify) for r in rows}
+    assert len(got) == len(rows)
+    last = max(p[1] for p in points)
+    assert got == machine_by_hand(points, 60, 600, 300, last - 600)

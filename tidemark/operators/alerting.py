@@ -7,9 +7,6 @@ with ``block``, of single seconds cut by ranges of the event number; see
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -24,6 +21,8 @@ from tidemark.operators.rules import (
     compare,
     route_column,
 )
+from tidemark.operators.timeseries import full_grid
+from tidemark.session import staged
 
 #: Chunk width for rows already reduced to one per alert and second or grid time.
 POINT_CHUNK_S = 86400
@@ -88,6 +87,23 @@ def no_data(grid: DataFrame, samples: DataFrame, keys: list[str], t: str = "t",
         "data_state", F.when(F.col(value).isNull(), "NoData").otherwise("Normal"))
 
 
+def rule_states(series: DataFrame, rules: DataFrame, keys: list[str], start: int, end: int,
+                step_s: int, t: str = "t") -> DataFrame:
+    """rule, keys, t, value, breach, state of every rule at every grid time.
+
+    ``state`` is ok, pending or firing by the rule's own hold time. A rule that
+    finds no series at a grid time, as its metric is absent, stale or selected
+    by no label, has one row there, with null keys and the state NoData.
+    """
+    points = evaluate_rules(series, rules)
+    held = hold_for(points.select("rule", *keys, t, "value", "breach", "for_s"), ["rule", *keys], t, step_s=step_s)
+    held = held.select("rule", *keys, t, "value", "breach", "state")
+    missing = full_grid(rules, ["rule"], start, end, step_s, t).join(points.select("rule", t), ["rule", t], "left_anti")
+    nothing = {c: F.lit(None).cast(held.schema[c].dataType) for c in (*keys, "value")}
+    silent = missing.withColumns(nothing | {"breach": F.lit(False), "state": F.lit("NoData")})
+    return held.unionByName(silent)
+
+
 def firing_changes(events: DataFrame, keys: list[str], t: str = "t", tie: str = "event_id",
                    status: str = "status", chunk_s: int = EVENT_CHUNK_S,
                    block: int | None = None) -> DataFrame:
@@ -155,33 +171,75 @@ def throttle(alerts: DataFrame, keys: list[str], interval_s: Column, t: str = "t
              chunk_s: int = POINT_CHUNK_S) -> DataFrame:
     """Times at which a notification goes out: at least the interval after the last one sent.
 
-    Alerts of one second are one candidate. A candidate whose predecessor is a
-    whole interval away is always sent, so the line of a key falls apart into
-    independent stretches there. Stretches are spread over the tasks, sorted by
-    Spark, and read once with one number of state. ``keys`` are strings.
+    Alerts of one second are one candidate; ``interval_s`` follows from the
+    keys, and 0 sends every candidate. A candidate whose predecessor is a whole
+    interval away is always sent, so the line of a key falls apart into
+    independent stretches there. Within a stretch every candidate has one
+    successor, the first candidate an interval later, and what is sent is the
+    chain of successors from the stretch's first; see :func:`chain`. All of it is
+    joins and scans by (key, time), so that one busy key fills as many tasks as many.
     """
-    moments = alerts.groupBy(*keys, t).agg(F.max(interval_s).alias("__every"))
+    moments = alerts.groupBy(*keys, t).agg(F.greatest(F.max(interval_s), F.lit(1)).cast("bigint").alias("__every"))
     near = ordered_scan(moments, keys, t, prev={"__pt": F.col(t)}, chunk_s=chunk_s)
     begins = F.col("__pt").isNull() | (F.col(t) - F.col("__pt") >= F.col("__every"))
-    cut = ordered_scan(near, keys, t, fill={"__from": F.when(begins, F.col(t))}, chunk_s=chunk_s)
-    lines = cut.select(*keys, "__from", t, "__every")
-    sorted_lines = lines.repartition(*keys, "__from").sortWithinPartitions(*keys, "__from", t)
-    names = [*keys, "__from"]
-
-    def sent(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        line, last = None, None
-        for pdf in frames:
-            keep = []
-            for row in zip(*[pdf[n] for n in names], pdf[t], pdf["__every"]):
-                if row[:-2] != line:
-                    line, last = row[:-2], None
-                go = last is None or row[-2] - last >= row[-1]
-                if go:
-                    last = row[-2]
-                keep.append(go)
-            yield pdf.loc[keep, [*keys, t]]
-
-    return sorted_lines.mapInPandas(sent, lines.select(*keys, t).schema)
+    cut = ordered_scan(near, keys, t, fill={"__root": F.when(begins, F.col(t))}, chunk_s=chunk_s)
+
+    # Successors: every candidate asks at its time plus the interval, and the line is read backwards.
+    mark = F.struct(F.col(t).alias("t"), F.col("__root").alias("root"))
+    asks = cut.select(*keys, (-F.col(t) - F.col("__every")).alias("__back"), F.lit(1).alias("__asks"),
+                      F.col(t).alias("__from"), "__root", "__every", "__pt", F.lit(None).cast("struct<t:bigint,root:bigint>").alias("__mark"))
+    there = cut.select(*keys, (-F.col(t)).alias("__back"), F.lit(0).alias("__asks"), F.lit(None).cast("bigint").alias("__from"),
+                       "__root", "__every", "__pt", mark.alias("__mark"))
+    line = ordered_scan(there.unionByName(asks), keys, "__back", ["__asks"], fill={"__next": F.col("__mark")}, chunk_s=chunk_s)
+    links = line.filter("__asks = 1").select(
+        *keys, "__root", F.col("__from").alias(t), "__every", F.coalesce(F.col("__pt"), F.col("__root")).alias("__pt"),
+        F.when(F.col("__next.root") == F.col("__root"), F.col("__next.t")).alias("__to"))
+    return chain(links, keys, t).select(*keys, t)
+
+
+def chain(links: DataFrame, keys: list[str], t: str) -> DataFrame:
+    """The moments that chains of successors visit, from the first moment of every stretch.
+
+    ``links`` has a row per moment: keys, ``__root`` (the stretch's first
+    moment), ``__every``, ``__pt`` (the moment before) and ``__to`` (the
+    successor, at least ``__every`` later, or null). Pointers are doubled over
+    chunks of the stretch: chunks of one interval hold one visited moment at
+    most; a chunk of twice the width is left from where its half is left, or
+    from where the other half is left after that. Only moments at which a chunk
+    can be entered are kept, those that follow its first interval at the
+    latest, so the tables halve from round to round. Going back down, every
+    chunk that is entered shows where its second half is entered. The number of
+    rounds is the logarithm of the longest stretch in intervals; each round is
+    written once, as the next one reads it twice.
+    """
+    def place(column: str, level: int) -> Column:
+        return F.floor((F.col(column) - F.col("__root")) / (F.col("__every") * (1 << level)))
+
+    def joined(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
+        """``left`` with ``__then``, the successor of its moment ``on`` in ``right``."""
+        named = right.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(t).alias("__at"),
+                             F.col("__to").alias("__then"))
+        same = F.col(on) == F.col("__at")
+        for i, k in enumerate(keys):
+            same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+        return left.join(named, same, "left").drop("__at", *[f"__k{i}" for i in range(len(keys))])
+
+    level, rounds = 0, [staged(links, "chain")]
+    cells = (rounds[0].agg(F.max(place(t, 0))).first()[0] or 0) + 1
+    while 1 << level < cells:
+        level += 1
+        chunk = place(t, level) * F.col("__every") * (1 << level) + F.col("__root")
+        enters = F.when(place(t, level) == 0, F.col(t) == F.col("__root")).otherwise(F.col("__pt") < chunk + F.col("__every"))
+        double = joined(rounds[-1].filter(enters), rounds[-1], "__to")
+        inside = place("__to", level) == place(t, level)
+        rounds.append(staged(double.withColumn("__to", F.when(inside, F.col("__then")).otherwise(F.col("__to"))).drop("__then"), "chain"))
+
+    columns = [*keys, "__root", "__every", t]
+    sent = rounds[0].filter(F.col(t) == F.col("__root")).select(*columns)
+    for lower in reversed(range(level)):
+        second = F.when(place("__then", lower + 1) == place(t, lower + 1), F.col("__then"))
+        sent = joined(sent, rounds[lower], t).withColumn(t, F.explode(F.array_compact(F.array(F.col(t), second)))).select(*columns)
+    return sent
 
 
 def cap(notifications: DataFrame, keys: list[str], caps: list[tuple[int, int]], t: str = "t",

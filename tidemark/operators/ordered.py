@@ -132,22 +132,29 @@ def row_place(df: DataFrame, t: str, tie: list[str]) -> Column:
 
 def range_sum(df: DataFrame, keys: list[str], t: str, value: str, window_s: int,
               name: str) -> DataFrame:
-    """Sum of ``value`` over the left-open range ``(t - window_s, t]`` per series.
+    """Sum of ``value`` over the left-open range ``(t - window_s, t]`` per series."""
+    return range_sums(df, keys, t, {name: value}, window_s)
+
+
+def range_sums(df: DataFrame, keys: list[str], t: str, values: dict[str, str],
+               window_s: int) -> DataFrame:
+    """Sums of several columns over the left-open range ``(t - window_s, t]`` per series.
 
     Every row goes to the chunk of its own time and to the next one as context,
-    which is enough because a chunk is one window wide. The sum is the
+    which is enough because a chunk is one window wide. A sum is the
     difference of two growing frames, so a row costs O(1) whatever the window.
     """
     own = _chunk_of(F.col(t), window_s)
     spread = df.withColumn("__own", own).withColumn(
         _CHUNK, F.explode(F.array(F.col("__own"), F.col("__own") + 1)))
     w = Window.partitionBy(*keys, _CHUNK).orderBy(t)
-    upto = F.sum(value).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    gone = F.sum(value).over(w.rangeBetween(Window.unboundedPreceding, -window_s))
+    upto = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    gone = w.rangeBetween(Window.unboundedPreceding, -window_s)
+    sums = {n: F.sum(v).over(upto) - F.coalesce(F.sum(v).over(gone), F.lit(0)) for n, v in values.items()}
     return (
-        spread.withColumn(name, upto - F.coalesce(gone, F.lit(0)))
+        spread.withColumns(sums)
         .filter(F.col(_CHUNK) == F.col("__own"))
-        .select(*df.columns, name)
+        .select(*df.columns, *sums)
     )
 
 

@@ -8,12 +8,14 @@ left-open, ``(t - w, t]``, without extrapolation at their ends.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import gcd
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.operators.ordered import CHUNK_S, ordered_scan, range_sum
+from tidemark.operators.ordered import CHUNK_S, ordered_scan, range_sum, range_sums
+from tidemark.session import staged
 
 #: Evaluation step and look-back in seconds (fixed values).
 STEP_S = 15
@@ -161,6 +163,92 @@ def histogram_quantile(buckets: DataFrame, q: float, by: list[str], le: str = "l
     return hit.groupBy(*by).agg(F.round(F.min_by(value, "__le"), 6).alias(name))
 
 
+def bucket_vectors(samples: DataFrame, keys: list[str], bounds: list[float], t: str = "t",
+                   le: str = "le", value: str = "value") -> DataFrame:
+    """Bucket series of one scrape side by side: a row per ``keys`` and ``t``, columns ``b0``, ``b1``...
+
+    ``samples`` have a row per bound; bounds that are not among ``bounds`` are
+    left out, and one that a scrape lacks is null.
+    """
+    held = samples.filter(F.col(le).isin([float(b) for b in bounds]))
+    return held.groupBy(*keys, t).agg(*[
+        F.max(F.when(F.col(le) == float(b), F.col(value))).alias(f"b{i}") for i, b in enumerate(bounds)])
+
+
+def bucket_growth(vectors: DataFrame, keys: list[str], size: int, t: str = "t",
+                  chunk_s: int = CHUNK_S) -> DataFrame:
+    """Growth of each of the ``size`` bucket counters since its last sample, columns ``b0``, ``b1``...
+
+    Every bucket is a counter of its own: its last sample is the last one in
+    which it was there, and a smaller value is a restart.
+    """
+    names = [f"b{i}" for i in range(size)]
+    seen = ordered_scan(vectors, keys, t, prior={f"__{n}": F.col(n) for n in names}, chunk_s=chunk_s)
+
+    def grown(n: str) -> Column:
+        now, before = F.col(n), F.col(f"__{n}")
+        return (F.when(now.isNull() | before.isNull(), 0.0).when(now < before, now)
+                .otherwise(now - before)).alias(n)
+
+    return seen.select(*keys, t, *[grown(n) for n in names])
+
+
+def quantile_of_counts(q: float, bounds: list[float], counts: list[Column]) -> Column:
+    """Quantile of cumulative ``counts`` at ascending ``bounds``, the last of which is infinity.
+
+    Counts that fall from one bound to the next, as scrapes between two buckets
+    leave them, are first raised to the largest before. Null without counts.
+    """
+    so_far = [counts[0]] + [F.greatest(*counts[:i + 1]) for i in range(1, len(counts))]
+    total = so_far[-1]
+    rank = total * q
+    result = F.lit(None).cast("double")
+    for i in reversed(range(len(bounds))):
+        if bounds[i] == float("inf"):
+            here = F.lit(float(bounds[i - 1])) if i else F.lit(None).cast("double")
+        elif i == 0 and bounds[0] <= 0:
+            here = F.lit(float(bounds[0]))
+        else:
+            low, below = (float(bounds[i - 1]), so_far[i - 1]) if i else (0.0, F.lit(0.0))
+            here = F.lit(low) + F.lit(float(bounds[i]) - low) * F.try_divide(rank - below, so_far[i] - below)
+        result = F.when(so_far[i] >= rank, here).otherwise(result)
+    return F.when(total > 0, result)
+
+
+def quantile_of_rates(samples: DataFrame, q: float, keys: list[str], bounds: list[float],
+                      window_s: int, start: int, end: int, step_s: int = STEP_S,
+                      by: list[str] | None = None, t: str = "t", le: str = "le",
+                      value: str = "value", name: str = "quantile") -> DataFrame:
+    """``histogram_quantile(q, sum by (by, le) (rate(bucket[window])))`` on the grid.
+
+    ``samples`` are cumulative bucket counters, a row per bound. The buckets of
+    a scrape travel as one row, so ordered scan, grid cells and range window
+    see a row per scrape, however many bounds there are. ``by`` are the keys
+    that are left, all of them if not given. Growth is left undivided, as the
+    window cancels out. Grid times at which nothing was counted give no row.
+    """
+    if window_s % step_s:
+        raise ValueError("the window must be a multiple of the step")
+    bounds = sorted(float(b) for b in bounds)
+    if not bounds or bounds[-1] != float("inf"):
+        raise ValueError("the last bound must be infinity")
+    by = keys if by is None else by
+    names = [f"b{i}" for i in range(len(bounds))]
+    vectors = bucket_vectors(samples, keys, bounds, t, le, value)
+    cells = (
+        bucket_growth(vectors, keys, len(bounds), t)
+        .withColumn(t, grid_cell(F.col(t) - start, step_s) + start)
+        .filter((F.col(t) > start - window_s) & (F.col(t) <= end))
+    )
+    grid = full_grid(samples, by, start, end, step_s, t).withColumns({n: F.lit(0.0) for n in names})
+    dense = cells.select(*by, t, *names).unionByName(grid).groupBy(*by, t).agg(
+        *[F.sum(n).alias(n) for n in names])
+    summed = range_sums(dense, by, t, {f"w{n}": n for n in names}, window_s)
+    quantile = quantile_of_counts(q, bounds, [F.col(f"w{n}") for n in names])
+    return (summed.filter((F.col(t) >= start) & (F.col(t) <= end))
+            .select(*by, t, F.round(quantile, 6).alias(name)).filter(F.col(name).isNotNull()))
+
+
 def used_percent(df: DataFrame, on: list[str], metric: str, total: str, free: str, value: str,
                  name: str = "used_percent") -> DataFrame:
     """``(total - free) / total * 100`` of two gauges, by one conditional aggregation."""
@@ -225,33 +313,56 @@ def no_activity(increases: DataFrame, name: str = "increase") -> DataFrame:
     return increases.filter(F.col(name) == 0)
 
 
-def rule_series(samples: DataFrame, rules: list[tuple], keys: list[str], start: int, end: int,
-                step_s: int = STEP_S, lookback_s: int = LOOKBACK_S) -> DataFrame:
-    """What the rules compare, on the grid: ``(metric, func, window_s, keys..., t, value)``.
+def series_table(samples: DataFrame, keys: list[str], windows: list[int], start: int, end: int,
+                 step_s: int = STEP_S, lookback_s: int = LOOKBACK_S, t: str = "t",
+                 value: str = "value") -> DataFrame:
+    """All that rules read of a series, a row per series and grid time.
 
-    ``rules`` are rows of ``RULE_SCHEMA``; ``func`` is value, age (time since
-    the value, a timestamp), increase or rate. Rules that share a function and
-    window share one pass over their metrics.
+    ``value`` and ``sample_t`` of the latest sample (null once that is older than
+    the look-back), and ``grown_<w>``, the reset-aware growth over each window.
+    One scan gives the growth since the sample before; samples are reduced to
+    cells, whose last value and running growth stand until the next cell. The
+    growth over a window is then the difference of two looks at that line, at
+    the grid time and a window earlier, and every look is sent to the grid time
+    that asks for it: one aggregation for any number of windows, of any width.
     """
-    passes: dict[tuple[str, int], list[str]] = {}
-    for rule in rules:
-        passes.setdefault((rule[2], rule[3]), []).append(rule[1])
-    series = ["metric", *keys]
-    out = None
-    for (func, window_s), metrics in sorted(passes.items()):
-        mine = samples.filter(F.col("metric").isin(sorted(set(metrics))))
-        if func == "increase":
-            made = increase_on_grid(mine, series, window_s, start, end, step_s, name="value")
-        elif func == "rate":
-            made = rate_on_grid(mine, series, window_s, start, end, step_s, name="value")
-        else:
-            made = asof_grid(mine, series, start, end, step_s, lookback_s)
-            if func == "age":
-                made = made.withColumn("value", F.col("t") - F.col("value"))
-        rows = made.select("metric", F.lit(func).alias("func"),
-                           F.lit(window_s).cast("bigint").alias("window_s"), *keys, "t", "value")
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    cell = gcd(step_s, *windows)
+    widest = max(windows, default=0)
+    first = start - -(-widest // cell) * cell
+    cells = (
+        counter_deltas(samples.select(*keys, t, value), keys, t, value)
+        .filter((F.col(t) > first - max(cell, lookback_s)) & (F.col(t) <= end))
+        .withColumn("__cell", F.greatest(grid_cell(F.col(t) - start, cell) + start, F.lit(first)).cast("bigint"))
+        .groupBy(*keys, "__cell")
+        .agg(F.sum("delta").alias("__grew"), F.max(t).alias("sample_t"), F.max_by(value, t).alias(value))
+    )
+    # Every series begins with the grid, at a growth of nothing.
+    begin = samples.select(*keys).distinct().withColumns({
+        "__cell": F.lit(first).cast("bigint"), "__grew": F.lit(0.0), "sample_t": F.lit(None).cast("bigint"),
+        value: F.lit(None).cast("double")})
+    cells = cells.unionByName(begin).groupBy(*keys, "__cell").agg(
+        F.sum("__grew").alias("__grew"), F.max("sample_t").alias("sample_t"), F.max(value).alias(value))
+    line = ordered_scan(cells, keys, "__cell", running={"__total": F.col("__grew")},
+                        following={"__next": F.col("__cell")}, chunk_s=86400)
+    until = F.coalesce(F.col("__next") - cell, F.lit(_last(start, end, cell)))
+    dense = line.filter(F.col("__cell") <= until).select(
+        *keys, "__total", "sample_t", value, F.explode(F.sequence("__cell", until.cast("bigint"), F.lit(cell).cast("bigint"))).alias("__at"))
+    looks = dense.select(*keys, "__total", "sample_t", value, "__at", F.explode(F.array(*[
+        F.lit(w).cast("bigint") for w in (0, *windows)])).alias("__ago"))
+    looks = looks.withColumn(t, F.col("__at") + F.col("__ago")).filter(
+        (F.col(t) >= start) & (F.col(t) <= end) & ((F.col(t) - start) % step_s == 0))
+    now = F.col("__ago") == 0
+    fresh = now & (F.col("__at") - F.col("sample_t") < lookback_s)
+    out = looks.groupBy(*keys, t).agg(
+        F.max(F.when(fresh, F.col("sample_t"))).alias("sample_t"), F.max(F.when(fresh, F.col(value))).alias(value),
+        F.max(F.when(now, F.col("__total"))).alias("__now"),
+        *[F.max(F.when(F.col("__ago") == w, F.col("__total"))).alias(f"__then_{w}") for w in windows])
+    return out.select(*keys, t, "sample_t", value, *[
+        (F.col("__now") - F.col(f"__then_{w}")).alias(f"grown_{w}") for w in windows])
+
+
+def _rate(window_s: int) -> Column:
+    return F.round(F.col(f"grown_{window_s}") / float(window_s), 9)
 
 
 @dataclass(frozen=True)
@@ -259,7 +370,7 @@ class Recording:
     """A derived series.
 
     ``kind`` is rate (of ``metric``), ratio (of the rates of ``metric`` and
-    ``other``), busy (from the rates of an idle counter, across all series) or
+    ``other``), percent (the same in percent), busy (from the rates of an idle counter, across all series) or
     used (percent, from the gauges ``metric`` for the total and ``other`` for
     what is free).
     """
@@ -284,62 +395,94 @@ RECORDINGS = [
 ]
 
 
+#: Percent of fetched posts that were duplicates, which a rule compares.
+DUPLICATION = Recording("duplication_percent", "percent", "duplicates_found_total", "posts_fetched_total")
+
+
+def _inputs(rules: list[Recording]) -> list[str]:
+    return sorted({m for r in rules for m in (r.metric, r.other) if m})
+
+
+def _recorded(table: DataFrame, rules: list[Recording], keys: list[str], window_s: int) -> DataFrame:
+    """The derived series ``(record, keys..., t, value)`` of a :func:`series_table` with that window.
+
+    Each row goes to the records it is part of; both parts of a record meet in one group.
+    """
+    gauge = F.col("value").cast("decimal(30,9)")
+    roles = [F.when(F.col("metric") == m, F.struct(
+        F.lit(r.record).alias("record"), F.lit(first).alias("__first"),
+        (gauge if r.kind == "used" else _rate(window_s).cast("decimal(30,9)")).alias("__v"),
+        *[(F.lit("") if r.kind == "busy" else F.col(k).cast("string")).alias(f"__{k}") for k in keys]))
+        for r in rules for m, first in ((r.metric, True), (r.other, False)) if m]
+    rows = table.select("t", F.inline(F.array_compact(F.array(*roles)))).filter(F.col("__v").isNotNull())
+    one = F.col("__first")
+    out = rows.groupBy("record", *[F.col(f"__{k}").alias(k) for k in keys], "t").agg(
+        F.sum(F.when(one, F.col("__v"))).cast("double").alias("__a"),
+        F.sum(F.when(~one, F.col("__v"))).cast("double").alias("__b"),
+        F.count_if(one).alias("__n"))
+    a, b = F.col("__a"), F.col("__b")
+    made = {
+        "rate": a,
+        "ratio": F.round(F.try_divide(a, b), 6),
+        "percent": F.round(F.try_divide(a, b) * 100.0, 6),
+        "busy": F.round(100.0 - F.try_divide(a, F.col("__n").cast("double")) * 100.0, 6),
+        "used": F.round(F.try_divide(a - b, a) * 100.0, 6),
+    }
+    result = F.lit(None).cast("double")
+    both = F.lit(False)
+    for r in rules:
+        mine = F.col("record") == r.record
+        result = F.when(mine, made[r.kind]).otherwise(result)
+        both = both | mine if r.other is None else both | (mine & a.isNotNull() & b.isNotNull())
+    return out.filter(both).select("record", *keys, "t", result.alias("value"))
+
+
 def recording_rules(samples: DataFrame, rules: list[Recording], keys: list[str], start: int,
                     end: int, step_s: int = STEP_S, window_s: int = 300,
                     lookback_s: int = LOOKBACK_S) -> DataFrame:
     """All derived series as ``(record, keys..., t, value)`` on the grid.
 
     ``samples`` are ``(metric, keys..., t, value)``; ``node_cpu_seconds_total``
-    holds idle time. All rates come from one pass over the counters and all
-    gauges from one over theirs. Written with ``partitionBy('record')`` this is
-    the materialised form of the rules.
+    holds idle time. Rates and gauges come from one :func:`series_table`.
+    Written with ``partitionBy('record')`` this is the materialised form of the
+    rules.
     """
-    def named(kinds: list[str]) -> list[Recording]:
-        return [r for r in rules if r.kind in kinds]
-
-    def inputs(some: list[Recording]) -> list[str]:
-        return sorted({m for r in some for m in (r.metric, r.other) if m})
-
-    def reduce(points: DataFrame, some: list[Recording], value: str) -> DataFrame:
-        """Each point to the records it is part of; both parts of a record in one group."""
-        roles = [F.when(F.col("metric") == m, F.struct(
-            F.lit(r.record).alias("record"), F.lit(first).alias("__first"),
-            *[(F.lit("") if r.kind == "busy" else F.col(k).cast("string")).alias(f"__{k}")
-              for k in keys]))
-            for r in some for m, first in ((r.metric, True), (r.other, False)) if m]
-        rows = points.select("t", F.col(value).cast("decimal(30,9)").alias("__v"),
-                             F.inline(F.array_compact(F.array(*roles))))
-        one = F.col("__first")
-        out = rows.groupBy("record", *[F.col(f"__{k}").alias(k) for k in keys], "t").agg(
-            F.sum(F.when(one, F.col("__v"))).cast("double").alias("__a"),
-            F.sum(F.when(~one, F.col("__v"))).cast("double").alias("__b"),
-            F.count_if(one).alias("__n"))
-        a, b = F.col("__a"), F.col("__b")
-        made = {
-            "rate": a,
-            "ratio": F.round(F.try_divide(a, b), 6),
-            "busy": F.round(100.0 - F.try_divide(a, F.col("__n").cast("double")) * 100.0, 6),
-            "used": F.round(F.try_divide(a - b, a) * 100.0, 6),
-        }
-        result = F.lit(None).cast("double")
-        both = F.lit(False)
-        for r in some:
-            mine = F.col("record") == r.record
-            result = F.when(mine, made[r.kind]).otherwise(result)
-            both = both | mine if r.other is None else both | (mine & a.isNotNull() & b.isNotNull())
-        return out.filter(both).select("record", *keys, "t", result.alias("value"))
-
-    frames = []
-    of_rates, of_gauges = named(["rate", "ratio", "busy"]), named(["used"])
-    if of_rates:
-        counters = samples.filter(F.col("metric").isin(inputs(of_rates)))
-        frames.append(reduce(rate_on_grid(counters, ["metric", *keys], window_s, start, end,
-                                          step_s), of_rates, "rate"))
-    if of_gauges:
-        gauges = samples.filter(F.col("metric").isin(inputs(of_gauges)))
-        frames.append(reduce(asof_grid(gauges, ["metric", *keys], start, end, step_s, lookback_s),
-                             of_gauges, "value"))
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
+    mine = samples.filter(F.col("metric").isin(_inputs(rules)))
+    table = series_table(mine, ["metric", *keys], [window_s], start, end, step_s, lookback_s)
+    return _recorded(table, rules, keys, window_s)
+
+
+def rule_series(samples: DataFrame, rules: list[tuple], keys: list[str], start: int, end: int,
+                step_s: int = STEP_S, lookback_s: int = LOOKBACK_S,
+                recordings: list[Recording] | None = None, window_s: int = 300) -> DataFrame:
+    """What the rules compare, on the grid: ``(metric, func, window_s, keys..., t, value)``.
+
+    ``rules`` are rows of ``RULE_SCHEMA``; ``func`` is value, age (time since
+    the value, a timestamp), increase or rate. All functions and windows, and
+    those of the ``recordings`` (derived over ``window_s``) whose records a rule
+    reads, come from one :func:`series_table`.
+    """
+    derived = [r for r in (recordings or []) if r.record in {rule[1] for rule in rules}]
+    reads = sorted({(rule[1], rule[2], rule[3]) for rule in rules})
+    windows = sorted({w for _, func, w in reads if func in ("increase", "rate")} | ({window_s} if derived else set()))
+    mine = samples.filter(F.col("metric").isin(sorted({m for m, _, _ in reads} | set(_inputs(derived)))))
+    table = series_table(mine, ["metric", *keys], windows, start, end, step_s, lookback_s)
+    if derived:
+        table = staged(table, "series")
+
+    def read(func: str, window: int) -> Column:
+        if func == "increase":
+            return F.col(f"grown_{window}")
+        if func == "rate":
+            return _rate(window)
+        return F.col("t") - F.col("value") if func == "age" else F.col("value")
+
+    looks = [F.when(F.col("metric") == m, F.struct(F.lit(func).alias("func"), F.lit(w).cast("bigint").alias("window_s"),
+                                                   read(func, w).cast("double").alias("value"))) for m, func, w in reads]
+    out = table.select("metric", *keys, "t", F.inline(F.array_compact(F.array(*looks)))).filter(F.col("value").isNotNull()) \
+        .select("metric", "func", "window_s", *keys, "t", "value")
+    if derived:
+        made = _recorded(table, derived, keys, window_s).select(
+            F.col("record").alias("metric"), F.lit("value").alias("func"), F.lit(0).cast("bigint").alias("window_s"), *keys, "t", "value")
+        out = out.unionByName(made.filter(F.col("value").isNotNull()))
     return out

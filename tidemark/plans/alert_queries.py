@@ -13,6 +13,8 @@ from tidemark.operators import timeseries as ts
 from tidemark.operators.rules import (
     APPLICATION_RULES,
     CHANNEL_CAPS,
+    COOLDOWN_S,
+    DASHBOARD_RULES,
     DEFAULT_CHANNEL,
     DEFAULT_RECEIVER,
     ESCALATION,
@@ -20,12 +22,15 @@ from tidemark.operators.rules import (
     ESCALATION_SCHEMA,
     INHIBIT_BY_ALERT,
     INHIBIT_BY_SERVICE,
+    JOB_RULES,
     METRIC_RULES,
     REPEAT_DEFAULT_S,
     REPEAT_S,
     RULE_SCHEMA,
+    THROTTLE_S,
     by_severity,
     channel_routes,
+    for_service,
     log_thresholds,
     receiver_routes,
 )
@@ -73,44 +78,77 @@ def rule_breaches(spark, sf):
 
 
 def _configured():
-    """Configured rules whose metrics the fixture has, and one on a plain value."""
-    have = {"posts_processed_total", "reddit_api_errors_total"}
-    chosen = [r for r in [*METRIC_RULES, *APPLICATION_RULES] if r[1] in have]
-    return [*chosen, ("FewFetched", "posts_fetched_total", "value", 0, "<", 150.0, 0, "info", None,
-                      None, None)]
+    """Every rule of the four configurations, for the service ``pipeline``."""
+    return for_service([*METRIC_RULES, *APPLICATION_RULES, *DASHBOARD_RULES, *JOB_RULES], "pipeline")
 
 
-@query("configured_rules", """
-WITH grid AS (
+def _configured_oracle():
+    def text(v):
+        return "NULL" if v is None else f"{v!r}::DOUBLE" if isinstance(v, float) else repr(v)
+
+    rows = ",\n  ".join(f"({', '.join(text(v) for v in r[:10])})" for r in _configured())
+    return f"""
+WITH configured AS (
+  SELECT * FROM (VALUES {rows}) AS c(rule, metric, func, width, cmp, threshold, for_s, severity, label, label_is)),
+quarters AS (
   SELECT unnest(range(low // 900 * 900, (high + 899) // 900 * 900 + 1, 900)) AS t FROM span),
-grown AS (
-  SELECT *, CASE WHEN prev IS NULL THEN 0.0 WHEN value < prev THEN value
-                 ELSE value - prev END::DOUBLE AS delta
-  FROM (SELECT *, lag(value) OVER (PARTITION BY metric, instance ORDER BY t) AS prev
-        FROM named) a),
-windows AS (
-  SELECT * FROM (VALUES ('RedditAPIErrors', 'reddit_api_errors_total', 900),
-    ('NoDataProcessed', 'posts_processed_total', 14400),
-    ('reddit_api_failures', 'reddit_api_errors_total', 900),
-    ('no_data_processed', 'posts_processed_total', 14400)) AS w(rule, metric, width)),
-sums AS (
-  SELECT w.rule, s.instance, g.t, coalesce(sum(d.delta), 0.0)::DOUBLE AS grew
-  FROM windows w JOIN (SELECT DISTINCT metric, instance FROM named) s ON s.metric = w.metric
-  CROSS JOIN grid g LEFT JOIN grown d ON d.metric = w.metric AND d.instance = s.instance
-    AND d.t > g.t - w.width AND d.t <= g.t GROUP BY 1, 2, 3)
-SELECT rule, instance, t, CASE rule WHEN 'reddit_api_failures' THEN round(grew / 900.0::DOUBLE, 9)
-       ELSE grew END AS value, CASE rule WHEN 'RedditAPIErrors' THEN grew > 10
-       WHEN 'reddit_api_failures' THEN grew / 900.0 > 10 ELSE grew = 0 END AS breach FROM sums
+growth AS (
+  SELECT *, CASE WHEN prev IS NULL THEN 0.0 WHEN value < prev THEN value ELSE value - prev END::DOUBLE AS delta
+  FROM (SELECT *, lag(value) OVER (PARTITION BY metric, instance ORDER BY t) AS prev FROM rule_samples) a),
+latest AS (
+  SELECT d.metric, d.job, d.service, d.instance, g.t, arg_max(d.value, d.t) AS value
+  FROM quarters g JOIN rule_samples d ON d.t > g.t - 300 AND d.t <= g.t GROUP BY ALL),
+grew AS (
+  SELECT s.metric, s.job, s.service, s.instance, w.width, g.t, coalesce(sum(d.delta), 0.0)::DOUBLE AS n
+  FROM (SELECT DISTINCT metric, job, service, instance FROM rule_samples) s
+  JOIN (SELECT DISTINCT metric, width FROM configured WHERE func IN ('increase', 'rate') UNION
+        SELECT unnest(['duplicates_found_total', 'posts_fetched_total']), 300) w ON w.metric = s.metric
+  CROSS JOIN quarters g
+  LEFT JOIN growth d ON d.metric = s.metric AND d.instance = s.instance AND d.t > g.t - w.width AND d.t <= g.t
+  GROUP BY ALL),
+series AS (
+  SELECT c.rule, job, service, instance, t, CASE func WHEN 'age' THEN t - value ELSE value END AS value
+  FROM configured c JOIN latest USING (metric) WHERE func IN ('value', 'age')
+  UNION ALL
+  SELECT c.rule, job, service, instance, t, CASE func WHEN 'rate' THEN round(n / c.width::DOUBLE, 9) ELSE n END
+  FROM configured c JOIN grew USING (metric, width) WHERE func IN ('increase', 'rate')
+  UNION ALL
+  SELECT c.rule, a.job, a.service, a.instance, a.t, round((a.value - f.value) / a.value * 100.0::DOUBLE, 6)
+  FROM configured c JOIN latest a ON a.metric = CASE c.metric WHEN 'system:memory_usage' THEN 'node_memory_MemTotal_bytes'
+         WHEN 'system:disk_usage' THEN 'node_filesystem_size_bytes' END
+  JOIN latest f ON f.t = a.t AND f.instance = a.instance AND f.metric = CASE c.metric WHEN 'system:memory_usage'
+         THEN 'node_memory_MemAvailable_bytes' ELSE 'node_filesystem_free_bytes' END
+  UNION ALL
+  SELECT c.rule, a.job, a.service, a.instance, a.t,
+         round(round(a.n / 300.0::DOUBLE, 9) / round(b.n / 300.0::DOUBLE, 9) * 100.0::DOUBLE, 6)
+  FROM configured c JOIN grew a ON a.metric = 'duplicates_found_total' AND a.width = 300
+  JOIN grew b ON b.metric = 'posts_fetched_total' AND b.width = 300 AND b.t = a.t AND b.instance = a.instance
+  WHERE c.metric = 'duplication_percent' AND b.n > 0),
+points AS (
+  SELECT s.*, c.for_s, CASE cmp WHEN '>' THEN value > threshold WHEN '==' THEN value = threshold END AS breach
+  FROM series s JOIN configured c USING (rule)
+  WHERE c.label IS NULL OR c.label_is = CASE c.label WHEN 'job' THEN s.job WHEN 'service' THEN s.service END),
+marked AS (
+  SELECT *, breach AND (NOT coalesce(lag(breach) OVER w, false) OR t - lag(t) OVER w > 900) AS begins
+  FROM points WINDOW w AS (PARTITION BY rule, instance ORDER BY t)),
+since AS (
+  SELECT *, max(CASE WHEN begins THEN t END) OVER (PARTITION BY rule, instance ORDER BY t) AS since FROM marked)
+SELECT rule, instance, t, value, breach, CASE WHEN NOT breach THEN 'ok' WHEN t - since >= for_s THEN 'firing'
+       ELSE 'pending' END AS state FROM since
 UNION ALL
-SELECT 'FewFetched', d.instance, g.t, arg_max(d.value, d.t), arg_max(d.value, d.t) < 150
-FROM grid g JOIN named d ON d.metric = 'posts_fetched_total' AND d.t > g.t - 300 AND d.t <= g.t
-GROUP BY 2, 3""")
+SELECT rule, NULL, t, NULL, false, 'NoData' FROM configured CROSS JOIN quarters
+WHERE NOT EXISTS (FROM points p WHERE p.rule = configured.rule AND p.t = quarters.t)"""
+
+
+@query("configured_rules", _configured_oracle())
 def configured_rules(spark, sf):
-    rules = _configured()
-    series = ts.rule_series(fx.metric_samples(spark, sf), rules, ["instance"],
-                            *fx.span(spark, sf, 900), 900)
-    return al.evaluate_rules(series, values_frame(spark, RULE_SCHEMA, rules)).select(
-        "rule", "instance", "t", "value", "breach")
+    """All 35 rules from one table of the series they read."""
+    keys, grid = ["job", "service", "instance"], fx.span(spark, sf, 900)
+    rules = values_frame(spark, RULE_SCHEMA, _configured())
+    series = ts.rule_series(fx.rule_samples(spark, sf), _configured(), keys, *grid, 900,
+                            recordings=[*ts.RECORDINGS, ts.DUPLICATION])
+    series = series.withColumn("labels", F.create_map(*[x for k in keys for x in (F.lit(k), F.col(k))]))
+    return al.rule_states(series, rules, keys, *grid, 900).select("rule", "instance", "t", "value", "breach", "state")
 
 
 @query("alert_for_duration", "SELECT rule, series, t, since, state FROM states")
@@ -185,25 +223,44 @@ def alert_group(spark, sf):
     return al.group_alerts(firing, ["alertname", "service"], "t", 300)
 
 
-@query("notify_throttle", """
+def _throttle_oracle(keys, every):
+    same = " AND ".join(f"m.{k} = s.{k}" for k in keys.split(", "))
+    mine = ", ".join(f"m.{k}" for k in keys.split(", "))
+    return f"""
 WITH RECURSIVE moments AS (
-  SELECT DISTINCT severity, service, t, CASE severity WHEN 'critical' THEN 1800
-         WHEN 'warning' THEN 7200 ELSE 43200 END AS every
-  FROM alert_events WHERE status = 'firing'),
+  SELECT DISTINCT {keys}, t, {every} AS every FROM alert_events WHERE status = 'firing'),
 sent AS (
-  SELECT severity, service, min(t) AS t FROM moments GROUP BY 1, 2
+  SELECT {keys}, min(t) AS t FROM moments GROUP BY {keys}
   UNION ALL
-  SELECT severity, service, t FROM (
-    SELECT m.severity, m.service, m.t, row_number() OVER (
-             PARTITION BY m.severity, m.service ORDER BY m.t) AS rn
-    FROM sent s JOIN moments m ON m.severity = s.severity AND m.service = s.service
-      AND m.t >= s.t + m.every) x WHERE rn = 1)
-SELECT severity, service, t FROM sent""")
+  SELECT {keys}, t FROM (
+    SELECT {mine}, m.t, row_number() OVER (PARTITION BY {mine} ORDER BY m.t) AS rn
+    FROM sent s JOIN moments m ON {same} AND m.t > s.t AND m.t >= s.t + m.every) x WHERE rn = 1)
+SELECT {keys}, t FROM sent"""
+
+
+@query("notify_throttle", _throttle_oracle(
+    "severity, service", "CASE severity WHEN 'critical' THEN 1800 WHEN 'warning' THEN 7200 ELSE 43200 END"))
 def notify_throttle(spark, sf):
+    """The receivers' repeat interval."""
     firing = fx.alert_events(spark, sf).filter(F.col("status") == "firing")
     return al.throttle(firing, ["severity", "service"], by_severity(REPEAT_S, REPEAT_DEFAULT_S))
 
 
+@query("notify_throttle_channel", _throttle_oracle(
+    "severity, alertname", "CASE severity WHEN 'critical' THEN 60 WHEN 'warning' THEN 300 ELSE 0 END"))
+def notify_throttle_channel(spark, sf):
+    """The channels' throttle; severities without one are not held back."""
+    firing = fx.alert_events(spark, sf).filter(F.col("status") == "firing")
+    return al.throttle(firing, ["severity", "alertname"], by_severity(THROTTLE_S, 0))
+
+
+@query("notify_cooldown", _throttle_oracle("alertname", "300"))
+def notify_cooldown(spark, sf):
+    """The general cooldown between notifications of one alert."""
+    firing = fx.alert_events(spark, sf).filter(F.col("status") == "firing")
+    return al.throttle(firing, ["alertname"], F.lit(COOLDOWN_S))
+
+
 @query("notify_caps", """
 SELECT event_id, severity, t FROM (
   SELECT *, row_number() OVER (PARTITION BY severity, t - t % 86400 ORDER BY t, event_id) AS rd

@@ -114,6 +114,25 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("total") % 300).cast("double").alias("value"))
 
 
+def bucket_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scraped bucket counters of event values per event type and instance, a row per bound.
+
+    They restart every 40 hours, ten minutes past the hour, so that restarts
+    fall into windows; every seventh scrape lacks the bound 25.
+    """
+    bounds = [*BOUNDS, float("inf")]
+    minute = ((F.floor(F.col("t") / 60) + 1) * 60).cast("bigint").alias("t")
+    made = events(spark, sf_dir).groupBy(F.col("event_type").alias("series"), "instance", minute).agg(
+        *[F.count_if(F.col("value") <= b).alias(f"n{i}") for i, b in enumerate(bounds)])
+    life = F.floor((F.col("t") - 600) / F.lit(144000)).alias("life")
+    lived = ordered_scan(made.select("*", life), ["series", "instance", "life"], "t",
+                         running={f"b{i}": F.col(f"n{i}") for i in range(len(bounds))}, chunk_s=86400)
+    rows = F.inline(F.array(*[F.struct(F.lit(b).alias("le"), F.col(f"b{i}").cast("double").alias("value"))
+                              for i, b in enumerate(bounds)]))
+    return lived.select("series", "instance", "t", rows).filter(
+        (F.col("le") != 25.0) | (F.col("t") / 60 % 7 != 0))
+
+
 def gauges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Total and free memory of an instance, from the ``view`` counter."""
     view = samples(spark, sf_dir).filter(F.col("series") == "view")
@@ -144,6 +163,35 @@ def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return samples(spark, sf_dir).select("instance", "t", F.inline(rows))
 
 
+def rule_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples under the names that alert rules read, with job and service; some names have none."""
+    v, t = F.col("value"), F.col("t")
+
+    def one(name: str, value) -> F.Column:
+        return F.struct(F.lit(name).alias("metric"), value.cast("double").alias("value"))
+
+    by_series = {
+        "view": [one("posts_processed_total", v), one("node_memory_MemTotal_bytes", F.lit(300)),
+                 one("node_memory_MemAvailable_bytes", 300 - v), one("up", F.when(v % 50 >= 2, 1).otherwise(0)),
+                 one("cpu_usage_percent", v / 3)],
+        "click": [one("node_filesystem_size_bytes", F.lit(300)), one("node_filesystem_free_bytes", 300 - v),
+                  one("memory_usage_percent", v / 3), one("log_errors_total", F.floor(v / 2))],
+        "error": [one("reddit_api_errors_total", v), one("sentiment_analysis_errors_total", F.floor(v / 4)),
+                  one("errors_total", v * 40)],
+        "signup": [one("duplicates_found_total", v), one("backup_last_success_timestamp", t - v * 600)],
+        "purchase": [one("posts_fetched_total", v), one("disk_usage_percent", v / 3),
+                     one("database_connection_errors_total", F.floor(v / 250)),
+                     one("kube_job_status_start_time", t - v * 20)],
+    }
+    rows = F.array().cast("array<struct<metric:string,value:double>>")
+    for name, made in by_series.items():
+        rows = F.when(F.col("series") == name, F.array(*made)).otherwise(rows)
+    i = F.col("instance")
+    return samples(spark, sf_dir).select(
+        F.when(i == "i2", "other").otherwise("pipeline").alias("job"), F.when(i == "i1", "other").otherwise("pipeline").alias("service"),
+        "instance", "t", F.inline(rows))
+
+
 def hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events per type and hour, hours with events only."""
     hour = (F.col("t") - F.pmod(F.col("t"), F.lit(3600))).alias("t")

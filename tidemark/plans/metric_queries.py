@@ -231,6 +231,41 @@ def histogram_quantile(spark, sf):
     return ts.histogram_quantile(buckets, 0.95, ["series", "day"])
 
 
+def _rate_quantile_oracle(by, q):
+    own = f"{by}, " if by else ""
+    same = " AND ".join(f"d.{k} = g.{k}" for k in by.split(", ")) if by else "true"
+    return f"""
+WITH grid AS (
+  SELECT s.*, h.t, b.le FROM (SELECT DISTINCT {by or "0 AS one"} FROM bucket_samples) s CROSS JOIN hours h
+  CROSS JOIN (SELECT DISTINCT le FROM bucket_samples) b),
+grown AS (
+  SELECT {"g." + by.replace(", ", ", g.") + ", " if by else ""}g.t, g.le, coalesce(sum(d.delta), 0.0)::DOUBLE AS n
+  FROM grid g LEFT JOIN bucket_growth d ON {same} AND d.le = g.le AND d.t > g.t - 14400 AND d.t <= g.t
+  GROUP BY ALL),
+raised AS (
+  SELECT *, max(n) OVER (PARTITION BY {own}t ORDER BY le) AS c FROM grown),
+placed AS (
+  SELECT *, lag(le) OVER w AS low, coalesce(lag(c) OVER w, 0) AS below, max(c) OVER (PARTITION BY {own}t) AS total
+  FROM raised WINDOW w AS (PARTITION BY {own}t ORDER BY le))
+SELECT {own}t, round(arg_min(CASE WHEN le = 'Infinity'::DOUBLE THEN low ELSE coalesce(low, 0) + (le - coalesce(low, 0))
+       * ({q}::DOUBLE * total - below) / (c - below) END, le), 6) AS quantile
+FROM placed WHERE total > 0 AND c >= {q}::DOUBLE * total GROUP BY {own}t"""
+
+
+@query("histogram_quantile_rate", _rate_quantile_oracle("series, instance", 0.95))
+def histogram_quantile_rate(spark, sf):
+    """The 95th percentile over the last four hours, at every hour, per series."""
+    return ts.quantile_of_rates(fx.bucket_samples(spark, sf), 0.95, _KEYS, [*fx.BOUNDS, float("inf")],
+                                _WINDOW, *fx.span(spark, sf, _HOUR), _HOUR)
+
+
+@query("histogram_quantile_rate_by", _rate_quantile_oracle("series", 0.5))
+def histogram_quantile_rate_by(spark, sf):
+    """The median per event type: growth of all instances summed before the quantile."""
+    return ts.quantile_of_rates(fx.bucket_samples(spark, sf), 0.5, _KEYS, [*fx.BOUNDS, float("inf")],
+                                _WINDOW, *fx.span(spark, sf, _HOUR), _HOUR, by=["series"])
+
+
 @query("usage_percent", """
 SELECT instance, t, round((max(value) FILTER (WHERE metric = 'mem_total')
          - max(value) FILTER (WHERE metric = 'mem_free'))

@@ -133,6 +133,30 @@ FROM samples JOIN (VALUES
   ('purchase', 'posts_fetched_total', 'v', 0), ('purchase', 'node_cpu_seconds_total', 'x', 16)
 ) AS m(series, metric, how, k) ON samples.series = m.series"""
 
+VIEWS["rule_samples"] = """
+SELECT CASE instance WHEN 'i2' THEN 'other' ELSE 'pipeline' END AS job,
+       CASE instance WHEN 'i1' THEN 'other' ELSE 'pipeline' END AS service, instance, t, name AS metric,
+       CASE name WHEN 'node_memory_MemTotal_bytes' THEN 300 WHEN 'node_filesystem_size_bytes' THEN 300
+         WHEN 'node_memory_MemAvailable_bytes' THEN 300 - value
+         WHEN 'node_filesystem_free_bytes' THEN 300 - value
+         WHEN 'up' THEN CASE WHEN value % 50 >= 2 THEN 1 ELSE 0 END
+         WHEN 'cpu_usage_percent' THEN value / 3 WHEN 'memory_usage_percent' THEN value / 3
+         WHEN 'disk_usage_percent' THEN value / 3 WHEN 'log_errors_total' THEN floor(value / 2)
+         WHEN 'sentiment_analysis_errors_total' THEN floor(value / 4) WHEN 'errors_total' THEN value * 40
+         WHEN 'backup_last_success_timestamp' THEN t - value * 600
+         WHEN 'database_connection_errors_total' THEN floor(value / 250)
+         WHEN 'kube_job_status_start_time' THEN t - value * 20 ELSE value END::DOUBLE AS value
+FROM samples JOIN (VALUES
+  ('view', 'posts_processed_total'), ('view', 'node_memory_MemTotal_bytes'),
+  ('view', 'node_memory_MemAvailable_bytes'), ('view', 'up'), ('view', 'cpu_usage_percent'),
+  ('click', 'node_filesystem_size_bytes'), ('click', 'node_filesystem_free_bytes'),
+  ('click', 'memory_usage_percent'), ('click', 'log_errors_total'), ('error', 'reddit_api_errors_total'),
+  ('error', 'sentiment_analysis_errors_total'), ('error', 'errors_total'),
+  ('signup', 'duplicates_found_total'), ('signup', 'backup_last_success_timestamp'),
+  ('purchase', 'posts_fetched_total'), ('purchase', 'disk_usage_percent'),
+  ('purchase', 'database_connection_errors_total'), ('purchase', 'kube_job_status_start_time')
+) AS m(series, name) ON samples.series = m.series"""
+
 VIEWS["named_rates"] = """
 SELECT g.metric, g.instance, g.t, round(coalesce(sum(d.delta), 0.0) / 14400.0::DOUBLE, 9) AS rate
 FROM (SELECT s.metric, s.instance, h.t FROM (SELECT DISTINCT metric, instance FROM named) s
@@ -157,6 +181,21 @@ CROSS JOIN (VALUES (1.0::DOUBLE), (5.0), (10.0), (25.0), (50.0), (100.0), (200.0
             ('Infinity'::DOUBLE)) AS b(le)
 GROUP BY series, day, b.le"""
 
+VIEWS["bucket_samples"] = """
+SELECT series, instance, t, le, CAST(sum(n) OVER (
+         PARTITION BY series, instance, le, (t - 600) // 144000 ORDER BY t) AS DOUBLE) AS value
+FROM (SELECT event_type AS series, instance, (t // 60 + 1) * 60 AS t, b.le,
+             sum(CASE WHEN value <= b.le THEN 1 ELSE 0 END) AS n
+      FROM evs CROSS JOIN (VALUES (1.0::DOUBLE), (5.0), (10.0), (25.0), (50.0), (100.0), (200.0),
+                           ('Infinity'::DOUBLE)) AS b(le) GROUP BY ALL) a
+QUALIFY le <> 25 OR t // 60 % 7 <> 0"""
+
+VIEWS["bucket_growth"] = """
+SELECT series, instance, le, t, CASE WHEN prev IS NULL THEN 0.0 WHEN value < prev THEN value
+       ELSE value - prev END::DOUBLE AS delta
+FROM (SELECT *, lag(value) OVER (PARTITION BY series, instance, le ORDER BY t) AS prev
+      FROM bucket_samples) a"""
+
 VIEWS["hourly_grid"] = """
 SELECT s.series, h.t, CAST(coalesce(n, 0) AS BIGINT) AS n
 FROM (SELECT DISTINCT event_type AS series FROM evs) s

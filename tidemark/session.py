@@ -65,6 +65,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared folder and read from there.
+
+    For what a plan reads twice: the work is not repeated, and does not depend
+    on the executors that did it.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def values_frame(spark: SparkSession, schema: str | StructType, rows: list[tuple]) -> DataFrame:
     """A small configuration table as literals.
 
