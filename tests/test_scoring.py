@@ -124,6 +124,29 @@ def test_trained(spark):
     assert got[2] == NEUTRAL_ROW and abs(sum(got[0][2:]) - 1) < 1e-9
 
 
+def test_trained_by_hand(spark):
+    """Add-one smoothing, tokens unknown to the model, a hot token, and repeated texts."""
+    import math
+
+    rows = [("good good the", "positive"), ("the fine", "positive"), ("bad the", "negative"), ("the", "neutral"), ("skip", None)]
+    scorer = fit_trained_scorer(spark.createDataFrame(rows, "text string, label string"))
+    counts = {"positive": {"good": 2, "the": 2, "fine": 1}, "negative": {"bad": 1, "the": 1}, "neutral": {"the": 1}}
+    docs = {"positive": 2, "negative": 1, "neutral": 1}
+
+    def by_hand(text):
+        logs = {}
+        for c, own in counts.items():
+            n = sum(own.values())
+            logs[c] = math.log((docs[c] + 1) / 7) + sum(
+                math.log((own.get(w, 0) + 1) / (n + 4)) for w in text.lower().split() if w in ("good", "the", "fine", "bad"))
+        whole = sum(math.exp(x) for x in logs.values())
+        return [math.exp(logs[c]) / whole for c in ("positive", "negative", "neutral")]
+
+    texts = ["good the", "Bad bad unknown", "the " * 50, "only unknown words", "good the"]
+    for text, got in zip(texts, _scores(score(_texts(spark, *texts), "t", scorer))):
+        assert got[2:] == pytest.approx(by_hand(text), abs=1e-6)
+
+
 def test_trained_query_reads_whole_texts(spark, scratch):
     """The label depends on words after character 400 alone."""
     from tidemark.plans.post_queries import score_trained

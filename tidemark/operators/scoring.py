@@ -6,6 +6,7 @@ Blank texts never reach a model; they get the neutral fallback.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import preprocess_text, tokens
 from tidemark.schemas import SENTIMENT
+from tidemark.session import staged
 
 #: Result for blank texts, a missing model or a failed job (fixed values).
 NEUTRAL = {"label": "neutral", "confidence": 0.5, "positive": 0.33, "negative": 0.33,
@@ -101,76 +103,95 @@ class LexiconScorer:
             text, F.col("__pos"), F.size("__found") - F.col("__pos")).alias(out))
 
     def _joined(self, df: DataFrame, text: str, out: str) -> DataFrame:
-        """Tokens of each distinct text, named by its hash, are joined to the lexicon.
-
-        Equal (text, token) pairs are counted before the join, and the token
-        side is salted since a common word can hold most of the rows. The rows
-        meet their counts by the hash and a salt of their own, as one text can
-        be in most of them.
-        """
-        salts = 32
-        named = df.withColumns({"__hash": F.sha2(text, 256),
-                                "__row": F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")})
-        per_text = (
-            named.groupBy("__hash").agg(F.first(text).alias("__text"))
-            .select("__hash", F.explode(tokens(F.col("__text"))).alias("token"))
-            .groupBy("__hash", "token").agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("__salt", F.pmod(F.xxhash64("__hash"), F.lit(salts)).cast("int"))
-        )
-        words = self.lexicon.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        counts = (
-            per_text.join(words, ["token", "__salt"])
-            .groupBy("__hash")
-            .agg(F.sum(F.when(F.col("polarity") > 0, F.col("n"))).alias("__pos"),
-                 F.sum(F.when(F.col("polarity") < 0, F.col("n"))).alias("__neg"))
-        )
-        counts = counts.withColumn("__row", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = named.join(counts, ["__hash", "__row"], "left")
+        counts = {"__pos": F.sum(F.when(F.col("polarity") > 0, F.col("n"))),
+                  "__neg": F.sum(F.when(F.col("polarity") < 0, F.col("n")))}
+        joined = _with_token_sums(df, text, self.lexicon, "token", tokens, counts)
         zero = F.lit(0)
         return joined.select(*df.columns, self._result(
             text, F.coalesce(F.col("__pos"), zero), F.coalesce(F.col("__neg"), zero)).alias(out))
 
 
+def _with_token_sums(df: DataFrame, text: str, table: DataFrame, key: str,
+                     parts: Callable[[Column], Column], sums: dict[str, Column],
+                     salts: int = 32) -> DataFrame:
+    """``df`` with sums over its texts' tokens, each met with its row of ``table``.
+
+    Tokens of each distinct text, named by its hash, are joined to the table by
+    ``key``. Equal (text, token) pairs are counted before the join, as ``n``, and
+    with ``salts`` the token side is salted and the table copied as often, since
+    a common word can hold most of the rows; without, the join is one that
+    adaptive execution can split. The rows meet their sums by the hash and a
+    salt of their own, as one text can be in most of them.
+    """
+    named = df.withColumns({"__hash": F.sha2(text, 256),
+                            "__row": F.pmod(F.monotonically_increasing_id(), F.lit(32)).cast("int")})
+    per_text = (
+        named.groupBy("__hash").agg(F.first(text).alias("__text"))
+        .select("__hash", F.explode(parts(F.col("__text"))).alias(key))
+        .groupBy("__hash", key).agg(F.count(F.lit(1)).alias("n"))
+    )
+    on = [key]
+    if salts > 1:
+        on.append("__salt")
+        per_text = per_text.withColumn("__salt", F.pmod(F.xxhash64("__hash"), F.lit(salts)).cast("int"))
+        table = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    counts = per_text.join(table, on).groupBy("__hash").agg(*[c.alias(n) for n, c in sums.items()])
+    counts = counts.withColumn("__row", F.explode(F.sequence(F.lit(0), F.lit(31))))
+    return named.join(counts, ["__hash", "__row"], "left")
+
+
 class TrainedScorer:
-    """A fitted ``pyspark.ml`` pipeline; ``classes`` names its class indices."""
+    """Multinomial naive Bayes, fitted by :func:`fit_trained_scorer`.
+
+    ``model`` has a row per token with its log-likelihood in each class, rounded
+    to ``DIGITS`` decimals, so that sums do not depend on their order; ``priors``
+    are the classes' log-priors. Tokens that the training rows did not have say
+    nothing; a class that none of them had scores 0.0.
+    """
 
-    def __init__(self, model, classes: list[str], text_col: str = "text"):
-        self.model, self.classes, self.text_col = model, classes, text_col
+    def __init__(self, model: DataFrame, priors: dict[str, float], parts: Callable[[Column], Column]):
+        self.model, self.priors, self.parts = model, priors, parts
 
     def add(self, df: DataFrame, text: str, out: str) -> DataFrame:
-        from pyspark.ml.functions import vector_to_array
+        sums = {f"__s_{c}": F.sum(F.col("n").cast("decimal(18,0)") * F.col(f"log_{c}")) for c in self.priors}
+        joined = _with_token_sums(df, text, self.model, "token", self.parts, sums, salts=1)
+        logs = {c: F.lit(p) + F.coalesce(F.col(f"__s_{c}").cast("double"), F.lit(0.0)) for c, p in self.priors.items()}
+        best = F.greatest(*logs.values()) if len(logs) > 1 else next(iter(logs.values()), F.lit(0.0))
+        weights = {c: F.exp(x - best) for c, x in logs.items()}
+        whole = sum(weights.values(), F.lit(0.0))
+        return joined.select(*df.columns, F.when(F.col(text) == "", neutral_struct()).otherwise(
+            sentiment_struct({c: w / whole for c, w in weights.items()})).alias(out))
+
 
-        # Only the text goes through the stages; they add narrow columns.
-        fed = df.withColumn(self.text_col, F.col(text)) if text != self.text_col else df
-        scored = self.model.transform(fed)
-        probability = vector_to_array(F.col("probability"))
-        # A class that no training row had has no probability, and counts 0.0.
-        scores = {name: F.get(probability, F.lit(i)) for i, name in enumerate(self.classes)}
-        return scored.select(*df.columns, F.when(F.col(text) == "", neutral_struct())
-                             .otherwise(sentiment_struct(scores)).alias(out))
+#: Decimals of a log-likelihood.
+DIGITS = 9
 
 
 def fit_trained_scorer(labelled: DataFrame, text: str = "text", label: str = "label",
-                       features: int = 1 << 14) -> TrainedScorer:
-    """Tokens, hashed counts, IDF and multinomial regression; one class per label."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
-
-    classes = CLASSES
-    indexed = labelled.select(
-        F.col(text).alias("text"),
-        F.element_at(F.create_map(*[x for i, c in enumerate(classes)
-                                    for x in (F.lit(c), F.lit(float(i)))]), F.col(label))
-        .alias("label_index"))
-    stages = [
-        RegexTokenizer(inputCol="text", outputCol="__words", pattern=r"[^\p{L}]+"),
-        HashingTF(inputCol="__words", outputCol="__tf", numFeatures=features),
-        IDF(inputCol="__tf", outputCol="__features"),
-        LogisticRegression(featuresCol="__features", labelCol="label_index",
-                           family="multinomial", maxIter=20, regParam=0.01),
-    ]
-    return TrainedScorer(Pipeline(stages=stages).fit(indexed), classes)
+                       features: int | None = None) -> TrainedScorer:
+    """Multinomial naive Bayes with add-one smoothing, by aggregation alone.
+
+    Tokens are counted per class with map-side combine; with ``features`` they
+    are first dealt to so many buckets by hash. The model is written to the
+    shared folder; only the classes' totals come to the driver.
+    """
+    def parts(column: Column) -> Column:
+        found = F.filter(tokens(column), lambda t: t != "")
+        return F.transform(found, lambda t: F.pmod(F.xxhash64(t), F.lit(features))) if features else found
+
+    rows = labelled.filter(F.col(label).isin(CLASSES)).select(F.col(label).alias("__label"), F.col(text).alias("__text"))
+    docs = {r[0]: r[1] for r in rows.groupBy("__label").count().collect()}
+    classes = [c for c in CLASSES if docs.get(c)]
+    counted = staged(rows.select("__label", F.explode(parts(F.col("__text"))).alias("token")).groupBy("token").agg(
+        *[F.count_if(F.col("__label") == c).alias(f"n_{c}") for c in classes]), "tokens")
+    size, *totals = counted.agg(F.count(F.lit(1)), *[F.sum(f"n_{c}") for c in classes]).first()
+    model = counted.select("token", *[
+        F.round(F.log((F.col(f"n_{c}") + 1) / F.lit(float((n or 0) + size))), DIGITS).cast(f"decimal(18,{DIGITS})").alias(f"log_{c}")
+        for c, n in zip(classes, totals)])
+    seen = sum(docs.get(c, 0) for c in classes)
+    priors = {c: round(math.log((docs[c] + 1) / (seen + len(classes))), DIGITS) for c in classes}
+    return TrainedScorer(model, priors, parts)
+
 
 
 class BatchModelScorer:
