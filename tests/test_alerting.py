@@ -130,6 +130,28 @@ def test_rules_with_and_without_data(spark):
     assert [by["Gone", None, t] for t in range(0, 241, 60)] == ["NoData"] * 5
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_group_windows_by_hand(spark, seed):
+    rnd = random.Random(seed)
+    rows = [(rnd.choice(["a", "a", "b", None]), rnd.choice(["critical", "info"]), rnd.randrange(30_000)) for _ in range(600)]
+    rows += [("a", "critical", t) for t in range(40_000, 44_000, 7)]
+    df = spark.createDataFrame(rows, "k string, severity string, t bigint")
+    wait = {"critical": 30, "info": 10}
+    got = {tuple(r) for r in al.group_windows(df, ["k"], ru.by_severity(wait), 100, 250, chunk_s=900).select(
+        "k", "severity", "opened_t", "notify_t", "alerts", "first_t", "last_t").collect()}
+    want = {}
+    for k, severity in {r[:2] for r in rows}:
+        opened = last = due = None
+        for t in sorted(r[2] for r in rows if r[:2] == (k, severity)):
+            if last is None or t - last > 250:
+                opened, due = t, t + wait[severity]
+            while t > due:
+                due += 100
+            want.setdefault((k, severity, opened, due), []).append(t)
+            last = t
+    assert got == {(*key, len(ts), min(ts), max(ts)) for key, ts in want.items()}
+
+
 def test_caps_keep_the_earliest(spark):
     df = spark.range(100).select(F.lit("k").alias("k"), F.col("id").alias("event_id"),
                                  (F.col("id") * 60).alias("t"))

@@ -169,3 +169,17 @@ def test_shared_dir_follows_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_dir(spark) == (named or spark.sparkContext.getCheckpointDir())
     assert os.sep in shared_dir(spark)
+
+
+def test_large_files_are_listed_without_being_opened(spark, scratch):
+    """A file of 3 GiB, sparse on disk."""
+    import os
+
+    folder = scratch.removeprefix("file:")
+    os.makedirs(folder)
+    with open(f"{folder}/small", "wb") as f:
+        f.write(b"abc")
+    with open(f"{folder}/large", "wb") as f:
+        f.truncate(3 << 30)
+    got = {os.path.basename(r.path): (r.length, r.checksum) for r in tm.file_manifest(spark, scratch).collect()}
+    assert got == {"small": (3, "900150983cd24fb0d6963f7d28e17f72"), "large": (3 << 30, None)}

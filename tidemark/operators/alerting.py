@@ -167,6 +167,30 @@ def group_alerts(alerts: DataFrame, by: list[str], t: str, interval_s: int) -> D
     return out.withColumn("worst_severity", worst).drop("__rank")
 
 
+def group_windows(alerts: DataFrame, by: list[str], wait_s: Column, interval_s: int, idle_s: int,
+                  t: str = "t", chunk_s: int = POINT_CHUNK_S) -> DataFrame:
+    """Notifications of alert groups: by, severity, ``opened_t``, ``notify_t``, size and times.
+
+    A group is opened by its first alert and notifies ``wait_s`` later, about
+    all that came until then, and then every ``interval_s`` in which more came.
+    It is over when nothing came for more than ``idle_s``; the next alert opens
+    another. ``wait_s`` follows from ``by`` and the severity, which is part of
+    the group, as it decides the route. Alerts of one second are one row of the
+    scan, and a group is told by its opening time, so this is two chunked scans
+    and an aggregation however long a group lives.
+    """
+    keys = [*by, "severity"]
+    moments = alerts.groupBy(*keys, t).agg(F.count(F.lit(1)).alias("__n"), F.max(wait_s).cast("bigint").alias("__wait"))
+    near = ordered_scan(moments, keys, t, prev={"__pt": F.col(t)}, chunk_s=chunk_s)
+    opens = F.col("__pt").isNull() | (F.col(t) - F.col("__pt") > idle_s)
+    lived = ordered_scan(near, keys, t, fill={"opened_t": F.when(opens, F.col(t))}, chunk_s=chunk_s)
+    first = F.col("opened_t") + F.col("__wait")
+    later = F.ceil((F.col(t) - first) / F.lit(interval_s)).cast("bigint") * interval_s
+    due = first + F.greatest(later, F.lit(0).cast("bigint"))
+    return lived.groupBy(*keys, "opened_t", due.alias("notify_t")).agg(
+        F.sum("__n").alias("alerts"), F.min(t).alias("first_t"), F.max(t).alias("last_t"))
+
+
 def throttle(alerts: DataFrame, keys: list[str], interval_s: Column, t: str = "t",
              chunk_s: int = POINT_CHUNK_S) -> DataFrame:
     """Times at which a notification goes out: at least the interval after the last one sent.

@@ -134,9 +134,14 @@ CHANNEL_CAPS = [(60, 10), (3600, 50)]
 INHIBIT_BY_SERVICE = ["service"]
 INHIBIT_BY_ALERT = ["alertname", "service", "instance"]
 
-#: Labels that make one notification group.
+#: Labels that make one notification group; seconds that a new group waits for more alerts, by
+#: severity, and from one notification of a group to the next.
 GROUP_BY = ["alertname", "cluster", "service"]
-
+GROUP_WAIT_S = {"critical": 30, "warning": 120}
+GROUP_WAIT_DEFAULT_S = 10
+GROUP_INTERVAL_S = 300
+#: Seconds without an alert after which a group is over.
+RESOLVE_TIMEOUT_S = 300
 
 
 def log_thresholds(service: str) -> list[tuple[str, str, int]]:

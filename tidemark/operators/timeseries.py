@@ -58,6 +58,25 @@ def counter_rate(samples: DataFrame, keys: list[str], window_s: int, t: str = "t
         .drop("__increase")
 
 
+def duration_rate(samples: DataFrame, keys: list[str], window_s: int, t: str = "t",
+                  total: str = "sum", count: str = "count") -> DataFrame:
+    """Growth per second of a histogram's sum, and the mean of what was observed in the window.
+
+    ``samples`` have the ``_sum`` and ``_count`` counters of a scrape side by
+    side; both restart together. Null mean where nothing was observed.
+    """
+    seen = ordered_scan(samples, keys, t, prev={"__s": F.col(total), "__c": F.col(count)})
+
+    def grown(now: str, before: str) -> Column:
+        return (F.when(F.col(before).isNull(), 0.0).when(F.col(now) < F.col(before), F.col(now))
+                .otherwise(F.col(now) - F.col(before)))
+
+    deltas = seen.select(*keys, t, grown(total, "__s").alias("__ds"), grown(count, "__c").alias("__dc"))
+    sums = range_sums(deltas, keys, t, {"__sum": "__ds", "__count": "__dc"}, window_s)
+    return sums.select(*keys, t, F.round(F.col("__sum") / float(window_s), 6).alias("seconds_per_second"),
+                       F.when(F.col("__count") > 0, F.round(F.col("__sum") / F.col("__count"), 6)).alias("mean"))
+
+
 def per_hour(rate: Column) -> Column:
     return F.round(rate * 3600.0, 6)
 

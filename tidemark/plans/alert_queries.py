@@ -20,12 +20,17 @@ from tidemark.operators.rules import (
     ESCALATION,
     ESCALATION_CAPS,
     ESCALATION_SCHEMA,
+    GROUP_BY,
+    GROUP_INTERVAL_S,
+    GROUP_WAIT_DEFAULT_S,
+    GROUP_WAIT_S,
     INHIBIT_BY_ALERT,
     INHIBIT_BY_SERVICE,
     JOB_RULES,
     METRIC_RULES,
     REPEAT_DEFAULT_S,
     REPEAT_S,
+    RESOLVE_TIMEOUT_S,
     RULE_SCHEMA,
     THROTTLE_S,
     by_severity,
@@ -36,8 +41,8 @@ from tidemark.operators.rules import (
 )
 from tidemark.plans import fixtures as fx
 from tidemark.plans.registry import query
-from tidemark.session import values_frame
-from tidemark.sources.telemetry import explode_payloads, parse_log_lines
+from tidemark.session import scratch_path, values_frame
+from tidemark.sources.telemetry import explode_payloads, parse_log_lines, write_status
 
 _ALERT = ["alertname", "service", "instance"]
 _SERIES = ["rule", "series"]
@@ -223,6 +228,32 @@ def alert_group(spark, sf):
     return al.group_alerts(firing, ["alertname", "service"], "t", 300)
 
 
+@query("alert_group_windows", """
+WITH RECURSIVE fired AS (
+  SELECT alertname, concat('c', CAST(event_id % 2 AS VARCHAR)) AS cluster, service, severity, t FROM alert_events
+  WHERE status = 'firing'),
+moments AS (
+  SELECT *, row_number() OVER (PARTITION BY alertname, cluster, service, severity ORDER BY t) AS rn
+  FROM (SELECT alertname, cluster, service, severity, t, count(*) AS n FROM fired GROUP BY ALL) a),
+walk AS (
+  SELECT alertname, cluster, service, severity, t, n, rn, t AS opened_t FROM moments WHERE rn = 1
+  UNION ALL
+  SELECT m.alertname, m.cluster, m.service, m.severity, m.t, m.n, m.rn,
+         CASE WHEN m.t - w.t > 300 THEN m.t ELSE w.opened_t END
+  FROM walk w JOIN moments m ON m.alertname = w.alertname AND m.cluster = w.cluster AND m.service = w.service
+    AND m.severity = w.severity AND m.rn = w.rn + 1),
+due AS (
+  SELECT *, opened_t + CASE severity WHEN 'critical' THEN 30 WHEN 'warning' THEN 120 ELSE 10 END AS first_due FROM walk)
+SELECT alertname, cluster, service, severity, opened_t,
+       first_due + greatest(0, (t - first_due + 299) // 300 * 300) AS notify_t,
+       CAST(sum(n) AS BIGINT) AS alerts, min(t) AS first_t, max(t) AS last_t FROM due GROUP BY ALL""")
+def alert_group_windows(spark, sf):
+    """Groups by alert, cluster and service, each severity with its own wait."""
+    firing = fx.alert_events(spark, sf).filter(F.col("status") == "firing").withColumn(
+        "cluster", F.concat(F.lit("c"), (F.col("event_id") % 2).cast("string")))
+    return al.group_windows(firing, GROUP_BY, by_severity(GROUP_WAIT_S, GROUP_WAIT_DEFAULT_S), GROUP_INTERVAL_S, RESOLVE_TIMEOUT_S)
+
+
 def _throttle_oracle(keys, every):
     same = " AND ".join(f"m.{k} = s.{k}" for k in keys.split(", "))
     mine = ", ".join(f"m.{k}" for k in keys.split(", "))
@@ -431,6 +462,20 @@ def health_rollup(spark, sf):
     return agg.health_rollup(checks, ["slot"])
 
 
+@query("status_json", """
+SELECT t - t % 86400 AS slot, CASE WHEN bool_and(healthy) THEN 'healthy' ELSE 'unhealthy' END
+         AS overall,
+       coalesce(string_agg(DISTINCT component, ',' ORDER BY component)
+                FILTER (WHERE NOT healthy), '') AS failing FROM health_checks GROUP BY 1""")
+def status_json(spark, sf):
+    """The daily health status, written as JSON and read back."""
+    checks = fx.health_checks(spark, sf).withColumn(
+        "slot", F.col("t") - F.pmod(F.col("t"), F.lit(86400)))
+    status, path = agg.health_rollup(checks, ["slot"]), scratch_path(spark, "status")
+    write_status(status, path)
+    return spark.read.schema(status.schema).json(path)
+
+
 @query("failure_streak", """
 SELECT event_id, component, streak, streak >= 3 AS needs_restart, streak >= 5 AS needs_alert
 FROM (SELECT event_id, component, CASE WHEN healthy THEN 0 ELSE count(*) FILTER (WHERE NOT healthy)

@@ -133,6 +133,17 @@ def bucket_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("le") != 25.0) | (F.col("t") / 60 % 7 != 0))
 
 
+def duration_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scraped ``_sum`` and ``_count`` counters of event values, restarting like :func:`bucket_samples`."""
+    minute = ((F.floor(F.col("t") / 60) + 1) * 60).cast("bigint").alias("t")
+    made = events(spark, sf_dir).groupBy(F.col("event_type").alias("series"), "instance", minute).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("cents"))
+    life = F.floor((F.col("t") - 600) / F.lit(144000)).alias("life")
+    lived = ordered_scan(made.select("*", life), ["series", "instance", "life"], "t",
+                         running={"c": F.col("n"), "s": F.col("cents")}, chunk_s=86400)
+    return lived.select("series", "instance", "t", (F.col("s") / 100.0).alias("sum"), F.col("c").cast("double").alias("count"))
+
+
 def gauges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Total and free memory of an instance, from the ``view`` counter."""
     view = samples(spark, sf_dir).filter(F.col("series") == "view")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.labels import label_columns, select_labels
-from tidemark.functions.status import firing_text, health_text, kpi_band, resource_level
+from tidemark.functions.status import KPI_BANDS, firing_text, health_text, kpi_band, resource_level
 from tidemark.functions.times import parse_duration
 from tidemark.operators import aggregates as agg
 from tidemark.operators import timeseries as ts
@@ -94,24 +94,31 @@ def status_map(spark, sf):
 SELECT event_id, kpi, value, CASE
   WHEN kpi = 'posts_per_hour' THEN CASE WHEN value > 50 THEN 'good' WHEN value < 20 THEN 'critical'
        ELSE 'warning' END
+  WHEN kpi = 'api_response_seconds' THEN CASE WHEN value < 2 THEN 'good'
+       WHEN value > 5 THEN 'critical' ELSE 'warning' END
+  WHEN kpi = 'sentiment_seconds' THEN CASE WHEN value < 1 THEN 'good'
+       WHEN value > 3 THEN 'critical' ELSE 'warning' END
   WHEN kpi = 'error_rate_percent' THEN CASE WHEN value < 1 THEN 'good'
        WHEN value > 5 THEN 'critical' ELSE 'warning' END
   WHEN kpi = 'cpu_percent' THEN CASE WHEN value < 50 THEN 'good' WHEN value > 80 THEN 'critical'
        ELSE 'warning' END
+  WHEN kpi = 'memory_percent' THEN CASE WHEN value < 60 THEN 'good' WHEN value > 85 THEN 'critical'
+       ELSE 'warning' END
   WHEN kpi = 'disk_percent' THEN CASE WHEN value < 70 THEN 'good' WHEN value > 90 THEN 'critical'
        ELSE 'warning' END END AS band,
   CASE kpi WHEN 'cpu_percent' THEN CASE WHEN value > 85 THEN 'critical'
        WHEN value > 70 THEN 'warning' ELSE 'ok' END
+       WHEN 'memory_percent' THEN CASE WHEN value > 90 THEN 'critical'
+       WHEN value > 80 THEN 'warning' ELSE 'ok' END
        WHEN 'disk_percent' THEN CASE WHEN value > 95 THEN 'critical'
        WHEN value > 85 THEN 'warning' ELSE 'ok' END END AS level
-FROM (SELECT event_id, value, CASE event_type WHEN 'view' THEN 'posts_per_hour'
-        WHEN 'error' THEN 'error_rate_percent' WHEN 'click' THEN 'cpu_percent'
-        WHEN 'signup' THEN 'disk_percent' ELSE 'other' END AS kpi FROM events) e""")
+FROM (SELECT event_id, value, CASE user_id % 8 WHEN 0 THEN 'posts_per_hour'
+        WHEN 1 THEN 'api_response_seconds' WHEN 2 THEN 'sentiment_seconds'
+        WHEN 3 THEN 'error_rate_percent' WHEN 4 THEN 'cpu_percent' WHEN 5 THEN 'memory_percent'
+        WHEN 6 THEN 'disk_percent' ELSE 'other' END AS kpi FROM events) e""")
 def kpi_bands(spark, sf):
-    kind = F.col("event_type")
-    kpi = (F.when(kind == "view", "posts_per_hour").when(kind == "error", "error_rate_percent")
-           .when(kind == "click", "cpu_percent").when(kind == "signup", "disk_percent")
-           .otherwise("other"))
+    """Every KPI of the table, and one that it does not have."""
+    kpi = F.get(F.array(*[F.lit(k) for k in (*KPI_BANDS, "other")]), (F.col("user_id") % 8).cast("int"))
     resource = F.regexp_extract("kpi", "^(cpu|memory|disk)_percent$", 1)
     return fx.events(spark, sf).select("event_id", kpi.alias("kpi"), "value").select(
         "*", kpi_band(F.col("kpi"), F.col("value")).alias("band"),
@@ -170,6 +177,26 @@ def last_success(spark, sf):
                             F.col("event_type") == "purchase", "t")
 
 
+@query("duration_rate", """
+WITH totals AS (
+  SELECT series, instance, t, sum(cents) OVER w / 100.0::DOUBLE AS s, (sum(n) OVER w)::DOUBLE AS c
+  FROM (SELECT event_type AS series, instance, (t // 60 + 1) * 60 AS t, count(*) AS n,
+               sum(CAST(round(value * 100) AS BIGINT)) AS cents FROM evs GROUP BY 1, 2, 3) a
+  WINDOW w AS (PARTITION BY series, instance, (t - 600) // 144000 ORDER BY t)),
+grew AS (
+  SELECT series, instance, t, CASE WHEN ps IS NULL THEN 0 WHEN s < ps THEN s ELSE s - ps END AS ds,
+         CASE WHEN pc IS NULL THEN 0 WHEN c < pc THEN c ELSE c - pc END AS dc
+  FROM (SELECT *, lag(s) OVER w AS ps, lag(c) OVER w AS pc FROM totals
+        WINDOW w AS (PARTITION BY series, instance ORDER BY t)) a)
+SELECT series, instance, t, round(s / 3600.0::DOUBLE, 6) AS seconds_per_second,
+       CASE WHEN c > 0 THEN round(s / c, 6) END AS mean
+FROM (SELECT series, instance, t, sum(ds) OVER w AS s, sum(dc) OVER w AS c FROM grew
+      WINDOW w AS (PARTITION BY series, instance ORDER BY t RANGE BETWEEN 3599 PRECEDING AND CURRENT ROW)) b""")
+def duration_rate(spark, sf):
+    """Rate of a histogram's sum and the mean over the last hour, at every scrape."""
+    return ts.duration_rate(fx.duration_samples(spark, sf), _KEYS, 3600)
+
+
 # Ranges ---------------------------------------------------------------------------------------
 
 _RANGE = "sum(delta) OVER (PARTITION BY series, instance ORDER BY t RANGE BETWEEN {} PRECEDING " \

@@ -274,6 +274,33 @@ def score_udf(spark, sf):
                        F.col("sentiment_error").alias("failed"))
 
 
+def _picky_model():
+    """The same, failing on the whole list if a text's length is a multiple of 7."""
+    model = _counting_model()
+
+    def picky(texts):
+        if any(len(t) % 7 == 0 for t in texts):
+            raise ValueError("cannot score this text")
+        return model(texts)
+    return picky
+
+
+@query("score_failures", """
+SELECT arrival_seq, CASE WHEN failed THEN 'neutral' ELSE label END AS label,
+       CASE WHEN failed THEN 0.33 ELSE positive END AS positive,
+       CASE WHEN failed THEN 0.33 ELSE negative END AS negative,
+       CASE WHEN failed THEN 0.34 ELSE neutral END AS neutral, failed
+FROM scored JOIN (SELECT arrival_seq, text <> '' AND length(text) % 7 = 0 AS failed FROM whole_texts) t
+  USING (arrival_seq)""")
+def score_failures(spark, sf):
+    """A model that fails on some texts: those alone get the fallback, the rest of their list is retried."""
+    done = score(_composed(spark, sf), "text", BatchModelScorer(_picky_model, batch_size=16))
+    s = F.col("sentiment")
+    return done.select("arrival_seq", s["label"].alias("label"), s["positive"].alias("positive"),
+                       s["negative"].alias("negative"), s["neutral"].alias("neutral"),
+                       F.col("sentiment_error").alias("failed"))
+
+
 @query("score_trained", r"""
 WITH classed AS (
   SELECT t.arrival_seq, t.text, t.arrival_seq % 5 = 0 AS held_out,

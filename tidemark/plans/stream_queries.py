@@ -57,6 +57,25 @@ def stream_window_counts(spark, sf):
     return spark.read.schema(rows.schema).parquet(f"{base}/out")
 
 
+@query("stream_late_rows", """
+SELECT count(*) FILTER (WHERE t >= low + (high - low) // 2) AS kept,
+       count(*) FILTER (WHERE t < low + (high - low) // 2) AS late
+FROM evs CROSS JOIN (SELECT min(t) AS low, max(t) AS high FROM evs) s""")
+def stream_late_rows(spark, sf):
+    """The later half of the events arrives first; the watermark then drops the other half, and counts it."""
+    base, events = scratch_path(spark, "late"), fx.table(spark, sf, "events")
+    t = epoch_of_ntz("ts")
+    low, high = events.agg(F.min(t), F.max(t)).first()
+    middle = (low or 0) + ((high or 0) - (low or 0)) // 2
+    for part in (events.filter(t >= middle), events.filter(t < middle)):
+        part.write.mode("append").parquet(f"{base}/in")
+        rows = jobs.read_files(spark, f"{base}/in", events.schema).withColumn("ts", F.col("ts").cast("timestamp"))
+        unique = rows.withWatermark("ts", jobs.WATERMARK).dropDuplicatesWithinWatermark(["event_id"])
+        last = jobs.run_available(unique.select("event_id"), f"{base}/out", f"{base}/checkpoint")
+    kept = spark.read.schema("event_id bigint").parquet(f"{base}/out")
+    return kept.agg(F.count(F.lit(1)).alias("kept")).withColumn("late", F.lit(jobs.late_rows(last)).cast("bigint"))
+
+
 #: Hours without evaluation every fifth day; infos are no longer evaluated in the last five days.
 _OUTAGE = "(t // 3600) % 120 BETWEEN 40 AND 43"
 _NO_DATA_S = 9000

@@ -124,17 +124,26 @@ def explode_payloads(payloads: DataFrame, body: str = "body") -> DataFrame:
 
 # Files ----------------------------------------------------------------------------------------
 
+#: Spark hands a file's content over as one value, which can be no larger than this.
+CHECKED_BYTES = 2**31 - 2**20
+
+
 def file_manifest(spark: SparkSession, path: str, glob: str | None = None,
-                  recursive: bool = True) -> DataFrame:
+                  recursive: bool = True, checked_bytes: int = CHECKED_BYTES) -> DataFrame:
     """Path, size, time and MD5 of every file.
 
-    Files are read whole by Spark's binary file source, one by one, so a file
-    must be smaller than 2 GiB; a larger one ends the job.
+    Files are read whole by Spark's binary file source, one by one. A file over
+    ``checked_bytes`` is listed without being opened, its checksum null; the
+    source filters by size before it reads.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path).select("path", "length", "modificationTime", F.md5("content").alias("checksum"))
+    files = reader.load(path)
+    listed = ["path", "length", "modificationTime"]
+    small = files.filter(F.col("length") <= checked_bytes).select(*listed, F.md5("content").alias("checksum"))
+    large = files.filter(F.col("length") > checked_bytes).select(*listed, F.lit(None).cast("string").alias("checksum"))
+    return small.unionByName(large)
 
 
 def write_status(status: DataFrame, path: str) -> None:
