@@ -197,70 +197,69 @@ def throttle(alerts: DataFrame, keys: list[str], interval_s: Column, t: str = "t
 
     Alerts of one second are one candidate; ``interval_s`` follows from the
     keys, and 0 sends every candidate. A candidate whose predecessor is a whole
-    interval away is always sent, so the line of a key falls apart into
-    independent stretches there. Within a stretch every candidate has one
-    successor, the first candidate an interval later, and what is sent is the
-    chain of successors from the stretch's first; see :func:`chain`. All of it is
-    joins and scans by (key, time), so that one busy key fills as many tasks as many.
+    interval away is always sent. Every other one is sent if it is the successor
+    of one that is, the first candidate an interval later; see :func:`chain`. All
+    of it is joins and scans by (key, time), so that one busy key fills as many
+    tasks as many.
     """
     moments = alerts.groupBy(*keys, t).agg(F.greatest(F.max(interval_s), F.lit(1)).cast("bigint").alias("__every"))
     near = ordered_scan(moments, keys, t, prev={"__pt": F.col(t)}, chunk_s=chunk_s)
-    begins = F.col("__pt").isNull() | (F.col(t) - F.col("__pt") >= F.col("__every"))
-    cut = ordered_scan(near, keys, t, fill={"__root": F.when(begins, F.col(t))}, chunk_s=chunk_s)
+    certain = F.col("__pt").isNull() | (F.col(t) - F.col("__pt") >= F.col("__every"))
 
     # Successors: every candidate asks at its time plus the interval, and the line is read backwards.
-    mark = F.struct(F.col(t).alias("t"), F.col("__root").alias("root"))
-    asks = cut.select(*keys, (-F.col(t) - F.col("__every")).alias("__back"), F.lit(1).alias("__asks"),
-                      F.col(t).alias("__from"), "__root", "__every", "__pt", F.lit(None).cast("struct<t:bigint,root:bigint>").alias("__mark"))
-    there = cut.select(*keys, (-F.col(t)).alias("__back"), F.lit(0).alias("__asks"), F.lit(None).cast("bigint").alias("__from"),
-                       "__root", "__every", "__pt", mark.alias("__mark"))
-    line = ordered_scan(there.unionByName(asks), keys, "__back", ["__asks"], fill={"__next": F.col("__mark")}, chunk_s=chunk_s)
+    mark = F.struct(F.col(t).alias("t"), certain.alias("certain"))
+    line = near.select(*keys, t, "__every", "__pt", F.inline(F.array(
+        F.struct((-F.col(t)).alias("__back"), F.lit(0).alias("__asks"), mark.alias("__mark")),
+        F.struct((-F.col(t) - F.col("__every")).alias("__back"), F.lit(1).alias("__asks"), F.lit(None).cast("struct<t:bigint,certain:boolean>").alias("__mark")))))
+    line = ordered_scan(line, keys, "__back", ["__asks"], fill={"__next": F.col("__mark")}, chunk_s=chunk_s)
     links = line.filter("__asks = 1").select(
-        *keys, "__root", F.col("__from").alias(t), "__every", F.coalesce(F.col("__pt"), F.col("__root")).alias("__pt"),
-        F.when(F.col("__next.root") == F.col("__root"), F.col("__next.t")).alias("__to"))
+        *keys, t, "__every", "__pt", certain.alias("__certain"), F.when(~F.col("__next.certain"), F.col("__next.t")).alias("__to"))
     return chain(links, keys, t).select(*keys, t)
 
 
 def chain(links: DataFrame, keys: list[str], t: str) -> DataFrame:
-    """The moments that chains of successors visit, from the first moment of every stretch.
-
-    ``links`` has a row per moment: keys, ``__root`` (the stretch's first
-    moment), ``__every``, ``__pt`` (the moment before) and ``__to`` (the
-    successor, at least ``__every`` later, or null). Pointers are doubled over
-    chunks of the stretch: chunks of one interval hold one visited moment at
-    most; a chunk of twice the width is left from where its half is left, or
-    from where the other half is left after that. Only moments at which a chunk
-    can be entered are kept, those that follow its first interval at the
-    latest, so the tables halve from round to round. Going back down, every
-    chunk that is entered shows where its second half is entered. The number of
-    rounds is the logarithm of the longest stretch in intervals; each round is
-    written once, as the next one reads it twice.
+    """The moments that chains of successors visit, from those that are ``__certain``.
+
+    ``links`` has a row per moment: keys, ``__every``, ``__pt`` (the moment
+    before) and ``__to`` (the successor, at least ``__every`` later; null where
+    that is certain anyway). Pointers are doubled over chunks of time: a chunk of
+    one interval holds one visited moment at most; a chunk of twice the width is
+    left from where its half is left, or from where the other half is left after
+    that. Only moments at which a chunk can be entered are kept, which follow its
+    first interval at the latest, or are certain, so the tables shrink from round
+    to round. When no chunk is left for another, the certain moments are all
+    there is to start from; going back down, every chunk that is entered shows
+    where its second half is. There are as many rounds as the logarithm of the
+    longest chain; every second one is written, as each reads the one before
+    twice.
     """
     def place(column: str, level: int) -> Column:
-        return F.floor((F.col(column) - F.col("__root")) / (F.col("__every") * (1 << level)))
+        return F.floor(F.col(column) / (F.col("__every") * (1 << level)))
 
     def joined(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
         """``left`` with ``__then``, the successor of its moment ``on`` in ``right``."""
-        named = right.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(t).alias("__at"),
-                             F.col("__to").alias("__then"))
+        named = right.filter("__to IS NOT NULL").select(
+            *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(t).alias("__at"), F.col("__to").alias("__then"))
         same = F.col(on) == F.col("__at")
         for i, k in enumerate(keys):
             same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
         return left.join(named, same, "left").drop("__at", *[f"__k{i}" for i in range(len(keys))])
 
-    level, rounds = 0, [staged(links, "chain")]
-    cells = (rounds[0].agg(F.max(place(t, 0))).first()[0] or 0) + 1
-    while 1 << level < cells:
-        level += 1
-        chunk = place(t, level) * F.col("__every") * (1 << level) + F.col("__root")
-        enters = F.when(place(t, level) == 0, F.col(t) == F.col("__root")).otherwise(F.col("__pt") < chunk + F.col("__every"))
-        double = joined(rounds[-1].filter(enters), rounds[-1], "__to")
+    def doubled(lower: DataFrame, level: int) -> DataFrame:
+        begin = place(t, level) * F.col("__every") * (1 << level)
+        enters = F.col("__certain") | (F.col("__pt") < begin + F.col("__every"))
+        pairs = joined(lower.filter(enters), lower, "__to")
         inside = place("__to", level) == place(t, level)
-        rounds.append(staged(double.withColumn("__to", F.when(inside, F.col("__then")).otherwise(F.col("__to"))).drop("__then"), "chain"))
+        return pairs.withColumn("__to", F.when(inside, F.col("__then")).otherwise(F.col("__to"))).drop("__then")
 
-    columns = [*keys, "__root", "__every", t]
-    sent = rounds[0].filter(F.col(t) == F.col("__root")).select(*columns)
-    for lower in reversed(range(level)):
+    rounds = [staged(links, "chain")]
+    while not rounds[-1].filter("__to IS NOT NULL").isEmpty():
+        rounds.append(doubled(rounds[-1], len(rounds)))
+        rounds.append(staged(doubled(rounds[-1], len(rounds)), "chain"))
+
+    columns = [*keys, "__every", t]
+    sent = rounds[0].filter("__certain").select(*columns)
+    for lower in reversed(range(len(rounds) - 1)):
         second = F.when(place("__then", lower + 1) == place(t, lower + 1), F.col("__then"))
         sent = joined(sent, rounds[lower], t).withColumn(t, F.explode(F.array_compact(F.array(F.col(t), second)))).select(*columns)
     return sent

@@ -350,22 +350,22 @@ def series_table(samples: DataFrame, keys: list[str], windows: list[int], start:
     first = start - -(-widest // cell) * cell
     cells = (
         counter_deltas(samples.select(*keys, t, value), keys, t, value)
-        .filter((F.col(t) > first - max(cell, lookback_s)) & (F.col(t) <= end))
+        .filter(F.col(t) <= end)
         .withColumn("__cell", F.greatest(grid_cell(F.col(t) - start, cell) + start, F.lit(first)).cast("bigint"))
         .groupBy(*keys, "__cell")
         .agg(F.sum("delta").alias("__grew"), F.max(t).alias("sample_t"), F.max_by(value, t).alias(value))
     )
-    # Every series begins with the grid, at a growth of nothing.
-    begin = samples.select(*keys).distinct().withColumns({
-        "__cell": F.lit(first).cast("bigint"), "__grew": F.lit(0.0), "sample_t": F.lit(None).cast("bigint"),
-        value: F.lit(None).cast("double")})
-    cells = cells.unionByName(begin).groupBy(*keys, "__cell").agg(
-        F.sum("__grew").alias("__grew"), F.max("sample_t").alias("sample_t"), F.max(value).alias(value))
-    line = ordered_scan(cells, keys, "__cell", running={"__total": F.col("__grew")},
+    line = ordered_scan(cells, keys, "__cell", running={"__total": F.col("__grew")}, prev={"__before": F.col("__cell")},
                         following={"__next": F.col("__cell")}, chunk_s=86400)
-    until = F.coalesce(F.col("__next") - cell, F.lit(_last(start, end, cell)))
-    dense = line.filter(F.col("__cell") <= until).select(
-        *keys, "__total", "sample_t", value, F.explode(F.sequence("__cell", until.cast("bigint"), F.lit(cell).cast("bigint"))).alias("__at"))
+    # A cell stands until the next one; before a series' first there was no growth and no value.
+    until = F.coalesce(F.col("__next") - cell, F.lit(_last(start, end, cell))).cast("bigint")
+    own = F.struct(F.col("__cell").alias("__low"), until.alias("__high"), "__total", "sample_t", value)
+    early = F.when(F.col("__before").isNull() & (F.col("__cell") > first), F.struct(
+        F.lit(first).cast("bigint").alias("__low"), (F.col("__cell") - cell).alias("__high"), F.lit(0.0).alias("__total"),
+        F.lit(None).cast("bigint").alias("sample_t"), F.lit(None).cast("double").alias(value)))
+    spans = line.select(*keys, F.inline(F.array_compact(F.array(own, early)))).filter("__low <= __high")
+    dense = spans.select(*keys, "__total", "sample_t", value, F.explode(
+        F.sequence("__low", "__high", F.lit(cell).cast("bigint"))).alias("__at"))
     looks = dense.select(*keys, "__total", "sample_t", value, "__at", F.explode(F.array(*[
         F.lit(w).cast("bigint") for w in (0, *windows)])).alias("__ago"))
     looks = looks.withColumn(t, F.col("__at") + F.col("__ago")).filter(
