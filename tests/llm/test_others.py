@@ -37,6 +37,96 @@ def test_weights_meet_the_targets(spark):
     assert out.probability.between(0, 1).all() and abs(out.sampled.mean() - out.probability.mean()) < 0.1
 
 
+def skewed_cells():
+    """A hot source, languages and topics too rare for their shares, cells without tokens."""
+    rng = random.Random(9)
+    cells = {}
+    for _ in range(60):
+        key = (rng.choice("abcde"), rng.choice(["en", "de", "fr", "", "it"]), str(rng.randint(0, 5)))
+        cells[key] = int(10 ** rng.uniform(0, 2)) * {"a": 400, "b": 30}.get(key[0], 1) * {"it": 0.01}.get(key[1], 1) // 1
+    cells["a", "en", "0"] = 200_000
+    cells["e", "fr", "5"] = 0
+    return [(*k, int(v)) for k, v in cells.items()]
+
+
+def raked_by_bisection(cells, fraction):
+    """Probabilities by the definition: sweeps in which each value's factor is found by halving."""
+    total = sum(c[3] for c in cells)
+    p = {c[:3]: fraction for c in cells}
+    wants = []
+    for d, power in enumerate(mixing.TARGETS.values()):
+        have = Counter()
+        for c in cells:
+            have[c[d]] += c[3]
+        share, goal = {v: t**power for v, t in have.items() if t}, fraction * total
+        low, high = 0.0, total * 10.0
+        for _ in range(300):  # the scale at which shares, cut at what there is, make the goal
+            mid = (low + high) / 2
+            low, high = (mid, high) if sum(min(have[v], s * mid) for v, s in share.items()) < goal else (low, mid)
+        wants.append({v: min(have[v], s * high) for v, s in share.items()})
+    # A start from the raked weights, as in the operator.
+    w = {c[:3]: 1.0 for c in cells}
+    for _ in range(3000):
+        for d, power in enumerate(mixing.TARGETS.values()):
+            have, tokens = Counter(), Counter()
+            for c in cells:
+                have[c[d]] += c[3] * w[c[:3]]
+                tokens[c[d]] += c[3]
+            norm = sum(t**power for t in tokens.values() if t)
+            w = {k: x * (tokens[k[d]] ** power / norm * total / have[k[d]] if have[k[d]] else 1) for k, x in w.items()}
+    p = {k: x * fraction for k, x in w.items()}
+    for _ in range(400):
+        for d, want in enumerate(wants):
+            for v, t in want.items():
+                own = [(c[3], c[:3]) for c in cells if c[d] == v]
+                low, high = 1e-12, 1e12
+                for _ in range(120):
+                    mid = math.sqrt(low * high)
+                    low, high = (mid, high) if sum(n * min(1.0, p[k] * mid) for n, k in own) < t else (low, mid)
+                for _, k in own:
+                    p[k] *= high if any(n for n, _ in own) else 1
+    return {k: min(1.0, x) for k, x in p.items()}, wants
+
+
+@pytest.mark.parametrize("most_cells", [1 << 20, 0])
+def test_what_is_drawn_meets_the_marginals(spark, monkeypatch, most_cells):
+    """In one task, and by joins: both against the definition."""
+    cells = skewed_cells()
+    if not most_cells:
+        monkeypatch.setattr(mixing, "TOLERANCE", 1e-3)  # a sweep by joins takes seconds here
+        monkeypatch.setattr(mixing, "MAX_SWEEPS", 14)
+    table = spark.createDataFrame(cells, "source string, lang string, topic string, tokens bigint")
+    out = {(r.source, r.lang, r.topic): r for r in mixing.rake(table, most_cells=most_cells).collect()}
+    _, wants = raked_by_bisection(cells, 0.5)
+    assert len(out) == len(cells) and all(0 <= r.probability <= 1 for r in out.values())
+    assert sum(r.probability == 1 and r.tokens > 0 for r in out.values()) > 3
+    for d, want in enumerate(wants):
+        have = Counter()
+        for k, r in out.items():
+            have[k[d]] += r.tokens * r.probability
+        assert all(math.isclose(have[v], t, rel_tol=1e-3 if most_cells else 2e-2) for v, t in want.items()), (d, have, want)
+
+
+def test_raking_is_that_of_the_definition(spark):
+    cells = skewed_cells()
+    table = spark.createDataFrame(cells, "source string, lang string, topic string, tokens bigint")
+    want, _ = raked_by_bisection(cells, 0.5)
+    for r in mixing.rake(table).collect():
+        if r.tokens:
+            assert math.isclose(r.probability, want[r.source, r.lang, r.topic], rel_tol=1e-3, abs_tol=1e-5)
+
+
+def test_probabilities_and_shortfalls(spark):
+    """A language of half a percent gives all it has, and is reported."""
+    rows = [(i, "w " * 20, "it" if i % 200 == 0 else "en", "abc"[i % 3], 1) for i in range(600)]
+    out = mixing.sample_weights(frame(spark, rows))
+    assert {r.probability for r in out.filter("lang = 'it'").collect()} == {1.0}
+    expected = sum(r.n_tokens * r.probability for r in out.collect())
+    assert math.isclose(expected, 600 * 20 / 2, rel_tol=1e-6)
+    short = mixing.shortfalls(out).collect()
+    assert [(r.dimension, r.value, r.expected) for r in short] == [("lang", "it", 60.0)] and short[0].wanted > 60
+
+
 def test_sample_keeps_columns_and_the_same_rows(spark):
     rows = mixed_rows()
     docs = clashing(frame(spark, rows))
