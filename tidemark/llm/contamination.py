@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from tidemark.llm.common import as_bytes, chunks
+from tidemark.llm.common import as_bytes, chunks, released
 from tidemark.llm.suffixes import FMIndex
 
 BLOCK_BYTES = 16 << 20
@@ -149,7 +149,7 @@ def _searched(docs: DataFrame, windows: Windows, last: bool) -> DataFrame:
                      pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
                     names=[*names, "n_words", "spans", "items"])
 
-    return docs.mapInArrow(search, schema)
+    return docs.mapInArrow(released(search), schema)
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, width: int = 10,

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHashes, as_bytes, chunks, mixed, window_hashes, written
+from tidemark.llm.common import WordHashes, as_bytes, chunks, mixed, released, window_hashes, written
 from tidemark.llm.components import components
 
 WORDS, SIMILARITY = 5, 0.8
@@ -161,7 +161,7 @@ def _sketched(texts: DataFrame, k: int, count: int) -> DataFrame:
                     "th": pa.array(np.repeat(th[low:high][some], count)),
                     "n": pa.array(np.repeat([len(kmers[i]) for i in some], count))})
 
-    return texts.mapInArrow(sketch, "band int, sketch bigint, id bigint, th bigint, n bigint")
+    return texts.mapInArrow(released(sketch), "band int, sketch bigint, id bigint, th bigint, n bigint")
 
 
 def _neighbours(shared: DataFrame) -> DataFrame:
@@ -251,7 +251,7 @@ def _marked(texts: DataFrame, k: int) -> DataFrame:
                 yield pa.record_batch({"id": batch["id"].slice(low, high - low),
                                        **{f"m{i}": pa.array(numbers[:, i]) for i in range(MARKS)}})
 
-    return texts.mapInArrow(marked, "id bigint, " + ", ".join(f"m{i} bigint" for i in range(MARKS)))
+    return texts.mapInArrow(released(marked), "id bigint, " + ", ".join(f"m{i} bigint" for i in range(MARKS)))
 
 
 def _allowed(threshold: float):
@@ -316,7 +316,7 @@ def _links(pairs: DataFrame, texts: DataFrame, k: int, threshold: float) -> Data
 
     first = pairs.join(texts.toDF("a", "left"), "a")
     return first.join(texts.toDF("b", "right"), "b").select("a", "b", "left", "right").mapInArrow(
-        verify, "a bigint, b bigint")
+        released(verify), "a bigint, b bigint")
 
 
 def classes(docs: DataFrame, k: int = WORDS, threshold: float = SIMILARITY, count: int = SKETCHES) -> DataFrame:

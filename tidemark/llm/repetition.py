@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.llm.common import as_bytes, chunks
+from tidemark.llm.common import as_bytes, chunks, released
 from tidemark.llm.suffixes import common_prefixes, suffix_array
 
 #: Words from which on a repeat counts as copied and not as a turn of phrase.
@@ -97,7 +97,7 @@ def measure(docs: DataFrame, min_repeat: int = MIN_REPEAT) -> DataFrame:
     repeats = ((F.col("covered_words") > MAX_COVERED * F.col("n_words"))
                | ((F.col("longest_repeat") > FREE_LONGEST)
                   & (F.col("longest_repeat") > MAX_LONGEST * F.col("n_words"))))
-    return (docs.mapInArrow(measured, schema).withColumn("base_failed", base)
+    return (docs.mapInArrow(released(measured), schema).withColumn("base_failed", base)
                 .withColumn("kept", ~base & ~repeats))
 
 
