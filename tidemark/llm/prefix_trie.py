@@ -46,7 +46,7 @@ from tidemark.llm.common import written
 
 KEY_TURNS, PIECE = 64, 6
 DIGEST = 16
-SHARD_TURNS = 200_000
+SHARD_TURNS = 50_000
 #: Ids of members that one row carries to the digest of a boundary node.
 ENDS = 512
 
