@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 import time
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import compose_text
@@ -18,11 +19,13 @@ from tidemark.operators.dedup import (
     store_rows,
     with_hash,
 )
-from tidemark.operators.scoring import Scorer, score
+from tidemark.operators.scoring import CLASSES, Scorer, score
 from tidemark.schemas import SCORED_COLUMNS, SCORED_POST
 from tidemark.sources.posts import by_community, hottest, normalize_posts, read_posts, write_csv
 from tidemark.sources.store import SeenStore
 
+log = logging.getLogger(__name__)
+
 
 def default_run_id() -> str:
     return datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
@@ -47,6 +50,8 @@ class RunConfig:
 
 @dataclass
 class RunResult:
+    """Figures of a run; ``reason`` names why it ended early, and is None where posts were written."""
+
     run_id: str
     reason: str | None
     fetched: int = 0
@@ -55,6 +60,7 @@ class RunResult:
     processed: int = 0
     labels: dict[str, int] = field(default_factory=dict)
     duration_s: float = 0.0
+    error: str | None = None
 
 
 def scored_posts(unique: DataFrame, scorer: Scorer | None, run_id: str) -> DataFrame:
@@ -94,7 +100,12 @@ def _fetched(posts: DataFrame, limit: int | None) -> int:
 
 def run(spark: SparkSession, config: RunConfig) -> RunResult:
     """One run. The sink is written first and the store after it, so a crash in
-    between loses nothing: the repeated run replaces its own output."""
+    between loses nothing: the repeated run replaces its own output.
+
+    What was written is counted while it is written, so the sink is not read
+    back; a run that writes nothing says whether nothing was fetched, nothing
+    was new, or nothing was left after scoring.
+    """
     began = time.monotonic()
     result = RunResult(config.run_id, None)
     posts = config.posts if config.posts is not None else \
@@ -112,22 +123,20 @@ def run(spark: SparkSession, config: RunConfig) -> RunResult:
         unique, stored = dedup_strict(taken, store)
     else:
         unique = dedup_against(dedup_first_wins(taken), store)
-    (scored_posts(unique, config.scorer, config.run_id)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    seen = Observation()
+    rows = scored_posts(unique, config.scorer, config.run_id).observe(
+        seen, F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("sentiment_label") == c).alias(c) for c in CLASSES])
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("run_id").parquet(config.sink))
-
-    # An empty result writes no partition, so there may be nothing to read back.
-    written = _written(spark, config)
-    counts = {r.sentiment_label: r.n for r in written.groupBy("sentiment_label")
-              .agg(F.count(F.lit(1)).alias("n")).collect()}
-    result.labels = counts
-    result.processed = result.unique = sum(counts.values())
+    counts = seen.get
+    result.labels = {c: counts[c] for c in CLASSES if counts.get(c)}
+    result.processed = result.unique = counts.get("n", 0)
     result.duplicates = result.fetched - result.unique
-    if result.unique == 0:
-        result.reason = "no_unique_posts"
+    if result.processed == 0:
+        result.reason = "no_unique_posts" if unique.isEmpty() else "empty_dataframe"
         return result
     if config.csv:
-        write_csv(written.select(*SCORED_COLUMNS), config.csv)
+        write_csv(_written(spark, config).select(*SCORED_COLUMNS), config.csv)
     if stored is not None:
         # The emitted row of a stored hash at its own arrival is the stored one.
         pairs = stored.select("post_id", "content_hash", "arrival_seq")
@@ -140,6 +149,16 @@ def run(spark: SparkSession, config: RunConfig) -> RunResult:
     return result
 
 
+def run_reporting(spark: SparkSession, config: RunConfig) -> RunResult:
+    """:func:`run` for a scheduler: a run that fails is logged and reported as ``execution_failed``."""
+    began = time.monotonic()
+    try:
+        return run(spark, config)
+    except Exception as err:
+        log.exception("run %s failed", config.run_id)
+        return RunResult(config.run_id, "execution_failed", duration_s=time.monotonic() - began, error=f"{type(err).__name__}: {err}"[:500])
+
+
 def _written(spark: SparkSession, config: RunConfig) -> DataFrame:
     return spark.read.schema(SCORED_POST).parquet(config.sink) \
         .filter(F.col("run_id") == config.run_id)

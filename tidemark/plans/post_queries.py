@@ -12,15 +12,16 @@ from tidemark.operators.scoring import (
     LexiconScorer,
     argmax_of_map,
     fit_trained_scorer,
+    neutral_struct,
     score,
 )
 from tidemark.plans import fixtures as fx
-from tidemark.plans.batch import RunConfig, run
+from tidemark.plans.batch import RunConfig, run, run_reporting
 from tidemark.plans.batch import scored_posts as as_scored
 from tidemark.plans.registry import query
 from tidemark.plans.run_metrics import DURATION, LAST_RUN, fetched_samples, run_samples
 from tidemark.schemas import POST, SCORED_COLUMNS, SEEN
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, values_frame
 from tidemark.sources import posts as src
 from tidemark.sources.store import SeenStore
 from tidemark.sources.telemetry import exposition_lines
@@ -406,6 +407,36 @@ def run_metrics(spark, sf):
     return exposition_lines(samples.filter(timeless))
 
 
+class _Refusing:
+    """A scorer that lets nothing through."""
+
+    def add(self, df, text, out):
+        return df.withColumn(out, neutral_struct()).filter(F.col("arrival_seq") < 0)
+
+
+@query("run_reasons", """
+SELECT 'whole' AS run, CAST(NULL AS VARCHAR) AS reason, (SELECT count(*) FROM tagged) AS fetched,
+       (SELECT count(*) FROM written) AS processed
+UNION ALL SELECT 'again', 'no_unique_posts', (SELECT count(*) FROM posts), 0
+UNION ALL SELECT 'nowhere', 'no_posts_fetched', 0, 0
+UNION ALL SELECT 'refused', 'empty_dataframe', (SELECT count(*) FROM posts), 0
+UNION ALL SELECT 'broken', 'execution_failed', 0, 0""")
+def run_reasons(spark, sf):
+    """Five runs over all posts, and why each ended."""
+    base, posts = scratch_path(spark, "reasons"), fx.posts(spark, sf)
+    store = SeenStore(spark, f"{base}/store")
+    store.commit(fx.seen_store(spark, sf), "earlier")
+
+    def go(name, into=store, **more):
+        config = RunConfig(**({"sink": f"{base}/out", "store": into, "posts": posts, "run_id": name} | more))
+        result = run_reporting(spark, config)
+        return name, result.reason, result.fetched, result.processed
+
+    rows = [go("whole"), go("again"), go("nowhere", communities=["no such place"]),
+            go("refused", SeenStore(spark, f"{base}/other"), scorer=_Refusing()), go("broken", posts=None, source=f"{base}/missing")]
+    return values_frame(spark, "run STRING, reason STRING, fetched BIGINT, processed BIGINT", rows)
+
+
 # Reports --------------------------------------------------------------------------------------
 
 @query("label_distribution", "SELECT sentiment_label, count(*) AS posts FROM written GROUP BY 1 "
