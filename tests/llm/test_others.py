@@ -347,3 +347,60 @@ def test_a_text_that_all_articles_share_stays(spark):
             for i in range(6)]
     out = {r.text for r in pages.extract(frame(spark, rows, "page_id bigint, url string, html string")).collect()}
     assert out == {f"Own {i} words here\nShared by all" for i in range(6)}
+
+
+def extracted(spark, rows):
+    return {r.row["page_id"]: r.text for r in pages.extract(frame(spark, rows, "page_id bigint, url string, html string")).collect()}
+
+
+def test_headline_lead_and_tail_around_a_body(spark):
+    """The body holds most of the text, with and without an article, on hosts of many pages and of one."""
+    def article(i, around):
+        return (f"<div class=site><p>Welcome</p></div><{around}><h1>Head {i}</h1><p>Lead {i}</p>"
+                f"<div class=text><p>{'Long body ' * 40}{i}</p></div><p>Tail {i}</p></{around.split()[0]}><footer>f</footer>")
+
+    def want(i):
+        return f"Head {i}\nLead {i}\n{'Long body ' * 40}{i}\nTail {i}"
+
+    rows = [(i, "http://many.example/", article(i, "article")) for i in range(5)]
+    rows += [(10 + i, "http://plain.example/", article(10 + i, "div class=story")) for i in range(5)]
+    rows += [(20, "http://one.example/", article(20, "article"))]
+    assert extracted(spark, rows) == {i: want(i) for i in (*range(5), *range(10, 15), 20)}
+
+
+def test_repeated_pages_do_not_cancel(spark):
+    """Two rows of one page count twice; two different pages that each repeat share no class."""
+    def one(i, n):
+        return f"<div class=top{n}><p>x{n}</p></div><div class=story><p>Own {i} {n}</p></div>"
+
+    rows = [(i, "http://h.example/", one(i, i % 2)) for i in (1, 2, 3, 4) for _ in range(2)]
+    found = pages._occurrences(frame(spark, rows, "page_id bigint, url string, html string").selectExpr("*", "'h' AS host")).collect()
+    by = {(r.path, r.text is None): r.vector for r in found}
+    assert by["div.top0", True] != by["div.top1", True] and all(r.vector != 0 for r in found)
+
+
+def test_classes_by_brute_force(spark):
+    """Tokens with equal occurrence vectors, and only those, have one number."""
+    from collections import defaultdict
+
+    rng = random.Random(4)
+    rows = [(i, "http://h.example/", "".join(f"<div class={c}><p>{c if rng.random() < .5 else rng.random()}</p></div>"
+                                             for c in "abcdef" if rng.random() < .7)) for i in range(12)]
+    vectors = defaultdict(lambda: [0] * len(rows))
+    for at, r in enumerate(rows):
+        for (path, text), (n, _) in pages._tokens(r[2]).items():
+            vectors[path, pages._hash(text) if text else None][at] = n
+    got = pages._occurrences(frame(spark, rows, "page_id bigint, url string, html string").selectExpr("*", "'h' AS host")).collect()
+    assert {(r.path, r.text) for r in got} == set(vectors)
+    numbers = defaultdict(set)
+    for r in got:
+        numbers[tuple(vectors[r.path, r.text])].add(r.vector)
+    assert all(len(x) == 1 for x in numbers.values()) and len({x.pop() for x in numbers.values()}) == len(numbers)
+
+
+def test_a_very_long_page_and_a_template(spark):
+    """Unmarked texts of the template go from pages without an article."""
+    body = "".join(f"<p>Line {i}</p>" for i in range(20_000))
+    rows = [(i, "http://h.example/", f"<div class=x><p>Our motto</p></div><div class=y><p>T{i}</p>{body if not i else ''}</div>") for i in range(4)]
+    out = extracted(spark, rows)
+    assert out[0] == "T0\n" + "\n".join(f"Line {i}" for i in range(20_000)) and out[1] == "T1"

@@ -4,31 +4,38 @@ Tokens of a page are its elements, named by their path of structural tags with
 class and id, and its texts, each with its path. Over all pages of a host a token
 has an occurrence vector: how often it is on each page. Tokens with the same
 vector are a class; a class is valid if enough pages have it and its members
-occur once on each. A vector is kept as one number that tasks combine (the
-exclusive or of a hash of page and count), so that a host of any size is one
-aggregation and no task gathers it.
+occur once on each. A vector is kept as one number that tasks combine (the sum of
+a hash of page and count, by 2^64, so that repeated pages do not cancel), so that
+a host of any size is one aggregation and no task gathers it.
 
 Valid classes are nested by their paths into the host's template, and what lies
 between their members are slots. The main slot of a class is the deepest member
-element with most of the text that is in no menu, header, footer, sidebar,
-notice, advert, form or comment list (told by tag, role, class and id). A page's
+element that holds all of the class's text but for texts of the template and for
+menus, headers, footers, sidebars, notices, adverts, forms and comment lists (told
+by tag, role, class and id). A slot within an ``article`` or ``main`` element is
+that whole element, whose headline and lead may stand outside the slot. A page's
 text is what is in the main slot of its most widespread class, without such
 parts, and, outside articles, without texts of the template. Pages that share no
 class (hosts with fewer than ``MIN_PAGES`` pages) use their own ``article`` or
-``main`` element, or else the whole body, by the same rule.
+``main`` element, or else the whole body, by the same rule; where a page has such
+an element and the classes point elsewhere, the element stands. So on pages with
+articles the classes decide which of several articles is the main one, and on all
+others they decide everything.
 
 Character references are decoded, white space in a block becomes one space,
 blocks are joined by line feeds in page order.
 
 Rows: null and empty pages have an empty text; a null url is a host of its own;
 repeated pages count as pages; every row gives one row and carries its columns
-in ``row``. An empty table gives an empty result.
+in ``row``. A very long page is taken apart by one task, as any other; of slots
+of one depth the last by name is taken. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from decimal import Decimal
 from html import unescape
 
 import pyarrow as pa
@@ -37,12 +44,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tidemark.llm.common import written
+from tidemark.llm.common import released, written
 
 #: Pages that must share a class, and the share of a host's pages.
 MIN_PAGES, MIN_SHARE = 3, 0.05
-#: Share of its class's text that a main slot holds at least.
-MAIN_SHARE = 0.8
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no text of the page.
@@ -167,9 +172,11 @@ def _tokens(html: str) -> dict[tuple[str, str], tuple[int, int]]:
             if not boiler:
                 entry[1] += len(text)
         open_ = paths
-        counts.setdefault((path, text), [0, 0])[0] += 1
+        own = counts.setdefault((path, text), [0, 0])
+        own[0] += 1
         if not boiler:
             counts["", ""][1] += len(text)
+            own[1] += len(text)
     return {k: (a, b) for k, (a, b) in counts.items()}
 
 
@@ -181,7 +188,7 @@ def _occurrences(pages: DataFrame) -> DataFrame:
             for host, key, html in zip(*(batch[n].to_pylist() for n in ("host", "key", "html"))):
                 for (path, text), (n, chars) in _tokens(html or "").items():
                     entry = held.setdefault((host, path, text), [0, 0, 0, 0])
-                    entry[0] ^= _hash(key, n)
+                    entry[0] = (entry[0] + _hash(key, n) + 2**63) % 2**64 - 2**63
                     entry[1] += 1
                     entry[2] += n
                     entry[3] += chars
@@ -193,8 +200,9 @@ def _occurrences(pages: DataFrame) -> DataFrame:
 
     rows = pages.select("host", F.xxhash64("url", "page_id", "html").alias("key"), "html").mapInArrow(
         counted, "host string, path string, text bigint, vector bigint, pages bigint, uses bigint, chars bigint")
-    return rows.groupBy("host", "path", "text").agg(
-        F.bit_xor("vector").alias("vector"), *[F.sum(n).alias(n) for n in ("pages", "uses", "chars")])
+    # Tasks have reduced by 2^64 already, so the sum of their sums has to be.
+    vector = F.pmod(F.sum(F.col("vector").cast("decimal(38,0)")), F.lit(Decimal(2**64)))
+    return rows.groupBy("host", "path", "text").agg(vector.alias("vector"), *[F.sum(n).alias(n) for n in ("pages", "uses", "chars")])
 
 
 def deduce_templates(pages: DataFrame) -> DataFrame:
@@ -204,16 +212,22 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
     known = tokens.filter("path = '' AND text IS NULL").select("host", F.col("pages").alias("all"))
     valid = (tokens.filter((F.col("uses") == F.col("pages")) & (F.col("pages") >= MIN_PAGES)).join(known, "host")
                    .filter(F.col("pages") >= F.col("all") * MIN_SHARE))
-    most = valid.filter("text IS NULL").groupBy("host", "vector").agg(F.max("chars").alias("most"), F.count("*").alias("size"))
-    mains = (valid.filter("text IS NULL AND path <> ''").join(most.filter("size >= 3 AND most > 0"), ["host", "vector"])
-                  .filter(F.col("chars") >= F.col("most") * MAIN_SHARE)
-                  .groupBy("host", "vector").agg(
-                      F.max(F.struct(F.size(F.split("path", "/")).alias("depth"), "path", "pages")).alias("main"))
-                  .groupBy("host").agg(F.transform(
-                      F.sort_array(F.collect_list(F.struct("main.pages", "main.path")), asc=False),
-                      lambda x: x["path"]).alias("mains")))
-    fixed = (valid.filter(F.col("text").isNotNull() & (F.col("pages") * 2 >= F.col("all")))
-                  .groupBy("host").agg(F.collect_set(F.struct("path", "text")).alias("fixed")))
+    texts = valid.filter(F.col("text").isNotNull() & (F.col("pages") * 2 >= F.col("all")))
+    # What an element holds beside the template's own texts.
+    steps = F.split("path", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda i: F.array_join(F.slice(steps, 1, i), "/"))
+    stated = texts.filter("chars > 0 AND path <> ''").select("host", F.explode(above).alias("path"), "chars") \
+        .groupBy("host", "path").agg(F.sum("chars").alias("stated"))
+    held = (valid.filter("text IS NULL AND path <> ''").join(stated, ["host", "path"], "left")
+                 .withColumn("chars", F.col("chars") - F.coalesce("stated", F.lit(0))))
+    most = held.groupBy("host", "vector").agg(F.max("chars").alias("most"), F.count("*").alias("size"))
+    mains = (held.join(most.filter("size >= 2 AND most > 0"), ["host", "vector"]).filter("chars >= most")
+                 .groupBy("host", "vector").agg(
+                     F.max(F.struct(F.size(F.split("path", "/")).alias("depth"), "path", "pages")).alias("main"))
+                 .groupBy("host").agg(F.transform(
+                     F.sort_array(F.collect_list(F.struct("main.pages", "main.path")), asc=False),
+                     lambda x: x["path"]).alias("mains")))
+    fixed = texts.groupBy("host").agg(F.collect_set(F.struct("path", "text")).alias("fixed"))
     return known.select("host").join(mains, "host", "left").join(fixed, "host", "left")
 
 
@@ -221,11 +235,18 @@ def _within(path: str, main: str) -> bool:
     return path == main or path.startswith(main + "/")
 
 
+def _whole(main: str) -> str:
+    """The article or main element that ``main`` lies in, or ``main`` itself."""
+    steps = main.split("/")
+    own = next((i for i, step in enumerate(steps) if _CONTENT.search(step)), len(steps))
+    return "/".join(steps[:own + 1])
+
+
 def main_text(html: str, mains: list[str], fixed: set[tuple[str, int]]) -> str:
     """The text of a page's main slot."""
     found = list(blocks(html))
     content = [(p, t) for p, boiler, t in found if not boiler]
-    main = next((m for m in mains if any(_within(p, m) for p, _ in content)), None)
+    main = next((m for m in map(_whole, mains) if any(_within(p, m) for p, _ in content)), None)
     if main is None or not _CONTENT.search(main):
         # Semantic elements of the page itself are more exact than a plain container.
         own = [p for p, _ in content if _CONTENT.search(p)]
@@ -249,4 +270,4 @@ def extract(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch["row"], pa.array(texts, pa.string())], names=["row", "text"])
 
     return (keyed.select("row", "host", "html").join(templates, "host").select("row", "html", "mains", "fixed")
-                 .mapInArrow(extracted, StructType([keyed.schema["row"], StructField("text", StringType())])))
+                 .mapInArrow(released(extracted), StructType([keyed.schema["row"], StructField("text", StringType())])))
