@@ -183,3 +183,21 @@ def test_large_files_are_listed_without_being_opened(spark, scratch):
         f.truncate(3 << 30)
     got = {os.path.basename(r.path): (r.length, r.checksum) for r in tm.file_manifest(spark, scratch).collect()}
     assert got == {"small": (3, "900150983cd24fb0d6963f7d28e17f72"), "large": (3 << 30, None)}
+
+
+def test_scrape_files_with_types_and_times(spark, scratch):
+    import os
+    import time
+
+    folder = scratch.removeprefix("file:")
+    os.makedirs(folder)
+    with open(f"{folder}/a.prom", "w") as f:
+        f.write('# HELP x text\n# TYPE x counter\nx{k="v"} 3 1700000000999\nx 4\n# TYPE h histogram\n'
+                'h_bucket{le="+Inf"} 2\nh_count 2\n# TYPE s summary\ns_sum 1.5 -1\nfree 7\nnot a line at all\n')
+    got = {r.metric: r for r in tm.with_types(
+        tm.read_exposition(spark, scratch), tm.metric_types(tm.scrape_lines(spark.read.text(scratch)))).filter("size(labels) = 0 OR metric <> 'x'").collect()}
+    assert {m: r.type for m, r in got.items()} == {"x": "counter", "h_bucket": "histogram", "h_count": "histogram",
+                                                   "s_sum": "summary", "free": "untyped"}
+    assert abs(got["x"].t - time.time()) < 600 and got["s_sum"].t == -1 and got["h_bucket"].labels == {"le": "+Inf"}
+    stamped = tm.read_exposition(spark, scratch).filter("size(labels) = 1 AND metric = 'x'").first()
+    assert (stamped.t, stamped.value) == (1700000000, 3.0)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.labels import label_columns
 from tidemark.functions.times import epoch_of_ntz
 from tidemark.operators.rules import AUTO_RESOLVE_S, by_severity
 from tidemark.operators.scoring import LexiconScorer
@@ -11,8 +12,9 @@ from tidemark.plans import fixtures as fx
 from tidemark.plans.alert_queries import rule_points
 from tidemark.plans.registry import query
 from tidemark.schemas import SCORED_COLUMNS
-from tidemark.session import DEFAULTS, scratch_path, staged
+from tidemark.session import DEFAULTS, scratch_path, staged, values_frame
 from tidemark.sources.store import SeenStore
+from tidemark.sources.telemetry import exposition_lines, metric_types, scrape_lines, stream_exposition, with_types
 from tidemark.streaming import jobs
 from tidemark.streaming.alerts import alert_stream
 
@@ -57,6 +59,28 @@ def stream_window_counts(spark, sf):
     return spark.read.schema(rows.schema).parquet(f"{base}/out")
 
 
+@query("scrape_ingestion", """
+SELECT 'app_events_total' AS metric, 'counter' AS type, series, instance, t, value FROM samples""")
+def scrape_ingestion(spark, sf):
+    """Samples written as scrape files in three parts, each read by a run of one checkpointed stream."""
+    base, samples = scratch_path(spark, "scrapes"), fx.samples(spark, sf)
+    labelled = samples.select("metric", "t", "value", F.create_map(
+        F.lit("series"), "series", F.lit("instance"), "instance").alias("labels"))
+    labelled = staged(labelled, "samples")
+    start, end = fx.span(spark, sf, 3600)
+    part = (end - start) // 3 + 1
+    types = values_frame(spark, "line STRING", [("# TYPE app_events_total counter",)])
+    for i in range(3):
+        low = start + i * part
+        mine = labelled.filter((F.col("t") >= low) & (F.col("t") < low + part))
+        exposition_lines(mine, t="t").unionByName(types).write.mode("append").text(f"{base}/in")
+        stream = stream_exposition(spark, f"{base}/in").select("metric", "labels", "t", "value")
+        jobs.run_available(stream, f"{base}/out", f"{base}/checkpoint")
+    read = spark.read.schema(stream.schema).parquet(f"{base}/out")
+    typed = with_types(read, metric_types(scrape_lines(spark.read.text(f"{base}/in"))))
+    return typed.select("metric", "type", *label_columns(F.col("labels"), ["series", "instance"]), "t", "value")
+
+
 @query("stream_late_rows", """
 SELECT count(*) FILTER (WHERE t >= low + (high - low) // 2) AS kept,
        count(*) FILTER (WHERE t < low + (high - low) // 2) AS late

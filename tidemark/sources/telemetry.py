@@ -20,10 +20,11 @@ LABEL_PATTERN = r'([a-zA-Z_][a-zA-Z0-9_]*)="((?:[^"\\]|\\.)*)"'
 # Metrics text ---------------------------------------------------------------------------------
 
 def exposition_lines(samples: DataFrame, metric: str = "metric", labels: str = "labels",
-                     value: str = "value", out: str = "line") -> DataFrame:
-    """Samples as text lines ``name{k="v",...} value``."""
+                     value: str = "value", out: str = "line", t: str | None = None) -> DataFrame:
+    """Samples as text lines ``name{k="v",...} value``, with the time in milliseconds if ``t`` is named."""
+    time = [] if t is None else [F.lit(" "), (F.col(t).cast("bigint") * 1000).cast("string")]
     return samples.select(F.concat(F.col(metric), label_text(F.col(labels)), F.lit(" "),
-                                   number_text(F.col(value))).alias(out))
+                                   number_text(F.col(value)), *time).alias(out))
 
 
 def histogram_samples(buckets: DataFrame, totals: DataFrame, metric: str,
@@ -45,8 +46,12 @@ def histogram_samples(buckets: DataFrame, totals: DataFrame, metric: str,
     return rows
 
 
-def parse_exposition(lines: DataFrame, line: str = "line") -> DataFrame:
-    """Text lines back to ``metric, labels, value``; comments and other lines are dropped."""
+def parse_exposition(lines: DataFrame, line: str = "line", at: Column | None = None) -> DataFrame:
+    """Text lines back to ``metric, labels, value``; comments and other lines are dropped.
+
+    With ``at``, the time of the scrape in seconds, samples get ``t``: the time
+    on their line, in whole seconds, or else that of the scrape.
+    """
     text = F.col(line)
     block = F.coalesce(F.regexp_extract(text, SAMPLE_PATTERN, 2), F.lit(""))
     raw = F.regexp_extract(text, SAMPLE_PATTERN, 3)
@@ -55,9 +60,30 @@ def parse_exposition(lines: DataFrame, line: str = "line") -> DataFrame:
     names = F.regexp_extract_all(block, F.lit(LABEL_PATTERN), F.lit(1))
     values = F.transform(F.regexp_extract_all(block, F.lit(LABEL_PATTERN), F.lit(2)), _unescape)
     others = [c for c in lines.columns if c != line]
+    stamp = F.regexp_extract(text, SAMPLE_PATTERN, 4).try_cast("bigint")
+    time = [] if at is None else [F.coalesce(F.floor(stamp / 1000).cast("bigint"), at).alias("t")]
     return (lines.filter(text.rlike(SAMPLE_PATTERN))
             .select(*others, F.regexp_extract(text, SAMPLE_PATTERN, 1).alias("metric"),
-                    F.map_from_arrays(names, values).alias("labels"), number.alias("value")))
+                    F.map_from_arrays(names, values).alias("labels"), number.alias("value"), *time))
+
+
+def metric_types(lines: DataFrame, line: str = "line") -> DataFrame:
+    """``metric, type`` of the ``# TYPE`` lines, one row per metric; the first type by name if they differ."""
+    pattern = r"^#\s+TYPE\s+(\S+)\s+(counter|gauge|histogram|summary|untyped)\s*$"
+    text = F.col(line)
+    return (lines.filter(text.rlike(pattern))
+            .groupBy(F.regexp_extract(text, pattern, 1).alias("metric"))
+            .agg(F.min(F.regexp_extract(text, pattern, 2)).alias("type")))
+
+
+def with_types(samples: DataFrame, types: DataFrame, metric: str = "metric") -> DataFrame:
+    """Samples with their metric's ``type``: that of its own line, or of the histogram or summary it is part of."""
+    base = F.regexp_replace(metric, "_(bucket|sum|count)$", "")
+    own = types.select(F.col("metric").alias(metric), F.col("type").alias("__own"))
+    part = types.filter(F.col("type").isin("histogram", "summary")).select(
+        F.col("metric").alias("__base"), F.col("type").alias("__part"))
+    return (samples.withColumn("__base", base).join(own, metric, "left").join(part, "__base", "left")
+            .withColumn("type", F.coalesce("__own", "__part", F.lit("untyped"))).drop("__base", "__own", "__part"))
 
 
 def _unescape(value: Column) -> Column:
@@ -67,11 +93,21 @@ def _unescape(value: Column) -> Column:
     return F.array_join(pieces, "\\")
 
 
+def scrape_lines(files: DataFrame) -> DataFrame:
+    """Lines of text files (batch or stream) with the file and its time in seconds, as ``at``."""
+    return files.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
+                        F.unix_timestamp("_metadata.file_modification_time").alias("at"))
+
+
 def read_exposition(spark: SparkSession, path: str) -> DataFrame:
-    """Scrape files to samples with the file they came from."""
-    lines = spark.read.text(path).select(F.col("value").alias("line"),
-                                         F.col("_metadata.file_path").alias("file"))
-    return parse_exposition(lines)
+    """Scrape files to samples with the file they came from and their time."""
+    return parse_exposition(scrape_lines(spark.read.text(path)), at=F.col("at")).drop("at")
+
+
+def stream_exposition(spark: SparkSession, path: str) -> DataFrame:
+    """The same as a stream: every scrape file below ``path`` once, as it arrives."""
+    files = spark.readStream.text(path)
+    return parse_exposition(scrape_lines(files), at=F.col("at")).drop("at")
 
 
 # Logs -----------------------------------------------------------------------------------------
