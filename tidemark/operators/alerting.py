@@ -7,7 +7,7 @@ with ``block``, of single seconds cut by ranges of the event number; see
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -252,10 +252,17 @@ def chain(links: DataFrame, keys: list[str], t: str) -> DataFrame:
         inside = place("__to", level) == place(t, level)
         return pairs.withColumn("__to", F.when(inside, F.col("__then")).otherwise(F.col("__to"))).drop("__then")
 
-    rounds = [staged(links, "chain")]
-    while not rounds[-1].filter("__to IS NOT NULL").isEmpty():
+    def written(df: DataFrame) -> bool:
+        """Adds a round; whether any of its chunks is left for another."""
+        seen = Observation()
+        rounds.append(staged(df.observe(seen, F.count("__to").alias("open")), "chain"))
+        return bool(seen.get.get("open"))
+
+    rounds: list[DataFrame] = []
+    more = written(links)
+    while more:
         rounds.append(doubled(rounds[-1], len(rounds)))
-        rounds.append(staged(doubled(rounds[-1], len(rounds)), "chain"))
+        more = written(doubled(rounds[-1], len(rounds)))
 
     columns = [*keys, "__every", t]
     sent = rounds[0].filter("__certain").select(*columns)
