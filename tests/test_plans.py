@@ -62,10 +62,11 @@ def test_aggregations_hash(spark, name):
 
 def test_python_only_where_said(spark):
     # Streams and fitting run while the query is built.
-    slow = {"score_udf", "file_manifest"}
+    slow = {"score_udf", "score_failures", "file_manifest"}
     for name in entry.queries():
         if name.startswith("stream_") or name in ("score_trained", "csv_roundtrip",
-                                                  "seen_store_restart", "dedup_strict", "run_metrics"):
+                                                  "seen_store_restart", "dedup_strict", "run_metrics",
+                                                  "run_reasons", "scrape_ingestion", "status_json"):
             continue
         plan = _plan(spark, name)
         assert "BatchEvalPython" not in plan
