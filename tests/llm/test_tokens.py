@@ -55,6 +55,37 @@ def test_known_words_are_bounded(tokenizer, monkeypatch):
         assert len(own.known) < 100
 
 
+def test_new_words_reach_the_tokenizer_some_at_a_time(tokenizer):
+    """Its results take far more memory than ids; all new words of a task at once were too much for an executor."""
+    class Watched:
+        def __init__(self, inner):
+            self.inner, self.most = inner, 0
+
+        def encode_batch_fast(self, texts, **how):
+            self.most = max(self.most, len(texts))
+            return self.inner.encode_batch_fast(texts, **how)
+
+    own = tokens.Encoder(TOKENIZER, END_ID)
+    own.tokenizer, own.bare = Watched(own.tokenizer), Watched(own.bare)
+    letters = ["".join(chr(97 + i // 26**k % 26) for k in range(4)) for i in range(20_000)]
+    text = " ".join(w for i, x in enumerate(letters) for w in (x, f"{i}{x}"))
+    assert np.frombuffer(own.encode([text.encode()])[0], own.kind).tolist() == plain(tokenizer, text)
+    assert 0 < own.tokenizer.most <= 64 and 0 < own.bare.most <= 64
+
+
+def test_pieces_hold_every_text():
+    import pyarrow as pa
+
+    from tidemark.llm.common import pieces
+
+    texts = ["ab", None, "", "é" * 9, "x", "y" * 3, None, "z" * 40, "w"]
+    for limit in (1, 4, 7, 1000):
+        found = list(pieces(pa.array(["cut off", *texts]).slice(1), limit))
+        assert [t for piece in found for t in piece] == [(t or "").encode() for t in texts]
+        assert all(len(piece) == 1 or sum(map(len, piece)) <= limit for piece in found)
+    assert list(pieces(pa.array([], pa.string()))) == []
+
+
 def test_another_tokenizer_encodes_whole_texts():
     """One that keeps case and white space, so that words alone would give other ids."""
     import public_tokenizers

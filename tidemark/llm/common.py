@@ -9,6 +9,7 @@ from functools import wraps
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,14 +49,19 @@ def released(task: Callable) -> Callable:
             yield from task(batches)
         finally:
             gc.collect()
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
-            if trim is not None:
-                trim(0)
+            hand_back()
 
     return run
 
 
+def hand_back() -> None:
+    """Free memory goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null counts as empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
@@ -134,3 +140,13 @@ def lists(values: np.ndarray, ends: np.ndarray, kind: pa.DataType) -> pa.Array:
     """A list column: row ``i`` holds the values before ``ends[i]`` and from the end before it."""
     offsets = np.concatenate([[0], ends]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
+
+
+def pieces(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[list[bytes]]:
+    """The texts of a string column as :func:`as_bytes` gives them, some ``limit`` bytes at a time."""
+    sizes = np.append(0, np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)))
+    low = 0
+    while low < len(column):
+        high = max(low + 1, int(np.searchsorted(sizes, sizes[low] + limit, "right")) - 1)
+        yield as_bytes(column.slice(low, high - low))
+        low = high

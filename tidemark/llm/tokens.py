@@ -40,15 +40,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import as_bytes, chunks, released
+from tidemark.llm.common import hand_back, pieces, released
 
 #: Documents that the dictionary is trained on, and the bytes of ids each gives at most.
 SAMPLE_DOCS, SAMPLE_BYTES = 1_000, 1 << 15
 DICTIONARY_BYTES = 64 << 10
 #: Bytes of words and ids that a worker remembers; results do not depend on it.
 KNOWN_BYTES = 64 << 20
-#: Text bytes whose words are told apart together.
-ENCODED_BYTES = 8 << 20
+#: Text bytes whose words are told apart together, some 15 times as many bytes of memory.
+ENCODED_BYTES = 4 << 20
+#: Runs of new words that are encoded together; the tokenizer's own results take far more room than their ids.
+_RUNS = 64
 #: Text bytes per shard and frame bytes per block (a longer document is its own block).
 SHARD_BYTES, BLOCK_BYTES = 32 << 20, 1 << 20
 
@@ -122,6 +124,13 @@ class Encoder:
         raw, width = ids.tobytes(), self.width
         self.known.update(zip(run, [raw[a * width:b * width] for a, b in zip(begins, ends)]))
 
+    @staticmethod
+    def _encoded(tokenizer, runs: list[list[bytes]], between: str) -> Iterator[tuple]:
+        for i in range(0, len(runs), _RUNS):
+            some = runs[i:i + _RUNS]
+            yield from zip(some, tokenizer.encode_batch_fast([between.join([w.decode() for w in run]) for run in some],
+                                                             add_special_tokens=False))
+
     def _learn(self, words: list[bytes]) -> None:
         """Enter ``words``, none of them known, with their ids."""
         known, marked = self.known, []
@@ -140,13 +149,12 @@ class Encoder:
         for w, x in zip(apart, self.tokenizer.encode_batch_fast([w.decode() for w in apart], add_special_tokens=False)):
             known[w] = np.array(x.ids, self.kind).tobytes()
         runs = [others[i:i + _RUN] for i in range(0, len(others), _RUN)]
-        joined = [_BETWEEN.join([w.decode() for w in run]) for run in runs]
-        for run, x in zip(runs, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+        for run, x in self._encoded(self.tokenizer, runs, _BETWEEN):
             ids = np.array(x.ids, self.kind)
             between = np.flatnonzero(ids == self.between)
             self._enter(run, ids, [0, *(between + 1).tolist()], [*between.tolist(), len(ids)])
         runs = [letters[i:i + _RUN] for i in range(0, len(letters), _RUN)]
-        for run, x in zip(runs, self.bare.encode_batch_fast([b" ".join(run).decode() for run in runs], add_special_tokens=False)):
+        for run, x in self._encoded(self.bare, runs, " "):
             ids = np.array(x.ids, self.kind)
             ends = (np.flatnonzero(self.last[ids]) + 1).tolist()
             self._enter(run, ids, [0, *ends[:-1]], ends)
@@ -190,9 +198,8 @@ def _sample(docs: DataFrame, path: str, end_id: int) -> list[bytes]:
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path, end_id)
         for batch in batches:
-            texts = as_bytes(batch["text"])
-            for low, high in chunks(texts):
-                ids = [x[:SAMPLE_BYTES] for x in encoder.encode(texts[low:high])]
+            for texts in pieces(batch["text"]):
+                ids = [x[:SAMPLE_BYTES] for x in encoder.encode(texts)]
                 yield pa.record_batch({"ids": pa.array(ids, pa.binary())})
 
     # The ids are chosen first, so that only texts of the sample are moved.
@@ -256,9 +263,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, level:
                 "frames": b"".join(f for _, _, f in held)}], schema=arrow)
 
         for batch in batches:
-            texts, ids = as_bytes(batch["text"]), batch["doc_id"].to_pylist()
-            for low, high in chunks(texts, ENCODED_BYTES):
-                for d, a in zip(ids[low:high], encoder.encode(texts[low:high])):
+            ids = iter(batch["doc_id"].to_pylist())
+            for texts in pieces(batch["text"], ENCODED_BYTES):
+                for a in encoder.encode(texts):
+                    d = next(ids)
                     f = packer.compress(a)
                     if held and size + len(f) > block_bytes:
                         yield row()
@@ -266,6 +274,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, level:
                         block, held, size = block + 1, [], 0
                     held.append((d, len(a) // encoder.width, f))
                     size += len(f)
+            # What Arrow and the tokenizer keep for later use would add up beside the executor's heap.
+            hand_back()
         if held:
             yield row()
 
