@@ -56,6 +56,21 @@ def test_lexicon_counts_a_token_once(spark, inline):
                    ("positive", 0.5, 0.5, 0.0, 0.5)]
 
 
+def test_single_texts_tokens_are_not_shuffled(spark, words, monkeypatch):
+    """Many blocks, words in all of them, a text in many rows; only a block's distinct tokens meet the lexicon."""
+    from tidemark.operators import scoring
+
+    monkeypatch.setattr(scoring, "BLOCK_BYTES", 500)
+    texts = [f"good w{chr(97 + i % 26)} bad " + "poor " * (i % 5) + "the " * 20 + "x" * (i % 40) for i in range(150)]
+    df = _texts(spark, *texts, *["great the same"] * 300, "", None)
+    joined = score(df, "t", LexiconScorer(words, inline_rows=0))
+    assert _scores(joined) == _scores(score(df, "t", LexiconScorer(words)))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    # Tokens go out with their block alone, and no row is copied to meet a salt.
+    assert "hashpartitioning(token" in plan or "BroadcastHashJoin [token" in plan
+    assert "FlatMapCoGroupsInArrow" in plan and "sequence(" not in plan and "__salt" not in plan
+
+
 def test_trained_scorer_without_a_class(spark):
     labelled = spark.createDataFrame([("good fine", "positive"), ("bad sad", "negative")] * 4, "text string, label string")
     scorer = fit_trained_scorer(labelled, features=64)

@@ -8,9 +8,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from decimal import Decimal
 from typing import Protocol
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,8 +88,8 @@ class LexiconScorer:
                 "negative": F.round(neg / whole, self.decimals),
                 "neutral": F.round(F.lit(1.0) / whole, self.decimals)}
 
-    def _result(self, text: str, pos: Column, neg: Column) -> Column:
-        return F.when(F.col(text) == "", neutral_struct()) \
+    def _result(self, blank: Column, pos: Column, neg: Column) -> Column:
+        return F.when(blank, neutral_struct()) \
             .otherwise(sentiment_struct(self._probabilities(pos, neg)))
 
     def add(self, df: DataFrame, text: str, out: str) -> DataFrame:
@@ -100,44 +104,60 @@ class LexiconScorer:
         counted = df.withColumn("__found", found).withColumn(
             "__pos", F.size(F.filter("__found", lambda t: t.isin(pos))))
         return counted.select(*df.columns, self._result(
-            text, F.col("__pos"), F.size("__found") - F.col("__pos")).alias(out))
+            F.col(text) == "", F.col("__pos"), F.size("__found") - F.col("__pos")).alias(out))
 
     def _joined(self, df: DataFrame, text: str, out: str) -> DataFrame:
-        counts = {"__pos": F.sum(F.when(F.col("polarity") > 0, F.col("n"))),
-                  "__neg": F.sum(F.when(F.col("polarity") < 0, F.col("n")))}
+        counts = {"__pos": F.col("polarity") > 0, "__neg": F.col("polarity") < 0}
         joined = _with_token_sums(df, text, self.lexicon, "token", tokens, counts)
         zero = F.lit(0)
         return joined.select(*df.columns, self._result(
-            text, F.coalesce(F.col("__pos"), zero), F.coalesce(F.col("__neg"), zero)).alias(out))
+            F.col("__blank"), F.coalesce(F.col("__pos"), zero), F.coalesce(F.col("__neg"), zero)).alias(out))
+
+
+#: Bytes of text whose words meet their rows of a table together.
+BLOCK_BYTES = 8 << 20
 
 
 def _with_token_sums(df: DataFrame, text: str, table: DataFrame, key: str,
-                     parts: Callable[[Column], Column], sums: dict[str, Column],
-                     salts: int = 32) -> DataFrame:
-    """``df`` with sums over its texts' tokens, each met with its row of ``table``.
-
-    Tokens of each distinct text, named by its hash, are joined to the table by
-    ``key``. Equal (text, token) pairs are counted before the join, as ``n``, and
-    with ``salts`` the token side is salted and the table copied as often, since
-    a common word can hold most of the rows; without, the join is one that
-    adaptive execution can split. The rows meet their sums by the hash and a
-    salt of their own, as one text can be in most of them.
+                     parts: Callable[[Column], Column], values: dict[str, Column]) -> DataFrame:
+    """``df`` with sums of whole-number ``values`` of ``table`` over its texts' tokens, and ``__blank``.
+
+    Distinct texts, named by their hash, are dealt to blocks of some
+    ``BLOCK_BYTES``. Only a block's distinct tokens are joined to the table by
+    ``key``; what they are worth comes back to the block, where each text's
+    tokens are added up. So tokens of single texts are never shuffled, and what
+    a task holds does not grow with the corpus. The rows meet their sums by the
+    hash, in a join that adaptive execution can split, as one text can be in
+    most of them.
     """
-    named = df.withColumns({"__hash": F.sha2(text, 256),
-                            "__row": F.pmod(F.monotonically_increasing_id(), F.lit(32)).cast("int")})
-    per_text = (
-        named.groupBy("__hash").agg(F.first(text).alias("__text"))
-        .select("__hash", F.explode(parts(F.col("__text"))).alias(key))
-        .groupBy("__hash", key).agg(F.count(F.lit(1)).alias("n"))
+    named = df.withColumns({"__hash": F.sha2(text, 256), "__blank": F.col(text) == ""})
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    blocks = max(1, -(-size // BLOCK_BYTES))
+    words = (
+        named.filter(F.col(text) != "").groupBy("__hash").agg(F.first(text).alias("__text"))
+        .withColumn("__block", F.pmod(F.xxhash64("__hash"), F.lit(blocks)).cast("int"))
+        .repartition(blocks, "__block")
+        .select("__block", "__hash", parts(F.col("__text")).alias("__words"))
     )
-    on = [key]
-    if salts > 1:
-        on.append("__salt")
-        per_text = per_text.withColumn("__salt", F.pmod(F.xxhash64("__hash"), F.lit(salts)).cast("int"))
-        table = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    counts = per_text.join(table, on).groupBy("__hash").agg(*[c.alias(n) for n, c in sums.items()])
-    counts = counts.withColumn("__row", F.explode(F.sequence(F.lit(0), F.lit(31))))
-    return named.join(counts, ["__hash", "__row"], "left")
+    used = words.select("__block", F.explode("__words").alias(key)).distinct()
+    worth = used.join(table.select(key, *[c.cast("bigint").alias(n) for n, c in values.items()]), key) \
+        .withColumnRenamed("__block", "__of")
+
+    names = list(values)
+
+    def summed(texts: pa.Table, worth: pa.Table) -> pa.Table:
+        lists = texts["__words"].combine_chunks()
+        ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        at = pc.index_in(lists.flatten(), value_set=worth[key].combine_chunks()).fill_null(len(worth)).to_numpy()
+        out = {"__hash": texts["__hash"]}
+        for name in names:
+            total = np.append(0, np.cumsum(np.append(worth[name].to_numpy(), 0)[at]))
+            out[name] = pa.array(total[ends[1:]] - total[ends[:-1]])
+        return pa.table(out)
+
+    sums = words.groupBy("__block").cogroup(worth.groupBy("__of")).applyInArrow(
+        summed, ", ".join(["__hash string", *[f"{n} bigint" for n in names]]))
+    return named.join(sums, "__hash", "left")
 
 
 class TrainedScorer:
@@ -153,13 +173,16 @@ class TrainedScorer:
         self.model, self.priors, self.parts = model, priors, parts
 
     def add(self, df: DataFrame, text: str, out: str) -> DataFrame:
-        sums = {f"__s_{c}": F.sum(F.col("n").cast("decimal(18,0)") * F.col(f"log_{c}")) for c in self.priors}
-        joined = _with_token_sums(df, text, self.model, "token", self.parts, sums, salts=1)
-        logs = {c: F.lit(p) + F.coalesce(F.col(f"__s_{c}").cast("double"), F.lit(0.0)) for c, p in self.priors.items()}
+        # In units of the last decimal, so that whole numbers are added.
+        values = {f"__s_{c}": F.col(f"log_{c}") * F.lit(10**DIGITS) for c in self.priors}
+        joined = _with_token_sums(df, text, self.model, "token", self.parts, values)
+        unit = F.lit(Decimal(1).scaleb(-DIGITS))
+        logs = {c: F.lit(p) + F.coalesce((F.col(f"__s_{c}").cast("decimal(20,0)") * unit).cast("double"), F.lit(0.0))
+                for c, p in self.priors.items()}
         best = F.greatest(*logs.values()) if len(logs) > 1 else next(iter(logs.values()), F.lit(0.0))
         weights = {c: F.exp(x - best) for c, x in logs.items()}
         whole = sum(weights.values(), F.lit(0.0))
-        return joined.select(*df.columns, F.when(F.col(text) == "", neutral_struct()).otherwise(
+        return joined.select(*df.columns, F.when(F.col("__blank"), neutral_struct()).otherwise(
             sentiment_struct({c: w / whole for c, w in weights.items()})).alias(out))
 
 
