@@ -224,15 +224,21 @@ def _candidates(sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()), shared
 
 
-def _unjoined(shared: DataFrame, roots: DataFrame, texts: DataFrame, k: int) -> DataFrame:
-    """(band, sketch, id, n, root, size, marks): the buckets whose texts are not all of one class."""
+def _open(rooted: DataFrame) -> DataFrame:
+    """The rows of the buckets whose texts are not all of one class, with their buckets' ``size``."""
     bucket = ["band", "sketch"]
-    rooted = (shared.select(*bucket, "id", "n").join(roots, "id", "left")
-                    .withColumn("root", F.coalesce("root", "id")))
-    rooted = written(rooted, "rooted")
     open_ = written(rooted.groupBy(*bucket).agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"))
                           .filter("low <> high").drop("low", "high"), "open")
-    unjoined = written(rooted.join(open_, bucket), "unjoined")
+    return written(rooted.join(open_, bucket), "unjoined")
+
+
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    return written(rows.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")), "rooted")
+
+
+def _unjoined(shared: DataFrame, roots: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """(band, sketch, id, n, root, size, marks): the buckets whose texts are not all of one class."""
+    unjoined = _open(_rooted(shared.select("band", "sketch", "id", "n"), roots))
     marks = _marked(texts.join(unjoined.select("id").distinct(), "id", "left_semi"), k)
     return written(unjoined.join(marks, "id"), "marked")
 
@@ -351,7 +357,8 @@ def classes(docs: DataFrame, k: int = WORDS, threshold: float = SIMILARITY, coun
         pairs, roots, joins = linked(_headed(unjoined, pairs, number, threshold))
         if not joins:
             break
-        unjoined = _unjoined(shared, roots, chosen, k)
+        # Classes only grow, so a bucket of one class stays so, and the marks are known.
+        unjoined = _open(_rooted(unjoined.drop("root", "size"), roots))
     if not unjoined.isEmpty():
         pairs, roots, _ = linked(_remaining(unjoined, pairs, threshold))
     of_text = (firsts.join(roots, "id", "left")
