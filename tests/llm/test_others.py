@@ -223,6 +223,20 @@ def test_every_context_is_a_distribution(spark):
         assert math.isclose((10 ** tree.log10(codes)).sum(), 1, rel_tol=1e-9)
 
 
+@pytest.mark.parametrize("frequent", [0, 300, 1 << 21])
+def test_every_context_counts_in_every_score(spark, monkeypatch, frequent):
+    monkeypatch.setattr(context_tree, "SUBTREE_CODES", 200, raising=False)
+    monkeypatch.setattr(context_tree, "FREQUENT", frequent, raising=False)
+    # Over 2^19 training bytes, where contexts met once were left out.
+    rows = [(i, words(1500, i, 7), "en", "a", 1) for i in range(120)] + odd_rows() + [(500, "zebra \x01\xff né", "en", "a", 1)]
+    training = [r for r in rows if r[0] is not None and r[0] % 5]
+    assert sum(len(context_tree.spelled((r[1] or "").encode())) for r in training) > 1 << 19
+    tree = context_tree.fit(frame(spark, training))
+    want = context_tree.Scorer(tree).score([context_tree.spelled((r[1] or "").encode()) for r in rows])
+    got = context_tree.score(frame(spark, rows), "doc_id % 5 <> 0").collect()
+    assert np.allclose(sorted(r.score for r in got), sorted(want), rtol=1e-9)
+
+
 def test_base_scores(spark):
     rows = odd_rows()
     condition = "doc_id % 2 = 0"

@@ -8,11 +8,14 @@ context-tree weighting: a node's probability of its data is half its own
 estimate's and half the product of its children's.
 
 Training counts all (context, byte) pairs of all training texts, combined per
-task. A node is kept where training came to it at least ``total / NODES`` times;
-children below that share one leaf, the rest of their parent. So at most
-``8 * (DEPTH + 1) * NODES`` nodes of 16 bytes exist, however large the corpus
-(some 2 million in practice), and the tree that goes to every task has a bounded
-size, while its counts see every text.
+task, and every context counts, however rare. The distinct codes (a context and
+its byte) are dealt by the ``TOP`` nearest bytes of the context: below those a
+tree depends on no other, so a task weighs its subtrees alone. What the roots of the
+subtrees add up to, at most 255 nodes for each of 65,536 contexts, is weighed in
+the driver and sent back; then a task has the probability of each of its codes,
+also of those that only texts outside training have. The ``FREQUENT`` most
+frequent codes go to every task that scores texts; a text's other codes are
+joined to theirs by a shuffle on the code, so none is left out.
 
 The base score is the add-one unigram model of the words and the end token.
 Counts of words are met by a shuffle on the word: a task sends each word once
@@ -36,11 +39,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import as_bytes, chunks, mixed, released, written
+from tidemark.llm.common import as_bytes, chunks, lists, mixed, released, written
 
 DEPTH = 6
-#: A node stands for at least one in so many of all training decisions of its depth.
-NODES = 1 << 19
+#: Bytes before a byte by which codes are dealt to tasks.
+TOP = 2
+#: Codes of whole subtrees that a task weighs at a time, if not one subtree has more.
+SUBTREE_CODES = 1 << 18
+#: Codes whose probabilities go to every task; those of all others are joined.
+FREQUENT = 1 << 21
 END = b"\n"
 #: Text bytes whose words are met together.
 BLOCK_BYTES = 16 << 20
@@ -71,8 +78,11 @@ def _codes(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray, np.n
     return code, ends - sizes, ends
 
 
-def count_contexts(training: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(code, n): how often each byte follows each run of ``depth`` bytes in ``training`` (text)."""
+def count_contexts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(code, n): how often each byte follows each run of ``depth`` bytes in the texts of ``docs`` (text, training).
+
+    Texts that are not for training add their codes with ``n`` 0.
+    """
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
@@ -88,32 +98,41 @@ def count_contexts(training: DataFrame, depth: int = DEPTH) -> DataFrame:
             return pa.record_batch({"code": pa.array(keys.astype(np.int64)), "n": pa.array(n.astype(np.int64))})
 
         for batch in batches:
-            texts = as_bytes(batch["text"])
+            texts, training = as_bytes(batch["text"]), batch["training"].to_pylist()
             for low, high in chunks(texts):
                 code, begins, ends = _codes([spelled(t) for t in texts[low:high]], depth)
-                real = np.zeros(len(code) + 1, np.int8)
+                real, learned = (np.zeros(len(code) + 1, np.int8) for _ in range(2))
                 np.add.at(real, begins, 1)
                 np.add.at(real, ends, -1)
-                held.append(np.unique(code[np.cumsum(real)[:-1] > 0], return_counts=True))
-                size += len(held[-1][0])
+                mine = np.array(training[low:high], bool)
+                np.add.at(learned, begins[mine], 1)
+                np.add.at(learned, ends[mine], -1)
+                real, learned = np.cumsum(real)[:-1] > 0, np.cumsum(learned)[:-1] > 0
+                for own, one in ((learned, 1), (real & ~learned, 0)):
+                    keys, n = np.unique(code[own], return_counts=True)
+                    held.append((keys, n * one))
+                    size += len(keys)
                 if size > HELD:
                     held = [combined()]
                     size = len(held[0][0])
                     if size > HELD // 2:
                         yield sent(*held[0])
                         held, size = [], 0
-        if held:
+        if size:
             yield sent(*combined())
 
     # A task has combined its own codes already, so they are dealt out before Spark combines them.
-    return (training.select("text").mapInArrow(released(counted), "code bigint, n bigint").repartition("code")
+    return (docs.select("text", "training").mapInArrow(released(counted), "code bigint, n bigint").repartition("code")
                     .groupBy("code").agg(F.sum("n").alias("n")))
 
 
-def tree_nodes(counts: DataFrame, depth: int = DEPTH, nodes: int = NODES) -> DataFrame:
-    """The kept nodes: depth, key (context bytes, then the bits so far behind a 1) and both counts."""
+def tree_nodes(counts: DataFrame, depth: int = DEPTH, nodes: int | None = None) -> DataFrame:
+    """The nodes: depth, key (context bytes, then the bits so far behind a 1) and both counts.
+
+    All of them, unless a caller wants a smaller tree: then those that training came to ``total / nodes`` times.
+    """
     total = counts.agg(F.sum("n")).first()[0] or 0
-    least = max(1, -(-total // nodes))
+    least = max(1, -(-total // nodes)) if nodes else 1
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,46 +171,65 @@ def _log_kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
 
 
 class ContextTree:
-    """Per depth the sorted keys of the kept nodes, and the chance of a 1 where no deeper node is kept."""
+    """Per depth the sorted keys of the kept nodes, and the chance of a 1 where no deeper node is kept.
+
+    A subtree begins at depth ``top`` with ``entry``: what the depths above add to each of its nodes there, in
+    the order of their keys, and the weight that is left. A tree that goes on below ``depth`` has the ``weighted``
+    log-probabilities of the nodes there, and gives their subtrees' :attr:`entry`.
+    """
 
-    def __init__(self, depths: np.ndarray, keys: np.ndarray, n0: np.ndarray, n1: np.ndarray, depth: int = DEPTH):
-        self.depth = depth
+    def __init__(self, depths: np.ndarray, keys: np.ndarray, n0: np.ndarray, n1: np.ndarray, depth: int = DEPTH,
+                 top: int = 0, weighted: np.ndarray | None = None):
+        self.depth, self.top = depth, top
         levels = []
-        for d in range(depth + 1):
+        for d in range(top, depth + 1):
             at = np.flatnonzero(depths == d)
             at = at[np.argsort(keys[at])]
             levels.append([keys[at], n0[at].astype(float), n1[at].astype(float)])
         self.keys = [x[0] for x in levels]
-        parents = [None] + [np.searchsorted(self.keys[d - 1], self._cut(self.keys[d], d - 1)) for d in range(1, depth + 1)]
+        self._levels = levels
+        self._parents = parents = [None] + [np.searchsorted(self.keys[i - 1], self._cut(self.keys[i], top + i - 1))
+                                            for i in range(1, len(levels))]
         # From the leaves up: the log-probability of a node's data, mixed over depths.
         own = [_log_kt(a, b) for _, a, b in levels]
-        rest, stop, weighted = [None] * depth, [None] * depth, own[depth]
-        for d in reversed(range(depth)):
+        self._rest, self._stop = [None] * (depth - top), [None] * (depth - top)
+        weighted = own[-1] if weighted is None else weighted[at]
+        for d in reversed(range(depth - top)):
             _, a, b = levels[d]
             up = parents[d + 1]
             ra, rb = (np.maximum(x - np.bincount(up, y, len(x)), 0) for x, y in zip((a, b), levels[d + 1][1:]))
             below = np.bincount(up, weighted, len(a)) + _log_kt(ra, rb)
             weighted = np.logaddexp(own[d], below) - math.log(2)
-            stop[d] = np.exp(own[d] - math.log(2) - weighted)
-            rest[d] = (rb + 0.5) / (ra + rb + 1)
-        # From the root down: what the depths above add, and the weight that is left.
+            self._stop[d] = np.exp(own[d] - math.log(2) - weighted)
+            self._rest[d] = (rb + 0.5) / (ra + rb + 1)
+        self.weighted = weighted
+        if not top:
+            self.enter(np.zeros(len(self.keys[0])), np.ones(len(self.keys[0])))
+
+    def enter(self, above: np.ndarray, left: np.ndarray) -> None:
+        """From the root down: what the depths above add, and the weight that is left."""
         self.ones = []
-        above, left = np.zeros(len(self.keys[0])), np.ones(len(self.keys[0]))
-        for d in range(depth + 1):
-            _, a, b = levels[d]
+        for d, (_, a, b) in enumerate(self._levels):
             here = (b + 0.5) / (a + b + 1)
-            if d == depth:
+            if d == len(self._levels) - 1:
                 self.ones.append(above + left * here)
             else:
-                self.ones.append(above + left * (stop[d] * here + (1 - stop[d]) * rest[d]))
-                up = parents[d + 1]
-                above, left = (above + left * stop[d] * here)[up], (left * (1 - stop[d]))[up]
-
-    def scorer(self) -> Scorer:
-        """The one scorer of this tree; a Python worker keeps it from task to task."""
-        if not hasattr(self, "_scorer"):
-            self._scorer = Scorer(self)
-        return self._scorer
+                stop, up = self._stop[d], self._parents[d + 1]
+                self.ones.append(above + left * (stop * here + (1 - stop) * self._rest[d]))
+                above, left = (above + left * stop * here)[up], (left * (1 - stop))[up]
+        self.entry = above, left
+        del self._levels, self._parents, self._stop, self._rest
+
+    def below(self, top: ContextTree) -> ContextTree:
+        """This subtree entered from ``top``, whose nodes stand for the contexts that are not in it."""
+        at = np.searchsorted(top.keys[-1], self.keys[0])
+        self.enter(*(x[at] for x in top.entry))
+        self.keys, self.ones = top.keys[:-1] + self.keys, top.ones[:-1] + self.ones
+        return self
+
+    def roots(self) -> list[np.ndarray]:
+        """Keys, counts and weighted log-probabilities of the nodes at ``top``."""
+        return [*self._levels[0], self.weighted]
 
     @staticmethod
     def _cut(keys: np.ndarray, depth: int) -> np.ndarray:
@@ -199,7 +237,7 @@ class ContextTree:
         return (keys >> 8 & (1 << 8 * depth) - 1) << 8 | keys & 255
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in vars(self).items() if k not in ("_scorer", "_table")}
+        return {k: v for k, v in vars(self).items() if k != "_table"}
 
     def log10(self, codes: np.ndarray) -> np.ndarray:
         """Log-probability of the last byte of each code after the bytes before it."""
@@ -284,35 +322,139 @@ class Scorer:
         return np.add.reduceat(np.append(value, 0.0), np.stack([begins, ends], 1).ravel())[::2]
 
 
-def fit(training: DataFrame, depth: int = DEPTH, nodes: int = NODES) -> ContextTree:
-    """The tree of ``training`` (text). Only kept nodes, whose number is bounded, come to the driver."""
-    kept = tree_nodes(written(count_contexts(training, depth), "contexts"), depth, nodes).toArrow()
+def fit(training: DataFrame, depth: int = DEPTH, nodes: int | None = None) -> ContextTree:
+    """The tree of ``training`` (text) as one object in the driver, for small texts; ``nodes`` makes it smaller."""
+    counts = count_contexts(training.select("text", F.lit(True).alias("training")), depth)
+    kept = tree_nodes(written(counts, "contexts"), depth, nodes).toArrow()
     columns = [kept[n].to_numpy() for n in ("depth", "key", "n0", "n1")]
     return ContextTree(*columns, depth=depth)
 
 
+def _subtree(codes: np.ndarray, n: np.ndarray, depth: int, top: int) -> ContextTree:
+    """The nodes below ``top`` of codes with all their counts."""
+    known = n > 0
+    pairs, n = codes[known], n[known]
+    parts = []
+    for d in reversed(range(top, depth + 1)):
+        pairs = pairs & (1 << 8 * d + 8) - 1
+        order = np.argsort(pairs, kind="stable")
+        pairs, n = pairs[order], n[order]
+        first = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1])[:len(pairs)])
+        if len(first):
+            pairs, n = pairs[first], np.add.reduceat(n, first)
+        for k in range(8):
+            key = pairs >> 8 << 8 | 1 << k | (pairs & 255) >> 8 - k
+            begin = np.flatnonzero(np.append(True, key[1:] != key[:-1])[:len(key)])
+            if len(begin):
+                ones = np.add.reduceat(np.where(pairs >> 7 - k & 1, n, 0), begin)
+                parts.append((np.full(len(begin), d), key[begin], np.add.reduceat(n, begin) - ones, ones))
+    empty = (np.zeros(0, np.int64),) * 4
+    return ContextTree(*map(np.concatenate, zip(empty, *parts)), depth=depth, top=top)
+
+
+def _whole(batches: Iterator[pa.RecordBatch], top: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Codes and counts in runs that end where the ``top`` nearest bytes change."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size, limit = 0, SUBTREE_CODES
+    for batch in batches:
+        held.append((batch["code"].to_numpy(), batch["n"].to_numpy()))
+        size += batch.num_rows
+        if size > limit:
+            code, n = (np.concatenate(x) for x in zip(*held))
+            near = code >> 8 & (1 << 8 * top) - 1
+            cut = int(np.searchsorted(near, near[-1]))
+            if cut:
+                yield code[:cut], n[:cut]
+            held, size = [(code[cut:], n[cut:])], len(code) - cut
+            limit = max(SUBTREE_CODES, 2 * size)
+    if size:
+        yield tuple(np.concatenate(x) for x in zip(*held))
+
+
+def code_values(counts: DataFrame, depth: int = DEPTH, top: int = TOP) -> DataFrame:
+    """(code, n, value): the log10 probability of the byte of each code of ``counts`` (code, n) after the bytes before it."""
+    def roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for code, n in _whole(batches, top):
+            key, n0, n1, weighted = _subtree(code, n, depth, top).roots()
+            yield pa.record_batch({"key": pa.array(key), "n0": pa.array(n0), "n1": pa.array(n1), "weighted": pa.array(weighted)})
+
+    def valued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for code, n in _whole(batches, top):
+            value = _subtree(code, n, depth, top).below(shared.value).log10(code.view(np.uint64))
+            yield pa.record_batch({"code": pa.array(code), "n": pa.array(n), "value": pa.array(value)})
+
+    near = F.shiftright("code", 8).bitwiseAND((1 << 8 * top) - 1)
+    dealt = counts.withColumn("near", near).repartition("near").sortWithinPartitions("near").select("code", "n")
+    found = dealt.mapInArrow(released(roots), "key bigint, n0 double, n1 double, weighted double").toArrow()
+    key, n0, n1, weighted = (found[n].to_numpy() for n in ("key", "n0", "n1", "weighted"))
+    parts = [(np.full(len(key), top), key, n0, n1)]
+    for d in range(top):
+        own, at = np.unique(ContextTree._cut(key, d), return_inverse=True)
+        parts.append((np.full(len(own), d), own, np.bincount(at, n0, len(own)), np.bincount(at, n1, len(own))))
+    upper = ContextTree(*map(np.concatenate, zip(*parts)), depth=top,
+                        weighted=np.append(weighted, np.zeros(sum(len(x[0]) for x in parts) - len(key))))
+    shared = counts.sparkSession.sparkContext.broadcast(upper)
+    return dealt.mapInArrow(released(valued), "code bigint, n bigint, value double")
+
+
+def _frequent(values: DataFrame, most: int) -> tuple[_Table, DataFrame]:
+    """A table of the values of the most frequent codes, at most ``most``; the rows of all others."""
+    rank = F.floor(F.log2(F.col("n") + 1) * 8).cast("int")
+    bar, size = 0, 0
+    for row in values.groupBy(rank.alias("rank")).count().orderBy(F.desc("rank")).collect():
+        size += row["count"]
+        if size > most:
+            bar = row["rank"] + 1
+            break
+    kept = values.filter(rank >= bar).select("code", "value").toArrow()
+    return _Table(kept["code"].to_numpy(), kept["value"].to_numpy()), values.filter(rank < bar).select("code", "value")
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"did": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID)), "th": F.xxhash64("text")})
 
 
-def code_lengths(docs: DataFrame, tree: ContextTree) -> DataFrame:
-    """did, th (keys of id and text), n_bytes, n_tokens and ``score``, the log10 probability, of each row."""
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
+def code_lengths(docs: DataFrame, values: DataFrame, frequent: int | None = None) -> DataFrame:
+    """did, th (keys of id and text), n_bytes, n_tokens and ``score``, the log10 probability, of each row.
+
+    ``values`` (code, n, value) has every code of ``docs``. ``frequent`` of them go to every task.
+    """
+    table, others = _frequent(values, FREQUENT if frequent is None else frequent)
+    shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = shared.value.scorer()
+        number = TaskContext.get().partitionId() << 33
         for batch in batches:
             texts = as_bytes(batch["text"])
             for low, high in chunks(texts):
                 spelt = [spelled(t) for t in texts[low:high]]
+                code, begins, ends = _codes(spelt, DEPTH)
+                code = code.view(np.int64)
+                value = shared.value.get(code)
+                rare = np.isnan(value)
+                value[rare] = 0
+                bounds = np.stack([begins, ends], 1).ravel()
+                count = np.append(0, np.cumsum(rare))
+                places = np.zeros(len(code) + 1, np.int8)
+                np.add.at(places, begins, 1)
+                np.add.at(places, ends, -1)
+                left = code[rare & (np.cumsum(places)[:-1] > 0)]
                 yield pa.record_batch({
+                    "row": pa.array(np.arange(number, number + high - low)),
                     "did": batch["did"].slice(low, high - low), "th": batch["th"].slice(low, high - low),
                     "n_bytes": pa.array([len(t) for t in spelt], pa.int64()),
                     "n_tokens": pa.array([t.count(b" ") + (len(t) > 1) + 1 for t in spelt], pa.int64()),
-                    "score": pa.array(scorer.score(spelt))})
+                    "score": pa.array(np.add.reduceat(np.append(value, 0.0), bounds)[::2]),
+                    "others": lists(left, np.cumsum(count[ends] - count[begins]), pa.int64())})
+                number += high - low
 
-    return _keyed(docs).select("did", "th", "text").mapInArrow(
-        scored, "did bigint, th bigint, n_bytes bigint, n_tokens bigint, score double")
+    rows = written(_keyed(docs).select("did", "th", "text").mapInArrow(
+        released(scored), "row bigint, did bigint, th bigint, n_bytes bigint, n_tokens bigint, score double, others array<bigint>"),
+        "scored")
+    added = (rows.select("row", F.explode("others").alias("code")).join(others, "code")
+                 .groupBy("row").agg(F.sum("value").alias("added")))
+    return (rows.drop("others").join(added, "row", "left")
+                .withColumn("score", F.col("score") + F.coalesce("added", F.lit(0.0))).drop("row", "added"))
 
 
 def word_sums(docs: DataFrame) -> tuple[DataFrame, int]:
@@ -445,8 +587,8 @@ def score(docs: DataFrame, training: str) -> DataFrame:
     """Both scores of every row of ``docs`` (doc_id, text); ``training`` is a condition on doc_id."""
     docs = docs.select("doc_id", "text")
     marked = docs.withColumn("training", F.coalesce(F.expr(training), F.lit(False)))
-    tree = fit(marked.filter("training"))
-    lengths = written(code_lengths(docs, tree), "lengths")
+    values = written(code_values(written(count_contexts(marked), "contexts")), "values")
+    lengths = written(code_lengths(docs, values), "lengths")
     sums, distinct = word_sums(marked)
     doc_id = F.nullif("did", F.lit(_NO_ID))
     lengths = lengths.withColumn("doc_id", doc_id).withColumn("training", F.coalesce(F.expr(training), F.lit(False)))
