@@ -299,6 +299,18 @@ class _Table:
         return out
 
 
+class _Values:
+    """Codes and their values as they travel; a worker makes its table of them once."""
+
+    def __init__(self, codes: np.ndarray, values: np.ndarray):
+        self.codes, self.values = codes, values
+
+    def table(self) -> _Table:
+        if not hasattr(self, "_table"):
+            self._table = _Table(self.codes, self.values)
+        return self._table
+
+
 class Scorer:
     """Remembers the log-probabilities of the codes it met, one per slot."""
 
@@ -397,8 +409,8 @@ def code_values(counts: DataFrame, depth: int = DEPTH, top: int = TOP) -> DataFr
     return dealt.mapInArrow(released(valued), "code bigint, n bigint, value double")
 
 
-def _frequent(values: DataFrame, most: int) -> tuple[_Table, DataFrame]:
-    """A table of the values of the most frequent codes, at most ``most``; the rows of all others."""
+def _frequent(values: DataFrame, most: int) -> tuple[_Values, DataFrame]:
+    """The values of the most frequent codes, at most ``most``; the rows of all others."""
     rank = F.floor(F.log2(F.col("n") + 1) * 8).cast("int")
     bar, size = 0, 0
     for row in values.groupBy(rank.alias("rank")).count().orderBy(F.desc("rank")).collect():
@@ -407,7 +419,7 @@ def _frequent(values: DataFrame, most: int) -> tuple[_Table, DataFrame]:
             bar = row["rank"] + 1
             break
     kept = values.filter(rank >= bar).select("code", "value").toArrow()
-    return _Table(kept["code"].to_numpy(), kept["value"].to_numpy()), values.filter(rank < bar).select("code", "value")
+    return _Values(kept["code"].to_numpy(), kept["value"].to_numpy()), values.filter(rank < bar).select("code", "value")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -419,18 +431,18 @@ def code_lengths(docs: DataFrame, values: DataFrame, frequent: int | None = None
 
     ``values`` (code, n, value) has every code of ``docs``. ``frequent`` of them go to every task.
     """
-    table, others = _frequent(values, FREQUENT if frequent is None else frequent)
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+    known, others = _frequent(values, FREQUENT if frequent is None else frequent)
+    shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 33
+        number, table = TaskContext.get().partitionId() << 33, shared.value.table()
         for batch in batches:
             texts = as_bytes(batch["text"])
             for low, high in chunks(texts):
                 spelt = [spelled(t) for t in texts[low:high]]
                 code, begins, ends = _codes(spelt, DEPTH)
                 code = code.view(np.int64)
-                value = shared.value.get(code)
+                value = table.get(code)
                 rare = np.isnan(value)
                 value[rare] = 0
                 bounds = np.stack([begins, ends], 1).ravel()
