@@ -47,11 +47,13 @@ TOP = 2
 #: Codes of whole subtrees that a task weighs at a time, if not one subtree has more.
 SUBTREE_CODES = 1 << 18
 #: Codes whose probabilities go to every task; those of all others are joined.
-FREQUENT = 1 << 21
+FREQUENT = 1_600_000
 END = b"\n"
 #: Text bytes whose words are met together.
-BLOCK_BYTES = 16 << 20
-#: Distinct counted contexts a task holds before it sends them on.
+BLOCK_BYTES = 10 << 20
+#: Counted codes a task holds before it combines them, and sends them on if over half are distinct.
+HELD_CODES = 4 << 20
+#: Sums a task holds before it sends them on.
 HELD = 2 << 20
 CACHE_BITS = 21
 
@@ -112,10 +114,10 @@ def count_contexts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
                     keys, n = np.unique(code[own], return_counts=True)
                     held.append((keys, n * one))
                     size += len(keys)
-                if size > HELD:
+                if size > HELD_CODES:
                     held = [combined()]
                     size = len(held[0][0])
-                    if size > HELD // 2:
+                    if size > HELD_CODES // 2:
                         yield sent(*held[0])
                         held, size = [], 0
         if size:
