@@ -231,7 +231,7 @@ def test_every_context_counts_in_every_score(spark, monkeypatch, frequent):
     rows = [(i, words(1500, i, 7), "en", "a", 1) for i in range(120)] + odd_rows() + [(500, "zebra \x01\xff né", "en", "a", 1)]
     training = [r for r in rows if r[0] is not None and r[0] % 5]
     assert sum(len(context_tree.spelled((r[1] or "").encode())) for r in training) > 1 << 19
-    tree = context_tree.fit(frame(spark, training))
+    tree = context_tree.fit(frame(spark, training), nodes=1 << 62)  # all of them
     want = context_tree.Scorer(tree).score([context_tree.spelled((r[1] or "").encode()) for r in rows])
     got = context_tree.score(frame(spark, rows), "doc_id % 5 <> 0").collect()
     assert np.allclose(sorted(r.score for r in got), sorted(want), rtol=1e-9)
