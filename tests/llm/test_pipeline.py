@@ -1,11 +1,19 @@
 """The stages one by one on a small corpus; ``tests/test_queries.py`` runs the registered queries."""
 
+import re
+from collections import Counter
+
+import pyarrow as pa
+import pytest
 from helpers import changed, clashing, frame, words
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 from test_near_duplicates import brute as classes_by_brute_force
 from test_repetition import brute as figures_by_brute_force
 
 import corpus_pipeline
 from tidemark.llm import repetition
+from tidemark.llm.common import place, ranged
 from tidemark.session import scratch_path
 
 NAMES = ["quality_rules", "near_dedup", "decontaminate", "mix", "write_tokens"]
@@ -25,6 +33,41 @@ def verdict(text):
                 or (longest > repetition.FREE_LONGEST and longest > repetition.MAX_LONGEST * n))
 
 
+@pytest.mark.parametrize("stage", ["quality_rules", "decontaminate", "mix"])
+def test_texts_reach_a_task_once(spark, stage, capsys):
+    """A batch that held every text twice took twice the memory, in the executor and in its Python worker."""
+    folder = scratch_path(spark, "tables")
+    spark.createDataFrame([(1, words(30, 71))], "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
+    path = scratch_path(spark, "docs")
+    frame(spark, corpus()).write.parquet(path)
+    out = dict(corpus_pipeline.STAGES)[stage](spark, spark.read.parquet(path), folder)
+    capsys.readouterr()
+    out.explain(True)
+    tasks = re.findall(r"MapInArrow \w+\(([^)]*)\)", capsys.readouterr().out)
+    assert tasks and all("row#" in x and "text#" not in x for x in tasks)
+
+
+def test_text_column_in_any_case(spark):
+    docs = frame(spark, corpus())
+    as_it_is, other = (Counter(map(tuple, repetition.clean(d).collect())) for d in (docs, docs.withColumnRenamed("text", "TEXT")))
+    assert as_it_is == other
+    with pytest.raises(AnalysisException):
+        place(docs.drop("text"), "text")
+    with pytest.raises(AnalysisException):
+        place(docs.select("*", F.lit("").alias("Text")), "text")
+
+
+def test_pieces_hold_every_text_once():
+    texts = [None, "", "abc", "x" * 40, None, "é" * 3, ""]
+    for limit in (1, 5, 100):
+        found = list(ranged(pa.array(["cut off", *texts])[1:], limit))
+        assert [x for _, _, part in found for x in part] == [(x or "").encode() for x in texts]
+        assert [i for low, high, _ in found for i in range(low, high)] == list(range(len(texts)))
+        assert all(len(part) == 1 or sum(map(len, part)) <= limit for _, _, part in found)
+    assert [part for *_, part in ranged(pa.nulls(2))] == [[b"", b""]]
+    assert not list(ranged(pa.array([], pa.string())))
+
+
 def test_stages(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == NAMES
     folder = scratch_path(spark, "tables")

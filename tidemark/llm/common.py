@@ -67,6 +67,13 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
+def place(docs: DataFrame, name: str) -> int:
+    """Which of the columns of ``docs`` Spark finds under ``name``; its own error where none or more than one is."""
+    docs.select(name)
+    same = [i for i, c in enumerate(docs.columns) if c.lower() == name.lower()]
+    return next((i for i in same if docs.columns[i] == name), same[0])
+
+
 def chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Index ranges of some ``limit`` bytes each; a longer text is a range of its own."""
     low = size = 0
@@ -144,9 +151,18 @@ def lists(values: np.ndarray, ends: np.ndarray, kind: pa.DataType) -> pa.Array:
 
 def pieces(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[list[bytes]]:
     """The texts of a string column as :func:`as_bytes` gives them, some ``limit`` bytes at a time."""
+    column = column.cast(pa.binary())
     sizes = np.append(0, np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)))
     low = 0
     while low < len(column):
         high = max(low + 1, int(np.searchsorted(sizes, sizes[low] + limit, "right")) - 1)
         yield as_bytes(column.slice(low, high - low))
         low = high
+
+
+def ranged(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, list[bytes]]]:
+    """The index range of each of :func:`pieces` and its texts, so that a batch is never held a second time."""
+    low = 0
+    for texts in pieces(column, limit):
+        yield low, low + len(texts), texts
+        low += len(texts)

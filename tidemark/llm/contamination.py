@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from tidemark.llm.common import as_bytes, chunks, released
+from tidemark.llm.common import place, ranged, released
 from tidemark.llm.suffixes import FMIndex
 
 BLOCK_BYTES = 16 << 20
@@ -126,28 +126,27 @@ def _shard(texts: list[bytes], windows: Windows):
     return counts, spans, items
 
 
-def _searched(docs: DataFrame, windows: Windows, last: bool) -> DataFrame:
-    """One block's pass; what earlier blocks found stands in ``spans`` and ``items``."""
+def _searched(docs: DataFrame, windows: Windows, text: int) -> DataFrame:
+    """One block's pass over the texts, column ``text`` of ``row``; what earlier blocks found stands in
+    ``spans`` and ``items``."""
     shared = docs.sparkSession.sparkContext.broadcast(windows)
-    names = ["row"] if last else ["row", "text"]
-    schema = StructType([docs.schema[n] for n in names] + [
-        StructField("n_words", LongType()), StructField("spans", ArrayType(ArrayType(LongType()))),
+    schema = StructType([
+        docs.schema["row"], StructField("n_words", LongType()), StructField("spans", ArrayType(ArrayType(LongType()))),
         StructField("items", ArrayType(StringType()))])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = shared.value
         for batch in batches:
-            texts = as_bytes(batch["text"])
-            for low, high in chunks(texts, SHARD_BYTES):
+            for low, high, texts in ranged(batch["row"].field(text), SHARD_BYTES):
                 part = batch.slice(low, high - low)
-                counts, spans, items = _shard(texts[low:high], windows)
+                counts, spans, items = _shard(texts, windows)
                 if "spans" in batch.schema.names:
                     spans = [_merged(x + y) for x, y in zip(spans, part["spans"].to_pylist())]
                     items = [x.union(y) for x, y in zip(items, part["items"].to_pylist())]
                 yield pa.RecordBatch.from_arrays(
-                    [*(part[n] for n in names), pa.array(counts), pa.array(spans, pa.list_(pa.list_(pa.int64()))),
+                    [part["row"], pa.array(counts), pa.array(spans, pa.list_(pa.list_(pa.int64()))),
                      pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
-                    names=[*names, "n_words", "spans", "items"])
+                    names=["row", "n_words", "spans", "items"])
 
     return docs.mapInArrow(released(search), schema)
 
@@ -156,12 +155,11 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, width: int = 10,
                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """For every row of ``docs`` (text): ``row`` (all its columns), n_words, ``spans`` of hit words
     ([begin, end) pairs, merged, ascending) and the ``items`` (ids as strings) with a window in it."""
-    found = docs.select(F.struct("*").alias("row"), "text")
+    text, found = place(docs, "text"), docs.select(F.struct("*").alias("row"))
     blocks = _blocks(benchmark, width, block_bytes)
     block = next(blocks)
     while block is not None:
-        following = next(blocks, None)
-        found, block = _searched(found, block, following is None), following
+        found, block = _searched(found, block, text), next(blocks, None)
     return found
 
 

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from tidemark.llm.common import CACHE_WORDS, as_bytes, chunks, released, written
+from tidemark.llm.common import CACHE_WORDS, place, ranged, released, written
 
 TOPICS = 8
 #: Powers of the natural shares.
@@ -66,20 +66,20 @@ class _Classes(dict):
 def _described(docs: DataFrame, seed: int) -> DataFrame:
     """``row``, source, lang, given topic, u (0 to 1), n_tokens and the words of each class."""
     given = F.coalesce(F.col("topic").cast("string"), F.lit("")) if "topic" in docs.columns else F.lit(None).cast("string")
+    text = place(docs, "text")
     docs = docs.select(
         F.struct("*").alias("row"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
         F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), given.alias("given"),
-        ((F.xxhash64(F.lit(seed), "doc_id", "text") / F.lit(2.0**64)) + 0.5).alias("u"), "text")
+        ((F.xxhash64(F.lit(seed), "doc_id", "text") / F.lit(2.0**64)) + 0.5).alias("u"))
     names = ["row", "source", "lang", "given", "u"]
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = _Classes()
         for batch in batches:
-            texts = as_bytes(batch["text"])
-            for low, high in chunks(texts):
+            for low, high, texts in ranged(batch["row"].field(text)):
                 if len(classes) > CACHE_WORDS:
                     classes.clear()
-                words = [t.lower().split() for t in texts[low:high]]
+                words = [t.lower().split() for t in texts]
                 sizes = np.fromiter(map(len, words), np.int64, len(words))
                 own = np.fromiter(map(classes.__getitem__, (w for ws in words for w in ws)), np.int64, int(sizes.sum()))
                 cell = np.repeat(np.arange(len(words)) * TOPICS, sizes) + own

@@ -30,13 +30,14 @@ document; the first by text stands for it. Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHashes, as_bytes, chunks, mixed, released, window_hashes, written
+from tidemark.llm.common import WordHashes, mixed, pieces, ranged, released, window_hashes, written
 from tidemark.llm.components import components
 
 WORDS, SIMILARITY = 5, 0.8
@@ -147,9 +148,9 @@ def _sketched(texts: DataFrame, k: int, count: int) -> DataFrame:
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            values, ids, th = as_bytes(batch["text"]), batch["id"].to_numpy(), batch["th"].to_numpy()
-            for low, high in chunks(values):
-                kmers = _kmers(values[low:high], hashes, k)
+            ids, th = batch["id"].to_numpy(), batch["th"].to_numpy()
+            for low, high, values in ranged(batch["text"]):
+                kmers = _kmers(values, hashes, k)
                 some = [i for i, x in enumerate(kmers) if len(x)]
                 if not some:
                     continue
@@ -248,10 +249,9 @@ def _marked(texts: DataFrame, k: int) -> DataFrame:
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            values = as_bytes(batch["text"])
-            for low, high in chunks(values):
+            for low, high, values in ranged(batch["text"]):
                 bits = np.zeros((high - low, 64 * MARKS), bool)
-                for row, own in zip(bits, _kmers(values[low:high], hashes, k)):
+                for row, own in zip(bits, _kmers(values, hashes, k)):
                     row[own % np.uint64(64 * MARKS)] = True
                 numbers = np.packbits(bits, axis=1).view(np.int64)
                 yield pa.record_batch({"id": batch["id"].slice(low, high - low),
@@ -308,7 +308,7 @@ def _links(pairs: DataFrame, texts: DataFrame, k: int, threshold: float) -> Data
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            left, right = as_bytes(batch["left"]), as_bytes(batch["right"])
+            left, right = (chain.from_iterable(pieces(batch[side])) for side in ("left", "right"))
             good = []
             # The pairs of one left text stand together.
             held, own = None, None

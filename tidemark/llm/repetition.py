@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.llm.common import as_bytes, chunks, released
+from tidemark.llm.common import place, ranged, released
 from tidemark.llm.suffixes import common_prefixes, suffix_array
 
 #: Words from which on a repeat counts as copied and not as a turn of phrase.
@@ -82,14 +82,13 @@ def figures(texts: list[bytes], min_repeat: int = MIN_REPEAT) -> list[np.ndarray
 
 def measure(docs: DataFrame, min_repeat: int = MIN_REPEAT) -> DataFrame:
     """``row`` (all columns of ``docs``), the figures, ``base_failed`` and ``kept``."""
-    docs = docs.select(F.struct("*").alias("row"), "text")
+    text, docs = place(docs, "text"), docs.select(F.struct("*").alias("row"))
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = as_bytes(batch["text"])
-            for low, high in chunks(texts):
+            for low, high, texts in ranged(batch["row"].field(text)):
                 yield pa.RecordBatch.from_arrays(
-                    [batch["row"].slice(low, high - low), *map(pa.array, figures(texts[low:high], min_repeat))],
+                    [batch["row"].slice(low, high - low), *map(pa.array, figures(texts, min_repeat))],
                     names=["row", *FIGURES])
 
     schema = StructType([docs.schema["row"], *(StructField(n, LongType()) for n in FIGURES)])
