@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -223,6 +224,35 @@ def test_every_context_is_a_distribution(spark):
         assert math.isclose((10 ** tree.log10(codes)).sum(), 1, rel_tol=1e-9)
 
 
+@pytest.mark.parametrize("depth", [0, 2, 6, 7])
+def test_codes_are_read_at_once(depth):
+    """As the definition has it, and with no more than one number a byte besides the texts, so in one go."""
+    texts = [context_tree.spelled(t) for t in (b"", b"a", b"Ab c", "\u00e9\u00df \U0001f600".encode(), bytes(range(1, 256)))]
+    code, begins, ends = context_tree._codes(texts, depth)
+    for text, begin, end in zip(texts, begins, ends):
+        before = context_tree.END * depth + text
+        assert code[begin:end].tolist() == [int.from_bytes(before[i:i + depth + 1], "big") for i in range(len(text))]
+    assert all(len(x) == 0 for x in context_tree._codes([], depth))
+    large = [b"some words " * 50_000 + b"\n"]
+    tracemalloc.start()
+    context_tree._codes(large, depth)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12 * len(large[0])
+
+
+def test_a_table_finds_all_its_keys_and_no_others(monkeypatch):
+    monkeypatch.setattr(context_tree, "LOOKED_UP", 100)
+    rng = np.random.default_rng(5)
+    keys = np.unique(rng.integers(0, 2**59, 5000))
+    values = rng.random(len(keys))
+    table = context_tree._Table(keys[::2], values[::2])
+    assert table.cells.nbytes == 16 << table.bits
+    found = table.get(keys)
+    assert np.array_equal(found[::2], values[::2]) and np.isnan(found[1::2]).all()
+    assert len(table.get(keys[:0])) == 0 and np.isnan(context_tree._Table(keys[:0], values[:0]).get(keys)).all()
+
+
 @pytest.mark.parametrize("frequent", [0, 300, 1 << 21])
 def test_every_context_counts_in_every_score(spark, monkeypatch, frequent):
     monkeypatch.setattr(context_tree, "SUBTREE_CODES", 200, raising=False)

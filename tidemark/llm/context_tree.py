@@ -56,10 +56,13 @@ HELD_CODES = 4 << 20
 #: Sums a task holds before it sends them on.
 HELD = 2 << 20
 CACHE_BITS = 21
+#: Keys that a table looks up at a time.
+LOOKED_UP = 1 << 18
 
 _POST = np.dtype([("doc", "<u4"), ("n", "<u4")])
 _DOC = np.dtype([("did", "<i8"), ("th", "<i8")])
 _SUM = np.dtype([("doc", "<u4"), ("known", "<u4"), ("add", "<f8")])
+_CELL = np.dtype([("key", "<i8"), ("value", "<f8")])
 _NO_ID = -(2**63)
 
 
@@ -69,12 +72,11 @@ def spelled(text: bytes) -> bytes:
 
 
 def _codes(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each byte: itself and the ``depth`` before it as one number; begins and ends of the texts."""
-    pad = END * depth
-    raw = np.frombuffer(pad.join([b"", *texts]), np.uint8).astype(np.uint64)
-    code = np.zeros(max(len(raw) - depth, 0), np.uint64)
-    for k in range(depth + 1):
-        code |= raw[depth - k:len(raw) - k or None] << np.uint64(8 * k)
+    """For each byte: itself and the ``depth`` (up to 7) before it as one number; begins and ends of the texts."""
+    raw = bytes(7 - depth) + (END * depth).join([b"", *texts])
+    # Every eight bytes in a row are read as one number, of which the last ``depth + 1`` bytes count.
+    code = np.ndarray(max(len(raw) - 7, 0), ">u8", raw, strides=(1,)).astype(np.uint64)
+    code &= np.uint64((1 << 8 * depth + 8) - 1)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     ends = np.cumsum(sizes + depth) - depth
     return code, ends - sizes, ends
@@ -102,16 +104,11 @@ def count_contexts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         for batch in batches:
             texts, training = as_bytes(batch["text"]), batch["training"].to_pylist()
             for low, high in chunks(texts):
-                code, begins, ends = _codes([spelled(t) for t in texts[low:high]], depth)
-                real, learned = (np.zeros(len(code) + 1, np.int8) for _ in range(2))
-                np.add.at(real, begins, 1)
-                np.add.at(real, ends, -1)
-                mine = np.array(training[low:high], bool)
-                np.add.at(learned, begins[mine], 1)
-                np.add.at(learned, ends[mine], -1)
-                real, learned = np.cumsum(real)[:-1] > 0, np.cumsum(learned)[:-1] > 0
-                for own, one in ((learned, 1), (real & ~learned, 0)):
-                    keys, n = np.unique(code[own], return_counts=True)
+                for one in (1, 0):
+                    code, _, ends = _codes([spelled(texts[i]) for i in range(low, high) if bool(training[i]) == one], depth)
+                    real = np.ones(len(code), bool)
+                    real[(ends[:-1, None] + np.arange(depth)).ravel()] = False
+                    keys, n = np.unique(code[real], return_counts=True)
                     held.append((keys, n * one))
                     size += len(keys)
                 if size > HELD_CODES:
@@ -272,13 +269,14 @@ class _Table:
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.bits = max(4, int(5 * len(keys) // 2).bit_length())
-        self.keys = np.full(1 << self.bits, -1, np.int64)
-        self.values = np.full(1 << self.bits, np.nan)
+        # A key and its value stand together, so that a look at both is one place of memory.
+        self.cells = np.empty(1 << self.bits, _CELL)
+        self.cells["key"], self.cells["value"] = -1, np.nan
         slot = self._slot(keys)
         while len(keys):
             new, first = np.unique(slot, return_index=True)
-            first = first[self.keys[new] < 0]
-            self.keys[slot[first]], self.values[slot[first]] = keys[first], values[first]
+            first = first[self.cells["key"][new] < 0]
+            self.cells["key"][slot[first]], self.cells["value"][slot[first]] = keys[first], values[first]
             rest = np.ones(len(keys), bool)
             rest[first] = False
             keys, values, slot = keys[rest], values[rest], (slot[rest] + 1) & (1 << self.bits) - 1
@@ -288,17 +286,27 @@ class _Table:
 
     def get(self, keys: np.ndarray) -> np.ndarray:
         """The value of each key, NaN where there is none."""
+        out = np.empty(len(keys))
+        for low in range(0, len(keys), LOOKED_UP):
+            self._get(keys[low:low + LOOKED_UP], out[low:low + LOOKED_UP])
+        return out
+
+    def _get(self, keys: np.ndarray, out: np.ndarray) -> None:
+        wide = self.cells.view(np.complex128)  # numpy takes these faster than records
         slot = self._slot(keys)
-        there = self.keys[slot]
-        out = np.where(there == keys, self.values[slot], np.nan)
-        open_ = np.flatnonzero((there != keys) & (there >= 0))
+        cell = wide[slot].view(_CELL)
+        there = cell["key"]
+        out[:] = cell["value"]
+        open_ = np.flatnonzero(there != keys)
+        out[open_] = np.nan
+        open_ = open_[there[open_] >= 0]
         while len(open_):
             slot[open_] = (slot[open_] + 1) & (1 << self.bits) - 1
-            there = self.keys[slot[open_]]
+            cell = wide[slot[open_]].view(_CELL)
+            there = cell["key"]
             hit = there == keys[open_]
-            out[open_[hit]] = self.values[slot[open_[hit]]]
+            out[open_[hit]] = cell["value"][hit]
             open_ = open_[~hit & (there >= 0)]
-        return out
 
 
 class _Values:
@@ -445,21 +453,18 @@ def code_lengths(docs: DataFrame, values: DataFrame, frequent: int | None = None
                 code, begins, ends = _codes(spelt, DEPTH)
                 code = code.view(np.int64)
                 value = table.get(code)
-                rare = np.isnan(value)
+                rare = np.flatnonzero(np.isnan(value))
                 value[rare] = 0
                 bounds = np.stack([begins, ends], 1).ravel()
-                count = np.append(0, np.cumsum(rare))
-                places = np.zeros(len(code) + 1, np.int8)
-                np.add.at(places, begins, 1)
-                np.add.at(places, ends, -1)
-                left = code[rare & (np.cumsum(places)[:-1] > 0)]
+                # Not those between texts.
+                rare = rare[rare >= begins[np.searchsorted(ends, rare, "right")]]
                 yield pa.record_batch({
                     "row": pa.array(np.arange(number, number + high - low)),
                     "did": batch["did"].slice(low, high - low), "th": batch["th"].slice(low, high - low),
                     "n_bytes": pa.array([len(t) for t in spelt], pa.int64()),
                     "n_tokens": pa.array([t.count(b" ") + (len(t) > 1) + 1 for t in spelt], pa.int64()),
                     "score": pa.array(np.add.reduceat(np.append(value, 0.0), bounds)[::2]),
-                    "others": lists(left, np.cumsum(count[ends] - count[begins]), pa.int64())})
+                    "others": lists(code[rare], np.searchsorted(rare, ends), pa.int64())})
                 number += high - low
 
     rows = written(_keyed(docs).select("did", "th", "text").mapInArrow(
