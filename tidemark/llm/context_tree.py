@@ -93,6 +93,7 @@ def count_contexts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
 
         def combined() -> pa.RecordBatch:
             keys, n = np.concatenate([k for k, _ in held]), np.concatenate([n for _, n in held])
+            held.clear()
             order = np.argsort(keys)
             keys, n = keys[order], n[order]
             first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
@@ -493,18 +494,21 @@ def word_sums(docs: DataFrame) -> tuple[DataFrame, int]:
                 split = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts[low:high], pa.binary()).cast(pa.string())))
                 coded = split.flatten().dictionary_encode()
                 names = coded.dictionary.cast(pa.binary()).to_pylist()
-                code, doc = coded.indices.to_numpy().astype(np.int64), np.repeat(np.arange(high - low), np.diff(split.offsets.to_numpy()))
+                # Words and their documents as one number, sorted in place: few arrays of a number a word at a time.
+                at = np.repeat(np.arange(high - low), np.diff(split.offsets.to_numpy()))
+                at += coded.indices.to_numpy() * np.int64(high - low)
                 if b"" in names:  # before the first and behind the last white space
-                    real = code != names.index(b"")
-                    code, doc = code[real], doc[real]
-                code = np.append(code, np.full(high - low, len(names)))
-                word, doc = np.divmod(np.sort(code * (high - low) + np.append(doc, np.arange(high - low))), high - low)
-                new = np.concatenate([[True], (word[1:] != word[:-1]) | (doc[1:] != doc[:-1])])
-                pair = np.flatnonzero(new)
+                    at = at[coded.indices.to_numpy() != names.index(b"")]
+                del split, coded
+                at = np.append(at, np.arange(high - low) + len(names) * (high - low))
+                at.sort()
+                pair = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
                 posts = np.empty(len(pair), _POST)
-                posts["doc"], posts["n"] = doc[pair], np.diff(np.append(pair, len(word)))
-                first = np.flatnonzero(np.concatenate([[True], word[pair][1:] != word[pair][:-1]]))
-                named = np.array([xxhash.xxh3_64_intdigest(w) for w in [*names, END]], np.uint64)[word[pair][first]]
+                posts["n"] = np.diff(np.append(pair, len(at)))
+                word, posts["doc"] = np.divmod(at[pair], high - low)
+                del at, pair
+                first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+                named = np.array([xxhash.xxh3_64_intdigest(w) for w in [*names, END]], np.uint64)[word[first]]
                 own = keys[low:high]
                 number += 1
                 block = xxhash.xxh3_64_intdigest(f"{TaskContext.get().partitionId()} {number}") - 2**63
