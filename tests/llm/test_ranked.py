@@ -4,10 +4,13 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from helpers import clashing, frame, odd_rows, words
 
 from tidemark.llm import ranked
+from tidemark.llm.common import small_batches
 from tidemark.llm.ranked import build_index, impacts, search
 
 ITEMS = "item_id bigint, text string"
@@ -102,6 +105,24 @@ def test_products_over_64_bits():
     assert wide.tolist() == [10**9 * c // (1000 * c + 8 * (25 + 75 * n * 10**12 // 10**15)) for c, n in zip([2, 3], [5, 10**8])]
 
 
+def test_an_index_is_written_and_read_in_small_parts(spark, monkeypatch):
+    """Neither the Parquet writer nor a reader's or a task's batch holds many segments at once."""
+    monkeypatch.setitem(ranked.ROW_GROUPS, "parquet.block.size", 1000)
+    rows = [(i, words(300, i), "en", "a", 1) for i in range(40)]
+    index = build_index(frame(spark, rows, parts=2), 2000)
+    files = [pq.ParquetFile(re.sub("^file:/+", "/", f)).metadata for f in index.inputFiles()]
+    assert sum(f.num_rows for f in files) == sum(f.num_row_groups for f in files) == 40
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch({"n": pa.array([b.num_rows], pa.int64()), "size": pa.array([b.nbytes], pa.int64())})
+
+    seen = index.coalesce(1).mapInArrow(sizes, "n bigint, size bigint")
+    with small_batches(spark, 1000):
+        assert [r.n for r in seen.collect()] == [1] * 40
+    assert [r.n for r in seen.collect()] == [40]
+
+
 def test_a_very_long_text(spark):
     rows = [(1, words(200_000, 3), "en", "a", 1), (2, words(50, 4), "en", "a", 1), (3, words(80, 3), "en", "a", 1)]
     items = [(1, " ".join(rows[0][1].split(" ")[150_000:150_040]))]

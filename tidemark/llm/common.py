@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from functools import wraps
 
 import numpy as np
@@ -17,6 +18,8 @@ from tidemark.session import scratch_path
 
 #: Bytes of text that a task takes apart at a time.
 CHUNK_BYTES = 2 << 20
+#: Bytes of an Arrow batch under :func:`small_batches`; the row that reaches them is still in it.
+BATCH_BYTES = 8 << 20
 #: A task forgets its cached words beyond this many; results do not depend on it.
 CACHE_WORDS = 400_000
 
@@ -25,18 +28,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read from there.
+def written(df: DataFrame, name: str, **options: int) -> DataFrame:
+    """``df`` written once to the shared folder, with a writer's ``options``, and read from there.
 
     A later stage then neither repeats the work nor depends on the executors
     that did it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> Iterator[None]:
+    """Actions of this thread hand their Python tasks Arrow batches that end at ``size`` bytes.
+
+    An executor holds a batch several times outside its heap: as vectors, as
+    the stream of them, and as the room both grew into. A session that has set
+    the limit keeps its own.
+    """
+    context, key = spark.sparkContext, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = context.getLocalProperty(key)
+    context.setLocalProperty(key, str(size))
+    try:
+        yield
+    finally:
+        context.setLocalProperty(key, before)
+
+
 def released(task: Callable) -> Callable:
     """``task`` (batches to batches) that hands its memory back when it ends.
 

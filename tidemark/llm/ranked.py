@@ -2,7 +2,7 @@
 
 ``build_index`` takes documents apart into segments of some megabytes of text, a
 row each: the documents that have terms, in ascending id, and for every term its
-posting list (documents and occurrences). ``search`` opens a segment for a block
+posting list (documents and occurrences), packed. ``search`` opens a segment for a block
 of items. Every posting of an item's terms gets its impact, and a sparse table
 over the list gives the largest impact between any two places in two look-ups.
 The sum of an item's range maxima bounds the score of every document of an
@@ -43,10 +43,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from tidemark.llm.common import as_bytes, chunks, written
+from tidemark.llm.common import ranged, released, small_batches, written
 
 SEGMENT_BYTES = 8 << 20
 BLOCK_BYTES = 4 << 20
+#: The Parquet writer looks at its size after every row, as a segment is a large one: it holds a hundred before it
+#: looks otherwise, and the reader takes all rows of a row group at once.
+ROW_GROUPS = {"parquet.block.size": SEGMENT_BYTES, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1}
 #: Intervals of one item that are opened together.
 AT_ONCE = 16
 #: Constants of the score: the impact's numerator, and the factors of occurrences and of length.
@@ -54,8 +57,9 @@ TOP, OCCURRENCES, LENGTH = 1_000_000_000, 1_000, 8
 #: Percent of the length that counts relative to the mean.
 RELATIVE = 75
 
-INDEX = ("doc_ids array<bigint>, lengths array<bigint>, terms array<string>, ends array<bigint>, "
-         "places array<int>, counts array<int>")
+#: A segment: its documents and their terms counted, and three packed tables of arrays: ``terms, ends`` (where each
+#: term's list ends), ``doc_ids, lengths`` of the documents, and ``places, counts`` of the lists, one after the other.
+INDEX = "n_docs bigint, n_terms bigint, vocabulary binary, documents binary, postings binary"
 
 _KEPT = bytes(range(48, 58)) + bytes(range(97, 123)) + bytes(range(128, 256))
 _TERMS = bytes(c + 32 if 65 <= c <= 90 else c if c in _KEPT else 32 for c in range(256))
@@ -72,55 +76,71 @@ class _Codes(dict):
         value = self[term] = len(self)
         return value
 
+    def of(self, terms: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, terms), np.int64, len(terms))
+
+
+def _packed(**columns: pa.Array) -> pa.Array:
+    """Equally long arrays as one compressed value: Spark's rows and readers take many times the room of long lists."""
+    table, sink = pa.record_batch(columns), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(table)
+    return pa.array([sink.getvalue().to_pybytes()], pa.binary())
+
+
+def _unpacked(value: pa.Scalar) -> list[pa.Array]:
+    with pa.ipc.open_stream(value.as_buffer()) as stream:
+        return stream.read_next_batch().columns
+
 
 def _segment(ids: np.ndarray, known: np.ndarray, texts: list[bytes]) -> pa.RecordBatch | None:
-    split = [terms_of(t) for t in texts]
-    lengths = np.fromiter(map(len, split), np.int64, len(split))
+    codes = _Codes()
+    own = [codes.of(terms_of(t)) for t in texts]
+    lengths = np.fromiter(map(len, own), np.int64, len(own))
     # Ascending ids, those that are null last; documents without terms go.
     order = np.lexsort((ids, ~known))
     order = order[lengths[order] > 0]
     if not len(order):
         return None
-    codes = _Codes()
-    code = np.fromiter(map(codes.__getitem__, (w for i in order.tolist() for w in split[i])), np.int64, int(lengths.sum()))
+    code = np.concatenate([own[i] for i in order.tolist()])
+    del own
     place = np.repeat(np.arange(len(order)), lengths[order])
     code, place = np.divmod(np.sort(code * len(order) + place), len(order))
     first = np.flatnonzero(np.concatenate([[True], (np.diff(code) != 0) | (np.diff(place) != 0)]))
     ends = np.searchsorted(code[first], np.arange(len(codes)), side="right")
-
-    def row(values: pa.Array) -> pa.Array:
-        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-
-    return pa.RecordBatch.from_arrays([
-        row(pa.array(ids[order], pa.int64(), mask=~known[order])), row(pa.array(lengths[order])),
-        row(pa.array(list(codes), pa.binary()).cast(pa.string())), row(pa.array(ends.astype(np.int64))),
-        row(pa.array(place[first].astype(np.int32))),
-        row(pa.array(np.diff(np.append(first, len(code))).astype(np.int32)))],
-        names=["doc_ids", "lengths", "terms", "ends", "places", "counts"])
+    return pa.record_batch({
+        "n_docs": pa.array([len(order)], pa.int64()), "n_terms": pa.array([len(code)], pa.int64()),
+        "vocabulary": _packed(terms=pa.array(list(codes), pa.binary()).cast(pa.string()), ends=pa.array(ends.astype(np.int64))),
+        "documents": _packed(doc_ids=pa.array(ids[order], pa.int64(), mask=~known[order]), lengths=pa.array(lengths[order])),
+        "postings": _packed(places=pa.array(place[first].astype(np.int32)),
+                            counts=pa.array(np.diff(np.append(first, len(code))).astype(np.int32)))})
 
 
 def build_index(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
     """The posting lists of ``docs`` (doc_id, text), a row per segment, written to the shared folder."""
+    @released
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, known, texts, size = [], [], [], 0
         for batch in batches:
-            own, column = as_bytes(batch["text"]), batch["doc_id"]
+            column = batch["doc_id"]
             there = column.is_valid().to_numpy(zero_copy_only=False)
             number = column.fill_null(_LAST).to_numpy(zero_copy_only=False)
-            for low, high in chunks(own, segment_bytes):
-                more = sum(map(len, own[low:high]))
+            for low, high, own in ranged(batch["text"], segment_bytes):
+                more = sum(map(len, own))
                 if texts and size + more > segment_bytes:
                     if (row := _segment(np.concatenate(ids), np.concatenate(known), texts)) is not None:
                         yield row
                     ids, known, texts, size = [], [], [], 0
                 ids.append(number[low:high])
                 known.append(there[low:high])
-                texts += own[low:high]
+                texts += own
                 size += more
         if texts and (row := _segment(np.concatenate(ids), np.concatenate(known), texts)) is not None:
             yield row
 
-    return written(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(segments, INDEX), "postings")
+    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    with small_batches(docs.sparkSession):
+        return written(texts.mapInArrow(segments, INDEX), "postings", **ROW_GROUPS)
 
 
 class Block:
@@ -158,19 +178,23 @@ def _frequencies(index: DataFrame, block: Block) -> np.ndarray:
     """Documents that hold each term of the block, summed over the segments."""
     vocabulary = block.vocabulary
 
+    @released
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(vocabulary), np.int64)
         for batch in batches:
-            for i in range(len(batch)):
-                at = _lists(batch["terms"][i].values, vocabulary)
-                sizes = np.diff(batch["ends"][i].values.to_numpy(), prepend=0)
+            for packed in batch["vocabulary"]:
+                terms, ends = _unpacked(packed)
+                at = _lists(terms, vocabulary)
+                sizes = np.diff(ends.to_numpy(), prepend=0)
                 total[at >= 0] += sizes[at[at >= 0]]
         here = np.flatnonzero(total)
         yield pa.record_batch({"term": pa.array(here, pa.int64()), "df": pa.array(total[here], pa.int64())})
 
     df = np.zeros(len(vocabulary), np.int64)
-    for r in index.select("terms", "ends").mapInArrow(found, "term bigint, df bigint").groupBy("term").agg(F.sum("df")).collect():
-        df[r[0]] = r[1]
+    counted = index.select("vocabulary").mapInArrow(found, "term bigint, df bigint").groupBy("term").agg(F.sum("df"))
+    with small_batches(index.sparkSession):
+        for r in counted.collect():
+            df[r[0]] = r[1]
     return df
 
 
@@ -342,11 +366,12 @@ def _found(index: DataFrame, block: Block, k: int, n_docs: int, n_terms: int, ki
     df = _frequencies(index, block).astype(np.float64)
     weights = np.array([int(1000 * np.log(x)) for x in (2.0 * n_docs + 2) / (2 * df + 1)], np.int64)
 
+    @released
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         leaders = Leaders(len(block.ids), k)
         for batch in batches:
-            for i in range(len(batch)):
-                ids, *rest = (batch[c][i].values for c in ("doc_ids", "lengths", "terms", "ends", "places", "counts"))
+            for packed in zip(batch["documents"], batch["vocabulary"], batch["postings"]):
+                ids, *rest = (x for table in packed for x in _unpacked(table))
                 arrays = [x if pa.types.is_string(x.type) else x.to_numpy() for x in rest]
                 _opened((ids.fill_null(_LAST).to_numpy(), ids.is_valid().to_numpy(zero_copy_only=False), *arrays),
                         block, weights, n_docs, n_terms, leaders)
@@ -355,7 +380,7 @@ def _found(index: DataFrame, block: Block, k: int, n_docs: int, n_terms: int, ki
         yield pa.record_batch({"item": pa.array(item, pa.int64()), "doc_id": pa.array(ids, pa.int64(), mask=ids == _LAST),
                                "score": pa.array(leaders.scores[item, rank], pa.int64())})
 
-    rows = index.mapInArrow(best, "item bigint, doc_id bigint, score bigint")
+    rows = index.select("documents", "vocabulary", "postings").mapInArrow(best, "item bigint, doc_id bigint, score bigint")
     ranks = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     rows = rows.withColumn("rank", F.row_number().over(ranks)).filter(F.col("rank") <= k)
     names = index.sparkSession.createDataFrame([(i, name) for i, name in enumerate(block.ids)],
@@ -366,13 +391,14 @@ def _found(index: DataFrame, block: Block, k: int, n_docs: int, n_terms: int, ki
 def search(index: DataFrame, items: DataFrame, k: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """item_id, rank (from 1), doc_id, score: each item's ``k`` best documents of an index."""
     kind = items.schema["item_id"].dataType
-    n_docs, n_terms = index.agg(F.sum(F.size("lengths")).cast("bigint"),
-                                F.sum(F.aggregate("lengths", F.lit(0).cast("bigint"), lambda a, x: a + x))).first()
+    n_docs, n_terms = index.agg(F.sum("n_docs"), F.sum("n_terms")).first()
     parts = []
     for block in _blocks(items, block_bytes):
         if n_docs and len(block.vocabulary):
             # A block's result is written before the next one is read, so that the driver holds one.
-            parts.append(written(_found(index, block, k, n_docs, n_terms, kind), "found"))
+            found = _found(index, block, k, n_docs, n_terms, kind)
+            with small_batches(index.sparkSession):
+                parts.append(written(found, "found"))
     if not parts:
         return index.sparkSession.createDataFrame([], StructType([
             StructField("item_id", kind), StructField("rank", IntegerType()), StructField("doc_id", LongType()),
