@@ -185,6 +185,28 @@ def test_large_files_are_listed_without_being_opened(spark, scratch):
     assert got == {"small": (3, "900150983cd24fb0d6963f7d28e17f72"), "large": (3 << 30, None)}
 
 
+def test_a_file_is_streamed_through_its_checksum(spark, scratch):
+    """Names with odd signs, and a file larger than a value of Spark, sparse on disk."""
+    import os
+
+    folder, size = scratch.removeprefix("file:"), (1 << 31) + 5
+    os.makedirs(folder)
+    for name in ("a b%20é#?+", "packed.gz"):
+        with open(f"{folder}/{name}", "wb") as f:
+            f.write(name.encode() * 9)
+    with open(f"{folder}/large", "wb") as f:
+        f.write(b"start")
+        f.truncate(size)
+    expected = hashlib.md5(b"start")
+    for n in [1 << 20] * (1 << 11):
+        expected.update(bytes(n))
+    files = tm.file_manifest(spark, scratch, checked_bytes=None)
+    assert "content" not in files._jdf.queryExecution().executedPlan().toString()
+    got = {os.path.basename(r.path): (r.length, r.checksum) for r in files.filter("checksum > ''").collect()}
+    assert got.pop("large") == (size, expected.hexdigest())
+    assert got == {n: (9 * len(n.encode()), hashlib.md5(n.encode() * 9).hexdigest()) for n in ("a b%20é#?+", "packed.gz")}
+
+
 def test_scrape_files_with_types_and_times(spark, scratch):
     import os
     import time

@@ -160,26 +160,67 @@ def explode_payloads(payloads: DataFrame, body: str = "body") -> DataFrame:
 
 # Files ----------------------------------------------------------------------------------------
 
-#: Spark hands a file's content over as one value, which can be no larger than this.
+#: Files over this size have no checksum unless a caller says otherwise.
 CHECKED_BYTES = 2**31 - 2**20
 
 
 def file_manifest(spark: SparkSession, path: str, glob: str | None = None,
-                  recursive: bool = True, checked_bytes: int = CHECKED_BYTES) -> DataFrame:
+                  recursive: bool = True, checked_bytes: int | None = CHECKED_BYTES) -> DataFrame:
     """Path, size, time and MD5 of every file.
 
-    Files are read whole by Spark's binary file source, one by one. A file over
-    ``checked_bytes`` is listed without being opened, its checksum null; the
-    source filters by size before it reads.
+    Files are listed by Spark's binary file source, which does not open them for
+    that, and a task streams them through the digest one by one. A file over
+    ``checked_bytes`` is listed without being opened, its checksum null; with
+    None there is no such limit.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(path)
-    listed = ["path", "length", "modificationTime"]
-    small = files.filter(F.col("length") <= checked_bytes).select(*listed, F.md5("content").alias("checksum"))
-    large = files.filter(F.col("length") > checked_bytes).select(*listed, F.lit(None).cast("string").alias("checksum"))
-    return small.unionByName(large)
+    checksum = _streamed_md5(spark, "path")
+    if checked_bytes is not None:
+        checksum = F.when(F.col("length") <= checked_bytes, checksum)
+    return reader.load(path).select("path", "length", "modificationTime", checksum.alias("checksum"))
+
+
+def _streamed_md5(spark: SparkSession, path: str) -> Column:
+    """MD5 of the files a column names, in any store that Spark reads.
+
+    Spark itself only hands a file's content over as one value. So this is the
+    expression ``new DigestUtils("MD5").digestAsHex(fs.open(path))`` of the
+    libraries Spark comes with; a task holds a buffer of the stream, which is
+    closed at its end. It counts as not deterministic, so that a plan never
+    reads a file twice.
+    """
+    jvm = spark.sparkContext._jvm
+    objects, expressions = jvm.org.apache.spark.sql.catalyst.expressions.objects, jvm.org.apache.spark.sql.classic.ExpressionUtils
+    loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
+
+    def seq(*values):
+        return jvm.PythonUtils.toSeq(list(values))
+
+    def kind(name: str):
+        return jvm.org.apache.spark.sql.types.ObjectType(loader.loadClass(name))
+
+    def new(name: str, *args):
+        return objects.NewInstance(loader.loadClass(name), seq(*args), seq(), True, kind(name), jvm.scala.Option.empty())
+
+    def call(target, method: str, result: str, *args):
+        return objects.Invoke(target, method, kind(result), seq(*args), seq(), True, True, False)
+
+    def static(name: str, method: str, result, *args):
+        return objects.StaticInvoke(loader.loadClass(name), result, method, seq(*args), seq(), True, True, True, jvm.scala.Option.empty())
+
+    def text(column: Column):
+        return call(expressions.expression(column._jc), "toString", "java.lang.String")
+
+    util, fs = "org.apache.spark.deploy.SparkHadoopUtil", "org.apache.hadoop.fs"
+    file = new(f"{fs}.Path", text(F.col(path)))
+    conf = call(static(util, "get", kind(util)), "conf", "org.apache.hadoop.conf.Configuration")
+    stream = call(call(file, "getFileSystem", f"{fs}.FileSystem", conf), "open", f"{fs}.FSDataInputStream", file)
+    digest = call(new("org.apache.commons.codec.digest.DigestUtils", text(F.lit("MD5"))), "digestAsHex", "java.lang.String",
+                  new("org.apache.commons.io.input.AutoCloseInputStream", stream))
+    strings = jvm.org.apache.spark.sql.types.DataType.fromDDL("string")
+    return Column(expressions.column(static("org.apache.spark.unsafe.types.UTF8String", "fromString", strings, digest)))
 
 
 def write_status(status: DataFrame, path: str) -> None:
