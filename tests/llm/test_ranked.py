@@ -99,6 +99,34 @@ def test_a_document_with_every_other_term_is_found_first():
     assert leaders.scores[0, 0] == total.max() and leaders.ids[0, 0] == total.argmax() and found.opened < 100
 
 
+def test_items_are_searched_some_at_a_time(monkeypatch):
+    """What a task holds follows the terms searched together, not the items of a block."""
+    monkeypatch.setattr(ranked, "ENTRIES", 50, raising=False)
+    most, bounded = [], ranked.Search._bounded
+
+    def watched(self, item, first, lists, *rest):
+        most.append(len(lists))
+        return bounded(self, item, first, lists, *rest)
+
+    monkeypatch.setattr(ranked.Search, "_bounded", watched)
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{rng.randrange(90)}" for _ in range(40))) for i in range(60)]
+    items = [(i, " ".join(f"w{rng.randrange(90)}" for _ in range(n))) for i, n in enumerate([20] * 200 + [200])]
+    segment = ranked._segment(np.arange(60), np.ones(60, bool), [t.encode() for _, t in rows])
+    documents, vocabulary, postings = (ranked._unpacked(segment[c][0]) for c in ("documents", "vocabulary", "postings"))
+    block = ranked.Block({i: [t.encode()] for i, t in items})
+    terms = [split(t) for _, t in rows]
+    df = [sum(w in own for own in terms) for w in block.vocabulary]
+    weights = np.array([math.floor(1000 * math.log(122 / (2 * n + 1))) for n in df])
+    leaders = ranked.Leaders(201, 10)
+    ids, lengths = (x.to_numpy() for x in documents)
+    ranked._opened((ids, np.ones(60, bool), lengths, vocabulary[0], vocabulary[1].to_numpy(), *(x.to_numpy() for x in postings)),
+                   block, weights, 60, sum(map(len, terms)), leaders)
+    found = [(items[i][0], r + 1, int(leaders.ids[i, r]), int(leaders.scores[i, r])) for i, r in zip(*np.nonzero(leaders.scores))]
+    assert sorted(found, key=str) == brute(rows, items)
+    assert max(most) <= 2 * ranked.AT_ONCE * 80
+
+
 def test_products_over_64_bits():
     lengths, counts = np.array([5, 10**8]), np.array([2, 3])
     wide = impacts(counts, lengths, 10**12, 10**15)

@@ -13,8 +13,9 @@ An item is done with a segment when no interval's bound can beat its k-th
 document; a task carries those from segment to segment. Nothing is estimated or
 left out: what remains unopened cannot reach the result.
 
-Intervals of all items of a block are opened together, ``AT_ONCE`` of each item,
-so that the work runs in numpy. An interval keeps, for every term that still has
+Intervals of many items are opened together, ``AT_ONCE`` of each item, so that
+the work runs in numpy; ``ENTRIES`` terms of items at a time, so that a task's
+memory does not follow the size of a block. An interval keeps, for every term that still has
 postings in it, where they begin and end in the list.
 
 Documents, terms and lengths are counted over all segments, and document
@@ -52,6 +53,8 @@ BLOCK_BYTES = 4 << 20
 ROW_GROUPS = {"parquet.block.size": SEGMENT_BYTES, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1}
 #: Intervals of one item that are opened together.
 AT_ONCE = 16
+#: Terms of items that are searched together; each has up to ``2 * AT_ONCE`` entries made at a time, and more that wait.
+ENTRIES = 1 << 13
 #: Constants of the score: the impact's numerator, and the factors of occurrences and of length.
 TOP, OCCURRENCES, LENGTH = 1_000_000_000, 1_000, 8
 #: Percent of the length that counts relative to the mean.
@@ -357,7 +360,14 @@ def _opened(segment, block: Block, weights: np.ndarray, n_docs: int, n_terms: in
     repeats, own = block.repeats[own >= 0], own[own >= 0]
     items, per = np.unique(item, return_counts=True)
     search = Search(postings, np.where(known, ids, _LAST), leaders)
-    search.run(items, own, postings.starts[own], postings.starts[own] + size[own], repeats, per)
+    ends, done = np.cumsum(per), 0
+    while done < len(per):
+        low = ends[done] - per[done]
+        more = max(done + 1, int(np.searchsorted(ends, low + ENTRIES, side="right")))
+        e, n = slice(low, ends[more - 1]), slice(done, more)
+        starts = postings.starts[own[e]]
+        search.run(items[n], own[e], starts, starts + size[own[e]], repeats[e], per[n])
+        done = more
     return search
 
 
